@@ -1 +1,97 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: evaluation metrics, confusion matrix, cutoffs, residuals."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluate as V
+from .fixtures import SQL_DOC_SCORES, SQL_LINEITEM_LABEL, doc_scores, lineitem_label
+from .registry import query
+
+# A fixed linear predictor (the noise-free part of the derived label) makes
+# regression metrics SQL-checkable; fitted models are in q_models.
+_PRED = "3.0 * l_quantity - 200.0 * l_discount"
+
+
+@query("residual_frame", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, round(y, 9) AS actual, round({_PRED}, 9) AS predicted,
+  round(y - ({_PRED}), 9) AS residual, round(abs(y) - abs({_PRED}), 9) AS abs_difference
+FROM {SQL_LINEITEM_LABEL} li""")
+def q_residual_frame(spark, sf):
+    li = lineitem_label(spark, sf).withColumn("prediction", 3.0 * F.col("l_quantity")
+                                              - 200.0 * F.col("l_discount"))
+    r = V.residual_frame(li, "y", "prediction", keep=["l_orderkey", "l_linenumber", "l_partkey"])
+    return r.select("l_orderkey", "l_linenumber", "l_partkey",
+                    *[F.round(c, 9).alias(c) for c in
+                      ["actual", "predicted", "residual", "abs_difference"]])
+
+
+@query("metrics_regression", f"""
+SELECT l_returnflag, round(sqrt(avg((y - ({_PRED})) * (y - ({_PRED})))), 9) AS rmse,
+  round(avg(abs(y - ({_PRED}))), 9) AS mae,
+  round(1 - sum((y - ({_PRED})) * (y - ({_PRED}))) / (var_pop(y) * count(y)), 9) AS r2,
+  count(*) AS n
+FROM {SQL_LINEITEM_LABEL} li GROUP BY l_returnflag""")
+def q_metrics_regression(spark, sf):
+    li = lineitem_label(spark, sf).withColumn("prediction", 3.0 * F.col("l_quantity")
+                                              - 200.0 * F.col("l_discount"))
+    m = V.metrics_regression(li, "y", "prediction", group="l_returnflag")
+    return m.select("l_returnflag", *[F.round(c, 9).alias(c) for c in ["rmse", "mae", "r2"]], "n")
+
+
+@query("confusion_matrix", f"""
+WITH s AS (SELECT quality AS label, CAST(score > 0.5 AS INTEGER) AS prediction FROM {SQL_DOC_SCORES} d),
+g AS (SELECT a.c AS label, b.c AS prediction FROM (SELECT DISTINCT label AS c FROM s UNION SELECT DISTINCT prediction FROM s) a,
+      (SELECT DISTINCT label AS c FROM s UNION SELECT DISTINCT prediction FROM s) b),
+c AS (SELECT label, prediction, count(*) AS count FROM s GROUP BY ALL)
+SELECT g.label, g.prediction, coalesce(c.count, 0) AS count,
+       coalesce(c.count, 0) / sum(coalesce(c.count, 0)) OVER (PARTITION BY g.label) AS share
+FROM g LEFT JOIN c USING (label, prediction)""")
+def q_confusion_matrix(spark, sf):
+    s = doc_scores(spark, sf).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+    return V.confusion_matrix(s, "quality", "pred", normalize=True)
+
+
+_F1_SQL = f"""
+WITH g AS (SELECT i * CAST(0.01 AS DOUBLE) AS threshold, i FROM range(0, 31) t(i)),
+s AS (SELECT quality, score FROM {SQL_DOC_SCORES} d),
+c AS (SELECT threshold, i, sum(CAST(quality = 1 AND score > threshold AS INTEGER)) AS tp,
+        sum(CAST(quality = 0 AND score > threshold AS INTEGER)) AS fp,
+        sum(CAST(quality = 1 AND NOT score > threshold AS INTEGER)) AS fn
+      FROM g, s GROUP BY threshold, i),
+f AS (SELECT threshold, i, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0
+        ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1 FROM c)
+SELECT threshold, f1, i = (SELECT i FROM f ORDER BY f1 DESC, i LIMIT 1) AS is_best FROM f"""
+
+
+@query("f1_by_threshold", _F1_SQL)
+def q_f1_by_threshold(spark, sf):
+    return V.f1_by_threshold(doc_scores(spark, sf), "quality", "score", 0.3, 0.01)
+
+
+@query("f1_best_cutoff", f"""
+SELECT threshold, f1 FROM ({_F1_SQL}) x WHERE is_best""")
+def q_f1_best_cutoff(spark, sf):
+    f = V.f1_by_threshold(doc_scores(spark, sf), "quality", "score", 0.3, 0.01)
+    return f.filter("is_best").select("threshold", "f1")
+
+
+@query("metrics_classification", f"""
+WITH s AS (SELECT quality AS y, CAST(score > 0.5 AS INTEGER) AS p,
+                  least(greatest(score, 1e-15), 1 - 1e-15) AS q, score FROM {SQL_DOC_SCORES} d),
+c AS (SELECT avg(CAST(y = p AS DOUBLE)) AS accuracy,
+        sum(CAST(y = 1 AND p = 1 AS BIGINT)) AS tp, sum(CAST(y = 0 AND p = 1 AS BIGINT)) AS fp,
+        sum(CAST(y = 1 AND p = 0 AS BIGINT)) AS fn, count(*) AS n,
+        -avg(y * ln(q) + (1 - y) * ln(1 - q)) AS log_loss FROM s),
+r AS (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM s),
+a AS (SELECT (sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0)
+             / (sum(y) * (count(*) - sum(y))) AS auc FROM r)
+SELECT round(accuracy, 9) AS accuracy, round(tp / (tp + fp), 9) AS precision,
+       round(tp / (tp + fn), 9) AS recall,
+       round(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / ((tp / (tp + fp)) + (tp / (tp + fn))), 9) AS f1,
+       round(log_loss, 9) AS log_loss, round(auc, 9) AS auc, n FROM c, a""")
+def q_metrics_classification(spark, sf):
+    s = doc_scores(spark, sf).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+    m = V.metrics_classification(s, "quality", "pred", "score")
+    return m.select(*[F.round(c, 9).alias(c) for c in
+                      ["accuracy", "precision", "recall", "f1", "log_loss", "auc"]], "n")
