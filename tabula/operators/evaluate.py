@@ -74,7 +74,7 @@ def threshold_grid(max_thresh: float = 0.3, step: float = 0.01) -> list:
 
 
 def f1_by_threshold(df: DataFrame, label: str, score: str, max_thresh: float = 0.3,
-                    step: float = 0.01, average: str = "binary") -> DataFrame:
+                    step: float = 0.01, average: str = "binary", grid=None) -> DataFrame:
     """``f1_by_threshold``: F1 of ``score > t`` for every cutoff ``t``, and
     ``is_best`` on the first cutoff reaching the maximum.
 
@@ -82,7 +82,7 @@ def f1_by_threshold(df: DataFrame, label: str, score: str, max_thresh: float = 0
     aggregated per (cleared, label) — at most (cutoffs + 1) x 2 groups — and
     TP/FP per cutoff are suffix sums over that tiny table.
     """
-    grid = threshold_grid(max_thresh, step)
+    grid = list(grid) if grid is not None else threshold_grid(max_thresh, step)
     garr = F.array(*[F.lit(float(g)) for g in grid])
     cleared = F.size(F.filter(garr, lambda g: g < F.col(score)))
     pos = (F.col(label) == 1).cast("long")

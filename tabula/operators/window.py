@@ -43,7 +43,7 @@ def lag_variable(df: DataFrame, column: str, order_by, entity=None, offset: int
     for i, e in enumerate(ent):
         same = same & (F.col(e).eqNullSafe(F.col(f"_lag_e{i}")))
     return (j.withColumn(out_col, F.when(same, F.col("_lag_v")))
-            .drop("_lag_v", *[f"_lag_e{i}" for i in range(len(ent))]))
+            .drop("_grn", "_lag_v", *[f"_lag_e{i}" for i in range(len(ent))]))
 
 
 def _fill(df: DataFrame, column: str, order_by, entity, key, backward: bool,
