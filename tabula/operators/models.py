@@ -164,8 +164,9 @@ def staged_ensemble_error(df: DataFrame, features, label: str, key: str, max_ite
     train, test = holdout(df, key, 0.3, seed)
     est = (GBTClassifier if classification else GBTRegressor)(maxIter=max_iter, seed=seed)
     model = est.fit(assemble(train, features, label))
-    loss = "logistic" if classification else "squared"
-    errs = model.evaluateEachIteration(assemble(test, features, label), loss)
+    te = assemble(test, features, label)
+    errs = (model.evaluateEachIteration(te) if classification
+            else model.evaluateEachIteration(te, "squared"))
     return df.sparkSession.createDataFrame([(i + 1, float(e)) for i, e in enumerate(errs)],
                                            "n_trees INT, loss DOUBLE")
 
@@ -258,19 +259,31 @@ def quantile_fit(data: DataFrame, tau: float, max_iter: int = 50, tol: float = 1
                  floor: float = 1e-4):
     """Linear quantile regression by iteratively reweighted least squares.
 
-    Each step is one aggregate of the weighted normal equations (sum w x x',
-    sum w x y) over all rows; the d x d solve runs on the driver. Starts from
-    least squares with the intercept shifted to the residual quantile and
-    stops when the pinball loss stops improving.
+    Each step is ONE aggregate over all rows that yields both the pinball
+    loss of the current coefficients and the weighted normal equations
+    (sum w x x', sum w x y) for the next ones; the (d+1) x (d+1) solve runs on
+    the driver. Starts from least squares with the intercept shifted to the
+    residual quantile; stops when the pinball loss stops improving.
     """
     d = len(data.first()["features"])
-    xs = vector_to_array("features")
-    x1 = F.concat(xs, F.array(F.lit(1.0)))
+    x1 = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
     base = data.select(x1.alias("x"), F.col("label").alias("y")).cache()
 
-    def solve(weight):
-        w = weight if weight is not None else F.lit(1.0)
-        aggs = []
+    def pred(beta):
+        e = F.lit(0.0)
+        for i in range(d + 1):
+            e = e + F.col("x")[i] * F.lit(float(beta[i]))
+        return e
+
+    def step(beta):
+        """(pinball loss of beta, next beta) from one pass."""
+        if beta is None:
+            w, loss = F.lit(1.0), F.lit(None).cast("double")
+        else:
+            r = F.col("y") - pred(beta)
+            w = F.when(r >= 0, F.lit(tau)).otherwise(F.lit(1 - tau)) / F.greatest(F.abs(r), F.lit(floor))
+            loss = F.avg(F.greatest(r * tau, r * (tau - 1)))
+        aggs = [loss.alias("loss")]
         for i in range(d + 1):
             for j in range(i, d + 1):
                 aggs.append(F.sum(w * F.col("x")[i] * F.col("x")[j]).alias(f"a{i}_{j}"))
@@ -282,34 +295,22 @@ def quantile_fit(data: DataFrame, tau: float, max_iter: int = 50, tol: float = 1
             for j in range(i, d + 1):
                 A[i, j] = A[j, i] = r[f"a{i}_{j}"]
             b[i] = r[f"b{i}"]
-        return np.linalg.lstsq(A, b, rcond=None)[0]
-
-    def pred(beta):
-        e = F.lit(0.0)
-        for i in range(d + 1):
-            e = e + F.col("x")[i] * F.lit(float(beta[i]))
-        return e
-
-    def pinball(beta):
-        r = F.col("y") - pred(beta)
-        return one_row(base, F.avg(F.greatest(r * tau, r * (tau - 1))).alias("l"))["l"]
+        return r["loss"], np.linalg.lstsq(A, b, rcond=None)[0]
 
-    beta = solve(None)
+    _, beta = step(None)
     shift = one_row(base, F.percentile(F.col("y") - pred(beta), F.lit(tau)).alias("q"))["q"]
     beta[d] += shift
-    loss = pinball(beta)
+    best, best_loss = beta, None
     for _ in range(max_iter):
-        r = F.col("y") - pred(beta)
-        w = F.when(r >= 0, F.lit(tau)).otherwise(F.lit(1 - tau)) / F.greatest(F.abs(r), F.lit(floor))
-        nb = solve(w)
-        nl = pinball(nb)
-        if nl > loss - tol * max(abs(loss), 1.0):
-            if nl < loss:
-                beta, loss = nb, nl
+        loss, nxt = step(beta)
+        if best_loss is not None and loss > best_loss - tol * max(abs(best_loss), 1.0):
+            if loss < best_loss:
+                best, best_loss = beta, loss
             break
-        beta, loss = nb, nl
+        best, best_loss = beta, loss
+        beta = nxt
     base.unpersist()
-    return beta, loss
+    return best, best_loss
 
 
 def intervals_quantile(train: DataFrame, score: DataFrame, features, label: str,
@@ -389,18 +390,20 @@ def feature_importance(model, names, top_n: int | None = None, spark=None) -> Da
 
 def tree_nodes(model, path: str, spark) -> DataFrame:
     """``tree_nodes``: a fitted tree's node table read back from its saved
-    data (id, prediction, impurity, gain, children, split feature/threshold)."""
+    data (id, prediction, impurity, gain, children, split feature/threshold,
+    training count)."""
     model.write().overwrite().save(path)
     data = spark.read.parquet(os.path.join(path, "data"))
+    if "nodeData" in data.columns:
+        data = data.select("nodeData.*")
     return data.select(
-        F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.impurity").alias("impurity"), F.col("nodeData.gain").alias("gain"),
-        F.col("nodeData.leftChild").alias("left_child"),
-        F.col("nodeData.rightChild").alias("right_child"),
-        F.col("nodeData.split.featureIndex").alias("feature_index"),
-        F.col("nodeData.split.leftCategoriesOrThreshold").alias("threshold"),
-        F.col("nodeData.rawCount").alias("count") if "rawCount" in
-        data.select("nodeData.*").columns else F.lit(None).cast("long").alias("count"))
+        F.col("id"), F.col("prediction"), F.col("impurity"), F.col("gain"),
+        F.col("leftChild").alias("left_child"), F.col("rightChild").alias("right_child"),
+        F.when(F.col("leftChild") >= 0, F.col("split.featureIndex")).alias("feature_index"),
+        F.when(F.col("leftChild") >= 0, F.col("split.leftCategoriesOrThreshold")[0])
+         .alias("threshold"),
+        (F.col("rawCount") if "rawCount" in data.columns else F.lit(None).cast("long"))
+        .alias("count")).orderBy("id")
 
 
 def shap_linear(model, data: DataFrame, features, keep=()) -> DataFrame:
@@ -552,3 +555,84 @@ def score_batch(model, df: DataFrame, class_names: dict, keep=()) -> DataFrame:
     p = model.transform(df)
     return p.select(*keep, label_map(F.col("prediction").cast("int"), class_names).alias("prediction"),
                     vector_to_array("probability").alias("probabilities"))
+
+
+# --------------------------------------------------- composed recipes
+
+
+def sliding_window_evaluation(df: DataFrame, features, label: str, order_by: str,
+                              num_windows: int = 5, test_size: float = 0.2,
+                              reg_param: float = 0.03, elastic_net: float = 1.0) -> DataFrame:
+    """``sliding_window_evaluation``: consecutive time windows; in each, an
+    L1 linear fit on the first rows and its test RMSE on the rest. One row
+    per window: sizes, train R2 and RMSE, test RMSE; plus their mean."""
+    from .window import head_per_window
+    split = head_per_window(df, order_by, num_windows, test_size).cache()
+    data = assemble(split, features, label, ["window_num", "split"]).cache()
+    ev = RegressionEvaluator(metricName="rmse")
+    rows = []
+    for w in range(1, num_windows + 1):
+        tr = data.filter((F.col("window_num") == w) & (F.col("split") == "train"))
+        te = data.filter((F.col("window_num") == w) & (F.col("split") == "test"))
+        n_tr, n_te = tr.count(), te.count()
+        if n_tr == 0:
+            continue
+        m = LinearRegression(elasticNetParam=elastic_net, regParam=reg_param).fit(tr)
+        test_rmse = ev.evaluate(m.transform(te)) if n_te else None
+        rows.append((w, n_tr, n_te, float(m.summary.r2), float(m.summary.rootMeanSquaredError),
+                     test_rmse))
+    data.unpersist()
+    split.unpersist()
+    mean_rmse = float(np.mean([r[5] for r in rows if r[5] is not None])) if rows else None
+    return df.sparkSession.createDataFrame(
+        [(*r, mean_rmse) for r in rows],
+        "window INT, n_train BIGINT, n_test BIGINT, r2 DOUBLE, train_rmse DOUBLE, "
+        "test_rmse DOUBLE, mean_test_rmse DOUBLE")
+
+
+def impute_model(df: DataFrame, column: str, key: str, corr_threshold: float = 0.5,
+                 folds: int = 3, num_trees: int = 100, categorical: bool = False,
+                 seed: int = 46):
+    """``impute_model``: fill missing cells of ``column`` with a random
+    forest fitted on the columns correlated with it (|r| >= threshold).
+
+    Returns ``(filled, report)``. Predictors missing at scoring time get the
+    predictor's mean; only missing cells are replaced. With no correlated
+    predictor the frame is returned unchanged and the report says so.
+    """
+    from ..functions.scalar import missing
+    num = [c for c, t_ in df.dtypes if c not in (key, column)
+           and t_ in ("double", "float", "int", "bigint", "smallint", "tinyint")]
+    y = F.nanvl(F.col(column).cast("double"), F.lit(None))
+    stats = one_row(df, *[F.corr(F.col(c).cast("double"), y).alias(c) for c in num],
+                    F.avg(missing(df, column).cast("double")).alias("_pm"))
+    preds = [c for c in num if stats[c] is not None and abs(stats[c]) >= corr_threshold]
+    spark = df.sparkSession
+    if not preds:
+        rep = spark.createDataFrame([(column, float(stats["_pm"] * 100), None, None, "")],
+                                    "column STRING, percent_missing DOUBLE, cv_score DOUBLE, "
+                                    "train_score DOUBLE, predictors STRING")
+        return df, rep
+    complete = df.na.drop(subset=[column, *preds])
+    est = (RandomForestClassifier if categorical else RandomForestRegressor)(
+        numTrees=num_trees, seed=seed)
+    ev = (MulticlassClassificationEvaluator(metricName="accuracy") if categorical
+          else RegressionEvaluator(metricName="r2"))
+    data = assemble(complete, preds, column, [key])
+    _, cvres = cross_validate(est, data, ev, key, folds, seed)
+    model = est.fit(data)
+    train_score = ev.evaluate(model.transform(data))
+    means = one_row(df, *[F.avg(c).alias(c) for c in preds])
+    filled_preds = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(means[c])).alias(c)
+                                   for c in preds])
+    scored = model.transform(assemble(filled_preds, preds, None, [key])).select(key, "prediction")
+    out = (df.join(scored, key, "left")
+           .withColumn(column, F.when(missing(df, column), F.col("prediction"))
+                       .otherwise(F.col(column).cast("double")))
+           .drop("prediction"))
+    rep = spark.createDataFrame(
+        [(column, float(stats["_pm"] * 100), float(cvres.first()["metric"]), float(train_score),
+          ",".join(preds))],
+        "column STRING, percent_missing DOUBLE, cv_score DOUBLE, train_score DOUBLE, "
+        "predictors STRING")
+    return out, rep

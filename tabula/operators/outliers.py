@@ -40,3 +40,23 @@ def outliers_zscore(df: DataFrame, column: str, threshold: float = 3.0,
         return df.withColumn(z_col, F.lit(None).cast("double")).limit(0)
     z = (F.col(column) - F.lit(st["m"])) / F.lit(st["s"])
     return df.withColumn(z_col, z).filter(F.abs(F.col(z_col)) > threshold)
+
+
+def outlier_report(df: DataFrame, features, key: str, methods=("iqr", "zscore")) -> DataFrame:
+    """``outlier_report``: long table ``(method, feature, key)`` of every
+    flagged row, per feature for the one-variable methods."""
+    parts = []
+    for f in features:
+        for m in methods:
+            if m == "iqr":
+                flagged = outliers_iqr(df, f)
+            elif m == "zscore":
+                flagged = outliers_zscore(df, f)
+            else:
+                raise ValueError(f"unknown method {m}")
+            parts.append(flagged.select(F.lit(m).alias("method"), F.lit(f).alias("feature"),
+                                        F.col(key)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
