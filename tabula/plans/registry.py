@@ -27,4 +27,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module (each registers itself on import)."""
     from . import (q_relational, q_window, q_missing, q_encode, q_text,  # noqa: F401
-                   q_evaluate, q_sample, q_models, q_stream, q_functions, q_diagnose)
+                   q_evaluate, q_sample, q_models, q_stream, q_functions, q_diagnose,
+                   q_neighbors)
