@@ -53,3 +53,23 @@ JOIN m x ON x.vec_id = nn.neighbor_id"""
 def q_oversample_smote(spark, sf):
     e = t(spark, sf, "embeddings")
     return N.oversample_smote(e, "label", "vec_id", "embedding", k=5, seed=46)
+
+
+@query("outliers_isolation_forest")
+def q_outliers_isolation_forest(spark, sf):
+    """Isolation forest (100 trees of at most 256 keyed-draw rows) over the
+    64-d embeddings; every row with its score and the 'auto' flag."""
+    from ..operators.anomaly import outliers_isolation_forest
+    e = t(spark, sf, "embeddings")
+    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])
+    return outliers_isolation_forest(wide, [f"e{i}" for i in range(64)], "vec_id", 100, 256)
+
+
+@query("outliers_elliptic")
+def q_outliers_elliptic(spark, sf):
+    """Robust-covariance distances over the first 8 embedding dimensions
+    (500 rows >= 8^2); the top 10% flagged."""
+    from ..operators.anomaly import outliers_elliptic
+    e = t(spark, sf, "embeddings")
+    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(8)])
+    return outliers_elliptic(wide, [f"e{i}" for i in range(8)], "vec_id", 0.1)
