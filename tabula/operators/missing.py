@@ -107,3 +107,8 @@ def top_values(df: DataFrame, columns, k: int = 1) -> DataFrame:
     from pyspark.sql import Window
     w = Window.partitionBy("column_name").orderBy(F.desc("freq"), "value")
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def write_profile(profile: DataFrame, path: str, fmt: str = "json") -> None:
+    """``write_profile``: persist a profile table (one small file)."""
+    profile.coalesce(1).write.mode("overwrite").format(fmt).save(path)

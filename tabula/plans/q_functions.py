@@ -65,3 +65,45 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"""
 def q_read_json_props(spark, sf):
     e = t(spark, sf, "events", ["event_id", "props"])
     return e.select("event_id", F.from_json("props", "k INT")["k"].alias("k"))
+
+
+def _image_root(spark, sf):
+    """8 x 8 grey images derived from the embeddings (first 64 values mapped
+    to 0-255), one folder per label, written by the executors."""
+    from ..session import shared_path
+    from ..sources.images import write_png_folders
+    e = t(spark, sf, "embeddings")
+    px = F.transform("embedding", lambda x: F.floor(F.least(F.greatest(
+        (x.cast("double") + 1.0) * 127.5, F.lit(0.0)), F.lit(255.0))))
+    root = shared_path(spark, "images")
+    write_png_folders(e.select("vec_id", "label", px.alias("px")), root, "label", "vec_id", "px", 8)
+    return root
+
+
+_IMG_SQL = """
+SELECT CAST(label AS VARCHAR) AS label, count(DISTINCT vec_id) AS n_images,
+  round(avg((floor(least(greatest((CAST(x AS DOUBLE) + 1.0) * 127.5, 0.0), 255.0)) - 127.5) / 255.0), 9)
+    AS mean_pixel
+FROM (SELECT vec_id, label, unnest(embedding) AS x FROM embeddings) GROUP BY label"""
+
+
+@query("read_image_folders", _IMG_SQL)
+def q_read_image_folders(spark, sf):
+    from ..sources.images import read_image_folders
+    images, _ = read_image_folders(spark, _image_root(spark, sf), image_size=8, min_per_class=10)
+    return images.select("label", "path", F.explode("pixels").alias("p")).groupBy("label").agg(
+        F.count_distinct("path").alias("n_images"), F.round(F.avg("p"), 9).alias("mean_pixel"))
+
+
+@query("cache_per_class", """
+SELECT label, count(*) AS n_images FROM embeddings GROUP BY label""")
+def q_cache_per_class(spark, sf):
+    from ..session import shared_path
+    from ..sources.images import cache_per_class, read_image_folders
+    images, _ = read_image_folders(spark, _image_root(spark, sf), image_size=8)
+    path = shared_path(spark, "image-cache")
+    cache_per_class(images, path)
+    cache_per_class(images.limit(0), path)  # present: kept, not rewritten
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n_images"))

@@ -114,3 +114,17 @@ WHERE abs((value - m) / s) > 3""")
 def q_outliers_zscore(spark, sf):
     e = t(spark, sf, "events", ["event_id", "value"])
     return O.outliers_zscore(e, "value", 3.0).withColumn("z_score", F.round("z_score", 9))
+
+
+@query("write_profile", _profile_sql())
+def q_write_profile(spark, sf):
+    """The profile persisted as JSON in the shared folder and read back."""
+    from ..session import shared_path
+    p = M.profile_columns(events_missing(spark, sf), ["user_id", "value", "event_type"])
+    path = shared_path(spark, "profile")
+    M.write_profile(p, path)
+    back = spark.read.schema(p.schema).json(path)
+    r6 = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return back.select("column_name", "type", "n_rows", "n_missing",
+                       F.round("percent_missing", 9).alias("percent_missing"), "n_distinct",
+                       *[F.round(c, 6).alias(c) for c in r6])

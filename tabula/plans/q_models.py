@@ -279,3 +279,20 @@ def q_outlier_report(spark, sf):
     e = t(spark, sf, "events", ["event_id", "value"])
     return O.outlier_report(e, ["value"], "event_id", methods=("iqr", "zscore"))
 
+
+
+@query("checkpoint_best")
+def q_checkpoint_best(spark, sf):
+    """Grid search keeping only the best model: it is written to the shared
+    folder, loaded back and re-scored."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    data = MD.assemble(_emb(spark, sf), EMB_F, "label", ["vec_id"])
+    ev = MulticlassClassificationEvaluator(metricName="accuracy")
+    cvm, res = MD.grid_search(RandomForestClassifier(seed=46), {"maxDepth": [3, 6]}, data, ev,
+                              "vec_id")
+    path = shared_path(spark, "best")
+    cvm.bestModel.write().overwrite().save(path)
+    best = RandomForestClassificationModel.load(path)
+    acc = ev.evaluate(best.transform(data))
+    return spark.createDataFrame([(int(best.getMaxDepth()), float(max(cvm.avgMetrics)), float(acc))],
+                                 "max_depth INT, cv_accuracy DOUBLE, reloaded_train_accuracy DOUBLE")

@@ -131,3 +131,20 @@ def q_topics_lda(spark, sf):
                                     max_iter=15, seed=46)
     return topics.join(sizes, "topic", "left").select(
         "topic", "rank", "word", "weight", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
+
+
+@query("select_by_column_sum", _TFIDF_SQL + """
+SELECT term, round(sum(tfidf), 9) AS total FROM tfidf GROUP BY term HAVING sum(tfidf) > 2.5""")
+def q_select_by_column_sum(spark, sf):
+    """Terms (columns of the document-term matrix, kept long) whose TF-IDF
+    column sum exceeds 2.5."""
+    w = X.tfidf(t(spark, sf, "documents", ["doc_id", "text"]), "doc_id", "text")
+    return X.tfidf_prune(w, 2.5, drop_digit_terms=False).withColumn("total", F.round("total", 9))
+
+
+@query("select_by_regex", _TFIDF_SQL + r"""
+SELECT DISTINCT term FROM tfidf WHERE NOT regexp_matches(term, '\d')""")
+def q_select_by_regex(spark, sf):
+    """Terms whose name has no digit (the column-name filter, on long form)."""
+    w = X.tfidf(t(spark, sf, "documents", ["doc_id", "text"]), "doc_id", "text")
+    return w.select("term").distinct().filter(~F.col("term").rlike(r"\d"))
