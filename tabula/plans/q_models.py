@@ -296,3 +296,25 @@ def q_checkpoint_best(spark, sf):
     acc = ev.evaluate(best.transform(data))
     return spark.createDataFrame([(int(best.getMaxDepth()), float(max(cvm.avgMetrics)), float(acc))],
                                  "max_depth INT, cv_accuracy DOUBLE, reloaded_train_accuracy DOUBLE")
+
+
+@query("save_model")
+def q_save_model(spark, sf):
+    """A fitted pipeline written under the shared folder with the
+    ``_YYYYMMDD`` suffix; lists what was written."""
+    from datetime import date
+    emb = _emb(spark, sf)
+    model, _ = MD.train_and_export(emb, EMB_F, "label", "vec_id", shared_path(spark, "tmp-model"))
+    path = MD.save_model(model, shared_path(spark, "saved"), "pipeline", today=date(2024, 1, 1))
+    stages = spark.read.text(path + "/stages/*/metadata").select(
+        F.get_json_object("value", "$.class").alias("stage_class"))
+    return stages.withColumn("model_name", F.lit(path.rsplit("/", 1)[-1]))
+
+
+@query("load_model")
+def q_load_model(spark, sf):
+    """Save, load, and score every embedding row with the loaded pipeline."""
+    emb = _emb(spark, sf)
+    model, _ = MD.train_and_export(emb, EMB_F, "label", "vec_id", shared_path(spark, "tmp-model"))
+    path = MD.save_model(model, shared_path(spark, "saved"), "pipeline")
+    return MD.load_model(path).transform(emb).select("vec_id", "label", "prediction")

@@ -73,3 +73,13 @@ def q_outliers_elliptic(spark, sf):
     e = t(spark, sf, "embeddings")
     wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(8)])
     return outliers_elliptic(wide, [f"e{i}" for i in range(8)], "vec_id", 0.1)
+
+
+@query("outliers_one_class")
+def q_outliers_one_class(spark, sf):
+    """Approximate RBF one-class SVM (random Fourier features) over the first
+    8 embedding dimensions; nu = 0.5 as the default detector."""
+    from ..operators.anomaly import outliers_one_class
+    e = t(spark, sf, "embeddings")
+    wide = e.select("vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(8)])
+    return outliers_one_class(wide, [f"e{i}" for i in range(8)], "vec_id", nu=0.5)

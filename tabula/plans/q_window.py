@@ -141,3 +141,29 @@ WHERE rn > 100 AND rn <= 200""")
 def q_rows_by_position(spark, sf):
     o = t(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
     return W.rows_by_position(o, ["o_orderkey"], 100, 200)
+
+
+_SPLIT_SQL = """
+SELECT event_id, window_num, CASE WHEN row_in_window <= n_train THEN 'train' ELSE 'test' END AS split
+FROM (SELECT event_id, CAST(floor((rn - 1) / size) + 1 AS INTEGER) AS window_num,
+             rn - floor((rn - 1) / size) * size AS row_in_window, n_train
+      FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS rn,
+                   CAST(round(count(*) OVER () / 5.0) AS BIGINT) AS size,
+                   CAST(round(count(*) OVER () * 0.8 / 5.0) AS BIGINT) AS n_train FROM events))
+WHERE window_num <= 5"""
+
+
+@query("split_sliding_window", _SPLIT_SQL)
+def q_split_sliding_window(spark, sf):
+    e = t(spark, sf, "events", ["event_id", "ts"])
+    out = W.head_per_window(e, "ts", 5, test_size=0.2, key="event_id")
+    return out.select("event_id", "window_num", "split")
+
+
+@query("rows_to_frame", f"SELECT event_id, window_num FROM ({_SPLIT_SQL}) s WHERE split = 'train'")
+def q_rows_to_frame(spark, sf):
+    """The first n rows of every window as a frame: a row-number filter in
+    place of collecting ``head(n)`` to the driver and sending it back."""
+    e = t(spark, sf, "events", ["event_id", "ts"])
+    out = W.head_per_window(e, "ts", 5, test_size=0.2, key="event_id")
+    return out.filter(F.col("split") == "train").select("event_id", "window_num")
