@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import DETACHMENT_RULES, ENGLISH_STOP_WORDS
@@ -53,16 +54,18 @@ def tfidf(df: DataFrame, doc_col: str, text_col: str, pattern: str = WORD2) -> D
     Same definition as a TF-IDF vectoriser with ``smooth_idf=False``:
     lower-cased tokens of two or more word characters, raw counts. Spark's
     ``IDF`` uses ``ln((n + 1) / (df + 1))``, so the weights are built here
-    from aggregates instead.
+    from aggregates instead. Texts are tokenised once: the term counts are
+    persisted (recomputable from lineage) and feed both the document
+    frequencies and the weights; the per-document norm is a window over one
+    document's terms, so no second join is needed.
     """
-    tc = term_counts(df, doc_col, text_col, pattern)
+    tc = term_counts(df, doc_col, text_col, pattern).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = df.select(doc_col).distinct().count()
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = dfreq.select("term", (F.log(F.lit(float(n_docs)) / F.col("df")) + 1.0).alias("idf"))
     w = tc.join(sized_broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy(doc_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return (w.join(norms, doc_col)
-            .select(doc_col, "term", (F.col("w") / F.col("_norm")).alias("tfidf")))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_col)))
+    return w.select(doc_col, "term", (F.col("w") / norm).alias("tfidf"))
 
 
 def tfidf_prune(weights: DataFrame, min_total: float = 2.5,
@@ -84,7 +87,8 @@ def bag_of_words(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
     ranking is a distributed global rank over the vocabulary.
     """
     ex = df.select(F.col(doc_col), F.explode(tokens_col).alias("term"))
-    counts = ex.groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("count"))
+    counts = ex.groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("count")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     first = counts.groupBy("term").agg(F.min(doc_col).alias("_first"))
     vocab = global_rank(first, ["_first", "term"], rank_col="_rk")
     ids = vocab.select("term", (F.col("_rk") - 1).alias("term_id"))

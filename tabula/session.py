@@ -27,6 +27,8 @@ BASE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the checkpointed data is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
