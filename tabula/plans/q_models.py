@@ -318,3 +318,23 @@ def q_load_model(spark, sf):
     model, _ = MD.train_and_export(emb, EMB_F, "label", "vec_id", shared_path(spark, "tmp-model"))
     path = MD.save_model(model, shared_path(spark, "saved"), "pipeline")
     return MD.load_model(path).transform(emb).select("vec_id", "label", "prediction")
+
+
+@query("shap_values_tree")
+def q_shap_values_tree(spark, sf):
+    """Path-dependent Tree SHAP of a random forest (10 trees, depth 4) for
+    every lineitem row, with the model output they add up to."""
+    from ..operators.shap import shap_values_trees
+    data = _reg(spark, sf)
+    m = RandomForestRegressor(numTrees=10, maxDepth=4, seed=46).fit(MD.assemble(data, REG_F, "y"))
+    return shap_values_trees(m, data, REG_F, "rkey", shared_path(spark, "shap-forest"))
+
+
+@query("shap_importance")
+def q_shap_importance(spark, sf):
+    """Global importance: mean |SHAP| per feature of the forest above."""
+    from ..operators.shap import mean_abs_shap, shap_values_trees
+    data = _reg(spark, sf)
+    m = RandomForestRegressor(numTrees=10, maxDepth=4, seed=46).fit(MD.assemble(data, REG_F, "y"))
+    sh = shap_values_trees(m, data, REG_F, "rkey", shared_path(spark, "shap-forest"))
+    return mean_abs_shap(sh, REG_F)
