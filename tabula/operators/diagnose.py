@@ -65,12 +65,12 @@ def anderson_darling(df: DataFrame, column: str, key: str, group: str | None = N
         s1 = one_row(stats, F.first("_m").alias("m"), F.first("_s").alias("s"),
                      F.first("_n").alias("n"))
         j = r.withColumn("_m", F.lit(s1["m"])).withColumn("_s", F.lit(s1["s"])) \
-             .withColumn("_n", F.lit(s1["n"])).withColumn("_f", F.lit(1))
+             .withColumn("_n", F.lit(s1["n"]).cast("long")).withColumn("_f", F.lit(1).cast("long"))
     i = (F.col("_r") - F.col("_f") + 1).cast("double")
     z = (F.col(column) - F.col("_m")) / F.col("_s")
     ln_phi, ln_sf = log_cdf_pair(z)
     term = (2 * i - 1) * ln_phi + (2 * (F.col("_n") - i) + 1) * ln_sf
-    agg = j.groupBy(*g).agg(F.sum(term).alias("_t"), F.first("_n").alias("n"))
+    agg = j.groupBy(*g).agg(F.sum(term).alias("_t"), F.first("_n").cast("double").alias("n"))
     a2 = -F.col("n") - F.col("_t") / F.col("n")
     a2a = a2 * (1 + 0.75 / F.col("n") + 2.25 / (F.col("n") * F.col("n")))
     pv = None

@@ -13,6 +13,7 @@ import time
 from datetime import date
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
@@ -613,12 +614,13 @@ def impute_model(df: DataFrame, column: str, key: str, corr_threshold: float = 0
                                     "column STRING, percent_missing DOUBLE, cv_score DOUBLE, "
                                     "train_score DOUBLE, predictors STRING")
         return df, rep
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the fits, the CV and the scoring
     complete = df.na.drop(subset=[column, *preds])
     est = (RandomForestClassifier if categorical else RandomForestRegressor)(
         numTrees=num_trees, seed=seed)
     ev = (MulticlassClassificationEvaluator(metricName="accuracy") if categorical
           else RegressionEvaluator(metricName="r2"))
-    data = assemble(complete, preds, column, [key])
+    data = assemble(complete, preds, column, [key]).persist(StorageLevel.MEMORY_AND_DISK)
     _, cvres = cross_validate(est, data, ev, key, folds, seed)
     model = est.fit(data)
     train_score = ev.evaluate(model.transform(data))

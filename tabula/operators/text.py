@@ -128,6 +128,7 @@ def lemmatize(df: DataFrame, doc_col: str, tokens_col: str, lexicon: DataFrame,
     one equi-join per part of speech (size-checked broadcast), and gathered
     back per document in position order.
     """
+    lexicon = lexicon.persist(StorageLevel.MEMORY_AND_DISK)  # read once per part of speech
     ex = df.select(F.col(doc_col), F.posexplode(tokens_col).alias("_pos", "_t"))
     cur = ex.withColumn("_l", F.col("_t"))
     for p in order:
@@ -151,8 +152,10 @@ def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5
     """``topics_lda``: online LDA; returns ``(topics, assignments, sizes)``:
     top words with weights per topic, the dominant topic per document
     (first on ties), and documents per topic."""
+    # the online optimiser samples the corpus every iteration: tokenise once
+    df = df.select(doc_col, tokens_col).persist(StorageLevel.MEMORY_AND_DISK)
     cv = CountVectorizer(inputCol=tokens_col, outputCol="_bow", vocabSize=vocab_size).fit(df)
-    bow = cv.transform(df).select(doc_col, "_bow")
+    bow = cv.transform(df).select(doc_col, "_bow").persist(StorageLevel.MEMORY_AND_DISK)
     lda = LDA(k=num_topics, maxIter=max_iter, optimizer="online", seed=seed,
               featuresCol="_bow")
     model = lda.fit(bow)

@@ -56,8 +56,11 @@ def _fill(df: DataFrame, column: str, order_by, entity, key, backward: bool,
     tagged = F.when(present, F.struct(F.col(column).alias("v"),
                                       F.struct(*[F.col(e) for e in ent]).alias("e")))
     if backward:
-        w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(0, Window.unboundedFollowing)
-        local = F.first(tagged, ignorenulls=True).over(w)
+        # running frame over the reversed order: O(1) per row, unlike a
+        # current-row..unbounded-following frame
+        w = Window.partitionBy("_pid").orderBy(F.desc("_loc")).rowsBetween(
+            Window.unboundedPreceding, 0)
+        local = F.last(tagged, ignorenulls=True).over(w)
         edge = F.min_by(tagged, F.when(present, F.col("_loc")))
     else:
         w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
@@ -138,7 +141,8 @@ def window_number(df: DataFrame, order_by, num_windows: int, key=None,
     r, n = global_rank_total(df, order + key, rank_col="_grn")
     size = max(round(n / num_windows), 1)
     out = (r.withColumn(out_col, (F.floor((F.col("_grn") - 1) / F.lit(size)) + 1).cast("int"))
-           .withColumn("row_in_window", (F.col("_grn") - (F.col(out_col) - 1) * F.lit(size)).cast("long"))
+           .withColumn("row_in_window",
+                       F.col("_grn") - (F.col(out_col).cast("long") - 1) * F.lit(size).cast("long"))
            .drop("_grn"))
     return out, n, size
 

@@ -113,7 +113,8 @@ FROM documents LEFT JOIN g USING (doc_id)"""
 
 @query("lemmatize", _LEMMA_SQL)
 def q_lemmatize(spark, sf):
-    d = _filtered(spark, sf)
+    # tokens feed both the vocabulary and the lookups: tokenise once
+    d = _filtered(spark, sf).select("doc_id", "filtered").persist()
     vocab = d.select(F.explode("filtered").alias("term"))
     lex = X.morphy_lexicon(vocab)
     out = X.lemmatize(d, "doc_id", "filtered", lex)
