@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import missing, nan_to_null
-from ..plans.scale import one_row
+from ..plans.scale import one_row, quantiles
 
 
 def _as_list(x):
@@ -75,21 +75,18 @@ def percentiles(df: DataFrame, column: str, ps=(0.25, 0.75), exact: bool = True,
     ``exact=False`` switches to the streaming quantile sketch
     (``percentile_approx``), whose memory does not grow with the data.
     """
-    v = nan_to_null(df, column)
     if exact:
-        agg = F.percentile(v, F.array(*[F.lit(float(p)) for p in ps]))
-    else:
-        agg = F.percentile_approx(v, F.array(*[F.lit(float(p)) for p in ps]), accuracy)
+        return quantiles(df, column, ps)
+    v = nan_to_null(df, column)
+    agg = F.percentile_approx(v, F.array(*[F.lit(float(p)) for p in ps]), accuracy)
     return list(one_row(df, agg.alias("p"))["p"] or [])
 
 
 def percentiles_frame(df: DataFrame, column: str, ps=(0.25, 0.5, 0.75)) -> DataFrame:
-    """One row per requested percentile (a lazy frame)."""
-    v = nan_to_null(df, column)
-    arr = df.agg(F.percentile(v, F.array(*[F.lit(float(p)) for p in ps])).alias("q"))
-    return arr.select(F.posexplode("q").alias("i", "value")).select(
-        F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("i") + 1).alias("p"),
-        "value")
+    """One row per requested percentile: ``(p, value)``."""
+    vals = quantiles(df, column, ps)
+    return df.sparkSession.createDataFrame([(float(p), v) for p, v in zip(ps, vals)],
+                                           "p DOUBLE, value DOUBLE")
 
 
 def min_max_global(df: DataFrame, columns) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.random import draw_uniform
-from ..plans.scale import one_row
+from ..plans.scale import one_row, quantiles
 from .relational import distinct_counts
 
 EULER = 0.5772156649015329
@@ -159,7 +159,7 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
     if contamination == "auto":
         flag = F.col(score_col) > 0.5
     else:
-        cut = one_row(scored, F.percentile(score_col, F.lit(1.0 - float(contamination))).alias("c"))["c"]
+        cut = quantiles(scored, score_col, [1.0 - float(contamination)])[0]
         flag = F.col(score_col) > F.lit(cut)
     return scored.withColumn("is_outlier", flag)
 
@@ -238,7 +238,7 @@ def outliers_elliptic(df: DataFrame, features, key: str, contamination: float =
         mean, cov, det = m2, c2, det2
     prec = np.linalg.pinv(cov)
     scored = base.select(key, _mahalanobis(mean, prec).alias("robust_distance"))
-    thr = one_row(scored, F.percentile("robust_distance", F.lit(1.0 - contamination)).alias("t"))["t"]
+    thr = quantiles(scored, "robust_distance", [1.0 - contamination])[0]
     out = scored.withColumn("is_outlier", F.col("robust_distance") > F.lit(thr))
     return out
 

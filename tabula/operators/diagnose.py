@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.scale import global_rank_total, one_row, sized_broadcast
+from ..plans.scale import global_rank_total, one_row, quantiles, sized_broadcast
 from .window import lag_variable
 
 # Abramowitz & Stegun 26.2.17 upper-tail normal approximation
@@ -125,8 +125,8 @@ def max_quantile_bins(df: DataFrame, column: str, max_bins: int = 25) -> int:
     are all distinct (1 always qualifies). One exact percentile pass for the
     union of all candidate edges."""
     fr = sorted({float(x) for q in range(2, max_bins + 1) for x in np.linspace(0, 1, q + 1)})
-    vals = one_row(df, F.percentile(F.col(column), F.array(*[F.lit(f) for f in fr])).alias("p"))["p"]
-    if vals is None:
+    vals = quantiles(df, column, fr)
+    if vals[0] is None:
         return 1
     edge = dict(zip(fr, vals))
     for q in range(max_bins, 1, -1):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import is_numeric, missing, nan_to_null
-from ..plans.scale import one_row
+from ..plans.scale import max_percentile_rows, one_row, quantiles
 
 
 def percent_missing(df: DataFrame, columns=None) -> DataFrame:
@@ -59,15 +59,20 @@ def profile_columns(df: DataFrame, columns=None, exact_distinct: bool = True) ->
     """
     columns = columns or df.columns
     dist = F.count_distinct if exact_distinct else F.approx_count_distinct
+    # quartiles inside the one aggregate only while the input is bounded;
+    # beyond that each numeric column gets the distributed exact quantiles
+    bound = max_percentile_rows(df.sparkSession)
+    bounded = df.limit(bound + 1).count() <= bound
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(columns):
         v = nan_to_null(df, c)
         aggs += [F.sum(missing(df, c).cast("long")).alias(f"m{i}"), dist(v).alias(f"d{i}")]
         if is_numeric(df, c):
             vd = v.cast("double")
+            q = (F.percentile(vd, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if bounded
+                 else F.array(*[F.lit(v).cast("double") for v in quantiles(df, c, (0.25, 0.5, 0.75))]))
             aggs += [F.avg(vd).alias(f"mean{i}"), F.stddev_samp(vd).alias(f"std{i}"),
-                     F.min(vd).alias(f"min{i}"), F.max(vd).alias(f"max{i}"),
-                     F.percentile(vd, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")]
+                     F.min(vd).alias(f"min{i}"), F.max(vd).alias(f"max{i}"), q.alias(f"q{i}")]
     wide = df.agg(*aggs)
     structs = []
     for i, c in enumerate(columns):

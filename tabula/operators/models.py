@@ -29,7 +29,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.scale import one_row
+from ..plans.scale import one_row, quantiles
 from .evaluate import f1_by_threshold, metrics_regression
 from .sample import split_holdout, split_kfold
 
@@ -299,7 +299,7 @@ def quantile_fit(data: DataFrame, tau: float, max_iter: int = 50, tol: float = 1
         return r["loss"], np.linalg.lstsq(A, b, rcond=None)[0]
 
     _, beta = step(None)
-    shift = one_row(base, F.percentile(F.col("y") - pred(beta), F.lit(tau)).alias("q"))["q"]
+    shift = quantiles(base.select((F.col("y") - pred(beta)).alias("_res")), "_res", [tau])[0]
     beta[d] += shift
     best, best_loss = beta, None
     for _ in range(max_iter):

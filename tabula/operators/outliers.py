@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import nan_to_null
-from ..plans.scale import one_row
+from ..plans.scale import one_row, quantiles
 
 
 def iqr_bounds(df: DataFrame, column: str, exact: bool = True, k: float = 1.5):
-    v = nan_to_null(df, column)
-    ps = F.array(F.lit(0.25), F.lit(0.75))
-    agg = F.percentile(v, ps) if exact else F.percentile_approx(v, ps, 10000)
-    q1, q3 = one_row(df, agg.alias("q"))["q"]
+    if exact:
+        q1, q3 = quantiles(df, column, (0.25, 0.75))
+    else:
+        v = nan_to_null(df, column)
+        ps = F.array(F.lit(0.25), F.lit(0.75))
+        q1, q3 = one_row(df, F.percentile_approx(v, ps, 10000).alias("q"))["q"]
     iqr = q3 - q1
     return q1 - iqr * k, q3 + iqr * k
 

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,3 +98,47 @@ def global_rank_total(df: DataFrame, order: list, rank_col: str = "_grn",
     if not keep_parts:
         out = out.drop("_pid", "_loc")
     return out, acc
+
+
+DEFAULT_MAX_PERCENTILE_ROWS = 5_000_000
+
+
+def max_percentile_rows(spark) -> int:
+    v = spark.conf.get("tabula.percentile.maxRows", None)
+    return int(v) if v else DEFAULT_MAX_PERCENTILE_ROWS
+
+
+def quantiles(df: DataFrame, column: str, ps, max_buffer_rows: int | None = None) -> list:
+    """Exact linear-interpolated quantiles (numpy's default) of ``column``.
+
+    Spark's exact ``percentile`` aggregate keeps every distinct value of the
+    group in one task's buffer, which is fine for a bounded input and not
+    for a 100 TB column. The input is counted first: up to
+    ``max_buffer_rows`` present values use that aggregate; above it the
+    values are ranked with ``global_rank`` (range-partitioned, no single
+    task holds more than its slice) and only the ``2 x len(ps)`` rows at the
+    needed ranks are fetched.
+    """
+    bound = max_buffer_rows if max_buffer_rows is not None else max_percentile_rows(df.sparkSession)
+    v = F.col(column).cast("double")
+    vals = df.select(v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    n = vals.limit(bound + 1).count()
+    ps = [float(p) for p in ps]
+    if n == 0:
+        return [None] * len(ps)
+    if n <= bound:
+        return list(one_row(vals, F.percentile("_v", F.array(*[F.lit(p) for p in ps])).alias("q"))["q"])
+    r, n = global_rank_total(vals, ["_v"], rank_col="_r")
+    pos = {}
+    for p in ps:
+        h = (n - 1) * p
+        pos[p] = (h, int(math.floor(h)), int(math.ceil(h)))
+    need = sorted({i + 1 for _, lo, hi in pos.values() for i in (lo, hi)})
+    got = {row["_r"]: row["_v"] for row in r.filter(F.col("_r").isin(need)).select("_r", "_v").collect()}
+    out = []
+    for p in ps:
+        h, lo, hi = pos[p]
+        a, b = got[lo + 1], got[hi + 1]
+        # same interpolation arithmetic as the percentile aggregate
+        out.append(a if hi == lo else (hi - h) * a + (h - lo) * b)
+    return out
