@@ -81,3 +81,12 @@ def threshold_flag(c, t: float) -> Column:
 
 def safe_div(a, b) -> Column:
     return F.try_divide(col_of(a), col_of(b))
+
+
+def safe_corr(a, b) -> Column:
+    """Pearson correlation that is NULL (not a division error under ANSI
+    mode) when either column is constant."""
+    a, b = col_of(a).cast("double"), col_of(b).cast("double")
+    # pairwise complete rows only, like corr()
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))

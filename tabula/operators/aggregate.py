@@ -8,7 +8,7 @@ import itertools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import missing, nan_to_null
+from ..functions.scalar import missing, nan_to_null, safe_corr
 from ..plans.scale import one_row, quantiles
 
 
@@ -101,7 +101,7 @@ def correlation_pairs(df: DataFrame, columns) -> DataFrame:
     pairs = list(itertools.combinations(columns, 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a STRING, col_b STRING, r DOUBLE")
-    wide = df.agg(*[F.corr(nan_to_null(df, a).cast("double"), nan_to_null(df, b).cast("double"))
+    wide = df.agg(*[safe_corr(nan_to_null(df, a).cast("double"), nan_to_null(df, b).cast("double"))
                     .alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     stack = F.inline(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                                         F.col(f"`{i}`").alias("r"))
@@ -112,7 +112,8 @@ def correlation_pairs(df: DataFrame, columns) -> DataFrame:
 def rejected_correlated(df: DataFrame, columns, threshold: float = 0.9) -> list:
     """Columns a profile report rejects: for each pair above ``threshold``
     (absolute r), the later column of the pair."""
-    pairs = correlation_pairs(df, columns).filter(F.abs("r") > threshold).collect()
+    # a constant column has no correlation (NaN), which must not count as high
+    pairs = correlation_pairs(df, columns).filter(~F.isnan("r") & (F.abs("r") > threshold)).collect()
     order = {c: i for i, c in enumerate(columns)}
     rejected = []
     for p in sorted(pairs, key=lambda p: (order[p["col_a"]], order[p["col_b"]])):

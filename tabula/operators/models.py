@@ -29,6 +29,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import safe_corr
 from ..plans.scale import one_row, quantiles
 from .evaluate import f1_by_threshold, metrics_regression
 from .sample import split_holdout, split_kfold
@@ -605,7 +606,7 @@ def impute_model(df: DataFrame, column: str, key: str, corr_threshold: float = 0
     num = [c for c, t_ in df.dtypes if c not in (key, column)
            and t_ in ("double", "float", "int", "bigint", "smallint", "tinyint")]
     y = F.nanvl(F.col(column).cast("double"), F.lit(None))
-    stats = one_row(df, *[F.corr(F.col(c).cast("double"), y).alias(c) for c in num],
+    stats = one_row(df, *[safe_corr(F.col(c).cast("double"), y).alias(c) for c in num],
                     F.avg(missing(df, column).cast("double")).alias("_pm"))
     preds = [c for c in num if stats[c] is not None and abs(stats[c]) >= corr_threshold]
     spark = df.sparkSession

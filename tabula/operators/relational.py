@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import missing
+from ..functions.scalar import missing, safe_corr
 from ..plans.scale import one_row, sized_broadcast
 
 # ---------------------------------------------------------------- projection
@@ -103,7 +103,7 @@ def select_by_correlation(df: DataFrame, target: str, threshold: float = 0.5,
     against ``target`` (the target itself always qualifies)."""
     num = [c for c in (columns or df.columns)
            if isinstance(df.schema[c].dataType, T.NumericType)]
-    r = one_row(df, *[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c)
+    r = one_row(df, *[safe_corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c)
                       for c in num])
     keep = [c for c in num if c == target or (r[c] is not None and abs(r[c]) >= threshold)]
     return df.select(*keep)

@@ -4,8 +4,8 @@ The fitted trees (node tables read back from the saved model: split feature,
 threshold, children, training count, leaf value) are bounded by the model
 size, so they are broadcast; each task computes the attributions of its rows
 with the polynomial-time path algorithm of Lundberg et al. (2018) in
-``mapInPandas``; rows that take the same side at every split share their
-attribution, so each distinct decision pattern is computed once per task.
+``mapInPandas``, vectorised over each Arrow batch (the path state is shared
+by all rows; per-row fractions and weights are numpy vectors).
 The forest's attribution is the mean over trees, and
 ``sum(shap) + base_value`` equals the model's prediction for every row.
 """
@@ -114,6 +114,66 @@ def tree_shap_row(x: np.ndarray, tree, d: int) -> np.ndarray:
     return phi
 
 
+def tree_shap_batch(x: np.ndarray, tree, d: int) -> np.ndarray:
+    """``tree_shap_row`` for every row of ``x`` at once.
+
+    The path state (split features and zero fractions) is the same for all
+    rows; only the one fractions and the permutation weights depend on the
+    row, so they are carried as vectors and every step is a numpy operation
+    over the whole batch.
+    """
+    left, right, feat, thr, value, cover = tree
+    n = x.shape[0]
+    phi = np.zeros((n, d))
+
+    def extend(m, pz, po, pi):
+        m = [[e[0], e[1], e[2], e[3].copy()] for e in m]
+        ln = len(m)
+        m.append([pi, pz, po, np.ones(n) if ln == 0 else np.zeros(n)])
+        for i in range(ln - 1, -1, -1):
+            m[i + 1][3] = m[i + 1][3] + po * m[i][3] * ((i + 1) / (ln + 1))
+            m[i][3] = pz * m[i][3] * ((ln - i) / (ln + 1))
+        return m
+
+    def unwind(m, i):
+        m = [[e[0], e[1], e[2], e[3].copy()] for e in m]
+        ln = len(m) - 1
+        nn = m[ln][3].copy()
+        zi, oi = m[i][1], m[i][2]
+        nz = oi != 0
+        safe_o = np.where(nz, oi, 1.0)
+        for j in range(ln - 1, -1, -1):
+            t_ = m[j][3]
+            w_one = nn * (ln + 1) / ((j + 1) * safe_o)
+            w_zero = t_ * (ln + 1) / (zi * (ln - j)) if zi != 0 else np.zeros(n)
+            nn = np.where(nz, t_ - w_one * zi * (ln - j) / (ln + 1), nn)
+            m[j][3] = np.where(nz, w_one, w_zero)
+        for j in range(i, ln):
+            m[j][0], m[j][1], m[j][2] = m[j + 1][0], m[j + 1][1], m[j + 1][2]
+        return m[:ln]
+
+    def recurse(j, m, pz, po, pi):
+        m = extend(m, pz, po, pi)
+        if left[j] < 0:
+            for i in range(1, len(m)):
+                w = sum(e[3] for e in unwind(m, i))
+                phi[:, m[i][0]] += w * (m[i][2] - m[i][1]) * value[j]
+            return
+        f = feat[j]
+        go_left = x[:, f] <= thr[j]
+        iz, io = 1.0, np.ones(n)
+        k = next((i for i in range(1, len(m)) if m[i][0] == f), None)
+        if k is not None:
+            iz, io = m[k][1], m[k][2]
+            m = unwind(m, k)
+        recurse(left[j], m, iz * cover[left[j]] / cover[j], np.where(go_left, io, 0.0), f)
+        recurse(right[j], m, iz * cover[right[j]] / cover[j], np.where(go_left, 0.0, io), f)
+
+    if n:
+        recurse(0, [], 1.0, np.ones(n), -1)
+    return phi
+
+
 def shap_values_trees(model, data: DataFrame, features, key: str, path: str,
                       positive_class: int = 1) -> DataFrame:
     """``shap_values`` for a decision tree or random forest: one column per
@@ -131,17 +191,7 @@ def shap_values_trees(model, data: DataFrame, features, key: str, path: str,
             x = p[list(features)].to_numpy(dtype=np.float64)
             out = np.zeros((len(p), d))
             for t_ in ts:
-                # A row's attribution depends only on which side it takes at
-                # every split: compute it once per distinct decision pattern.
-                left, _, feat, thr, _, _ = t_
-                internal = np.flatnonzero(left >= 0)
-                if len(p) == 0:
-                    continue
-                dec = x[:, feat[internal]] <= thr[internal] if len(internal) else \
-                    np.zeros((len(p), 1), dtype=bool)
-                uniq, first, inv = np.unique(dec, axis=0, return_index=True, return_inverse=True)
-                phis = np.array([tree_shap_row(x[r], t_, d) for r in first])
-                out += phis[inv.reshape(-1)]
+                out += tree_shap_batch(x, t_, d)
             out /= max(len(ts), 1)
             res = pd.DataFrame(out, columns=[f"shap_{f}" for f in features])
             res.insert(0, key, p[key].to_numpy())

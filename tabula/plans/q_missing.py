@@ -128,3 +128,22 @@ def q_write_profile(spark, sf):
     return back.select("column_name", "type", "n_rows", "n_missing",
                        F.round("percent_missing", 9).alias("percent_missing"), "n_distinct",
                        *[F.round(c, 6).alias(c) for c in r6])
+
+
+@query("profile_rejected", """
+WITH d AS (SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) AS n_words, n_chars,
+                  length(lang) AS lang_len FROM documents),
+p AS (SELECT 'n_words' AS a, 'n_chars' AS b, corr(n_words, n_chars) AS r FROM d
+      UNION ALL SELECT 'n_words', 'lang_len', corr(n_words, lang_len) FROM d
+      UNION ALL SELECT 'n_chars', 'lang_len', corr(n_chars, lang_len) FROM d)
+SELECT b AS rejected FROM p WHERE r IS NOT NULL AND NOT isnan(r) AND abs(r) > 0.9""")
+def q_profile_rejected(spark, sf):
+    """The profile's rejected variables: for each column pair with |r| > 0.9,
+    the later column (word count and character count are near collinear)."""
+    from ..functions.scalar import tokens
+    from ..operators.aggregate import rejected_correlated
+    d = t(spark, sf, "documents", ["doc_id", "text", "n_chars", "lang"])
+    d = d.select(F.size(tokens("text")).alias("n_words"), "n_chars",
+                 F.length("lang").alias("lang_len"))
+    rej = rejected_correlated(d, ["n_words", "n_chars", "lang_len"], 0.9)
+    return spark.createDataFrame([(c,) for c in rej], "rejected STRING")

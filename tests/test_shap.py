@@ -54,3 +54,13 @@ def test_tree_shap_matches_brute_force_and_adds_up(spark):
     pred = model.transform(MD.assemble(li, FEATS, "y", ["k"])).select("k", "prediction")
     j = sh.join(pred, "k").toPandas()
     np.testing.assert_allclose(j["model_output"], j["prediction"], rtol=1e-9, atol=1e-9)
+
+
+def test_batch_tree_shap_equals_row_form(spark):
+    li = lineitem_label(spark, SF_SMALL)
+    model = RandomForestRegressor(numTrees=4, maxDepth=5, seed=7).fit(MD.assemble(li, FEATS, "y"))
+    trees = SH.tree_tables(model, shared_path(spark, "shap-batch"), spark)
+    x = li.select(*FEATS).limit(300).toPandas().to_numpy(dtype=float)
+    for t in trees:
+        rows = np.array([SH.tree_shap_row(r, t, 3) for r in x])
+        np.testing.assert_allclose(SH.tree_shap_batch(x, t, 3), rows, rtol=1e-9, atol=1e-9)
