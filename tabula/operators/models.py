@@ -105,10 +105,14 @@ def early_stopping_epoch(history: DataFrame, metric: str = "objective", order: s
 
 
 def cross_validate(estimator, df: DataFrame, evaluator, key: str, folds: int = 3, seed: int = 46,
-                   grid=None, parallelism: int = 1):
-    """``cross_validate`` / ``grid_search``: k-fold CV with keyed folds.
+                   grid=None, parallelism: int = 1, fold_col: str | None = None):
+    """``cross_validate`` / ``grid_search``: k-fold CV with keyed folds
+    (or the caller's ``fold_col``, to reuse one fold assignment).
     Returns ``(cv_model, results)``; results has one row per parameter map."""
-    data = split_kfold(df, key, folds, seed).withColumnRenamed("fold", "_fold")
+    if fold_col:
+        data = df.withColumnRenamed(fold_col, "_fold")
+    else:
+        data = split_kfold(df, key, folds, seed).withColumnRenamed("fold", "_fold")
     maps = grid if grid is not None else ParamGridBuilder().build()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
                         foldCol="_fold", parallelism=parallelism, seed=seed)
@@ -347,10 +351,13 @@ def rfe_logistic(df: DataFrame, features, label: str, key: str, min_features: in
     feats = list(features)
     stds = one_row(df, *[F.stddev_samp(f).alias(f) for f in feats])
     ev = MulticlassClassificationEvaluator(metricName="accuracy")
+    # one fold assignment for every subset size
+    folded = split_kfold(df, key, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     while len(feats) >= min_features:
-        data = assemble(df, feats, label, [key])
-        _, res = cross_validate(LogisticRegression(maxIter=50), data, ev, key, folds, seed)
+        data = assemble(folded, feats, label, [key, "fold"])
+        _, res = cross_validate(LogisticRegression(maxIter=50), data, ev, key, folds, seed,
+                                fold_col="fold")
         acc = res.first()["metric"]
         model = LogisticRegression(maxIter=50).fit(data)
         coefs = np.abs(model.coefficientMatrix.toArray()).max(axis=0)

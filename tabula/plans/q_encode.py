@@ -71,13 +71,13 @@ def q_scale_minmax(spark, sf):
 
 
 @query("scale_standard", """
-SELECT event_id, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 9) AS value,
-  round((user_id - avg(user_id) OVER ()) / stddev_pop(user_id) OVER (), 9) AS user_id FROM events""")
+SELECT event_id, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 6) AS value,
+  round((user_id - avg(user_id) OVER ()) / stddev_pop(user_id) OVER (), 6) AS user_id FROM events""")
 def q_scale_standard(spark, sf):
     e = t(spark, sf, "events", ["event_id", "value", "user_id"])
     out = E.scale_standard(e, ["value", "user_id"])
-    return out.select("event_id", F.round("value", 9).alias("value"),
-                      F.round("user_id", 9).alias("user_id"))
+    return out.select("event_id", F.round("value", 6).alias("value"),
+                      F.round("user_id", 6).alias("user_id"))
 
 
 @query("scale_maxabs", """

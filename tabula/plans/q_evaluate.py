@@ -14,8 +14,9 @@ _PRED = "3.0 * l_quantity - 200.0 * l_discount"
 
 
 @query("residual_frame", f"""
-SELECT l_orderkey, l_linenumber, l_partkey, round(y, 9) AS actual, round({_PRED}, 9) AS predicted,
-  round(y - ({_PRED}), 9) AS residual, round(abs(y) - abs({_PRED}), 9) AS abs_difference
+SELECT l_orderkey, l_linenumber, l_partkey, round(y, 9) + 0.0 AS actual,
+  round({_PRED}, 9) + 0.0 AS predicted, round(y - ({_PRED}), 9) + 0.0 AS residual,
+  round(abs(y) - abs({_PRED}), 9) + 0.0 AS abs_difference
 FROM {SQL_LINEITEM_LABEL} li""")
 def q_residual_frame(spark, sf):
     li = lineitem_label(spark, sf).withColumn("prediction", 3.0 * F.col("l_quantity")
