@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from tabula.llm import tokens
+from tabula.llm import exact_dedup, tokens, warc
 
 QUERIES = {
+    "op2_exact_dedup": exact_dedup.op2,
     "op6_byte_bpe": tokens.op6,
+    "op10_warc": warc.op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op10_warc": warc.OP10_SQL,
+}
