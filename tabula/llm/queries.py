@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tabula.llm import exact_dedup, tokens, warc
+from tabula.llm import exact_dedup, secrets, tokens, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2,
+    "op4_secrets": secrets.op4,
     "op6_byte_bpe": tokens.op6,
     "op10_warc": warc.op10,
 }
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op4_secrets": secrets.oracle(),
     "op10_warc": warc.OP10_SQL,
 }
