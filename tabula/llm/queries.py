@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tabula.llm import exact_dedup, secrets, tokens, warc
+from tabula.llm import exact_dedup, secrets, simhash, tokens, warc
 
 QUERIES = {
+    "op1_simhash": simhash.op1,
     "op2_exact_dedup": exact_dedup.op2,
     "op4_secrets": secrets.op4,
     "op6_byte_bpe": tokens.op6,
