@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from tabula.llm import exact_dedup, secrets, simhash, tokens, warc
+from tabula.llm import chat, exact_dedup, secrets, simhash, tokens, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1,
     "op2_exact_dedup": exact_dedup.op2,
     "op4_secrets": secrets.op4,
     "op6_byte_bpe": tokens.op6,
+    "op9_chat": chat.op9,
     "op10_warc": warc.op10,
 }
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op4_secrets": secrets.oracle(),
+    "op9_chat": chat.OP9_SQL,
     "op10_warc": warc.OP10_SQL,
 }
