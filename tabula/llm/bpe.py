@@ -48,6 +48,33 @@ def utf8(column) -> tuple[bytes, np.ndarray]:
     return raw, offsets - (offsets[0] if len(offsets) else 0)
 
 
+def byte_classes(b: np.ndarray) -> np.ndarray:
+    """Class of the character that each byte of valid UTF-8 belongs to."""
+    classes = char_classes()
+    cls = classes[:256][b]
+    lead = np.flatnonzero(b >= 0xC0)
+    if len(lead):
+        # classes of multi-byte characters, copied to their further bytes
+        size = 2 + (b[lead] >= 0xE0) + (b[lead] >= 0xF0)
+        for k in (2, 3, 4):
+            at = lead[size == k]
+            value = classes[code_points(b, at)]
+            for j in range(k):
+                cls[at + j] = value
+    return cls
+
+
+def code_points(b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The code points whose first bytes stand at ``at``."""
+    first = b[at].astype(np.int64)
+    extra = (first >= 0xC0).astype(np.int64) + (first >= 0xE0) + (first >= 0xF0)
+    cp = first & np.array([0x7F, 0x1F, 0x0F, 0x07])[extra]
+    for j in (1, 2, 3):
+        more = extra >= j
+        cp[more] = (cp[more] << 6) | (b[at[more] + j] & 0x3F)
+    return cp
+
+
 def pretokens(raw: bytes, doc_offsets: np.ndarray) -> np.ndarray:
     """Byte offsets where pretokens start, plus the end of ``raw``.
 
@@ -60,19 +87,7 @@ def pretokens(raw: bytes, doc_offsets: np.ndarray) -> np.ndarray:
     n = len(b)
     if not n:
         return np.array([0], np.int64)
-    classes = char_classes()
-    cls = classes[:256][b]
-    lead = np.flatnonzero(b >= 0xC0)
-    if len(lead):
-        # classes of multi-byte characters, copied to their further bytes
-        size = 2 + (b[lead] >= 0xE0) + (b[lead] >= 0xF0)
-        for k, mask in ((2, 0x1F), (3, 0x0F), (4, 0x07)):
-            at = lead[size == k]
-            cp = b[at].astype(np.int64) & mask
-            for j in range(1, k):
-                cp = (cp << 6) | (b[at + j] & 0x3F)
-            for j in range(k):
-                cls[at + j] = classes[cp]
+    cls = byte_classes(b)
     first = np.zeros(n + 1, bool)  # a text starts here
     first[doc_offsets] = True
     first[0] = first[n] = True
