@@ -130,7 +130,9 @@ def scan(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "
     index = stash(build_index(docs, rules, id_col, text_col), "trigram-postings")
     hits = candidates(index, rules).withColumnRenamed("id", "_hit_id").withColumnRenamed("rules", "_hit_rules")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.join(hits, F.col(id_col).eqNullSafe(F.col("_hit_id")), "left")
+    # Candidates have no size bound, so they are never broadcast; hashing them
+    # spares a sort of the texts.
+    joined = docs.join(hits.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_hit_id")), "left")
     scanned = {n for n, r in enumerate(rules) if not trigram_query(r.pattern)}
     none = F.array().cast(SPAN)
     parts = [rule_spans(text, r, n) if n in scanned else
