@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tabula.llm import chat, exact_dedup, langid, quality, secrets, simhash, tokens, warc
+from tabula.llm import chat, exact_dedup, langid, packing, quality, secrets, simhash, tokens, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1,
     "op2_exact_dedup": exact_dedup.op2,
+    "op3_packing": packing.op3,
     "op4_secrets": secrets.op4,
     "op5_quality": quality.op5,
     "op6_byte_bpe": tokens.op6,
