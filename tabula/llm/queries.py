@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabula.llm import chat, exact_dedup, langid, packing, quality, secrets, simhash, tokens, warc
+from tabula.llm import chat, exact_dedup, hmm, langid, packing, quality, secrets, simhash, tokens, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_secrets": secrets.op4,
     "op5_quality": quality.op5,
     "op6_byte_bpe": tokens.op6,
+    "op7_hmm_score": hmm.op7,
     "op8_language_id": langid.op8,
     "op9_chat": chat.op9,
     "op10_warc": warc.op10,
