@@ -184,57 +184,66 @@ def word_scores(model: Model, bucket, script, starts) -> np.ndarray:
     return out - out.max(axis=1, keepdims=True) if len(out) else out
 
 
+def _label_block(model: Model, texts):
+    """Predicted language, score and spans of every text of a string array."""
+    names = np.array(model.languages, object)
+    n = len(texts)
+    raw, offsets = utf8(_lowered(texts))
+    bucket, first, end, script, starts = _words(raw, offsets)
+    if not len(names) or not len(first):
+        return pa.array(["und"] * n, pa.string()), pa.array([0.0] * n, pa.float64()), pa.array([[]] * n, SPANS)
+    owner = np.searchsorted(offsets, first, side="right") - 1
+    count = np.bincount(owner, minlength=n)
+    begin = np.cumsum(count) - count
+    label = viterbi(word_scores(model, bucket, script, starts), begin, count)
+    # code points: bytes that are not continuation bytes
+    points = np.append(0, np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80))
+    size = points[end] - points[first]
+    mass = np.bincount(owner * len(names) + label, weights=size, minlength=n * len(names)).reshape(n, -1)
+    total = mass.sum(axis=1)
+    change = np.append(True, (label[1:] != label[:-1]) | (owner[1:] != owner[:-1]))
+    head = np.flatnonzero(change)
+    tail = np.append(head[1:], len(label)) - 1
+    base = points[offsets[owner[head]]]
+    spans = pa.StructArray.from_arrays(
+        [pa.array(points[first[head]] - base), pa.array(points[end[tail]] - base),
+         pa.array(names[label[head]], pa.string())], names=["start", "end", "lang"])
+    at = np.append(0, np.cumsum(np.bincount(owner[head], minlength=n)))
+    return (pa.array(np.where(total > 0, names[mass.argmax(axis=1)], "und"), pa.string()),
+            pa.array(mass.max(axis=1) / np.maximum(total, 1)),
+            pa.ListArray.from_arrays(pa.array(at, pa.int32()), spans).cast(SPANS))
+
+
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ``lang_pred``, ``score`` and ``lang_spans``
-    (start, end in code points, language)."""
+FOUND = ("lang_pred", "score", "lang_spans")
+
+
+def label(docs: DataFrame, model: Model, text_col: str = "text", found: tuple[str, str, str] = FOUND) -> DataFrame:
+    """All columns of ``docs`` and, under the names ``found``, the language,
+    its score and the spans (start, end in code points, language). Own columns
+    of these names give way."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.drop(*found)
+    names = [*rows.columns, *found]
+
+    rows_text = rows.columns.index(text_col)
 
     def run(batches):
-        model = sent.value
-        names = np.array(model.languages, object)
-        for block in blocks(batches, "text", BLOCK_BYTES):
-            raw, offsets = utf8(block.column(1))
-            low, low_offsets = utf8(_lowered(block.column(1)))
-            n = block.num_rows
-            bucket, first, end, script, starts = _words(low, low_offsets)
-            if not len(names):
-                first = first[:0]
-            if not len(first):
-                yield pa.RecordBatch.from_arrays(
-                    [block.column(0), pa.array(["und"] * n), pa.array([0.0] * n), pa.array([[]] * n, SPANS)],
-                    names=["id", "lang_pred", "score", "lang_spans"])
-                continue
-            owner = np.searchsorted(low_offsets, first, side="right") - 1
-            count = np.bincount(owner, minlength=n)
-            begin = np.cumsum(count) - count
-            label = viterbi(word_scores(model, bucket, script, starts), begin, count)
-            # code points: bytes that are not continuation bytes
-            points = np.append(0, np.cumsum((np.frombuffer(low, np.uint8) & 0xC0) != 0x80))
-            size = points[end] - points[first]
-            mass = np.bincount(owner * len(names) + label, weights=size, minlength=n * len(names)).reshape(n, -1)
-            total = mass.sum(axis=1)
-            pred = np.where(total > 0, names[mass.argmax(axis=1)], "und")
-            share = mass.max(axis=1) / np.maximum(total, 1)
-            change = np.append(True, (label[1:] != label[:-1]) | (owner[1:] != owner[:-1]))
-            head = np.flatnonzero(change)
-            tail = np.append(head[1:], len(label)) - 1
-            base = points[low_offsets[owner[head]]]
-            spans = pa.StructArray.from_arrays(
-                [pa.array(points[first[head]] - base), pa.array(points[end[tail]] - base),
-                 pa.array(names[label[head]], pa.string())], names=["start", "end", "lang"])
-            at = np.append(0, np.cumsum(np.bincount(owner[head], minlength=n)))
-            yield pa.RecordBatch.from_arrays(
-                [block.column(0), pa.array(pred, pa.string()), pa.array(share),
-                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), spans).cast(SPANS)],
-                names=["id", "lang_pred", "score", "lang_spans"])
+        for block in blocks(batches, text_col, BLOCK_BYTES):
+            texts = block.column(rows_text)
+            yield pa.RecordBatch.from_arrays([*block.columns, *_label_block(sent.value, texts)], names=names)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    own = "`{}` string, `{}` double, `{}` array<struct<start:long,end:long,lang:string>>".format(*found)
+    return rows.mapInArrow(run, f"{kinds}, {own}")
 
-    kind = docs.schema[id_col].dataType.simpleString()
+
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, ``lang_pred``, ``score`` and ``lang_spans``."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double, "
-                                "lang_spans array<struct<start:long,end:long,lang:string>>").withColumnRenamed("id", id_col)
+    return label(rows, model).drop("text").withColumnRenamed("id", id_col)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

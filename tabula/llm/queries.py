@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tabula.llm import chat, exact_dedup, hmm, langid, packing, quality, secrets, simhash, tokens, warc
 
 QUERIES = {
@@ -17,6 +18,8 @@ QUERIES = {
     "op10_warc": warc.op10,
 }
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op4_secrets": secrets.oracle(),
