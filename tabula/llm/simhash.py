@@ -136,8 +136,9 @@ def near_dedup(docs: DataFrame, words: int = 3, max_bits: int = 2,
     roots = distinct.join(linked, distinct["fp"] == linked["node"])
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = roots.join(least, "root").select("fp", "component_id")
-    every = distinct.join(classes, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id"))
+    # written, so that the last join stands alone and Spark can split a hot fingerprint
+    every = stash(distinct.join(classes, "fp", "left").select(
+        "fp", F.coalesce("component_id", "first").alias("component_id")), "classes")
     return marked.join(every, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
