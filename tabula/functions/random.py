@@ -18,13 +18,16 @@ from .scalar import col_of
 # below 2^63, so ANSI overflow checks never fire.
 P = 2147483647
 A = 48271
+B = 69621
 C = 12345
 
 
 def draw_int(key, seed: int = 46) -> Column:
     """Integer in [0, P) mixed from ``key`` (an integral column) and ``seed``."""
-    k = F.pmod(col_of(key).cast("long"), F.lit(P))
-    h1 = F.pmod(k * F.lit(A) + F.lit(int(seed) % P), F.lit(P))
+    key = col_of(key).cast("long")
+    # both halves of the key: keys that agree modulo P draw apart (a shift by 31)
+    k, high = F.pmod(key, F.lit(P)), F.pmod(F.shiftright(key, 31), F.lit(P))
+    h1 = F.pmod(k * F.lit(A) + high * F.lit(B) + F.lit(int(seed) % P), F.lit(P))
     h2 = F.pmod(h1 * h1 + F.lit(C), F.lit(P))
     return F.pmod(h2 * F.lit(A) + h1, F.lit(P))
 
@@ -37,7 +40,8 @@ def draw_uniform(key, seed: int = 46) -> Column:
 def sql_draw_int(key_sql: str, seed: int = 46) -> str:
     """The same draw as DuckDB SQL text (for oracles)."""
     k = f"((({key_sql}) % {P} + {P}) % {P})"
-    h1 = f"(({k} * {A} + {int(seed) % P}) % {P})"
+    high = f"(((CAST({key_sql} AS BIGINT) >> 31) % {P} + {P}) % {P})"
+    h1 = f"(({k} * {A} + {high} * {B} + {int(seed) % P}) % {P})"
     h2 = f"(({h1} * {h1} + {C}) % {P})"
     return f"(({h2} * {A} + {h1}) % {P})"
 

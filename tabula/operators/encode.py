@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.random import draw_uniform
 from ..functions.scalar import nan_to_null
-from ..plans.scale import one_row, sized_broadcast
+from ..plans.scale import one_row
 
 
 def assemble_features(df: DataFrame, feature_cols, label_col: str | None = None,
@@ -37,13 +40,13 @@ def one_hot_encode(df: DataFrame, column: str, drop_last: bool = True) -> DataFr
 
 def target_encode(train: DataFrame, test: DataFrame, variable: str, label: str,
                   smoothing: float = 1.0, min_samples_leaf: int = 1, noise_level: float = 0.0,
-                  seed: int = 46):
+                  seed: int = 46, key: str | None = None):
     """``target_encode``: smoothed mean of ``label`` per level of ``variable``.
 
     ``w = 1 / (1 + exp(-(n - min_samples_leaf) / smoothing))``,
     ``enc = prior * (1 - w) + mean * w``; unseen or NULL levels get the prior.
     Returns ``(train, test)`` each with ``<variable>_mean`` added. The level
-    table is a partial aggregate joined back with a size-checked broadcast.
+    table is a partial aggregate joined back.
     """
     out_col = f"{variable}_mean"
     y = nan_to_null(train, label)
@@ -51,13 +54,18 @@ def target_encode(train: DataFrame, test: DataFrame, variable: str, label: str,
     stats = train.groupBy(variable).agg(F.avg(y).alias("_m"), F.count(y).alias("_n"))
     w = 1.0 / (1.0 + F.exp(-(F.col("_n") - F.lit(min_samples_leaf)) / F.lit(float(smoothing))))
     enc = stats.select(variable, (F.lit(prior) * (1 - w) + F.col("_m") * w).alias("_enc"))
-    enc = sized_broadcast(enc.filter(F.col(variable).isNotNull()))
+    enc = enc.filter(F.col(variable).isNotNull())
 
     def apply(df, salt):
         out = df.join(enc, variable, "left").withColumn(
             out_col, F.coalesce(F.col("_enc"), F.lit(prior))).drop("_enc")
         if noise_level:
-            out = out.withColumn(out_col, F.col(out_col) * (1 + noise_level * F.randn(seed + salt)))
+            if key is None:
+                raise ValueError("noise needs a key column: draws are a function of the row's key")
+            # Box-Muller on two keyed draws: the same noise on any cluster, after any retry
+            u, v = draw_uniform(key, seed + 2 * salt), draw_uniform(key, seed + 2 * salt + 1)
+            normal = F.sqrt(-2 * F.log1p(-u)) * F.cos(v * (2 * math.pi))
+            out = out.withColumn(out_col, F.col(out_col) * (1 + noise_level * normal))
         return out
 
     return apply(train, 0), apply(test, 1)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.scale import one_row
 
@@ -35,27 +36,23 @@ def residual_frame(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes=None,
-                     normalize: bool = False, max_classes: int = 1000) -> DataFrame:
+                     normalize: bool = False) -> DataFrame:
     """``confusion_matrix``: count per (label, prediction) on the full class
     grid (zero cells kept); with ``normalize`` the share within each label.
 
-    The class list comes from a distinct over both columns and is checked
-    against ``max_classes`` before the k x k grid is built on the driver.
+    The k x k grid is made inside Spark from the distinct classes of both
+    columns (or from ``classes``); nothing is collected and k has no cap.
     """
     counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")) \
         .agg(F.count(F.lit(1)).alias("count"))
+    ltype, ptype = counts.schema["label"].dataType, counts.schema["prediction"].dataType
     if classes is None:
-        lv = (counts.select(F.col("label").alias("c"))
-              .union(counts.select(F.col("prediction").alias("c"))).distinct()
-              .limit(max_classes + 1).collect())
-        if len(lv) > max_classes:
-            raise ValueError("too many classes for a confusion matrix")
-        classes = sorted(r["c"] for r in lv if r["c"] is not None)
-    spark = df.sparkSession
-    ltype = counts.schema["label"].dataType.simpleString()
-    ptype = counts.schema["prediction"].dataType.simpleString()
-    grid = spark.createDataFrame([(a, b) for a in classes for b in classes],
-                                 f"label {ltype}, prediction {ptype}")
+        both = counts.select(F.explode(F.array(F.col("label"), F.col("prediction").cast(ltype))).alias("c"))
+        grid = both.agg(F.collect_set("c").alias("cs"))
+    else:
+        grid = df.sparkSession.range(1).select(F.array(*[F.lit(c).cast(ltype) for c in classes]).alias("cs"))
+    grid = (grid.select(F.col("cs").cast(T.ArrayType(ptype)).alias("ps"), F.explode("cs").alias("label"))
+            .select("label", F.explode("ps").alias("prediction")))
     out = grid.join(counts, ["label", "prediction"], "left").withColumn(
         "count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
     if normalize:
@@ -86,21 +83,22 @@ def f1_by_threshold(df: DataFrame, label: str, score: str, max_thresh: float = 0
     garr = F.array(*[F.lit(float(g)) for g in grid])
     cleared = F.size(F.filter(garr, lambda g: g < F.col(score)))
     pos = (F.col(label) == 1).cast("long")
-    agg = df.groupBy(cleared.alias("k")).agg(F.sum(pos).alias("p"), F.count(F.lit(1)).alias("n"))
-    rows = {r["k"]: (r["p"], r["n"]) for r in agg.collect()}  # <= len(grid) + 1 rows
-    total_p = sum(p for p, _ in rows.values())
-    total_n = sum(n for _, n in rows.values())
+    zero = (F.col(label) == 0).cast("long")
+    agg = df.groupBy(cleared.alias("k")).agg(F.sum(pos).alias("p"), F.sum(zero).alias("z"), F.count(F.lit(1)).alias("n"))
+    rows = {r["k"]: (r["p"] or 0, r["n"], r["z"] or 0) for r in agg.collect()}  # <= len(grid) + 1 rows
+    total_p = sum(p for p, _, _ in rows.values())
+    total_n = sum(n for _, n, _ in rows.values())
     out = []
     for i, g in enumerate(grid):
-        tp = sum(p for k, (p, _) in rows.items() if k > i)
-        pp = sum(n for k, (_, n) in rows.items() if k > i)
+        tp = sum(p for k, (p, _, _) in rows.items() if k > i)
+        pp = sum(n for k, (_, n, _) in rows.items() if k > i)
         fp = pp - tp
         fn = total_p - tp
         if average == "binary":
             den = 2 * tp + fp + fn
             f1 = (2.0 * tp / den) if den else 0.0
-        else:  # micro average over single-label data equals accuracy
-            tn = (total_n - total_p) - fp
+        else:  # micro average equals accuracy: label 1 above, label 0 at or below the cutoff
+            tn = sum(z for k, (_, _, z) in rows.items() if k <= i)
             f1 = (tp + tn) / total_n if total_n else 0.0
         out.append((float(g), float(f1)))
     best = max(range(len(out)), key=lambda i: (out[i][1], -i)) if out else -1
@@ -142,7 +140,28 @@ def metrics_classification(df: DataFrame, label: str, prediction: str,
                "auc DOUBLE, n BIGINT")
 
 
-def accuracy_by_group(df: DataFrame, label: str, prediction: str, group: str) -> DataFrame:
-    """Accuracy per group (e.g. per fold)."""
-    return df.groupBy(group).agg(F.avg((F.col(label) == F.col(prediction)).cast("double"))
-                                 .alias("accuracy"))
+def metrics_by_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """``metrics_classification`` for any number of classes: precision, recall,
+    F1 and support of every class, and rows ``micro`` and ``macro``.
+
+    One partial aggregate by (label, prediction); everything else runs on its
+    at most k x k rows.
+    """
+    counts = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull()).groupBy(
+        F.col(label).cast("string").alias("y"), F.col(prediction).cast("string").alias("p")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
+    sides = counts.select(F.explode(F.array(
+        F.struct(F.col("y").alias("class"), hit.alias("tp"), F.col("n").alias("support"), F.lit(0).cast("long").alias("said")),
+        F.struct(F.col("p").alias("class"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("support"),
+                 F.col("n").alias("said")))).alias("x")).select("x.*")
+    div = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
+    f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0))
+    rated = lambda d: (d.withColumn("precision", div("tp", "said")).withColumn("recall", div("tp", "support"))
+                       .withColumn("f1", f1).select("class", "precision", "recall", "f1", "support"))
+    sums = [F.sum(c).alias(c) for c in ("tp", "support", "said")]
+    each = rated(sides.groupBy("class").agg(*sums))
+    micro = rated(sides.agg(*sums).withColumn("class", F.lit("micro")))
+    macro = each.agg(F.lit("macro").alias("class"), *[F.avg(c).alias(c) for c in ("precision", "recall", "f1")],
+                     F.sum("support").alias("support"))
+    return each.unionByName(micro).unionByName(macro)

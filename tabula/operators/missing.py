@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import is_numeric, missing, nan_to_null
-from ..plans.scale import max_percentile_rows, one_row, quantiles
+from ..plans.scale import one_row, quantiles
 
 
 def percent_missing(df: DataFrame, columns=None) -> DataFrame:
@@ -50,27 +50,34 @@ def impute_mean(df: DataFrame, columns=None) -> DataFrame:
         if c in fills else F.col(c) for c in df.columns])
 
 
+def _distinct_counts(df: DataFrame, columns) -> dict:
+    """Exact distinct present values of every column: the (column, value) rows
+    are combined per task before the one shuffle, and no task holds the
+    distinct values of a whole column."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), nan_to_null(df, c).cast("string").alias("v")) for c in columns])).alias("x"))
+    values = long.filter(F.col("x.v").isNotNull()).select("x.c", "x.v").distinct()
+    return {r["c"]: r["count"] for r in values.groupBy("c").count().collect()}
+
+
 def profile_columns(df: DataFrame, columns=None, exact_distinct: bool = True) -> DataFrame:
     """``profile_columns``: one row per column with count, missing, distinct,
     and for numeric columns mean, sample std, min, quartiles and max.
 
-    All statistics for all columns come from one aggregate; the wide result
-    row is reshaped to long form without touching the data again.
+    Moments and missing counts of all columns come from one aggregate,
+    quartiles from the exact (value, count) quantiles of each numeric column,
+    distinct counts from one (column, value) aggregate over all columns; the
+    wide result row is reshaped to long form.
     """
     columns = columns or df.columns
-    dist = F.count_distinct if exact_distinct else F.approx_count_distinct
-    # quartiles inside the one aggregate only while the input is bounded;
-    # beyond that each numeric column gets the distributed exact quantiles
-    bound = max_percentile_rows(df.sparkSession)
-    bounded = df.limit(bound + 1).count() <= bound
+    distinct = {} if not exact_distinct else _distinct_counts(df, columns)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(columns):
         v = nan_to_null(df, c)
-        aggs += [F.sum(missing(df, c).cast("long")).alias(f"m{i}"), dist(v).alias(f"d{i}")]
+        aggs += [F.sum(missing(df, c).cast("long")).alias(f"m{i}"), (F.lit(distinct.get(c, 0)) if exact_distinct else F.approx_count_distinct(v)).alias(f"d{i}")]
         if is_numeric(df, c):
             vd = v.cast("double")
-            q = (F.percentile(vd, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if bounded
-                 else F.array(*[F.lit(v).cast("double") for v in quantiles(df, c, (0.25, 0.5, 0.75))]))
+            q = F.array(*[F.lit(v).cast("double") for v in quantiles(df, c, (0.25, 0.5, 0.75))])
             aggs += [F.avg(vd).alias(f"mean{i}"), F.stddev_samp(vd).alias(f"std{i}"),
                      F.min(vd).alias(f"min{i}"), F.max(vd).alias(f"max{i}"), q.alias(f"q{i}")]
     wide = df.agg(*aggs)

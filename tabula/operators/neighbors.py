@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.random import draw_int, draw_uniform
-from ..plans.scale import global_rank_total, sized_broadcast
+from ..plans.scale import global_rank_total
 
 DEFAULT_BLOCK_ROWS = 100_000
 
@@ -110,6 +110,8 @@ def oversample_smote(df: DataFrame, label: str, key: str, vec: str, k: int = 5,
     if minority is None:
         minority = min(counts, key=lambda c: (counts[c], str(c)))
     n_min = counts[minority]
+    if n_min < 2 or k < 1:
+        raise ValueError("oversample_smote needs at least two minority rows and k >= 1")
     n_new = max(counts.values()) - n_min
     spark = df.sparkSession
     mino = df.filter(F.col(label) == F.lit(minority)).select(F.col(key).cast("long").alias(key), vec)
@@ -123,12 +125,12 @@ def oversample_smote(df: DataFrame, label: str, key: str, vec: str, k: int = 5,
                      (F.pmod(draw_int("synthetic_id", seed + 1), F.lit(kk)) + 1).cast("int")
                      .alias("neighbor_rank"),
                      draw_uniform("synthetic_id", seed + 2).alias("_u"))
-    base = sized_broadcast(ranked.select("_r", F.col(key).alias("_base"), F.col(vec).alias("_x")))
+    base = ranked.select("_r", F.col(key).alias("_base"), F.col(vec).alias("_x"))
     s = syn.join(base, "_r")
     s = s.join(nn.select(F.col(key).alias("_base"), "neighbor_rank", "neighbor_id"),
                ["_base", "neighbor_rank"])
     nvec = mino.select(F.col(key).alias("neighbor_id"), F.col(vec).alias("_n"))
-    s = s.join(sized_broadcast(nvec), "neighbor_id")
+    s = s.join(nvec, "neighbor_id")
     new = F.zip_with("_x", "_n", lambda a, b: a.cast("double") + F.col("_u") * (b.cast("double") - a.cast("double")))
     return s.select("synthetic_id", F.col("_base").alias("base_id"), "neighbor_id",
                     new.alias(vec), F.lit(minority).alias(label))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import missing, safe_corr
-from ..plans.scale import one_row, sized_broadcast
+from ..plans.scale import one_row
 
 # ---------------------------------------------------------------- projection
 
@@ -120,22 +120,19 @@ def unpivot_melt(df: DataFrame, ids, values=None, var_name: str = "variable",
     return df.unpivot(ids, values, var_name, value_name)
 
 
-def dummy_pivot(df: DataFrame, columns, drop_first: bool = True, max_levels: int = 1000,
+def dummy_pivot(df: DataFrame, columns, drop_first: bool = True,
                 prefix_sep: str = "_") -> DataFrame:
     """``dummy_pivot``: pandas ``get_dummies`` — one 0/1 column per sorted
     level, the first level dropped; missing values give all zeros.
 
-    The level lists come from one distinct-values job per column and are
-    checked against ``max_levels`` before any column is built.
+    The level lists come from one distinct-values job per column. The result
+    is as wide as the columns have levels; for keys with very many levels use
+    the long form (``assign_codes``) instead.
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
     new_cols = []
     for c in columns:
-        lv = (df.select(c).filter(~missing(df, c)).distinct().limit(max_levels + 1)
-              .orderBy(c).collect())
-        if len(lv) > max_levels:
-            raise ValueError(f"{c}: more than {max_levels} levels")
-        levels = [r[0] for r in lv]
+        levels = [r[0] for r in df.select(c).filter(~missing(df, c)).distinct().orderBy(c).collect()]
         if drop_first:
             levels = levels[1:]
         for lvl in levels:
@@ -174,7 +171,7 @@ def join_left_default(df: DataFrame, lookup: DataFrame, key, value: str, default
     keys = [key] if isinstance(key, str) else list(key)
     out_col = out_col or value
     lk = lookup.select(*keys, F.col(value).alias("_lk_v"))
-    return (df.join(sized_broadcast(lk), keys, "left")
+    return (df.join(lk, keys, "left")
             .withColumn(out_col, F.coalesce(F.col("_lk_v"), F.lit(default)))
             .drop("_lk_v"))
 

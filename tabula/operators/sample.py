@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.random import draw_int
-from ..plans.scale import global_rank, global_rank_total, sized_broadcast
+from ..plans.scale import global_rank, global_rank_total
 
 
 def split_holdout(df: DataFrame, key: str, test_size: float = 0.3, seed: int = 46,
@@ -78,6 +78,6 @@ def sample_balanced_classes(df: DataFrame, label: str, key: str, dataset_size: i
     short = [row[label] for row in fr if row["_n"] < per]
     if short:
         raise ValueError(f"classes with fewer than {per} rows: {short}")
-    return (r.join(sized_broadcast(firsts.drop("_n")), label)
+    return (r.join(firsts.drop("_n"), label)
             .filter(F.col("_r") - F.col("_first") < per)
             .drop("_r", "_first"))

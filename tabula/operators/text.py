@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import DETACHMENT_RULES, ENGLISH_STOP_WORDS
 from ..functions.scalar import WORD, WORD2, lower_tokens, tokens
-from ..plans.scale import global_rank, sized_broadcast
+from ..plans.scale import global_rank
 
 
 def tokens_regex(df: DataFrame, text_col: str, out_col: str = "tokens",
@@ -63,7 +63,7 @@ def tfidf(df: DataFrame, doc_col: str, text_col: str, pattern: str = WORD2) -> D
     n_docs = df.select(doc_col).distinct().count()
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = dfreq.select("term", (F.log(F.lit(float(n_docs)) / F.col("df")) + 1.0).alias("idf"))
-    w = tc.join(sized_broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    w = tc.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_col)))
     return w.select(doc_col, "term", (F.col("w") / norm).alias("tfidf"))
 
@@ -92,7 +92,7 @@ def bag_of_words(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
     first = counts.groupBy("term").agg(F.min(doc_col).alias("_first"))
     vocab = global_rank(first, ["_first", "term"], rank_col="_rk")
     ids = vocab.select("term", (F.col("_rk") - 1).alias("term_id"))
-    return counts.join(sized_broadcast(ids), "term").select(doc_col, "term_id", "term", "count")
+    return counts.join(ids, "term").select(doc_col, "term_id", "term", "count")
 
 
 # --------------------------------------------------------------- lemmatizing
@@ -124,18 +124,19 @@ def lemmatize(df: DataFrame, doc_col: str, tokens_col: str, lexicon: DataFrame,
     """``lemmatize``: noun, then adjective, then verb lemma of each token
     (tokens already lower-cased and stop-word filtered), order kept.
 
-    Tokens are exploded with their position, looked up in the lexicon with
-    one equi-join per part of speech (size-checked broadcast), and gathered
-    back per document in position order.
+    The three steps are composed over the lexicon's own forms first (its size,
+    not the corpus's), so every token meets one equi-join and is gathered back
+    per document in position order.
     """
-    lexicon = lexicon.persist(StorageLevel.MEMORY_AND_DISK)  # read once per part of speech
-    ex = df.select(F.col(doc_col), F.posexplode(tokens_col).alias("_pos", "_t"))
-    cur = ex.withColumn("_l", F.col("_t"))
+    forms = lexicon.select(F.col("form").alias("_t")).distinct().withColumn("_l", F.col("_t"))
     for p in order:
-        lk = sized_broadcast(lexicon.filter(F.col("pos") == p)
-                             .select(F.col("form").alias("_l"), F.col("lemma").alias("_lp")))
-        cur = (cur.join(lk, "_l", "left")
-               .withColumn("_l", F.coalesce(F.col("_lp"), F.col("_l"))).drop("_lp"))
+        step = (lexicon.filter(F.col("pos") == p)
+                .select(F.col("form").alias("_l"), F.col("lemma").alias("_lp")))
+        forms = (forms.join(step, "_l", "left")
+                 .withColumn("_l", F.coalesce(F.col("_lp"), F.col("_l"))).drop("_lp"))
+    changed = forms.filter("_l <> _t").withColumnRenamed("_l", "_lp")
+    ex = df.select(F.col(doc_col), F.posexplode(tokens_col).alias("_pos", "_t"))
+    cur = ex.join(changed, "_t", "left").withColumn("_l", F.coalesce(F.col("_lp"), F.col("_t")))
     back = cur.groupBy(doc_col).agg(
         F.array_sort(F.collect_list(F.struct("_pos", "_l"))).alias("_s"))
     out = back.select(doc_col, F.transform("_s", lambda s: s["_l"]).alias(out_col))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import missing
-from ..plans.scale import global_rank, global_rank_total, range_slices, sized_broadcast
+from ..plans.scale import global_rank, global_rank_total, range_slices
 
 
 def _as_list(x) -> list:
@@ -24,8 +24,8 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, str) else list(x)
 
 
-def lag_variable(df: DataFrame, column: str, order_by, entity=None, offset: int = 12,
-                 key=None, out_col: str | None = None) -> DataFrame:
+def lag_variable(df: DataFrame, column: str, order_by, entity=None, offset: int = 12, *,
+                 key, out_col: str | None = None) -> DataFrame:
     """``lag_variable``: the value ``offset`` rows earlier within ``entity``.
 
     Exact over the total order ``entity, order_by, key``. Implemented as an
@@ -91,19 +91,19 @@ def _fill(df: DataFrame, column: str, order_by, entity, key, backward: bool,
     return out
 
 
-def forward_fill(df: DataFrame, column: str, order_by, entity=None, key=None,
+def forward_fill(df: DataFrame, column: str, order_by, entity=None, *, key,
                  out_col: str | None = None) -> DataFrame:
     """``forward_fill``: carry the last present value forward within ``entity``."""
     return _fill(df, column, order_by, entity, key, backward=False, out_col=out_col)
 
 
-def backward_fill(df: DataFrame, column: str, order_by, entity=None, key=None,
+def backward_fill(df: DataFrame, column: str, order_by, entity=None, *, key,
                   out_col: str | None = None) -> DataFrame:
     """``backward_fill``: carry the next present value backward within ``entity``."""
     return _fill(df, column, order_by, entity, key, backward=True, out_col=out_col)
 
 
-def rolling_mean(df: DataFrame, column: str, order_by, window: int = 5, entity=None, key=None,
+def rolling_mean(df: DataFrame, column: str, order_by, window: int = 5, entity=None, *, key,
                  min_periods: int | None = None, out_col: str | None = None) -> DataFrame:
     """``rolling_mean``: mean of the current and ``window - 1`` preceding rows.
 
@@ -128,7 +128,7 @@ def rolling_mean(df: DataFrame, column: str, order_by, window: int = 5, entity=N
             .drop("_s", "_n", "_grn", *[f"_e{i}" for i in range(len(ent))]))
 
 
-def window_number(df: DataFrame, order_by, num_windows: int, key=None,
+def window_number(df: DataFrame, order_by, num_windows: int, *, key,
                   out_col: str = "window_num"):
     """``window_number``: equal consecutive windows over the order.
 
@@ -147,8 +147,8 @@ def window_number(df: DataFrame, order_by, num_windows: int, key=None,
     return out, n, size
 
 
-def head_per_window(df: DataFrame, order_by, num_windows: int, test_size: float = 0.2,
-                    key=None) -> DataFrame:
+def head_per_window(df: DataFrame, order_by, num_windows: int, test_size: float = 0.2, *,
+                    key) -> DataFrame:
     """``head_per_window`` / ``split_sliding_window``: per window, the first
     ``round(n * (1 - test_size) / num_windows)`` rows (in order) are train and
     the rest of the window is test. Remainder rows are dropped, as in the
@@ -170,13 +170,13 @@ def share_of_group(df: DataFrame, value: str, group, out_col: str | None = None)
     """``share_of_group``: value / group total.
 
     The totals are a partial (map-side combined) aggregate, joined back with
-    a size-checked broadcast, so a hot group costs one task no more than
+    an unhinted join, so a hot group costs one task no more than
     any other.
     """
     grp = _as_list(group)
     out_col = out_col or f"{value}_share"
     totals = df.groupBy(*grp).agg(F.sum(value).alias("_total"))
-    return (df.join(sized_broadcast(totals), grp, "left")
+    return (df.join(totals, grp, "left")
             .withColumn(out_col, F.try_divide(F.col(value), F.col("_total")))
             .drop("_total"))
 
@@ -188,7 +188,7 @@ def assign_codes(df: DataFrame, column: str, out_col: str | None = None) -> Data
     levels = df.select(column).filter(~missing(df, column)).distinct()
     ranked = global_rank(levels, [column], rank_col="_code")
     codes = ranked.select(column, (F.col("_code") - 1).alias(out_col))
-    return (df.join(sized_broadcast(codes), column, "left")
+    return (df.join(codes, column, "left")
             .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(-1)).cast("int")))
 
 
@@ -205,7 +205,7 @@ def minibatch_number(df: DataFrame, key: str, batch_size: int = 128, shuffle: bo
             .drop("_grn"))
 
 
-def split_ordered_tail(df: DataFrame, order_by, fraction: float = 0.1, key=None,
+def split_ordered_tail(df: DataFrame, order_by, fraction: float = 0.1, *, key,
                        out_col: str = "is_validation") -> DataFrame:
     """``split_ordered_tail``: last ``fraction`` of rows (by order) flagged,
     as a framework's unshuffled validation split takes them."""

@@ -11,50 +11,53 @@ import math
 from pyspark.sql import functions as F
 
 from ..operators import diagnose as D
-from ..operators.diagnose import AD_PIECES, AS_B, AS_P
 from .fixtures import t
 from .registry import query
 
 
-def _q_sql(x):
-    tt = f"(1.0 / (1.0 + {AS_P} * ({x})))"
-    poly = f"{AS_B[4]}"
-    for b in reversed(AS_B[:4]):
-        poly = f"({b} + {tt} * {poly})"
-    return f"(exp(-({x}) * ({x}) / 2.0) / {math.sqrt(2 * math.pi)} * {tt} * {poly})"
+def _log_tail_sql(x):
+    """ln(1 - Phi(x)), x >= 0, by other means than the operator: Kummer's
+    series near 0, the Laplace continued fraction (120 levels) further out."""
+    density = f"(exp(-({x}) * ({x}) / 2.0) / {math.sqrt(2 * math.pi)})"
+    series = f"list_reduce(range(80, 0, -1), lambda a, k: 1.0 + ({x}) * ({x}) / (2 * k + 1) * a, CAST(1.0 AS DOUBLE))"
+    fraction = f"list_reduce(range(120, 0, -1), lambda a, k: ({x}) + k / a, CAST({x} AS DOUBLE) + 1)"
+    return (f"CASE WHEN {x} < 2.5 THEN ln(0.5 - {density} * ({x}) * {series}) "
+            f"ELSE -({x}) * ({x}) / 2.0 - ln({math.sqrt(2 * math.pi)} * {fraction}) END")
+
+
+#: The p-value rule as published, written out once more for the oracle.
+_AD_P_SQL = """CASE WHEN {a} > 13 THEN 0.0
+  WHEN {a} >= 0.6 THEN exp(1.2937 - 5.709 * {a} + 0.0186 * {a} * {a})
+  WHEN {a} > 0.34 THEN exp(0.9177 - 4.279 * {a} - 1.38 * {a} * {a})
+  WHEN {a} > 0.2 THEN 1 - exp(-8.318 + 42.796 * {a} - 59.938 * {a} * {a})
+  ELSE 1 - exp(-13.436 + 101.14 * {a} - 223.73 * {a} * {a}) END"""
 
 
 def _ad_sql(src, col, key, group=None):
     g = f"{group}, " if group else ""
     part = f"PARTITION BY {group}" if group else ""
     z = f"(({col} - m) / s)"
-    q = _q_sql(f"abs({z})")
-    ln_phi = f"CASE WHEN {z} >= 0 THEN ln(1.0 - {q}) ELSE ln({q}) END"
-    ln_sf = f"CASE WHEN {z} >= 0 THEN ln({q}) ELSE ln(1.0 - {q}) END"
     a2 = "(-n - t / n)"
     a2a = f"({a2} * (1 + 0.75 / n + 2.25 / (n * n)))"
-    cases = []
-    for bound, (c0, c1, c2) in AD_PIECES:
-        e = f"exp({c0} + {c1} * {a2a} + {c2} * {a2a} * {a2a})"
-        val = e if bound >= 0.34 else f"(1 - {e})"
-        cond = f"{a2a} >= {bound}" if bound == 0.6 else (f"{a2a} > {bound}" if bound > 0 else "TRUE")
-        cases.append(f"WHEN {cond} THEN {val}")
+    p = _AD_P_SQL.format(a=a2a)
     return f"""
 WITH v AS (SELECT {g}{col}, {key} FROM {src} WHERE {col} IS NOT NULL),
 r AS (SELECT {g}{col}, CAST(row_number() OVER ({part} ORDER BY {col}, {key}) AS DOUBLE) AS i,
              avg({col}) OVER ({part}) AS m, stddev_samp({col}) OVER ({part}) AS s,
              count(*) OVER ({part}) AS n FROM v),
-a AS (SELECT {g}sum((2 * i - 1) * ({ln_phi}) + (2 * (n - i) + 1) * ({ln_sf})) AS t, first(n) AS n
-      FROM r {"GROUP BY " + group if group else ""})
+z AS (SELECT *, {z} AS z, {_log_tail_sql(f"abs({z})")} AS tail FROM r),
+a AS (SELECT {g}sum((2 * i - 1) * CASE WHEN z >= 0 THEN ln(1 - exp(tail)) ELSE tail END
+             + (2 * (n - i) + 1) * CASE WHEN z >= 0 THEN tail ELSE ln(1 - exp(tail)) END) AS t, first(n) AS n
+      FROM z {"GROUP BY " + group if group else ""})
 SELECT {g}round({a2}, 6) AS ad_stat, round({a2a}, 6) AS ad_adjusted,
-       round(CASE {" ".join(cases)} END, 6) AS p_value, CAST(n AS BIGINT) AS n FROM a"""
+       round({p}, 6) AS p_value, CAST(n AS BIGINT) AS n, {p} >= 0.05 AS is_normal FROM a"""
 
 
 @query("assume_normal_errors", _ad_sql("events", "value", "event_id"))
 def q_assume_normal_errors(spark, sf):
     e = t(spark, sf, "events", ["event_id", "value"])
     out = D.anderson_darling(e, "value", "event_id")
-    return out.select(*[F.round(c, 6).alias(c) for c in ["ad_stat", "ad_adjusted", "p_value"]], "n")
+    return out.select(*[F.round(c, 6).alias(c) for c in ["ad_stat", "ad_adjusted", "p_value"]], "n", "is_normal")
 
 
 _FEAT = f"""(SELECT o_orderkey AS k, 'o_totalprice' AS feature, o_totalprice AS x FROM orders
@@ -69,7 +72,31 @@ def q_normality_by_feature(spark, sf):
         .unpivot("k", ["o_totalprice", "o_custkey"], "feature", "x")
     out = D.anderson_darling(long, "x", "k", group="feature")
     return out.select("feature", *[F.round(c, 6).alias(c) for c in
-                                   ["ad_stat", "ad_adjusted", "p_value"]], "n")
+                                   ["ad_stat", "ad_adjusted", "p_value"]], "n", "is_normal")
+
+
+def _orders_long(spark, sf):
+    o = t(spark, sf, "orders", ["o_orderkey", "o_totalprice", "o_custkey"])
+    return o.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice"), F.col("o_custkey").cast("double")) \
+        .unpivot("k", ["o_totalprice", "o_custkey"], "feature", "x")
+
+
+@query("normality_count", f"""
+SELECT count(*) FILTER (NOT is_normal) AS n_not_normal, count(*) AS n_features
+FROM ({_ad_sql(_FEAT + " f", "x", "k", group="feature")}) tests""")
+def q_normality_count(spark, sf):
+    return D.non_normal_count(D.anderson_darling(_orders_long(spark, sf), "x", "k", group="feature"))
+
+
+@query("error_histogram", """
+WITH e AS (SELECT min(value) AS a, max(value) AS b FROM events),
+c AS (SELECT CAST(least(floor((value - a) / ((b - a) / 10)), 9) AS INTEGER) AS bin, count(*) AS count
+      FROM events, e GROUP BY 1)
+SELECT CAST(i AS INTEGER) AS bin, round(a + i * ((b - a) / 10), 9) AS bin_start, coalesce(count, 0) AS count
+FROM range(10) r(i), e LEFT JOIN c ON c.bin = r.i""")
+def q_error_histogram(spark, sf):
+    out = D.histogram(t(spark, sf, "events", ["value"]), "value", 10)
+    return out.withColumn("bin_start", F.round("bin_start", 9))
 
 
 def _vif_sql(fs, src):
@@ -97,6 +124,14 @@ def q_assume_no_multicollinearity(spark, sf):
     return out.withColumn("vif", F.round("vif", 6))
 
 
+@query("multicollinearity_verdict", f"""
+SELECT count(*) FILTER (vif > 10) AS n_above_10, count(*) FILTER (vif > 100) AS n_above_100,
+  CASE WHEN count(*) FILTER (vif > 100) > 0 THEN 'certain' WHEN count(*) FILTER (vif > 10) > 0 THEN 'possible'
+       ELSE 'none' END AS verdict FROM ({_vif_sql(_VIF_F, "lineitem")}) v""")
+def q_multicollinearity_verdict(spark, sf):
+    return D.vif_verdict(D.vif(t(spark, sf, "lineitem"), _VIF_F))
+
+
 @query("assume_no_autocorrelation", """
 SELECT round(sum((r - p) * (r - p)) / sum(r * r), 9) AS durbin_watson,
   CASE WHEN sum((r - p) * (r - p)) / sum(r * r) < 1.5 THEN 'positive'

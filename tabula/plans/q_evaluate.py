@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as V
-from .fixtures import SQL_DOC_SCORES, SQL_LINEITEM_LABEL, doc_scores, lineitem_label
+from .fixtures import SQL_DOC_SCORES, SQL_LINEITEM_LABEL, doc_scores, lineitem_label, t
 from .registry import query
 
 # A fixed linear predictor (the noise-free part of the derived label) makes
@@ -98,6 +98,41 @@ def q_metrics_classification(spark, sf):
                       ["accuracy", "precision", "recall", "f1", "log_loss", "auc"]], "n")
 
 
+_TEN = "(SELECT label AS y, CASE WHEN vec_id % 5 = 0 THEN (label + vec_id) % 9 ELSE label END AS p FROM embeddings)"
+
+
+@query("metrics_by_class", f"""
+WITH s AS (SELECT CAST(y AS VARCHAR) AS y, CAST(p AS VARCHAR) AS p FROM {_TEN} x),
+k AS (SELECT y AS class FROM s UNION SELECT p FROM s),
+c AS (SELECT class, (SELECT count(*) FROM s WHERE y = class AND p = class) AS tp,
+      (SELECT count(*) FROM s WHERE y = class) AS support, (SELECT count(*) FROM s WHERE p = class) AS said FROM k),
+r AS (SELECT class, CASE WHEN said = 0 THEN 0.0 ELSE tp / said END AS precision,
+      CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall, support FROM c
+      UNION ALL SELECT 'micro', sum(tp) / sum(said), sum(tp) / sum(support), sum(support) FROM c),
+f AS (SELECT class, precision, recall, CASE WHEN precision + recall = 0 THEN 0.0
+      ELSE 2 * precision * recall / (precision + recall) END AS f1, CAST(support AS BIGINT) AS support FROM r)
+SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM f
+UNION ALL SELECT 'macro', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9), CAST(sum(support) AS BIGINT)
+FROM f WHERE class <> 'micro'""")
+def q_metrics_by_class(spark, sf):
+    e = t(spark, sf, "embeddings", ["vec_id", "label"])
+    e = e.withColumn("p", F.when(F.col("vec_id") % 5 == 0, (F.col("label") + F.col("vec_id")) % 9).otherwise(F.col("label")))
+    m = V.metrics_by_class(e, "label", "p")
+    return m.select("class", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("f1_micro_multiclass", """
+WITH s AS (SELECT label % 3 AS y, (vec_id * 37 % 101) / CAST(100 AS DOUBLE) AS score FROM embeddings),
+g AS (SELECT i, i * CAST(0.01 AS DOUBLE) AS threshold FROM range(31) r(i)),
+f AS (SELECT threshold, i, avg(CAST(y = CAST(score > threshold AS INTEGER) AS DOUBLE)) AS f1 FROM g, s GROUP BY threshold, i)
+SELECT round(threshold, 9) AS threshold, round(f1, 9) AS f1, i = (SELECT i FROM f ORDER BY f1 DESC, i LIMIT 1) AS is_best FROM f""")
+def q_f1_micro_multiclass(spark, sf):
+    e = t(spark, sf, "embeddings", ["vec_id", "label"]).select(
+        (F.col("label") % 3).alias("y"), ((F.col("vec_id") * 37 % 101) / 100.0).alias("score"))
+    f = V.f1_by_threshold(e, "y", "score", 0.3, 0.01, average="micro")
+    return f.select(F.round("threshold", 9).alias("threshold"), F.round("f1", 9).alias("f1"), "is_best")
+
+
 _LIN_GRID = [float(x) for x in __import__("numpy").linspace(0, 0.1, 100)]
 
 

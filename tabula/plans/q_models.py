@@ -232,12 +232,8 @@ def q_score_batch(spark, sf):
 @query("train_and_export")
 def q_train_and_export(spark, sf):
     emb = _emb(spark, sf)
-    path = MD.save_model(MD.train_and_export(emb, EMB_F, "label", "vec_id",
-                                             shared_path(spark, "export"))[0],
-                         shared_path(spark, "models"), "logistic")
-    loaded = MD.load_model(path)
-    acc = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy") \
-        .evaluate(loaded.transform(emb))
+    model, acc = MD.train_and_export(emb, EMB_F, "label", "vec_id", shared_path(spark, "export"))
+    path = MD.save_model(model, shared_path(spark, "models"), "logistic")
     return spark.createDataFrame([(path.rsplit("/", 1)[-1][:9], float(acc))],
                                  "model_name STRING, accuracy DOUBLE")
 

@@ -2,11 +2,14 @@
 
 * ``one_row``: run a fixed-width aggregate and bring back its single row, so
   statistics enter later stages as literals (no cross join, no broadcast).
-* ``sized_broadcast``: broadcast a lookup side only after counting it; above
-  the bound the join stays a shuffle join and AQE splits skewed partitions.
 * ``global_rank``: exact, contiguous 1-based row numbers over a total order
   without funnelling all rows through one task (range partitioning, per
   partition counts, prefix offsets).
+* ``quantiles``: exact quantiles from (value, count) aggregates.
+
+Lookups are joined without hints: AQE broadcasts a side whose measured bytes
+lie below ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed
+partitions of the shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -18,12 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def max_broadcast_rows(spark) -> int:
-    v = spark.conf.get("tabula.broadcast.maxRows", None)
-    return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
+#: Bytes of estimated input per range slice.
+SLICE_BYTES = 128 << 20
+#: The estimate of a join can be far too high; this bounds the task count only.
+MAX_SLICES = 200_000
 
 
 def one_row(df: DataFrame, *aggs: Column) -> dict:
@@ -32,21 +33,14 @@ def one_row(df: DataFrame, *aggs: Column) -> dict:
     return row.asDict() if row is not None else {}
 
 
-def sized_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Return ``small`` marked for broadcast when its row count is within bound.
-
-    The side is persisted first so the count and the join read it once.
-    """
-    bound = max_rows if max_rows is not None else max_broadcast_rows(small.sparkSession)
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(bound + 1).count()
-    return F.broadcast(small) if n <= bound else small
-
-
 def _num_partitions(df: DataFrame, n: int | None) -> int:
+    """Slices of about ``SLICE_BYTES``, at least the session's shuffle
+    partitions; from the optimizer's size estimate, so no job is run."""
     if n:
         return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, min(-(-size // SLICE_BYTES), MAX_SLICES))
 
 
 def range_slices(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:
@@ -100,41 +94,41 @@ def global_rank_total(df: DataFrame, order: list, rank_col: str = "_grn",
     return out, acc
 
 
-DEFAULT_MAX_PERCENTILE_ROWS = 5_000_000
-
-
-def max_percentile_rows(spark) -> int:
-    v = spark.conf.get("tabula.percentile.maxRows", None)
-    return int(v) if v else DEFAULT_MAX_PERCENTILE_ROWS
-
-
-def quantiles(df: DataFrame, column: str, ps, max_buffer_rows: int | None = None) -> list:
+def quantiles(df: DataFrame, column: str, ps) -> list:
     """Exact linear-interpolated quantiles (numpy's default) of ``column``.
 
-    Spark's exact ``percentile`` aggregate keeps every distinct value of the
-    group in one task's buffer, which is fine for a bounded input and not
-    for a 100 TB column. The input is counted first: up to
-    ``max_buffer_rows`` present values use that aggregate; above it the
-    values are ranked with ``global_rank`` (range-partitioned, no single
-    task holds more than its slice) and only the ``2 x len(ps)`` rows at the
-    needed ranks are fetched.
+    Rows are first summed to (value, count), so a value on a third of the rows
+    is one row per task before any shuffle. The distinct values are
+    range-partitioned, per-slice counts (one row per slice) tell which slices
+    hold the wanted ranks, and only there are running counts formed. One path
+    for every input size.
     """
-    bound = max_buffer_rows if max_buffer_rows is not None else max_percentile_rows(df.sparkSession)
     v = F.col(column).cast("double")
-    vals = df.select(v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    n = vals.limit(bound + 1).count()
+    vals = df.select((v + F.lit(0.0)).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    ranged = range_slices(vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c")), ["_v"])
+    sums = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.sum("_c").alias("n")).collect())
+    n = sum(c for _, c in sums)
     ps = [float(p) for p in ps]
     if n == 0:
         return [None] * len(ps)
-    if n <= bound:
-        return list(one_row(vals, F.percentile("_v", F.array(*[F.lit(p) for p in ps])).alias("q"))["q"])
-    r, n = global_rank_total(vals, ["_v"], rank_col="_r")
     pos = {}
     for p in ps:
         h = (n - 1) * p
         pos[p] = (h, int(math.floor(h)), int(math.ceil(h)))
     need = sorted({i + 1 for _, lo, hi in pos.values() for i in (lo, hi)})
-    got = {row["_r"]: row["_v"] for row in r.filter(F.col("_r").isin(need)).select("_r", "_v").collect()}
+    before, acc = {}, 0
+    for pid, c in sums:
+        if any(acc < r <= acc + c for r in need):
+            before[pid] = acc
+        acc += c
+    w = Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("_pid")]
+    upto = F.sum("_c").over(w) + start
+    hits = (ranged.filter(F.col("_pid").isin(list(before))).withColumn("_hi", upto)
+            .withColumn("_at", F.filter(F.array(*[F.lit(r) for r in need]),
+                                        lambda r: (r <= F.col("_hi")) & (r > F.col("_hi") - F.col("_c"))))
+            .filter(F.size("_at") > 0).select("_v", "_at").collect())
+    got = {r: row["_v"] for row in hits for r in row["_at"]}
     out = []
     for p in ps:
         h, lo, hi = pos[p]
