@@ -19,8 +19,8 @@ Tokens: A-Z lower-cased, words between 0x20 and 0x09-0x0D, then one end.
 Defined results: NULL and empty texts are the end alone; rows with repeated
 ids are trained on and scored each; without training texts all counts are
 zero and the model is the start model; an empty table gives an empty result;
-further columns are ignored. A task holds 16 bytes per state for each word of
-the longest text in a block while training.
+further columns are ignored. A task holds 24 bytes per state for each word of
+a block while training; one longer text is a block of its own.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ from tabula.llm.fingerprint import _LOWER
 STATES, SYMBOLS, CLASSES, KNOWN, ROUNDS, SEED = 8, 4096, 256, 60_000, 4, 42
 END = 0
 BLOCK_BYTES = 8 << 20
+#: Compressed symbols run together, about 600,000 tokens.
+SYMBOL_BYTES = 3 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -182,57 +184,70 @@ def start_model(frequency: np.ndarray, states: int = STATES, seed: int = SEED) -
     return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def _layout(lengths: np.ndarray):
-    """Texts by falling length: order, starts in the flat array, and how many
-    texts are still running at each step."""
+def _by_step(flat: np.ndarray, lengths: np.ndarray):
+    """The sequences step by step: texts by falling length, the symbols of
+    all first steps, then of all second steps and so on, and where each step
+    starts. One step of all running texts is then one contiguous slice."""
     order = np.argsort(-lengths, kind="stable")
-    ends = np.cumsum(lengths)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
     running = lengths[order]
     steps = int(running[0]) if len(running) else 0
     active = len(running) - np.searchsorted(running[::-1], np.arange(steps), side="right")
-    return order, (ends - lengths)[order], active
-
-
-def forward(model: Model, flat: np.ndarray, lengths: np.ndarray, keep: bool = False):
-    """log10 probability of every sequence; with ``keep`` also the scaled
-    forward variables and scales of every token."""
-    order, starts, active = _layout(lengths)
-    log = np.zeros(len(lengths))
-    alpha = np.empty((len(flat), len(model.start))) if keep else None
-    scale = np.empty(len(flat)) if keep else None
-    now = None
-    for t, n in enumerate(active):
-        at = starts[:n] + t
-        now = (model.start if t == 0 else now[:n] @ model.move) * model.emit[flat[at]]
+    first = np.append(0, np.cumsum(active))
+    step = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out = np.empty_like(flat)
+    out[first[step] + np.repeat(rank, lengths)] = flat
+    return order, first, out
+
+
+def _scaled(model: Model, symbols: np.ndarray, first: np.ndarray, keep: bool):
+    """Scaled forward recursion: scale of every token, the emissions, and
+    with ``keep`` the forward variables."""
+    emit = model.emit[symbols]
+    alpha = np.empty_like(emit) if keep else None
+    scale, now = np.empty(len(symbols)), None
+    bounds = first.tolist()
+    for t, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        now = (model.start if t == 0 else now[:b - a] @ model.move) * emit[a:b]
         c = now.sum(axis=1)
         now /= c[:, None]
-        log[:n] += np.log10(c)
+        scale[a:b] = c
         if keep:
-            alpha[at], scale[at] = now, c
+            alpha[a:b] = now
+    return scale, emit, alpha
+
+
+def forward(model: Model, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """log10 probability of every sequence."""
+    order, first, symbols = _by_step(flat, lengths)
+    scale, _, _ = _scaled(model, symbols, first, False)
+    rank = np.arange(len(symbols)) - np.repeat(first[:-1], np.diff(first))
     out = np.empty(len(lengths))
-    out[order] = log
-    return out, alpha, scale
+    out[order] = np.bincount(rank, weights=np.log10(scale), minlength=len(lengths))
+    return out
 
 
 def expected_counts(model: Model, flat: np.ndarray, lengths: np.ndarray):
     """Log10 likelihood and the expected starts, moves and emissions."""
-    order, starts, active = _layout(lengths)
-    log, alpha, scale = forward(model, flat, lengths, keep=True)
+    _, first, symbols = _by_step(flat, lengths)
+    scale, emit, alpha = _scaled(model, symbols, first, True)
     states = len(model.start)
-    moves, beta = np.zeros((states, states)), None
-    for t in range(len(active) - 1, -1, -1):
-        n = active[t]
-        at = starts[:n] + t
-        new = np.ones((n, states))
-        m = active[t + 1] if t + 1 < len(active) else 0
-        if m:
-            ahead = model.emit[flat[at[:m] + 1]] * beta[:m] / scale[at[:m] + 1][:, None]
-            moves += alpha[at[:m]].T @ ahead
-            new[:m] = ahead @ model.move.T
-        alpha[at] *= new  # from here on the state probabilities of the token
-        beta = new
-    emit = np.stack([np.bincount(flat, weights=alpha[:, s], minlength=len(model.emit)) for s in range(states)], axis=1)
-    return log.sum(), alpha[starts].sum(axis=0), moves * model.move, emit
+    # emit becomes, token by token, emission x backward variable / scale
+    emit /= scale[:, None]
+    beta = np.ones_like(emit)
+    bounds, back = first.tolist(), model.move.T
+    for t in range(len(bounds) - 2, 0, -1):
+        a, b = bounds[t], bounds[t + 1]
+        emit[a:b] *= beta[a:b]
+        before = bounds[t - 1]
+        beta[before:before + b - a] = emit[a:b] @ back
+    later = np.arange(first[1] if len(first) > 1 else 0, len(symbols))
+    prior = later - np.repeat(np.diff(first)[:-1], np.diff(first)[1:])
+    moves = (alpha[prior].T @ emit[later]) * model.move
+    alpha *= beta  # from here on the state probabilities of every token
+    counts = np.stack([np.bincount(symbols, weights=alpha[:, s], minlength=len(model.emit)) for s in range(states)], axis=1)
+    return np.log10(scale).sum(), alpha[:first[1]].sum(axis=0), moves, counts
 
 
 def _sequences(block, name: str = "symbols"):
@@ -252,7 +267,7 @@ def train(encoded: DataFrame, frequency: np.ndarray, rounds: int = ROUNDS, state
 
         def run(batches, sent=sent):
             total = None
-            for block in blocks(batches, "symbols", 1 << 19):
+            for block in blocks(batches, "symbols", SYMBOL_BYTES):
                 log, first, moves, emit = expected_counts(sent.value, *_sequences(block))
                 own = np.concatenate([[log], first, moves.ravel(), emit.ravel()])
                 total = own if total is None else total + own
@@ -299,8 +314,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for block in blocks(batches, "symbols", 1 << 19):
-            log, _, _ = forward(sent.value, *_sequences(block))
+        for block in blocks(batches, "symbols", SYMBOL_BYTES):
+            log = forward(sent.value, *_sequences(block))
             yield pa.RecordBatch.from_arrays(
                 [*(block.column(k) for k in range(6)), pa.array(log + block.column(6).to_numpy())],
                 names=["row", "id", "held_out", "n_tokens", "known", "log_c", "score"])
