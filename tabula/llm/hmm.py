@@ -41,7 +41,7 @@ from tabula.llm.common import blocks, crc_mod, documents, stash
 from tabula.llm.fingerprint import _LOWER
 
 #: Latent states, words with a symbol of their own, suffix classes, words
-#: whose counts travel to the tasks, rounds of Baum-Welch.
+#: whose counts travel to the tasks (at most), rounds of Baum-Welch.
 STATES, SYMBOLS, CLASSES, KNOWN, ROUNDS, SEED = 8, 4096, 256, 60_000, 4, 42
 END = 0
 BLOCK_BYTES = 8 << 20
@@ -106,8 +106,18 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, symbols: int = SYMBOLS, known: int = KNOWN) -> Vocabulary:
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ends = counts.filter("cls = -1").agg(F.sum("c").alias("n")).first()["n"] or 0
-    words = counts.filter("cls >= 0")
-    top = words.orderBy(F.col("c").desc(), "word").limit(known).collect()
+    # Words by sixteenths of a power of two of their count: the lowest bucket
+    # from which up at most ``known`` words lie. (Sorting would send ``known``
+    # rows from every task to the driver.)
+    words = counts.filter("cls >= 0").withColumn("bucket", F.floor(F.log2("c") * 16))
+    least, held = 1 << 30, 0
+    for r in sorted(words.groupBy("bucket").agg(F.count("*").alias("v")).collect(), key=lambda r: -r["bucket"]):
+        held += r["v"]
+        if held > known:
+            break
+        least = r["bucket"]
+    top = sorted(words.filter(F.col("bucket") >= least).select("word", "cls", "c").collect(),
+                 key=lambda r: (-r["c"], bytes(r["word"])))
     mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in words.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         mass[r["cls"]], kinds[r["cls"]] = r["n"], r["v"]
