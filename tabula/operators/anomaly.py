@@ -107,14 +107,12 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
     base = df.select(F.col(key), vec.alias("_x"))
     # Candidates: each row enters tree t when its keyed draw for t is below
     # a rate giving ~3 psi rows per tree; each tree keeps its psi smallest draws.
-    if n_estimators > 1000:
-        raise ValueError("at most 1000 trees")
     margin = 3.0
     while True:
         rate = min(1.0, margin * psi / max(n, 1))
         draws = F.transform(F.sequence(F.lit(0), F.lit(n_estimators - 1)),
                             lambda t_: F.struct(t_.alias("tree"),
-                                                draw_uniform(F.pmod(F.col(key), F.lit(2147483647)) * 1000 + t_, seed).alias("u")))
+                                                draw_uniform(F.xxhash64(F.col(key), t_), seed).alias("u")))
         cand = (base.select(key, "_x", F.explode(F.filter(draws, lambda s: s["u"] < rate)).alias("_d"))
                 .select(key, "_x", F.col("_d.tree").alias("tree"), F.col("_d.u").alias("u")))
         short = cand.groupBy("tree").count().filter(F.col("count") < psi).limit(1).count()

@@ -8,7 +8,9 @@ splits are keyed (``operators.sample``), so every fit is replayable.
 from __future__ import annotations
 
 import json
+import math
 import os
+import random
 import time
 from datetime import date
 
@@ -21,17 +23,18 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import safe_corr
 from ..plans.scale import one_row, quantiles
-from .evaluate import f1_by_threshold, metrics_regression
+from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
 from .sample import split_holdout, split_kfold
 
 
@@ -115,7 +118,7 @@ def cross_validate(estimator, df: DataFrame, evaluator, key: str, folds: int = 3
         data = split_kfold(df, key, folds, seed).withColumnRenamed("fold", "_fold")
     maps = grid if grid is not None else ParamGridBuilder().build()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol="_fold", parallelism=parallelism, seed=seed)
+                        foldCol="_fold", numFolds=folds, parallelism=parallelism, seed=seed)
     cvm = cv.fit(data.drop(key) if key not in ("features", "label") else data)
     rows = []
     for pm, m, sd in zip(maps, cvm.avgMetrics, cvm.stdMetrics):
@@ -143,20 +146,20 @@ def grid_search(estimator, param_grid: dict, df: DataFrame, evaluator, key: str,
 
 
 def random_search(estimator, space: dict, df: DataFrame, evaluator, key: str,
-                  iterations: int = 10, folds: int = 3, seed: int = 46, parallelism: int = 2):
-    """``random_search``: ``iterations`` parameter maps drawn (seeded, on the
-    driver) from ``space`` (name -> list of choices), then k-fold CV."""
-    rng = np.random.default_rng(seed)
-    maps, seen = [], set()
-    for _ in range(iterations * 10):
-        if len(maps) >= iterations:
-            break
-        choice = {n: vals[int(rng.integers(len(vals)))] for n, vals in space.items()}
-        k = tuple(sorted((n, str(v)) for n, v in choice.items()))
-        if k in seen:
-            continue
-        seen.add(k)
-        maps.append({estimator.getParam(n): v for n, v in choice.items()})
+                  iterations: int = 50, folds: int = 5, seed: int = 46, parallelism: int = 8):
+    """``random_search``: ``iterations`` different parameter maps drawn (seeded,
+    without replacement) from ``space`` (name -> list of choices), then k-fold
+    CV. Asking for more settings than the space has is an error."""
+    total = math.prod(len(v) for v in space.values())
+    if iterations > total:
+        raise ValueError(f"the space has {total} settings, {iterations} were asked for")
+    maps = []
+    for number in random.Random(seed).sample(range(total), iterations):
+        choice = {}
+        for n, vals in space.items():
+            number, i = divmod(number, len(vals))
+            choice[estimator.getParam(n)] = vals[i]
+        maps.append(choice)
     return cross_validate(estimator, df, evaluator, key, folds, seed, maps, parallelism)
 
 
@@ -164,10 +167,36 @@ def random_search(estimator, space: dict, df: DataFrame, evaluator, key: str,
 
 
 def staged_ensemble_error(df: DataFrame, features, label: str, key: str, max_iter: int = 20,
-                          seed: int = 46, classification: bool = True) -> DataFrame:
-    """``staged_ensemble_error``: test loss after each boosting stage (one
-    fit, every prefix evaluated with ``evaluateEachIteration``)."""
+                          seed: int = 46, classification: bool = True, forest: bool = False) -> DataFrame:
+    """``staged_ensemble_error``: test loss after each stage of one fit.
+
+    Boosting: every prefix with ``evaluateEachIteration``. With ``forest``:
+    prefixes of one random forest, misclassification (binary labels) or mean
+    squared error of the mean over the first trees; all prefixes are one
+    aggregate over the scored rows.
+    """
     train, test = holdout(df, key, 0.3, seed)
+    if forest:
+        est = (RandomForestClassifier if classification else RandomForestRegressor)(numTrees=max_iter, seed=seed)
+        cur, cols = assemble(test, features, label).select("features", "label"), []
+        for i, tree in enumerate(est.fit(assemble(train, features, label)).trees):
+            tree.setPredictionCol(f"_t{i}")
+            value = F.col(f"_t{i}")
+            if classification:
+                tree.setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}")
+                value = vector_to_array(f"_p{i}")[1]
+            cols.append(f"_v{i}")
+            cur = tree.transform(cur).withColumn(cols[-1], value).select("features", "label", *cols)
+        losses, total = [], F.lit(0.0)
+        for i, c in enumerate(cols):
+            total = total + F.col(c)
+            mean = total / (i + 1)
+            loss = ((mean > 0.5).cast("double") != F.col("label")).cast("double") if classification \
+                else (mean - F.col("label")) * (mean - F.col("label"))
+            losses.append(F.avg(loss).alias(c))
+        errs = list(cur.agg(*losses).first())
+        return df.sparkSession.createDataFrame([(i + 1, float(e)) for i, e in enumerate(errs)],
+                                               "n_trees INT, loss DOUBLE")
     est = (GBTClassifier if classification else GBTRegressor)(maxIter=max_iter, seed=seed)
     model = est.fit(assemble(train, features, label))
     te = assemble(test, features, label)
@@ -344,28 +373,27 @@ def intervals_quantile(train: DataFrame, score: DataFrame, features, label: str,
 
 
 def rfe_logistic(df: DataFrame, features, label: str, key: str, min_features: int = 3,
-                 folds: int = 3, seed: int = 46) -> DataFrame:
+                 test_size: float = 0.3, seed: int = 46) -> DataFrame:
     """``rfe_logistic``: recursive elimination from all features down to
-    ``min_features``; at each size the k-fold accuracy, then drop the feature
-    with the smallest standardised coefficient (|coef| x std)."""
+    ``min_features``; at each size the holdout accuracy of the fit, then drop
+    the feature with the smallest standardised coefficient (|coef| x std)."""
     feats = list(features)
     stds = one_row(df, *[F.stddev_samp(f).alias(f) for f in feats])
     ev = MulticlassClassificationEvaluator(metricName="accuracy")
-    # one fold assignment for every subset size
-    folded = split_kfold(df, key, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    while len(feats) >= min_features:
-        data = assemble(folded, feats, label, [key, "fold"])
-        _, res = cross_validate(LogisticRegression(maxIter=50), data, ev, key, folds, seed,
-                                fold_col="fold")
-        acc = res.first()["metric"]
-        model = LogisticRegression(maxIter=50).fit(data)
-        coefs = np.abs(model.coefficientMatrix.toArray()).max(axis=0)
-        score = [coefs[i] * (stds[f] or 0.0) for i, f in enumerate(feats)]
-        rows.append((len(feats), ",".join(feats), float(acc)))
-        if len(feats) == min_features:
+    # one assembled vector; each size takes a slice of it
+    parts = [assemble(part, feats, label).persist(StorageLevel.MEMORY_AND_DISK) for part in holdout(df, key, test_size, seed)]
+    rows, left = [], list(range(len(feats)))
+    while True:
+        cut = VectorSlicer(inputCol="features", outputCol="_sliced", indices=left)
+        train, test = (cut.transform(p) for p in parts)
+        model = LogisticRegression(featuresCol="_sliced", maxIter=50).fit(train)
+        rows.append((len(left), ",".join(feats[i] for i in left), float(ev.evaluate(model.transform(test)))))
+        if len(left) <= min_features:
             break
-        feats.pop(int(np.argmin(score)))
+        coefs = np.abs(model.coefficientMatrix.toArray()).max(axis=0)
+        left.pop(int(np.argmin([coefs[n] * (stds[feats[i]] or 0.0) for n, i in enumerate(left)])))
+    for p in parts:
+        p.unpersist()
     return df.sparkSession.createDataFrame(rows, "n_features INT, features STRING, accuracy DOUBLE")
 
 
@@ -477,6 +505,7 @@ def leaderboard_classification(train: DataFrame, test: DataFrame, features, labe
         secs = time.perf_counter() - t0
         p = m.transform(te).cache()
         a = acc.evaluate(p)
+        macro = metrics_by_class(p, "label", "prediction").filter("class = 'macro'").first()
         ll = auc = None
         if "probability" in p.columns:
             ll = MulticlassClassificationEvaluator(metricName="logLoss").evaluate(p)
@@ -484,10 +513,12 @@ def leaderboard_classification(train: DataFrame, test: DataFrame, features, labe
                 auc = BinaryClassificationEvaluator(rawPredictionCol="probability",
                                                     metricName="areaUnderROC").evaluate(p)
         p.unpersist()
-        rows.append((name, float(a), float(a), ll, auc, float(secs)))
+        rows.append((name, float(a), float(a), float(macro["precision"]), float(macro["recall"]), float(macro["f1"]),
+                     int(macro["support"]), ll, auc, float(secs)))
     tr.unpersist()
     return train.sparkSession.createDataFrame(
-        rows, "model STRING, accuracy DOUBLE, f1_micro DOUBLE, log_loss DOUBLE, auc DOUBLE, "
+        rows, "model STRING, accuracy DOUBLE, f1_micro DOUBLE, precision_macro DOUBLE, recall_macro DOUBLE, "
+              "f1_macro DOUBLE, support BIGINT, log_loss DOUBLE, auc DOUBLE, "
               "fit_seconds DOUBLE")
 
 
@@ -570,13 +601,13 @@ def score_batch(model, df: DataFrame, class_names: dict, keep=()) -> DataFrame:
 
 
 def sliding_window_evaluation(df: DataFrame, features, label: str, order_by: str,
-                              num_windows: int = 5, test_size: float = 0.2,
+                              num_windows: int = 5, test_size: float = 0.2, *, key,
                               reg_param: float = 0.03, elastic_net: float = 1.0) -> DataFrame:
     """``sliding_window_evaluation``: consecutive time windows; in each, an
     L1 linear fit on the first rows and its test RMSE on the rest. One row
     per window: sizes, train R2 and RMSE, test RMSE; plus their mean."""
     from .window import head_per_window
-    split = head_per_window(df, order_by, num_windows, test_size).cache()
+    split = head_per_window(df, order_by, num_windows, test_size, key=key).cache()
     data = assemble(split, features, label, ["window_num", "split"]).cache()
     ev = RegressionEvaluator(metricName="rmse")
     rows = []
@@ -633,13 +664,17 @@ def impute_model(df: DataFrame, column: str, key: str, corr_threshold: float = 0
     model = est.fit(data)
     train_score = ev.evaluate(model.transform(data))
     means = one_row(df, *[F.avg(c).alias(c) for c in preds])
-    filled_preds = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(means[c])).alias(c)
-                                   for c in preds])
-    scored = model.transform(assemble(filled_preds, preds, None, [key])).select(key, "prediction")
-    out = (df.join(scored, key, "left")
-           .withColumn(column, F.when(missing(df, column), F.col("prediction"))
-                       .otherwise(F.col(column).cast("double")))
-           .drop("prediction"))
+    # the same rows are scored, so nothing has to be joined back
+    wide = df.withColumns({f"_f{i}": F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for i, c in enumerate(preds)})
+    vec = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(preds))], outputCol="_features")
+    model.setFeaturesCol("_features").setPredictionCol("_prediction")
+    if categorical:
+        model.setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    kind = df.schema[column].dataType
+    whole = isinstance(kind, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
+    fill = F.round("_prediction") if whole else F.col("_prediction")
+    out = model.transform(vec.transform(wide)).withColumn(
+        column, F.when(missing(df, column), fill.cast(kind)).otherwise(F.col(column))).select(*df.columns)
     rep = spark.createDataFrame(
         [(column, float(stats["_pm"] * 100), float(cvres.first()["metric"]), float(train_score),
           ",".join(preds))],

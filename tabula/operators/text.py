@@ -149,27 +149,28 @@ def lemmatize(df: DataFrame, doc_col: str, tokens_col: str, lexicon: DataFrame,
 
 
 def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5,
-               num_words: int = 4, max_iter: int = 15, seed: int = 46, vocab_size: int = 1 << 18):
+               num_words: int = 4, max_iter: int = 15, seed: int = 46):
     """``topics_lda``: online LDA; returns ``(topics, assignments, sizes)``:
     top words with weights per topic, the dominant topic per document
     (first on ties), and documents per topic."""
     # the online optimiser samples the corpus every iteration: tokenise once
     df = df.select(doc_col, tokens_col).persist(StorageLevel.MEMORY_AND_DISK)
+    # every term has its place: the vocabulary is as large as the corpus has terms
+    vocab_size = max(df.select(F.explode(tokens_col).alias("_t")).distinct().count(), 2)
     cv = CountVectorizer(inputCol=tokens_col, outputCol="_bow", vocabSize=vocab_size).fit(df)
     bow = cv.transform(df).select(doc_col, "_bow").persist(StorageLevel.MEMORY_AND_DISK)
     lda = LDA(k=num_topics, maxIter=max_iter, optimizer="online", seed=seed,
               featuresCol="_bow")
     model = lda.fit(bow)
-    vocab = cv.vocabulary
-    spark = df.sparkSession
-    # the fitted vocabulary is bounded by ``vocab_size``
-    vocab_df = spark.createDataFrame([(i, w) for i, w in enumerate(vocab)],
-                                     "term_index INT, word STRING")
     desc = model.describeTopics(num_words).select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
     topics = desc.select("topic", "rank", F.col("tw.termIndices").alias("term_index"),
                          F.col("tw.termWeights").alias("weight"))
-    topics = topics.join(F.broadcast(vocab_df), "term_index")
+    # only the words described are looked up: num_topics x num_words of them
+    wanted = sorted({i for r in desc.select("tw.termIndices").distinct().collect() for i in r})
+    vocab = cv.vocabulary
+    words = df.sparkSession.createDataFrame([(i, vocab[i]) for i in wanted], "term_index INT, word STRING")
+    topics = topics.join(words, "term_index")
     from pyspark.ml.functions import vector_to_array
     from ..functions.scalar import argmax_array
     assign = model.transform(bow).select(

@@ -42,6 +42,15 @@ def _docs(spark, sf):
     return lab.join(d, "doc_id")
 
 
+def _all_docs(spark, sf):
+    """Every document: token and line counts, language flag, length."""
+    d = t(spark, sf, "documents", ["doc_id", "text", "n_chars", "lang"])
+    return d.select("doc_id", F.size(tokens("text")).cast("double").alias("n_tokens"),
+                    F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+                    (F.col("lang") == "en").cast("double").alias("is_en"), F.col("n_chars").cast("double"))
+
+
+DOC_F2 = ["n_tokens", "n_lines", "is_en"]
 DOC_F = ["log_chars", "n_tokens", "is_en"]
 EMB_F = [f"e{i}" for i in range(64)]
 
@@ -94,13 +103,13 @@ def q_grid_search(spark, sf):
 
 @query("random_search")
 def q_random_search(spark, sf):
-    data = MD.assemble(_emb(spark, sf), EMB_F, "label", ["vec_id"])
-    space = {"numTrees": [10, 20, 40], "maxDepth": [2, 4, 8, 12],
-             "featureSubsetStrategy": ["auto", "sqrt", "log2"], "minInstancesPerNode": [1, 2, 4],
-             "impurity": ["gini", "entropy"]}
-    _, res = MD.random_search(RandomForestClassifier(seed=46), space, data,
-                              MulticlassClassificationEvaluator(metricName="accuracy"), "vec_id",
-                              iterations=5)
+    """50 settings of 100, 5 folds; a logistic model, since 250 forests would
+    only time the forest (``grid_search`` searches forests)."""
+    data = MD.assemble(_docs(spark, sf), DOC_F, "quality", ["doc_id"])
+    space = {"regParam": [0.0, 1e-4, 1e-3, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0],
+             "elasticNetParam": [0.0, 0.25, 0.5, 0.75, 1.0], "standardization": [True, False]}
+    _, res = MD.random_search(LogisticRegression(maxIter=20), space, data,
+                              MulticlassClassificationEvaluator(metricName="accuracy"), "doc_id")
     return res
 
 
@@ -110,6 +119,12 @@ def q_staged_ensemble_error(spark, sf):
                                     max_iter=20)
 
 
+@query("staged_forest_error")
+def q_staged_forest_error(spark, sf):
+    return MD.staged_ensemble_error(_emb(spark, sf, binary=True), EMB_F, "label", "vec_id",
+                                    max_iter=100, forest=True)
+
+
 @query("training_history")
 def q_training_history(spark, sf):
     return MD.training_history(_emb(spark, sf), EMB_F, "label", LogisticRegression(maxIter=50))
@@ -123,14 +138,13 @@ def q_early_stopping(spark, sf):
 
 @query("f1_cutoff_cv")
 def q_f1_cutoff_cv(spark, sf):
-    return MD.f1_cutoff_cv(_docs(spark, sf), DOC_F, "toxic", "doc_id", folds=5, maxIter=10,
-                           maxDepth=4, stepSize=0.1)
+    return MD.f1_cutoff_cv(_docs(spark, sf), DOC_F, "toxic", "doc_id", folds=5)
 
 
 @query("intervals_forest")
 def q_intervals_forest(spark, sf):
     train, test = MD.holdout(_reg(spark, sf), "rkey")
-    model = RandomForestRegressor(numTrees=20, maxDepth=6, seed=46).fit(MD.assemble(train, REG_F, "y"))
+    model = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(train, REG_F, "y"))
     return MD.intervals_forest(model, MD.assemble(test, REG_F, "y", ["rkey"]), 0.95, keep=["rkey"])
 
 
@@ -154,12 +168,12 @@ def q_join_inner_multi_key(spark, sf):
 @query("blend_predictions")
 def q_blend_predictions(spark, sf):
     train, test = MD.holdout(_reg(spark, sf), "rkey")
-    return MD.blend_predictions(train, test, REG_F, "y", n_models=3, num_trees=10, key="rkey")
+    return MD.blend_predictions(train, test, REG_F, "y", n_models=3, num_trees=100, key="rkey")
 
 
 @query("rfe_logistic")
 def q_rfe_logistic(spark, sf):
-    return MD.rfe_logistic(_emb(spark, sf, binary=True, dims=8), EMB_F[:8], "label", "vec_id",
+    return MD.rfe_logistic(_emb(spark, sf, binary=True), EMB_F, "label", "vec_id",
                            min_features=3)
 
 
@@ -171,13 +185,13 @@ def q_kmeans_sweep(spark, sf):
 @query("leaderboard_regression")
 def q_leaderboard_regression(spark, sf):
     train, test = MD.holdout(_reg(spark, sf), "rkey")
-    return MD.leaderboard_regression(train, test, REG_F, "y", num_trees=20)
+    return MD.leaderboard_regression(train, test, REG_F, "y")
 
 
 @query("leaderboard_classification")
 def q_leaderboard_classification(spark, sf):
     train, test = MD.holdout(_emb(spark, sf, binary=True), "vec_id")
-    return MD.leaderboard_classification(train, test, EMB_F, "label", num_trees=20)
+    return MD.leaderboard_classification(train, test, EMB_F, "label")
 
 
 @query("learning_curve")
@@ -194,7 +208,7 @@ def q_validation_curve(spark, sf):
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    m = RandomForestRegressor(numTrees=20, seed=46).fit(MD.assemble(_reg(spark, sf), REG_F, "y"))
+    m = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(_reg(spark, sf), REG_F, "y"))
     return MD.feature_importance(m, REG_F, spark=spark)
 
 
@@ -240,7 +254,7 @@ def q_train_and_export(spark, sf):
 
 @query("sliding_window_evaluation")
 def q_sliding_window_evaluation(spark, sf):
-    """5-minute bars of the event values with one-hour lag features; three
+    """5-minute bars of the event values with one-hour lag features; five
     consecutive windows, first 80% of each for an L1 linear fit, the rest
     for its test RMSE."""
     from ..streaming.bars import bars_with_lag
@@ -248,7 +262,7 @@ def q_sliding_window_evaluation(spark, sf):
     bars = bars_with_lag(e, "ts", "value", "event_id").na.drop()
     return MD.sliding_window_evaluation(
         bars, ["previous_hour_close", "previous_hour_high_low_range", "previous_hour_volume"],
-        "close", "bar_start", num_windows=3, test_size=0.2)
+        "close", "bar_start", num_windows=5, test_size=0.2, key="bar_start")
 
 
 @query("impute_model")
@@ -258,9 +272,8 @@ def q_impute_model(spark, sf):
     d = t(spark, sf, "documents", ["doc_id", "text", "n_chars"])
     d = d.select("doc_id", F.size(tokens("text")).cast("double").alias("n_tokens"),
                  F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
-                 F.when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.col("n_chars"))
-                 .cast("double").alias("n_chars"))
-    filled, _ = MD.impute_model(d, "n_chars", key="doc_id", num_trees=20)
+                 F.when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.col("n_chars")).alias("n_chars"))
+    filled, _ = MD.impute_model(d, "n_chars", key="doc_id")
     return filled.select("doc_id", "n_chars")
 
 
@@ -318,19 +331,19 @@ def q_load_model(spark, sf):
 
 @query("shap_values_tree")
 def q_shap_values_tree(spark, sf):
-    """Path-dependent Tree SHAP of a random forest (10 trees, depth 4) for
-    every lineitem row, with the model output they add up to."""
+    """Path-dependent Tree SHAP of a random forest (100 trees) for every
+    document, with the model output they add up to."""
     from ..operators.shap import shap_values_trees
-    data = _reg(spark, sf)
-    m = RandomForestRegressor(numTrees=10, maxDepth=4, seed=46).fit(MD.assemble(data, REG_F, "y"))
-    return shap_values_trees(m, data, REG_F, "rkey", shared_path(spark, "shap-forest"))
+    data = _all_docs(spark, sf)
+    m = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(data, DOC_F2, "n_chars"))
+    return shap_values_trees(m, data, DOC_F2, "doc_id", shared_path(spark, "shap-forest"))
 
 
 @query("shap_importance")
 def q_shap_importance(spark, sf):
     """Global importance: mean |SHAP| per feature of the forest above."""
     from ..operators.shap import mean_abs_shap, shap_values_trees
-    data = _reg(spark, sf)
-    m = RandomForestRegressor(numTrees=10, maxDepth=4, seed=46).fit(MD.assemble(data, REG_F, "y"))
-    sh = shap_values_trees(m, data, REG_F, "rkey", shared_path(spark, "shap-forest"))
-    return mean_abs_shap(sh, REG_F)
+    data = _all_docs(spark, sf)
+    m = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(data, DOC_F2, "n_chars"))
+    sh = shap_values_trees(m, data, DOC_F2, "doc_id", shared_path(spark, "shap-forest"))
+    return mean_abs_shap(sh, DOC_F2)

@@ -23,8 +23,6 @@ from pyspark.sql import Window
 
 #: Bytes of estimated input per range slice.
 SLICE_BYTES = 128 << 20
-#: The estimate of a join can be far too high; this bounds the task count only.
-MAX_SLICES = 200_000
 
 
 def one_row(df: DataFrame, *aggs: Column) -> dict:
@@ -34,13 +32,16 @@ def one_row(df: DataFrame, *aggs: Column) -> dict:
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
-    """Slices of about ``SLICE_BYTES``, at least the session's shuffle
-    partitions; from the optimizer's size estimate, so no job is run."""
+    """Slices of about ``SLICE_BYTES`` of the scanned tables, at least the
+    session's shuffle partitions; no job is run. (The estimate of a whole plan
+    multiplies the sides of every join, so only its tables are asked.)"""
     if n:
         return n
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(least, min(-(-size // SLICE_BYTES), MAX_SLICES))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    tables = [leaf for leaf in (leaves.apply(i) for i in range(leaves.size()))
+              if leaf.getClass().getSimpleName() == "LogicalRelation"]
+    return max(least, -(-sum(int(x.stats().sizeInBytes()) for x in tables) // SLICE_BYTES))
 
 
 def range_slices(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:

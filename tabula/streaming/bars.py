@@ -36,7 +36,7 @@ def with_bar_lags(bars: DataFrame, lag: int = 12, entity=None,
     bars earlier (12 five-minute bars = one hour), within ``entity``."""
     out = bars
     for c in ("close", "high_low_range", "volume"):
-        out = lag_variable(out, c, order_by="bar_start", entity=entity, offset=lag,
+        out = lag_variable(out, c, order_by="bar_start", entity=entity, offset=lag, key=None,
                            out_col=f"{prefix}{c}")
     return out
 
