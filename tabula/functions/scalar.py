@@ -79,10 +79,6 @@ def threshold_flag(c, t: float) -> Column:
     return (col_of(c) > F.lit(t)).cast("int")
 
 
-def safe_div(a, b) -> Column:
-    return F.try_divide(col_of(a), col_of(b))
-
-
 def safe_corr(a, b) -> Column:
     """Pearson correlation that is NULL (not a division error under ANSI
     mode) when either column is constant."""

@@ -48,9 +48,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     if columns:
         df = df.select(*columns)
     return df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every table as a temp view, for ``spark.sql`` users."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
