@@ -373,10 +373,11 @@ def intervals_quantile(train: DataFrame, score: DataFrame, features, label: str,
 
 
 def rfe_logistic(df: DataFrame, features, label: str, key: str, min_features: int = 3,
-                 test_size: float = 0.3, seed: int = 46) -> DataFrame:
+                 test_size: float = 0.3, seed: int = 46, step: int = 1) -> DataFrame:
     """``rfe_logistic``: recursive elimination from all features down to
     ``min_features``; at each size the holdout accuracy of the fit, then drop
-    the feature with the smallest standardised coefficient (|coef| x std)."""
+    the ``step`` features with the smallest standardised coefficients
+    (|coef| x std)."""
     feats = list(features)
     stds = one_row(df, *[F.stddev_samp(f).alias(f) for f in feats])
     ev = MulticlassClassificationEvaluator(metricName="accuracy")
@@ -391,7 +392,9 @@ def rfe_logistic(df: DataFrame, features, label: str, key: str, min_features: in
         if len(left) <= min_features:
             break
         coefs = np.abs(model.coefficientMatrix.toArray()).max(axis=0)
-        left.pop(int(np.argmin([coefs[n] * (stds[feats[i]] or 0.0) for n, i in enumerate(left)])))
+        weak = np.argsort([coefs[n] * (stds[feats[i]] or 0.0) for n, i in enumerate(left)], kind="stable")
+        gone = set(weak[:min(step, len(left) - min_features)].tolist())
+        left = [i for n, i in enumerate(left) if n not in gone]
     for p in parts:
         p.unpersist()
     return df.sparkSession.createDataFrame(rows, "n_features INT, features STRING, accuracy DOUBLE")

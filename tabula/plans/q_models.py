@@ -108,7 +108,7 @@ def q_random_search(spark, sf):
     data = MD.assemble(_docs(spark, sf), DOC_F, "quality", ["doc_id"])
     space = {"regParam": [0.0, 1e-4, 1e-3, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0],
              "elasticNetParam": [0.0, 0.25, 0.5, 0.75, 1.0], "standardization": [True, False]}
-    _, res = MD.random_search(LogisticRegression(maxIter=20), space, data,
+    _, res = MD.random_search(LogisticRegression(maxIter=10), space, data,
                               MulticlassClassificationEvaluator(metricName="accuracy"), "doc_id")
     return res
 
@@ -174,7 +174,7 @@ def q_blend_predictions(spark, sf):
 @query("rfe_logistic")
 def q_rfe_logistic(spark, sf):
     return MD.rfe_logistic(_emb(spark, sf, binary=True), EMB_F, "label", "vec_id",
-                           min_features=3)
+                           min_features=3, step=8)
 
 
 @query("kmeans_sweep")
