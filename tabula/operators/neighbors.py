@@ -1,99 +1,148 @@
 """Exact k-nearest neighbours and SMOTE oversampling.
 
-``knn_join`` never forms the query x reference pair table. The reference
-side is cut into blocks of at most ``block_rows`` rows (a size checked before
-anything is shipped); each block is broadcast once and every query partition
-computes its distances to the block with numpy inside ``mapInPandas``,
-keeping only its ``k`` best per query. The per-block winners (``k`` x blocks
-rows per query, a fixed bound) are merged with a partial aggregate. The
-result is exact: every reference row is compared with every query row, in
-bounded memory, without a Spark cross join.
+``knn_join`` is a pivot-based join. Both sides are assigned to the nearest of
+a bounded number of pivots, every cell is cut along its distance from the pivot
+into blocks of at most ``block_rows`` rows, and triangle-inequality bounds
+decide which reference blocks a query block has to visit. Visited blocks meet
+their queries by equi-joins (no driver, no cross join), one bounded pair of
+blocks at a time, and the ``k`` best per query are merged by a window whose
+limit is applied before the shuffle. The result is exact; where the bounds
+cannot exclude a block (high-dimensional noise), it is visited.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.random import draw_int, draw_uniform
-from ..plans.scale import global_rank_total
+from ..plans.scale import global_rank, global_rank_total
 
-DEFAULT_BLOCK_ROWS = 100_000
+DEFAULT_BLOCK_ROWS = 2048
+#: Most pivots of a join: the only rows (with k + 1 distances each) that are broadcast.
+DEFAULT_PIVOTS = 256
+#: Queries scored at a time against one block.
+TILE_ROWS = 128
 
 
-def _vectors(pdf: pd.DataFrame, col: str) -> np.ndarray:
-    return np.asarray(np.stack(pdf[col].to_numpy()), dtype=np.float64) if len(pdf) else \
-        np.zeros((0, 0))
+def _matrix(vectors) -> np.ndarray:
+    return np.asarray(np.stack(vectors.to_numpy()), dtype=np.float64)
+
+
+def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of ``x`` to the pivots ``p``, one pivot at a time."""
+    return np.stack([np.sqrt(((x - c) ** 2).sum(1)) for c in p], axis=1)
 
 
 def _topk_block(q: np.ndarray, r: np.ndarray, r_ids: np.ndarray, k: int, q_ids: np.ndarray,
                 exclude_self: bool):
-    """Per query row: the k nearest rows of the block, ordered by (exact
-    squared distance, reference id). Candidates come from the dot-product
-    form; a margin of extra candidates is re-scored exactly so that rounding
-    in the fast form cannot change the winners."""
-    if len(r) == 0 or len(q) == 0:
-        return []
-    qn = (q * q).sum(1)[:, None]
-    rn = (r * r).sum(1)[None, :]
+    """``(query id, reference id, squared distance)`` arrays of the ``k``
+    nearest rows of one block per query, by (distance, reference id). The
+    dot-product form only preselects: everything within its rounding error of
+    the k-th value is measured again, so that ties fall by id."""
+    qn, rn = (q * q).sum(1)[:, None], (r * r).sum(1)[None, :]
     approx = qn + rn - 2.0 * (q @ r.T)
     if exclude_self:
         approx[q_ids[:, None] == r_ids[None, :]] = np.inf
-    m = min(2 * k + 2, r.shape[0])
-    cand = np.argpartition(approx, m - 1, axis=1)[:, :m] if m < r.shape[0] else \
-        np.tile(np.arange(r.shape[0]), (q.shape[0], 1))
-    out = []
-    for i in range(q.shape[0]):
-        c = cand[i]
-        c = c[np.isfinite(approx[i, c])]
-        d = ((r[c] - q[i]) ** 2).sum(1)
-        order = np.lexsort((r_ids[c], d))[:k]
-        for j in order:
-            out.append((q_ids[i], r_ids[c[j]], float(d[j])))
-    return out
+    kth = np.partition(approx, k - 1, axis=1)[:, k - 1:k] if k < len(r) else np.inf
+    slack = 1e-9 * (qn + rn.max()) + 1e-300
+    row, col = np.nonzero(np.isfinite(approx) & (approx <= kth + slack))
+    d = ((r[col] - q[row]) ** 2).sum(1)
+    order = np.lexsort((r_ids[col], d, row))
+    row, col, d = row[order], col[order], d[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return q_ids[row[keep]], r_ids[col[keep]], d[keep]
+
+
+def _cell_blocks(rows: DataFrame, pivots, block_rows: int) -> DataFrame:
+    """``_id, _v, _cell, _dist, _blk``: nearest pivot, and the block of the row
+    among the rows of its cell ordered by (distance, id)."""
+    def assign(it):
+        for p in it:
+            if len(p):
+                d = _distances(_matrix(p["_v"]), pivots.value)
+                cell = d.argmin(1)
+                yield p.assign(_cell=cell.astype(np.int32), _dist=d[np.arange(len(p)), cell])
+
+    placed = rows.mapInPandas(assign, "_id long, _v array<double>, _cell int, _dist double")
+    ranked = global_rank(placed, ["_cell", "_dist", "_id"], rank_col="_r")
+    first = ranked.groupBy("_cell").agg(F.min("_r").alias("_first"))  # at most one row per pivot
+    return (ranked.join(F.broadcast(first), "_cell")
+            .withColumn("_blk", F.floor((F.col("_r") - F.col("_first")) / block_rows))
+            .drop("_r", "_first"))
 
 
 def knn_join(queries: DataFrame, reference: DataFrame, q_key: str, r_key: str, vec: str,
-             k: int = 5, exclude_self: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+             k: int = 5, exclude_self: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS,
+             max_pivots: int = DEFAULT_PIVOTS) -> DataFrame:
     """``knn_join``: ``(q_key, neighbor_rank, neighbor_id, sq_distance)`` for
     the ``k`` nearest reference rows of every query row (Euclidean; ties by
-    neighbour id). ``exclude_self`` skips the row with the same key."""
+    neighbour id). ``exclude_self`` skips the row with the same key. Keys are
+    unique integers; rows without a vector take no part.
+
+    There is one pivot per ``block_rows`` reference rows, ``max_pivots`` at most.
+    """
     spark = queries.sparkSession
-    ref, m = global_rank_total(reference.select(F.col(r_key).alias("_rid"), F.col(vec).alias("_v")),
-                               ["_rid"], rank_col="_r")
-    n_blocks = max(1, -(-m // block_rows))
-    schema = f"{q_key} long, neighbor_id long, sq_distance double"
-    q = queries.select(F.col(q_key).cast("long").alias(q_key), F.col(vec).alias("_qv"))
-    parts = []
-    for b in range(n_blocks):
-        blk = ref.filter((F.col("_r") - 1) / block_rows >= b).filter((F.col("_r") - 1) / block_rows < b + 1)
-        pdf = blk.select("_rid", "_v").toPandas()  # at most block_rows rows: the checked bound
-        bc = spark.sparkContext.broadcast((pdf["_rid"].to_numpy(dtype=np.int64), _vectors(pdf, "_v")))
-
-        def score(it, bc=bc):
-            r_ids, r = bc.value
-            for p in it:
-                qv = _vectors(p, "_qv")
-                rows = _topk_block(qv, r, r_ids, k, p[q_key].to_numpy(dtype=np.int64), exclude_self)
-                yield pd.DataFrame(rows, columns=[q_key, "neighbor_id", "sq_distance"])
-
-        parts.append(q.mapInPandas(score, schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    if n_blocks > 1:
-        # k x blocks candidates per query: keep the k best
-        best = cand.groupBy(q_key).agg(F.array_sort(F.collect_list(
-            F.struct("sq_distance", "neighbor_id"))).alias("_c"))
-        cand = best.select(q_key, F.inline(F.slice("_c", 1, k)))
-        ranked = cand.select(q_key, "neighbor_id", "sq_distance")
-    else:
-        ranked = cand
-    from pyspark.sql import Window
+    v = F.transform(F.col(vec), lambda x: x.cast("double")).alias("_v")
+    q = queries.filter(F.col(vec).isNotNull()).select(F.col(q_key).cast("long").alias("_id"), v)
+    r = reference.filter(F.col(vec).isNotNull()).select(F.col(r_key).cast("long").alias("_id"), v)
+    m = r.count()
+    n_pivots = max(1, min(max_pivots, -(-m // block_rows)))
+    chosen = r.orderBy(draw_int("_id", 46), "_id").limit(n_pivots).collect()
+    if not chosen:
+        return spark.createDataFrame([], f"{q_key} long, neighbor_id long, sq_distance double, neighbor_rank int")
+    pivots = spark.sparkContext.broadcast(np.array([row["_v"] for row in chosen], dtype=np.float64))
+    rb = _cell_blocks(r, pivots, block_rows)
+    same = queries is reference and q_key == r_key
+    qb = rb if same else _cell_blocks(q, pivots, block_rows)
+
+    # The smallest pivot distances of every cell: upper bounds of the k-th
+    # distance of any query (one more than k where the query itself may count).
+    need = k + 1 if exclude_self else k
+    closest = Window.partitionBy("_cell").orderBy("_dist", "_id")
+    near = (rb.select("_cell", "_dist", "_id").withColumn("_n", F.row_number().over(closest))
+            .filter(F.col("_n") <= need).select("_cell", "_dist").collect())
+    at = spark.sparkContext.broadcast((np.array([x["_cell"] for x in near]), np.array([x["_dist"] for x in near])))
+
+    def reach(key, p):
+        """The cells one query block may have to visit, with its distances
+        from their pivots and the largest k-th distance its queries can have."""
+        d = _distances(_matrix(p["_v"]), pivots.value)
+        cells, dist = at.value
+        theta = np.inf
+        if len(cells) >= need:
+            theta = np.partition(d[:, cells] + dist, need - 1, axis=1)[:, need - 1].max()
+            theta += 1e-9 * (theta + d.max())  # rounding of the distances
+        return pd.DataFrame({"_qcell": key[0], "_qblk": key[1], "_rcell": np.arange(d.shape[1], dtype=np.int32),
+                             "_low": d.min(0), "_high": d.max(0), "_theta": theta})
+
+    reached = (qb.select("_cell", "_blk", "_v").groupBy("_cell", "_blk")
+               .applyInPandas(reach, "_qcell int, _qblk long, _rcell int, _low double, _high double, _theta double"))
+    rings = rb.groupBy(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk")).agg(
+        F.min("_dist").alias("_in"), F.max("_dist").alias("_out"))
+    visits = (reached.join(rings, "_rcell")
+              .filter((F.col("_low") - F.col("_out") <= F.col("_theta"))
+                      & (F.col("_in") - F.col("_high") <= F.col("_theta")))
+              .select("_qcell", "_qblk", "_rcell", "_rblk").checkpoint())
+    pair = ["_qcell", "_qblk", "_rcell", "_rblk"]
+    left = visits.join(qb.select(F.col("_cell").alias("_qcell"), F.col("_blk").alias("_qblk"), "_id", "_v"),
+                       ["_qcell", "_qblk"]).select(*pair, "_id", "_v")
+    right = visits.join(rb.select(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk"), "_id", "_v"),
+                        ["_rcell", "_rblk"]).select(*[F.col(c).alias(f"{c}2") for c in pair], "_id", "_v")
+
+    def score(a, b):
+        x, y, x_ids, y_ids = _matrix(a["_v"]), _matrix(b["_v"]), a["_id"].to_numpy(), b["_id"].to_numpy()
+        parts = [_topk_block(x[i:i + TILE_ROWS], y, y_ids, k, x_ids[i:i + TILE_ROWS], exclude_self)
+                 for i in range(0, len(x), TILE_ROWS)]
+        return pd.DataFrame(dict(zip((q_key, "neighbor_id", "sq_distance"), map(np.concatenate, zip(*parts)))))
+
+    found = left.groupBy(*pair).cogroup(right.groupBy(*[f"{c}2" for c in pair])).applyInPandas(
+        score, f"{q_key} long, neighbor_id long, sq_distance double")
     w = Window.partitionBy(q_key).orderBy("sq_distance", "neighbor_id")
-    return ranked.withColumn("neighbor_rank", F.row_number().over(w).cast("int"))
+    return (found.withColumn("neighbor_rank", F.row_number().over(w).cast("int"))
+            .filter(F.col("neighbor_rank") <= k))
 
 
 def oversample_smote(df: DataFrame, label: str, key: str, vec: str, k: int = 5, seed: int = 46,

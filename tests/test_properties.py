@@ -81,6 +81,20 @@ def test_knn_blocks_match_brute_force(spark):
     assert got_map.to_dict() == exp
 
 
+def test_knn_visits_few_blocks_and_breaks_ties_by_id(spark):
+    """Clustered points with many equal ones, cells cut into small blocks."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.01, (60, 3)) for c in (0.0, 5.0, 50.0)] + [np.zeros((40, 3))])
+    pdf = pd.DataFrame({"id": np.arange(len(x)) * 3, "v": list(x)})
+    df = spark.createDataFrame(pdf)
+    queries = df.filter("id % 2 = 0")
+    got = neighbors.knn_join(queries, df, "id", "id", "v", k=6, block_rows=25).toPandas()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    for i, group in got.sort_values("neighbor_rank").groupby("id"):
+        assert list(group["neighbor_id"]) == list(pdf["id"][np.lexsort((pdf["id"], d[i // 3]))[:6]])
+    assert got["id"].nunique() == queries.count()
+
+
 def test_splits_are_disjoint_complete_and_sized(spark):
     o = read_table(spark, SF_SMALL, "orders", ["o_orderkey"])
     n = o.count()
