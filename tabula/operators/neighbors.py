@@ -130,10 +130,10 @@ def knn_join(queries: DataFrame, reference: DataFrame, q_key: str, r_key: str, v
     left = visits.join(qb.select(F.col("_cell").alias("_qcell"), F.col("_blk").alias("_qblk"), "_id", "_v"),
                        ["_qcell", "_qblk"]).select(*pair, "_id", "_v")
     right = visits.join(rb.select(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk"), "_id", "_v"),
-                        ["_rcell", "_rblk"]).select(*[F.col(c).alias(f"{c}2") for c in pair], "_id", "_v")
+                        ["_rcell", "_rblk"]).select(*[F.col(c).alias(f"{c}2") for c in [*pair, "_id", "_v"]])
 
     def score(a, b):
-        x, y, x_ids, y_ids = _matrix(a["_v"]), _matrix(b["_v"]), a["_id"].to_numpy(), b["_id"].to_numpy()
+        x, y, x_ids, y_ids = _matrix(a["_v"]), _matrix(b["_v2"]), a["_id"].to_numpy(), b["_id2"].to_numpy()
         parts = [_topk_block(x[i:i + TILE_ROWS], y, y_ids, k, x_ids[i:i + TILE_ROWS], exclude_self)
                  for i in range(0, len(x), TILE_ROWS)]
         return pd.DataFrame(dict(zip((q_key, "neighbor_id", "sq_distance"), map(np.concatenate, zip(*parts)))))
