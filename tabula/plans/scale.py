@@ -74,24 +74,26 @@ def global_rank_total(df: DataFrame, order: list, rank_col: str = "_grn",
     range-partitioned and sorted within partitions, so every task holds one
     contiguous slice of the order; a per-partition count (one small job) gives
     each slice its starting offset. Returns ``(frame, total_rows)``.
+    ``keep_parts`` keeps slice, place in it and rows of it (``_pid``, ``_loc``,
+    ``_count``); the frame's partitions are the slices, each in order.
     """
     spark = df.sparkSession
     ranged = range_slices(df, order, num_partitions)
     counts = sorted((r["_pid"], r["count"]) for r in ranged.groupBy("_pid").count().collect())
     offsets, acc = [], 0
     for pid, cnt in counts:
-        offsets.append((pid, acc))
+        offsets.append((pid, acc, cnt))
         acc += cnt
     if not offsets:
-        out = ranged.withColumn(rank_col, F.lit(None).cast("long"))
+        out = ranged.withColumn("_count", F.lit(0).cast("long")).withColumn(rank_col, F.lit(None).cast("long"))
     else:
         # One row per partition: a bound known before the join.
-        off = spark.createDataFrame(offsets, "_pid INT, _off LONG")
+        off = spark.createDataFrame(offsets, "_pid INT, _off LONG, _count LONG")
         out = (ranged.join(F.broadcast(off), "_pid")
                .withColumn(rank_col, F.col("_off") + F.col("_loc") + 1)
                .drop("_off"))
     if not keep_parts:
-        out = out.drop("_pid", "_loc")
+        out = out.drop("_pid", "_loc", "_count")
     return out, acc
 
 

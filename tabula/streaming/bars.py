@@ -34,11 +34,9 @@ def with_bar_lags(bars: DataFrame, lag: int = 12, entity=None,
                   prefix: str = "previous_hour_") -> DataFrame:
     """Add ``previous_hour_{close,high_low_range,volume}``: the bar ``lag``
     bars earlier (12 five-minute bars = one hour), within ``entity``."""
-    out = bars
-    for c in ("close", "high_low_range", "volume"):
-        out = lag_variable(out, c, order_by="bar_start", entity=entity, offset=lag, key=None,
-                           out_col=f"{prefix}{c}")
-    return out
+    columns = ["close", "high_low_range", "volume"]
+    return lag_variable(bars, columns, order_by="bar_start", entity=entity, offset=lag, key=None,
+                        out_col=[f"{prefix}{c}" for c in columns])
 
 
 def bars_with_lag(df: DataFrame, ts: str, value: str, key: str, width: str = "5 minutes",

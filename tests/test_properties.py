@@ -64,6 +64,39 @@ def test_rolling_mean_matches_pandas(spark):
                                exp.to_numpy(dtype=float), rtol=1e-12, equal_nan=True)
 
 
+@pytest.mark.parametrize("rows", [0, 1, 61])
+@pytest.mark.parametrize("entity", [None, "who"])
+def test_ordered_operators_over_tiny_slices_and_batches(spark, rows, entity):
+    """Slices shorter than the lag, batches of three rows, NULL entities, text values."""
+    data = [(i, None if i % 5 == 0 else "ab"[i % 2], i % 7, None if i % 3 else f"v{i}",
+             None if i % 4 == 1 else float(i)) for i in range(rows)]
+    df = spark.createDataFrame(data, "id long, who string, at int, name string, x double")
+    pdf = pd.DataFrame(data, columns=["id", "who", "at", "name", "x"]).astype({"x": float, "name": object})
+    pdf = pdf.assign(g="all" if entity is None else pdf["who"].fillna("-")).sort_values(["g", "at", "id"])
+    names = pdf.groupby("g")["name"]
+    conf = {"spark.sql.shuffle.partitions": "23", "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+    before = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        args = dict(order_by="at", entity=entity, key="id")
+        got = {"lag": window.lag_variable(df, ["name", "x"], offset=5, out_col=["o", "o2"], **args),
+               "ff": window.forward_fill(df, "name", out_col="o", **args),
+               "bf": window.backward_fill(df, "name", out_col="o", **args),
+               "mean": window.rolling_mean(df, "x", window=4, min_periods=2, out_col="o", **args)}
+        got = {c: {r["id"]: r["o"] for r in d.collect()} for c, d in got.items()}
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    mean = pdf.groupby("g")["x"].transform(lambda v: v.rolling(4, min_periods=2).mean()) if rows else pdf["x"]
+    want = {"lag": names.shift(5), "ff": names.ffill(), "bf": names.bfill(), "mean": mean}
+    for c, series in want.items():
+        expected = {i: None if pd.isna(v) else v for i, v in zip(pdf["id"], series)}
+        assert got[c].keys() == expected.keys(), c
+        for i, v in expected.items():
+            assert got[c][i] == (pytest.approx(v) if c == "mean" and v is not None else v), (c, i)
+
+
 def test_knn_blocks_match_brute_force(spark):
     e = read_table(spark, SF_SMALL, "embeddings", ["vec_id", "embedding"])
     got = neighbors.knn_join(e, e, "vec_id", "vec_id", "embedding", k=4, exclude_self=True,
