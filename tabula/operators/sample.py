@@ -17,28 +17,46 @@ from ..functions.random import draw_int
 from ..plans.scale import global_rank, global_rank_total
 
 
+def _order_cuts(df: DataFrame, order: list, positions):
+    """Conditions "after the row at this position", one per position of the
+    order. Only the order columns are ranked, and only the rows at the cuts
+    (a fixed number) reach the driver; whole rows are neither sorted nor moved.
+    ``positions`` gets the row count. Returns ``(conditions, row count)``.
+    """
+    names = [f"_o{i}" for i in range(len(order))]
+    narrow = df.select(*[c.alias(n) for c, n in zip(order, names)])
+    ranked, n = global_rank_total(narrow, names, rank_col="_r")
+    places = positions(n)
+    hits = {r["_r"]: r for r in ranked.filter(F.col("_r").isin(sorted(set(places)))).collect()}
+    types = {f.name: f.dataType for f in narrow.schema}
+    row = F.struct(*[c.alias(x) for c, x in zip(order, names)])
+    after = []
+    for place in places:
+        hit = hits.get(place)
+        after.append(F.lit(place < 1) if hit is None else
+                     row > F.struct(*[F.lit(hit[x]).cast(types[x]).alias(x) for x in names]))
+    return after, n
+
+
 def split_holdout(df: DataFrame, key: str, test_size: float = 0.3, seed: int = 46,
                   out_col: str = "split") -> DataFrame:
     """``split_holdout``: shuffle by keyed draw; the first ``ceil(test_size * n)``
-    rows are test, the rest train (exact sizes, as a shuffled holdout split)."""
-    r, n = global_rank_total(df, [draw_int(key, seed), F.col(key)], rank_col="_r")
-    n_test = math.ceil(test_size * n)
-    return r.withColumn(out_col, F.when(F.col("_r") <= n_test, F.lit("test"))
-                        .otherwise(F.lit("train"))).drop("_r")
+    rows are test, the rest train (exact sizes for a unique key, as a shuffled
+    holdout split)."""
+    (train,), _ = _order_cuts(df, [draw_int(key, seed), F.col(key)], lambda n: [math.ceil(test_size * n)])
+    return df.withColumn(out_col, F.when(train, F.lit("train")).otherwise(F.lit("test")))
 
 
 def split_kfold(df: DataFrame, key: str, k: int = 10, seed: int = 46, shuffle: bool = True,
                 out_col: str = "fold") -> DataFrame:
-    """``split_kfold``: contiguous folds over the (shuffled) order; the first
-    ``n % k`` folds get one extra row, as k-fold splitting does."""
+    """``split_kfold``: contiguous folds over the (shuffled) order of a unique
+    key; the first ``n % k`` folds get one extra row, as k-fold splitting does."""
     order = [draw_int(key, seed), F.col(key)] if shuffle else [F.col(key)]
-    r, n = global_rank_total(df, order, rank_col="_r")
-    q, rem = divmod(n, k)
-    j = F.col("_r") - 1
-    big = F.lit(rem * (q + 1))
-    fold = F.when(j < big, F.floor(j / F.lit(q + 1))).otherwise(
-        F.lit(rem) + F.floor((j - big) / F.lit(max(q, 1))))
-    return r.withColumn(out_col, fold.cast("int")).drop("_r")
+    after, _ = _order_cuts(df, order, lambda n: [(i + 1) * (n // k) + min(i + 1, n % k) for i in range(k - 1)])
+    fold = F.lit(0)
+    for condition in after:
+        fold = fold + condition.cast("int")
+    return df.withColumn(out_col, fold)
 
 
 def oversample_binary(df: DataFrame, label: str, key: str, seed: int = 46) -> DataFrame:
