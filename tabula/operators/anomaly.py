@@ -165,9 +165,17 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
 # ------------------------------------------------------------------ MCD
 
 
+def _vector_sum(partials: DataFrame, column: str) -> np.ndarray:
+    """Element-wise sum of one array per partition, by position in Spark: the
+    driver gets one number per element, however many partitions there are."""
+    rows = (partials.select(F.posexplode(column).alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
+            .collect())
+    return np.array([r["x"] for r in sorted(rows)])
+
+
 def _moments(df: DataFrame, d: int, weight=None):
-    """(count, sum x, sum x x') over rows (optionally only those with weight
-    true): one numpy partial per partition, summed on the driver."""
+    """(count, mean, covariance) of rows (optionally only those with weight
+    true): one numpy partial per partition, summed by position in Spark."""
     cols = df.select(F.col("_x"), (weight if weight is not None else F.lit(True)).alias("_w"))
 
     def part(it):
@@ -179,12 +187,10 @@ def _moments(df: DataFrame, d: int, weight=None):
                 n += len(x)
                 s += x.sum(0)
                 ss += x.T @ x
-        yield pd.DataFrame({"n": [n], "s": [s.tolist()], "ss": [ss.ravel().tolist()]})
+        yield pd.DataFrame({"sums": [[float(n), *s.tolist(), *ss.ravel().tolist()]]})
 
-    rows = cols.mapInPandas(part, "n long, s array<double>, ss array<double>").collect()
-    n = sum(r["n"] for r in rows)
-    s = np.sum([np.array(r["s"]) for r in rows], axis=0)
-    ss = np.sum([np.array(r["ss"]) for r in rows], axis=0).reshape(d, d)
+    sums = _vector_sum(cols.mapInPandas(part, "sums array<double>"), "sums")
+    n, s, ss = int(sums[0]), sums[1:d + 1], sums[d + 1:].reshape(d, d)
     mean = s / n
     cov = ss / n - np.outer(mean, mean)
     return n, mean, cov
@@ -220,7 +226,7 @@ def outliers_elliptic(df: DataFrame, features, key: str, contamination: float =
     d = len(feats)
     if d == 0 or n < d * d:
         raise ValueError(f"elliptic envelope needs rows >= features^2 ({n} < {d * d})")
-    base = df.select(F.col(key), F.array(*[F.col(f).cast("double") for f in feats]).alias("_x")).cache()
+    base = df.select(F.col(key), F.array(*[F.col(f).cast("double") for f in feats]).alias("_x"))
     h = (n + d + 1) // 2
     _, mean, cov = _moments(base, d)
     det = np.linalg.slogdet(cov)[1]
@@ -254,8 +260,8 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
     ``gamma`` ('scale' = 1 / (d * var(X)), the usual default). The linear
     one-class objective ``1/2 |w|^2 - rho + 1/(nu n) sum max(0, rho - w.z)``
     is minimised by subgradient steps; each step is one pass whose per-
-    partition partial sums (numpy in the task) are added on the driver
-    (D numbers per partition). For fixed ``w`` the best ``rho`` is the
+    partition partial sums (numpy in the task) are added by position in Spark;
+    the features are formed in the pass and never stored. For fixed ``w`` the best ``rho`` is the
     ``nu``-quantile of the scores, taken with the quantile sketch. Rows with
     ``w.z(x) < rho`` are flagged (about a ``nu`` share, as the nu-property
     says). Same column and size guards as the other multivariate detectors.
@@ -284,43 +290,37 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
         return scale * np.cos(x @ Wb.T + bb)
 
     key_type = dict(df.dtypes)[key]
-    z = base.mapInPandas(lambda it: (pd.DataFrame({key: p[key], "_z": list(feats_of(p))})
-                                     for p in it if len(p)),
-                         f"{key} {key_type}, _z array<double>").cache()
-    w = np.zeros(n_components)
-    w_bc = None
 
-    def scores_col(wv):
-        arr = F.array(*[F.lit(float(v)) for v in wv])
-        return F.aggregate(F.zip_with("_z", arr, lambda a, c: a * c), F.lit(0.0), lambda s, v: s + v)
+    def scores(wv):
+        w_bc = spark.sparkContext.broadcast(wv)
+
+        def part(it):
+            for p in it:
+                if len(p):
+                    yield pd.DataFrame({key: p[key], "_s": feats_of(p) @ w_bc.value})
+        return base.mapInPandas(part, f"{key} {key_type}, _s double")
+
+    def best_rho(wv):
+        return one_row(scores(wv), F.percentile_approx("_s", F.lit(nu), 10000).alias("q"))["q"]
 
     def violators_sum(wv, rho):
-        nonlocal w_bc
         w_bc = spark.sparkContext.broadcast((wv, rho))
 
-        def part(it, wb=w_bc):
-            wv_, rho_ = wb.value
-            s, c = np.zeros(n_components), 0
+        def part(it):
+            wv_, rho_ = w_bc.value
+            s = np.zeros(n_components)
             for p in it:
-                zz = np.stack(p["_z"].to_numpy())
-                v = zz @ wv_ < rho_
-                s += zz[v].sum(0)
-                c += int(v.sum())
-            yield pd.DataFrame({"s": [s.tolist()], "c": [c]})
-        rows = z.mapInPandas(part, "s array<double>, c long").collect()
-        return np.sum([np.array(r["s"]) for r in rows], axis=0), sum(r["c"] for r in rows)
-
-    s_all, _ = violators_sum(w, 1.0)  # every row violates at w = 0, rho = 1
-    w = s_all / n  # start from the mean feature direction
-    rho = 0.0
+                if len(p):
+                    z = feats_of(p)
+                    s += z[z @ wv_ < rho_].sum(0)
+            yield pd.DataFrame({"s": [s.tolist()]})
+        return _vector_sum(base.select("_x").mapInPandas(part, "s array<double>"), "s")
+
+    # every row violates at w = 0, rho = 1: start from the mean feature direction
+    w = violators_sum(np.zeros(n_components), 1.0) / n
     for t_ in range(1, max_iter + 1):
-        rho = one_row(z.select(scores_col(w).alias("_s")),
-                      F.percentile_approx("_s", F.lit(nu), 10000).alias("q"))["q"]
-        s, c = violators_sum(w, rho)
-        grad = w - s / (nu * n)
+        grad = w - violators_sum(w, best_rho(w)) / (nu * n)
         w = w - (1.0 / (t_ + 1)) * grad
-    rho = one_row(z.select(scores_col(w).alias("_s")),
-                  F.percentile_approx("_s", F.lit(nu), 10000).alias("q"))["q"]
-    out = z.select(key, scores_col(w).alias("decision"))
-    return out.withColumn("decision", F.col("decision") - F.lit(rho)) \
-              .withColumn("is_outlier", F.col("decision") < 0)
+    rho = best_rho(w)
+    return scores(w).select(key, (F.col("_s") - F.lit(rho)).alias("decision"),
+                            (F.col("_s") < F.lit(rho)).alias("is_outlier"))

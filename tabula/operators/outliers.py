@@ -44,20 +44,25 @@ def outliers_zscore(df: DataFrame, column: str, threshold: float = 3.0,
     return df.withColumn(z_col, z).filter(F.abs(F.col(z_col)) > threshold)
 
 
-def outlier_report(df: DataFrame, features, key: str, methods=("iqr", "zscore")) -> DataFrame:
+def outlier_report(df: DataFrame, features, key: str,
+                   methods=("iqr", "zscore", "elliptic", "isolation_forest", "one_class")) -> DataFrame:
     """``outlier_report``: long table ``(method, feature, key)`` of every
-    flagged row, per feature for the one-variable methods."""
-    parts = []
-    for f in features:
-        for m in methods:
-            if m == "iqr":
-                flagged = outliers_iqr(df, f)
-            elif m == "zscore":
-                flagged = outliers_zscore(df, f)
-            else:
-                raise ValueError(f"unknown method {m}")
-            parts.append(flagged.select(F.lit(m).alias("method"), F.lit(f).alias("feature"),
-                                        F.col(key)))
+    flagged row: per feature for the one-variable methods (``iqr``,
+    ``zscore``), with the comma-joined features for the others."""
+    from . import anomaly
+    single = {"iqr": outliers_iqr, "zscore": outliers_zscore}
+    joint = {"elliptic": anomaly.outliers_elliptic, "isolation_forest": anomaly.outliers_isolation_forest,
+             "one_class": anomaly.outliers_one_class}
+    features, parts = list(features), []
+    for m in methods:
+        if m in single:
+            flagged = [(f, single[m](df, f)) for f in features]
+        elif m in joint:
+            flagged = [(",".join(features), joint[m](df, features, key).filter("is_outlier"))]
+        else:
+            raise ValueError(f"unknown method {m}")
+        parts += [rows.select(F.lit(m).alias("method"), F.lit(f).alias("feature"), F.col(key))
+                  for f, rows in flagged]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -84,3 +84,13 @@ def q_outliers_one_class(spark, sf):
     o = t(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
     o = o.withColumn("day", F.datediff("o_orderdate", F.lit("1990-01-01")).cast("double"))
     return outliers_one_class(o, ["o_custkey", "o_totalprice", "day"], "o_orderkey", nu=0.5)
+
+
+@query("outlier_report_joint")
+def q_outlier_report_joint(spark, sf):
+    """The report by the three detectors that look at all features together."""
+    from ..operators.outliers import outlier_report
+    o = t(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    o = o.withColumn("day", F.datediff("o_orderdate", F.lit("1990-01-01")).cast("double"))
+    return outlier_report(o, ["o_custkey", "o_totalprice", "day"], "o_orderkey",
+                          methods=("elliptic", "isolation_forest", "one_class"))

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabula.operators import anomaly, neighbors, sample, window
+from tabula.operators import anomaly, neighbors, outliers, sample, window
 from tabula.operators import models as MD
 from tabula.plans.fixtures import lineitem_label
 from tabula.plans.scale import global_rank_total
@@ -128,6 +128,29 @@ def test_knn_visits_few_blocks_and_breaks_ties_by_id(spark):
     assert got["id"].nunique() == queries.count()
 
 
+def test_outlier_report_by_five_methods(spark):
+    """Far points are flagged by each joint method; shares follow the settings."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1000, 2))
+    x[:5] += 12.0
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(1000), "a": x[:, 0], "b": x[:, 1]}))
+    got = outliers.outlier_report(df, ["a", "b"], "id").toPandas()
+    far = set(range(5))
+    for m in ("elliptic", "isolation_forest", "one_class"):
+        rows = got[got["method"] == m]
+        assert set(rows["feature"]) == {"a,b"} and far <= set(rows["id"]) and rows["id"].is_unique, m
+    assert (got["method"] == "elliptic").sum() == 100
+    assert 400 <= (got["method"] == "one_class").sum() <= 600
+    for f, v in (("a", x[:, 0]), ("b", x[:, 1])):
+        z = set(np.nonzero(np.abs((v - v.mean()) / v.std()) > 3)[0])
+        assert set(got[(got["method"] == "zscore") & (got["feature"] == f)]["id"]) == z
+    # the moments themselves
+    n, mean, cov = anomaly._moments(df.select(F.array("a", "b").alias("_x")), 2)
+    assert n == 1000
+    np.testing.assert_allclose(mean, x.mean(0))
+    np.testing.assert_allclose(cov, np.cov(x.T, bias=True), rtol=1e-9)
+
+
 def test_splits_are_disjoint_complete_and_sized(spark):
     o = read_table(spark, SF_SMALL, "orders", ["o_orderkey"])
     n = o.count()
