@@ -8,6 +8,11 @@ SQL text so the oracle reads exactly the same input.
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import numpy as np
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +85,40 @@ SQL_DOC_SCORES = """(SELECT l.doc_id, l.quality, l.toxic, d.n_chars, d.lang,
     round(0.6 * (CAST((((l.doc_id * 2654435761) % 1000003) % 1000 + 1000) % 1000 AS DOUBLE) / 1000.0)
           + 0.4 * l.quality, 4) AS score
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+
+def png_bytes(pixels: np.ndarray) -> bytes:
+    """8-bit greyscale PNG of a 2-d uint8 array."""
+    h, w = pixels.shape
+    raw = b"".join(b"\x00" + pixels[r].tobytes() for r in range(h))
+
+    def chunk(kind, data):
+        body = kind + data
+        return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body) & 0xFFFFFFFF)
+
+    ihdr = struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw))
+            + chunk(b"IEND", b""))
+
+
+def write_png_folders(df: DataFrame, root: str, label: str, key: str, pixels: str, side: int) -> None:
+    """Write each row's ``pixels`` (0-255 values, row-major) as
+    ``root/<label>/<key>.png``: by the executors, into whichever file system
+    the shared folder is on. A repeated task writes the same bytes again."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    uri = uri.removeprefix("file:")  # a plain path for a mounted folder
+
+    def write(batches):
+        store, base = fs.FileSystem.from_uri(uri)
+        for p in batches:
+            for lab in p[label].unique():
+                store.create_dir(f"{base}/{lab}", recursive=True)
+            for lab, k, px in zip(p[label], p[key], p[pixels]):
+                grey = np.rint(np.clip(np.asarray(px, dtype=np.float64), 0, 255)).astype(np.uint8)
+                with store.open_output_stream(f"{base}/{lab}/{k}.png") as out:
+                    out.write(png_bytes(grey.reshape(side, side)))
+        yield from ()
+
+    df.select(label, key, pixels).mapInPandas(write, "done int").collect()

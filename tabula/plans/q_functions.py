@@ -71,7 +71,7 @@ def _image_root(spark, sf):
     """8 x 8 grey images derived from the embeddings (first 64 values mapped
     to 0-255), one folder per label, written by the executors."""
     from ..session import shared_path
-    from ..sources.images import write_png_folders
+    from .fixtures import write_png_folders
     e = t(spark, sf, "embeddings")
     px = F.transform("embedding", lambda x: F.floor(F.least(F.greatest(
         (x.cast("double") + 1.0) * 127.5, F.lit(0.0)), F.lit(255.0))))

@@ -10,11 +10,8 @@ partitioned by class; an existing cache is kept unless forced.
 
 from __future__ import annotations
 
-import os
-import struct
-import zlib
-
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +41,14 @@ def read_image_folders(spark: SparkSession, root: str, image_size: int = 28,
     few = [r["label"] for r in res if r["n"] < min_per_class]
     if few:
         raise ValueError(f"fewer than {min_per_class} images in classes {few}")
-    # Grey value of each pixel: the first channel byte (OpenCV order), unsigned.
-    idx = F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)
-    pix = F.transform(idx, lambda i: (F.conv(F.hex(F.substring(F.col("data"), i * F.col("c") + 1, 1)),
-                                              16, 10).cast("double") - pixel_depth / 2) / pixel_depth)
-    images = img.select("label", "path", pix.alias("pixels"))
+
+    @F.pandas_udf("array<double>")
+    def grey(data: pd.Series, channels: pd.Series) -> pd.Series:
+        # the first channel byte of each pixel (OpenCV order)
+        return pd.Series([(np.frombuffer(d, dtype=np.uint8)[::c].astype(np.float64) - pixel_depth / 2) / pixel_depth
+                          for d, c in zip(data, channels)])
+
+    images = img.select("label", "path", grey("data", "c").alias("pixels"))
     stats = images.select(F.explode("pixels").alias("p")).agg(
         F.count(F.lit(1)).alias("n_pixels"), F.avg("p").alias("mean"), F.stddev_pop("p").alias("std"))
     return images, stats
@@ -58,37 +58,3 @@ def cache_per_class(images: DataFrame, path: str, force: bool = False) -> None:
     """``cache_per_class``: Parquet partitioned by class; existing data is
     kept unless ``force``."""
     images.write.mode("overwrite" if force else "ignore").partitionBy("label").parquet(path)
-
-
-# --------------------------------------------------------------- PNG writer
-
-
-def png_bytes(pixels: np.ndarray) -> bytes:
-    """8-bit greyscale PNG for a 2-d uint8 array (no external imaging library)."""
-    h, w = pixels.shape
-    raw = b"".join(b"\x00" + pixels[r].astype(np.uint8).tobytes() for r in range(h))
-
-    def chunk(kind, data):
-        body = kind + data
-        return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body) & 0xFFFFFFFF)
-
-    ihdr = struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)
-    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw))
-            + chunk(b"IEND", b""))
-
-
-def write_png_folders(df: DataFrame, root: str, label: str, key: str, pixels: str, side: int) -> None:
-    """Write each row's ``pixels`` (0-255 values, row-major) as
-    ``root/<label>/<key>.png``. Files are written by the executors, one task
-    per partition, into the shared folder."""
-    def write(it):
-        for p in it:
-            for lab, k, px in zip(p[label], p[key], p[pixels]):
-                d = os.path.join(root, str(lab))
-                os.makedirs(d, exist_ok=True)
-                arr = np.clip(np.asarray(px, dtype=np.float64), 0, 255).reshape(side, side)
-                with open(os.path.join(d, f"{k}.png"), "wb") as f:
-                    f.write(png_bytes(np.rint(arr).astype(np.uint8)))
-        yield from ()
-
-    df.select(label, key, pixels).mapInPandas(write, "done int").collect()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabula.operators import anomaly, neighbors, outliers, sample, window
 from tabula.operators import models as MD
-from tabula.plans.fixtures import lineitem_label
+from tabula.plans.fixtures import lineitem_label, write_png_folders
 from tabula.plans.scale import global_rank_total
 from tabula.session import shared_path
 from tabula.sources import images as IMG
@@ -219,7 +219,7 @@ def test_images_read_and_checked(spark, tmp_path):
     e = read_table(spark, SF_SMALL, "embeddings")
     px = F.transform("embedding", lambda x: F.floor((x.cast("double") + 1.0) * 127.5))
     root = shared_path(spark, "img-test")
-    IMG.write_png_folders(e.select("vec_id", "label", px.alias("px")), root, "label", "vec_id",
+    write_png_folders(e.select("vec_id", "label", px.alias("px")), root, "label", "vec_id",
                           "px", 8)
     images, stats = IMG.read_image_folders(spark, root, image_size=8)
     assert images.count() == e.count()
