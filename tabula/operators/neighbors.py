@@ -146,7 +146,7 @@ def knn_join(queries: DataFrame, reference: DataFrame, q_key: str, r_key: str, v
 
 
 def oversample_smote(df: DataFrame, label: str, key: str, vec: str, k: int = 5, seed: int = 46,
-                     minority=None) -> DataFrame:
+                     minority=None, categorical=(), integer=()) -> DataFrame:
     """``oversample_smote``: synthetic minority rows ``x + u * (nn - x)`` until
     the minority class has the majority's size.
 
@@ -154,7 +154,14 @@ def oversample_smote(df: DataFrame, label: str, key: str, vec: str, k: int = 5,
     base row's k nearest minority neighbours, and the gap ``u`` from keyed
     draws on ``j``; the base/neighbour lookups are equi-joins on a dense rank.
     Returns only the new rows, with ``synthetic_id`` and the label.
+
+    ``categorical`` columns (few levels, which are collected) add the squared
+    median of the features' standard deviations to a squared distance per
+    mismatch; a new row gets the most frequent level among the neighbours of
+    its base row (ties: the smallest). The positions ``integer`` of the vector
+    are rounded (half to even).
     """
+    categorical = list(categorical)
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     if minority is None:
         minority = min(counts, key=lambda c: (counts[c], str(c)))
@@ -163,10 +170,19 @@ def oversample_smote(df: DataFrame, label: str, key: str, vec: str, k: int = 5,
         raise ValueError("oversample_smote needs at least two minority rows and k >= 1")
     n_new = max(counts.values()) - n_min
     spark = df.sparkSession
-    mino = df.filter(F.col(label) == F.lit(minority)).select(F.col(key).cast("long").alias(key), vec)
+    mino = df.filter(F.col(label) == F.lit(minority)).select(F.col(key).cast("long").alias(key), vec, *categorical)
     ranked, _ = global_rank_total(mino, [key], rank_col="_r")
     ranked = ranked.withColumn("_r", F.col("_r") - 1)
-    nn = knn_join(mino, mino, key, key, vec, k=k, exclude_self=True)
+    space = mino.select(key, vec)
+    if categorical:
+        spread = mino.select(F.posexplode(vec).alias("i", "x")).groupBy("i").agg(F.stddev_pop("x").alias("s"))
+        side = float(np.median([r["s"] for r in spread.collect()])) / np.sqrt(2.0)
+        hot = [F.when(F.col(c).eqNullSafe(F.lit(level)), side).otherwise(0.0) for c in categorical
+               for level in sorted(r[c] for r in mino.select(c).distinct().collect() if r[c] is not None)]
+        hot += [F.when(F.col(c).isNull(), side).otherwise(0.0) for c in categorical]
+        numbers = F.transform(F.col(vec), lambda x: x.cast("double"))
+        space = mino.select(key, F.concat(numbers, F.array(*hot)).alias(vec))
+    nn = knn_join(space, space, key, key, vec, k=k, exclude_self=True)
     kk = min(k, n_min - 1)
     syn = spark.range(n_new).withColumnRenamed("id", "synthetic_id")
     syn = syn.select("synthetic_id",
@@ -181,5 +197,13 @@ def oversample_smote(df: DataFrame, label: str, key: str, vec: str, k: int = 5,
     nvec = mino.select(F.col(key).alias("neighbor_id"), F.col(vec).alias("_n"))
     s = s.join(nvec, "neighbor_id")
     new = F.zip_with("_x", "_n", lambda a, b: a.cast("double") + F.col("_u") * (b.cast("double") - a.cast("double")))
+    if integer:
+        spots = [int(i) for i in integer]
+        new = F.transform(new, lambda x, i: F.when(i.isin(spots), F.bround(x)).otherwise(x))
+    for c in categorical:
+        level = mino.select(F.col(key).alias("neighbor_id"), F.col(c).alias("_level"))
+        votes = (nn.select(F.col(key).alias("_base"), "neighbor_id").join(level, "neighbor_id")
+                 .groupBy("_base", "_level").agg((-F.count(F.lit(1))).alias("_votes")))
+        s = s.join(votes.groupBy("_base").agg(F.min(F.struct("_votes", "_level"))["_level"].alias(c)), "_base")
     return s.select("synthetic_id", F.col("_base").alias("base_id"), "neighbor_id",
-                    new.alias(vec), F.lit(minority).alias(label))
+                    new.alias(vec), *categorical, F.lit(minority).alias(label))

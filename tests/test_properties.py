@@ -128,6 +128,30 @@ def test_knn_visits_few_blocks_and_breaks_ties_by_id(spark):
     assert got["id"].nunique() == queries.count()
 
 
+def test_smote_with_categories_and_whole_numbers(spark):
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.normal(size=80), rng.integers(0, 9, 80).astype(float)])
+    colour = np.array(["red", "green", "blue", None], dtype=object)[rng.integers(0, 4, 80)]
+    small = np.arange(80) < 20
+    df = spark.createDataFrame(
+        [(int(i), x[i].tolist(), colour[i], int(small[i])) for i in range(80)],
+        "id long, v array<double>, colour string, label int")
+    got = neighbors.oversample_smote(df, "label", "id", "v", k=3, categorical=["colour"], integer=[1]).toPandas()
+    assert len(got) == 40 and set(got["label"]) == {1}
+    side = np.median(x[:20].std(0))
+    for row in got.itertuples():
+        b = row.base_id
+        d = ((x[:20] - x[b]) ** 2).sum(1) + side ** 2 * (colour[:20] != colour[b])
+        d[b] = np.inf
+        near = np.lexsort((np.arange(20), d.round(12)))[:3]
+        assert row.neighbor_id in near
+        votes = pd.Series([colour[i] or "" for i in near]).value_counts()
+        assert (row.colour or "") == min(votes.index[votes == votes.max()])
+        gap = (row.v[0] - x[b, 0]) / (x[row.neighbor_id, 0] - x[b, 0])
+        assert 0 <= gap < 1
+        assert row.v[1] == np.round(x[b, 1] + gap * (x[row.neighbor_id, 1] - x[b, 1]))
+
+
 def test_outlier_report_by_five_methods(spark):
     """Far points are flagged by each joint method; shares follow the settings."""
     rng = np.random.default_rng(5)
