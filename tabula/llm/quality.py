@@ -4,7 +4,12 @@ A text that passes the base rules is judged by zstandard ratios (bytes before
 over bytes after), once over the whole text and once over chunks of
 ``CHUNK`` bytes. Text that packs too well is repetitive, text that hardly
 packs is noise. What is usual depends on the length, since a longer text
-offers more to refer back to, so the limits go by length band.
+offers more to refer back to, so the limits go by length band; a chunk is
+judged by the band of its own size. Below 256 bytes there is no low limit, as
+prose of 100 bytes packs no better than base64. The low limits stop base64 and
+random letters and digits (below 448 bytes not all of them); words of random hex
+digits and, below 4096 bytes, of random lower-case letters pack like dense prose
+(1.5-2.0) and are not told apart.
 
 Defined results: NULL and empty texts have no words, fail the base rules and
 are not kept; texts of any length are read whole; rows with repeated ids are
@@ -22,9 +27,16 @@ from pyspark.sql import functions as F
 
 from tabula.llm.common import documents
 
-#: Bytes from which a band holds, lowest and highest ratio.
-#: Prose packs to about 1.2-1.7 below 256 bytes and 2.2-3.5 in long texts.
-BANDS = ((0, 0.0, 2.5), (256, 1.1, 3.0), (1024, 1.2, 3.5), (4096, 1.25, 4.0), (16384, 1.3, 4.5))
+#: Bytes from which a band holds, lowest ratio, lowest ratio of
+#: text in Han, kana or Hangul (few bytes repeat there), highest ratio. The low
+#: limits lie at about the first hundredth of ordinary text cut to that length
+#: (program messages in over 30 languages; Chinese is the densest), and from 448
+#: bytes on above base64 and random letters and digits of that length.
+BANDS = ((0, 0.0, 0.0, 2.5), (256, 1.1, 1.0, 3.0), (384, 1.18, 1.08, 3.0), (448, 1.25, 1.1, 3.0),
+         (512, 1.27, 1.15, 3.0), (640, 1.33, 1.2, 3.0), (1024, 1.45, 1.33, 3.5), (2048, 1.6, 1.5, 3.5),
+         (4096, 1.72, 1.65, 4.0), (16384, 1.8, 1.8, 4.5))
+#: First bytes of the three-byte characters from U+3000 to U+DFFF.
+DENSE = bytes(range(0xE3, 0xEE))
 LEVEL = 3
 CHUNK = 4096
 #: Chunks below this many bytes say nothing and are not judged.
@@ -65,20 +77,24 @@ def dup_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def in_band(size: int, packed: int) -> bool:
-    low, high = next((a, b) for start, a, b in reversed(BANDS) if size >= start)
-    return low <= size / packed <= high
+def in_band(data: bytes, packer: zstandard.ZstdCompressor) -> bool:
+    size = len(data)
+    low, dense_low, high = next(limits for start, *limits in reversed(BANDS) if size >= start)
+    # a third of the bytes or more in such characters
+    if not data.isascii() and 9 * (size - len(data.translate(None, DENSE))) >= size:
+        low = dense_low
+    return low <= size / len(packer.compress(data)) <= high
 
 
 def bands_pass(data: bytes, packer: zstandard.ZstdCompressor) -> bool:
-    if not data or not in_band(len(data), len(packer.compress(data))):
+    if not data or not in_band(data, packer):
         return False
     judged = bad = 0
     for i in range(0, len(data), CHUNK):
         part = data[i:i + CHUNK]
         if len(part) >= LEAST_CHUNK:
             judged += len(part)
-            if not in_band(len(part), len(packer.compress(part))):
+            if not in_band(part, packer):
                 bad += len(part)
     return bad <= BAD_SHARE * judged
 

@@ -1,7 +1,9 @@
 """Quality counts against brute force; what the bands keep and reject."""
 
+import base64
 import random
 import re
+import string
 from collections import Counter
 
 import zstandard
@@ -59,6 +61,36 @@ def test_bands():
     assert not Q.bands_pass(b"", packer)
 
 
+def test_bands_reject_encoded_and_random_text():
+    packer, rng = zstandard.ZstdCompressor(level=Q.LEVEL), random.Random(3)
+    for n in (500, 2000, 6000, 20000, 200000):
+        for _ in range(10):
+            mime = base64.encodebytes(rng.randbytes(n * 3 // 4))[:n]
+            words = " ".join("".join(rng.choices(string.ascii_letters + string.digits, k=rng.randint(2, 10)))
+                             for _ in range(n // 6 + 1)).encode()[:n]
+            assert not Q.bands_pass(mime, packer) and not Q.bands_pass(words, packer), n
+    # half of a long text is encoded
+    assert not Q.bands_pass(prose(1000, 1).encode() + base64.encodebytes(rng.randbytes(6000)), packer)
+
+
+def test_bands_keep_prose_of_every_language(spark):
+    packer = zstandard.ZstdCompressor(level=Q.LEVEL)
+    good = spark.read.parquet(f"{SF_MID}/documents.parquet").join(
+        spark.read.parquet(f"{SF_MID}/labels.parquet").filter("quality = 1"), "doc_id").select("lang", "text").collect()
+    judged = Counter()
+    for r in good:
+        if not plain(r["text"])[-1]:
+            judged[r["lang"]] += 1
+            assert Q.bands_pass(r["text"].encode(), packer), r
+    assert len(judged) >= 4
+    for letters in ("оеаинтсрвлкмдпу", "αοιετσνηυρπκμλ", "".join(map(chr, range(0x4E00, 0x4E00 + 1500)))):
+        rng = random.Random(5)
+        vocabulary = ["".join(rng.choices(letters, k=rng.randint(1, 3 if ord(letters[0]) > 0x3000 else 9))) for _ in range(3000)]
+        for n in (100, 400, 2000, 20000):
+            text = " ".join(rng.choices(vocabulary, [1 / (i + 1) for i in range(3000)], k=n))
+            assert Q.bands_pass(text.encode(), packer), (letters[:3], n)
+
+
 def test_whole_table_and_labels(spark):
     rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     for r in Q.op5(spark, SF_SMALL).collect():
