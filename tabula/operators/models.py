@@ -12,10 +12,11 @@ import math
 import os
 import random
 import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
@@ -373,31 +374,52 @@ def intervals_quantile(train: DataFrame, score: DataFrame, features, label: str,
 
 
 def rfe_logistic(df: DataFrame, features, label: str, key: str, min_features: int = 3,
-                 test_size: float = 0.3, seed: int = 46, step: int = 1) -> DataFrame:
+                 test_size: float = 0.3, seed: int = 46, step: int = 1, folds: int = 5,
+                 parallelism: int = 8) -> DataFrame:
     """``rfe_logistic``: recursive elimination from all features down to
-    ``min_features``; at each size the holdout accuracy of the fit, then drop
-    the ``step`` features with the smallest standardised coefficients
-    (|coef| x std)."""
+    ``min_features``, one row per size. The features are chosen on the training
+    part of a holdout split: after each fit the ``step`` features with the
+    smallest standardised coefficients (|coef| x std) go. ``accuracy`` is the
+    mean over ``folds`` folds of all rows; with ``folds=0`` that of the holdout.
+    The fold fits of one size run beside the eliminations that follow it."""
     feats = list(features)
     stds = one_row(df, *[F.stddev_samp(f).alias(f) for f in feats])
-    ev = MulticlassClassificationEvaluator(metricName="accuracy")
+    rows = split_holdout(df, key, test_size, seed)
+    rows = split_kfold(rows, key, folds, seed) if folds else rows.withColumn("fold", F.lit(0))
     # one assembled vector; each size takes a slice of it
-    parts = [assemble(part, feats, label).persist(StorageLevel.MEMORY_AND_DISK) for part in holdout(df, key, test_size, seed)]
-    rows, left = [], list(range(len(feats)))
-    while True:
+    data = assemble(rows, feats, label, ["split", "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(left, where):
         cut = VectorSlicer(inputCol="features", outputCol="_sliced", indices=left)
-        train, test = (cut.transform(p) for p in parts)
-        model = LogisticRegression(featuresCol="_sliced", maxIter=50).fit(train)
-        rows.append((len(left), ",".join(feats[i] for i in left), float(ev.evaluate(model.transform(test)))))
-        if len(left) <= min_features:
-            break
-        coefs = np.abs(model.coefficientMatrix.toArray()).max(axis=0)
-        weak = np.argsort([coefs[n] * (stds[feats[i]] or 0.0) for n, i in enumerate(left)], kind="stable")
-        gone = set(weak[:min(step, len(left) - min_features)].tolist())
-        left = [i for n, i in enumerate(left) if n not in gone]
-    for p in parts:
-        p.unpersist()
-    return df.sparkSession.createDataFrame(rows, "n_features INT, features STRING, accuracy DOUBLE")
+        return cut, LogisticRegression(featuresCol="_sliced", maxIter=50).fit(cut.transform(data.filter(where)))
+
+    def accuracy(cut, model, where):
+        hit = (F.col("prediction") == F.col("label")).cast("double")
+        return model.transform(cut.transform(data.filter(where))).agg(F.avg(hit)).first()[0]
+
+    def fold_accuracy(left, k):
+        return accuracy(*fit(left, F.col("fold") != k), F.col("fold") == k)
+
+    left, found = list(range(len(feats))), []
+    pool = ThreadPoolExecutor(parallelism)
+    try:
+        while True:
+            cut, model = fit(left, "split = 'train'")
+            waits = [pool.submit(inheritable_thread_target(df.sparkSession)(fold_accuracy), left, k) for k in range(folds)] or \
+                [pool.submit(accuracy, cut, model, "split = 'test'")]
+            found.append((left, waits))
+            if len(left) <= min_features:
+                break
+            coefs = np.abs(model.coefficientMatrix.toArray()).max(axis=0)
+            weak = np.argsort([coefs[n] * (stds[feats[i]] or 0.0) for n, i in enumerate(left)], kind="stable")
+            gone = set(weak[:min(step, len(left) - min_features)].tolist())
+            left = [i for n, i in enumerate(left) if n not in gone]
+        out = [(len(left), ",".join(feats[i] for i in left), float(np.mean([w.result() for w in waits])))
+               for left, waits in found]
+    finally:
+        pool.shutdown(cancel_futures=True)
+        data.unpersist()
+    return df.sparkSession.createDataFrame(out, "n_features INT, features STRING, accuracy DOUBLE")
 
 
 def kmeans_sweep(df: DataFrame, features, max_clusters: int = 10, scale: bool = True,

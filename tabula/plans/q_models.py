@@ -174,7 +174,7 @@ def q_blend_predictions(spark, sf):
 @query("rfe_logistic")
 def q_rfe_logistic(spark, sf):
     return MD.rfe_logistic(_emb(spark, sf, binary=True), EMB_F, "label", "vec_id",
-                           min_features=3, step=8)
+                           min_features=3)
 
 
 @query("kmeans_sweep")

@@ -88,3 +88,21 @@ def test_imputed_integers_stay_integers(spark):
 def test_random_search_counts_settings(spark):
     with pytest.raises(ValueError):
         models.random_search(None, {"a": [1, 2]}, None, None, "k", iterations=3)
+
+
+def test_rfe_scores_every_size_by_folds(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from tabula.operators.sample import split_kfold
+    from tabula.plans import q_models
+    from tests.conftest import SF_SMALL
+    monkeypatch.setattr(q_models, "EMB_F", q_models.EMB_F[:6])
+    got = q_models.q_rfe_logistic(spark, SF_SMALL).collect()
+    assert [r["n_features"] for r in got] == [6, 5, 4, 3]
+    assert all(set(b["features"].split(",")) < set(a["features"].split(",")) for a, b in zip(got, got[1:]))
+    last, hits = got[-1]["features"].split(","), []
+    rows = split_kfold(q_models._emb(spark, SF_SMALL, binary=True), "vec_id", 5, 46)
+    for k in range(5):
+        model = LogisticRegression(maxIter=50).fit(models.assemble(rows.filter(f"fold <> {k}"), last, "label"))
+        part = model.transform(models.assemble(rows.filter(f"fold = {k}"), last, "label"))
+        hits.append(part.filter("prediction = label").count() / part.count())
+    assert got[-1]["accuracy"] == pytest.approx(sum(hits) / 5)
