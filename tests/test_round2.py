@@ -106,3 +106,22 @@ def test_rfe_scores_every_size_by_folds(spark, monkeypatch):
         part = model.transform(models.assemble(rows.filter(f"fold = {k}"), last, "label"))
         hits.append(part.filter("prediction = label").count() / part.count())
     assert got[-1]["accuracy"] == pytest.approx(sum(hits) / 5)
+
+
+def test_lda_words_come_from_spark(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizerModel
+    from tabula.operators import text
+
+    def driver_list(self):
+        raise AssertionError("the vocabulary went to the driver")
+    monkeypatch.setattr(CountVectorizerModel, "vocabulary", property(driver_list))
+    rng = random.Random(4)
+    subjects = (["cat", "dog", "cow", "hen"], ["sun", "rain", "wind", "snow"])
+    rows = [(i // 2, rng.choices(subjects[i % 2], k=30)) for i in range(60)] + [(99, [])]
+    frame = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    topics, assigned, sizes = text.topics_lda(frame, "doc_id", "tokens", num_topics=2, num_words=4, max_iter=40)
+    found = {}
+    for r in topics.collect():
+        found.setdefault(r["topic"], set()).add(r["word"])
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, subjects))
+    assert assigned.count() == 61 == sizes.agg(F.sum("n_docs")).first()[0]  # rows, though ids repeat
