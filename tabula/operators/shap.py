@@ -174,6 +174,10 @@ def tree_shap_batch(x: np.ndarray, tree, d: int) -> np.ndarray:
     return phi
 
 
+#: Explained feature rows that a task keeps between batches.
+KNOWN_ROWS = 100_000
+
+
 def shap_values_trees(model, data: DataFrame, features, key: str, path: str,
                       positive_class: int = 1) -> DataFrame:
     """``shap_values`` for a decision tree or random forest: one column per
@@ -186,13 +190,21 @@ def shap_values_trees(model, data: DataFrame, features, key: str, path: str,
     key_type = dict(data.dtypes)[key]
 
     def run(it):
-        ts = bc.value
+        ts, known = bc.value, {}
         for p in it:
-            x = p[list(features)].to_numpy(dtype=np.float64)
-            out = np.zeros((len(p), d))
+            x = np.ascontiguousarray(p[list(features)].to_numpy(dtype=np.float64))
+            # equal feature rows have equal values: each is explained once
+            flat = x.view(f"V{8 * d}").ravel()
+            _, at, back = np.unique(flat, return_index=True, return_inverse=True)
+            names = [flat[i].tobytes() for i in at]
+            if len(known) > KNOWN_ROWS:
+                known.clear()
+            fresh = np.array([i for i, k in enumerate(names) if k not in known], np.int64)
+            phi = np.zeros((len(fresh), d))
             for t_ in ts:
-                out += tree_shap_batch(x, t_, d)
-            out /= max(len(ts), 1)
+                phi += tree_shap_batch(x[at[fresh]], t_, d)
+            known.update(zip((names[i] for i in fresh), phi / max(len(ts), 1)))
+            out = np.array([known[k] for k in names]).reshape(-1, d)[back]
             res = pd.DataFrame(out, columns=[f"shap_{f}" for f in features])
             res.insert(0, key, p[key].to_numpy())
             res["base_value"] = base

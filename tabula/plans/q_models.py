@@ -42,15 +42,6 @@ def _docs(spark, sf):
     return lab.join(d, "doc_id")
 
 
-def _all_docs(spark, sf):
-    """Every document: token and line counts, language flag, length."""
-    d = t(spark, sf, "documents", ["doc_id", "text", "n_chars", "lang"])
-    return d.select("doc_id", F.size(tokens("text")).cast("double").alias("n_tokens"),
-                    F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
-                    (F.col("lang") == "en").cast("double").alias("is_en"), F.col("n_chars").cast("double"))
-
-
-DOC_F2 = ["n_tokens", "n_lines", "is_en"]
 DOC_F = ["log_chars", "n_tokens", "is_en"]
 EMB_F = [f"e{i}" for i in range(64)]
 
@@ -332,18 +323,18 @@ def q_load_model(spark, sf):
 @query("shap_values_tree")
 def q_shap_values_tree(spark, sf):
     """Path-dependent Tree SHAP of a random forest (100 trees) for every
-    document, with the model output they add up to."""
+    lineitem row, with the model output they add up to."""
     from ..operators.shap import shap_values_trees
-    data = _all_docs(spark, sf)
-    m = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(data, DOC_F2, "n_chars"))
-    return shap_values_trees(m, data, DOC_F2, "doc_id", shared_path(spark, "shap-forest"))
+    data = _reg(spark, sf)
+    m = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(data, REG_F, "y"))
+    return shap_values_trees(m, data, REG_F, "rkey", shared_path(spark, "shap-forest"))
 
 
 @query("shap_importance")
 def q_shap_importance(spark, sf):
     """Global importance: mean |SHAP| per feature of the forest above."""
     from ..operators.shap import mean_abs_shap, shap_values_trees
-    data = _all_docs(spark, sf)
-    m = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(data, DOC_F2, "n_chars"))
-    sh = shap_values_trees(m, data, DOC_F2, "doc_id", shared_path(spark, "shap-forest"))
-    return mean_abs_shap(sh, DOC_F2)
+    data = _reg(spark, sf)
+    m = RandomForestRegressor(numTrees=100, seed=46).fit(MD.assemble(data, REG_F, "y"))
+    sh = shap_values_trees(m, data, REG_F, "rkey", shared_path(spark, "shap-forest"))
+    return mean_abs_shap(sh, REG_F)

@@ -64,3 +64,12 @@ def test_batch_tree_shap_equals_row_form(spark):
     for t in trees:
         rows = np.array([SH.tree_shap_row(r, t, 3) for r in x])
         np.testing.assert_allclose(SH.tree_shap_batch(x, t, 3), rows, rtol=1e-9, atol=1e-9)
+
+
+def test_query_explains_every_lineitem_row(spark):
+    from tabula.plans import q_models
+    from tests.conftest import SF_SMALL
+    got = q_models.q_shap_values_tree(spark, SF_SMALL).toPandas()
+    assert len(got) == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    total = got[[c for c in got if c.startswith("shap_")]].sum(axis=1) + got["base_value"]
+    assert abs(total - got["model_output"]).max() < 1e-6
