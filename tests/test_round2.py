@@ -125,3 +125,19 @@ def test_lda_words_come_from_spark(spark, monkeypatch):
         found.setdefault(r["topic"], set()).add(r["word"])
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, subjects))
     assert assigned.count() == 61 == sizes.agg(F.sum("n_docs")).first()[0]  # rows, though ids repeat
+
+
+def test_random_search_query_is_a_forest_over_all_dimensions(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+    from tabula.plans import q_models
+    from tests.conftest import SF_SMALL
+    seen = {}
+
+    def search(estimator, space, data, evaluator, key, iterations=50, folds=5):
+        seen.update(estimator=estimator, iterations=iterations, folds=folds, size=len(data.first()["features"]),
+                    settings=math.prod(map(len, space.values())))
+        return None, None
+    monkeypatch.setattr(models, "random_search", search)
+    q_models.q_random_search(spark, SF_SMALL)
+    assert isinstance(seen.pop("estimator"), RandomForestClassifier)
+    assert seen == {"iterations": 50, "folds": 5, "size": 64, "settings": 216}
