@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tabula.llm import chat, exact_dedup, hmm, langid, packing, quality, secrets, simhash, tokens, warc
+from tabula.llm import (chat, exact_dedup, hmm, langid, packing, periodic, quality, secrets, simhash, tokens, warc,
+                        whitening)
 
 QUERIES = {
     "op1_simhash": simhash.op1,
@@ -16,6 +17,8 @@ QUERIES = {
     "op8_language_id": langid.op8,
     "op9_chat": chat.op9,
     "op10_warc": warc.op10,
+    "op11_whitening": whitening.op11,
+    "op12_periodic_runs": periodic.op12,
 }
 
 QUERIES["pipeline"] = corpus_pipeline.run
