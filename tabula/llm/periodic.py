@@ -63,6 +63,13 @@ def smallest_overlap(low: int, high: int, min_length: int, exponent: int) -> int
                for q in {low, high - 1} | {min(max(t, low), high - 1) for t in (turn, turn + 1)})
 
 
+def _numbers(words: list[bytes]) -> np.ndarray:
+    """Equal words of a document get equal numbers."""
+    number = defaultdict()
+    number.default_factory = number.__len__
+    return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+
+
 def find_runs(words: np.ndarray, cuts: np.ndarray, min_length: int = 6, exponent: int = 4):
     """Runs of several documents: start (place among all words), length, period.
 
@@ -132,9 +139,7 @@ def periodic_runs(docs: DataFrame, min_length: int = 6, exponent: int = 4, id_co
         for block in blocks(batches, "text"):
             texts = [(t or "").encode().split() for t in block.column(1).to_pylist()]
             cuts = np.cumsum([0] + [len(t) for t in texts])
-            number = defaultdict()
-            number.default_factory = number.__len__
-            words = np.fromiter((number[w] for t in texts for w in t), np.int64, int(cuts[-1]))
+            words = np.concatenate([_numbers(t) for t in texts])
             runs = find_runs(words, cuts, min_length, exponent)
             gone = repeated_words(runs, len(words))
             bound = np.searchsorted(runs[0], cuts)
@@ -156,18 +161,30 @@ def periodic_runs(docs: DataFrame, min_length: int = 6, exponent: int = 4, id_co
             .withColumnRenamed("id", id_col))
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once a row: a lambda's own
+    expressions are evaluated again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def planted(doc_id: Column, text: Column) -> Column:
     """The text as the contract has it: in a tenth of the documents (by the
     crc32 of the id) the words from a on repeat with period p."""
-    words = F.filter(F.split(text, WS), lambda w: w != "")
     h = F.crc32(doc_id.cast("string").cast("binary"))
-    g, n = F.floor(h / 10), F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    # the index of a place past a: a + (i - a) % p, element_at counts from 1
-    moved = F.transform(words, lambda w, i: F.when(i >= a, F.element_at(words, (a + (i - a) % p + 1).cast("int")))
-                        .otherwise(w))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(moved, " ")).otherwise(text)
+    g = F.floor(h / 10)
+
+    def rule(words: Column) -> Column:
+        n = F.greatest(F.size(words), F.lit(1))  # the rule of a text without words is not used
+        a = g % n
+        return _once(F.struct(words.alias("words"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p")), moved)
+
+    def moved(c: Column) -> Column:
+        # the index of a place past a: a + (i - a) % p, element_at counts from 1
+        return F.when(F.size(c["words"]) > 0, F.array_join(F.transform(c["words"], lambda w, i: F.when(i >= c["a"], F.element_at(
+            c["words"], (c["a"] + (i - c["a"]) % c["p"] + 1).cast("int"))).otherwise(w)), " ")).otherwise(text)
+
+    split = F.when(h % 10 == 0, F.filter(F.split(text, WS), lambda w: w != ""))
+    return F.when((h % 10 == 0) & text.isNotNull(), _once(split, rule)).otherwise(text)
 
 
 def op12(spark, sf_dir: str) -> DataFrame:

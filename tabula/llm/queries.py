@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tabula.llm import (chat, exact_dedup, hmm, langid, packing, periodic, quality, secrets, simhash, tokens, warc,
-                        whitening)
+from tabula.llm import (chat, exact_dedup, hmm, langid, packing, periodic, quality, secrets, simhash, substrings,
+                        tokens, warc, whitening)
 
 QUERIES = {
     "op1_simhash": simhash.op1,
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_warc": warc.op10,
     "op11_whitening": whitening.op11,
     "op12_periodic_runs": periodic.op12,
+    "op13_substrings": substrings.op13,
 }
 
 QUERIES["pipeline"] = corpus_pipeline.run

@@ -122,7 +122,8 @@ def test_edges(spark):
 def test_rule_of_the_contract(spark):
     from pyspark.sql import functions as F
 
-    rows = [(i, f"{'w ' * (i % 5)}a b\tc d {i} e f g h") for i in range(300)] + [(None, "x y"), (10, None), (36, "")]
+    rows = [(i, f"{'w ' * (i % 5)}a b\tc d {i} e f g h") for i in range(300)] + [(None, "x y")]
+    rows += [(i, t) for i in range(300) if zlib.crc32(str(i).encode()) % 10 == 0 for t in (None, "", " \n")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = frame.select("doc_id", "text", P.planted(F.col("doc_id"), F.col("text")).alias("new")).collect()
     for i, t, new in got:
