@@ -36,25 +36,29 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
+from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabula.llm.bpe import utf8
 from tabula.llm.common import blocks, documents, stash
 from tabula.llm.fm_index import FMIndex
 from tabula.session import shared_path
 
-GRAM = 8
+GRAM = 6
 #: Occurrences from which an anchor's windows are dealt singly, and words per
 #: shard: memory bounds of one index (about 150 bytes a word).
 HOT, SHARD_WORDS = 10_000, 250_000
 NO_ID = (1 << 63) - 1
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_EMPTY = zstandard.ZstdCompressor().compress(b"")
+_BASE = 0x9E3779B97F4A7C15
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -62,30 +66,58 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class _Hashes(dict):
-    """Hash of every distinct word of a block."""
+class Texts:
+    """The words of a block of texts as one run of bytes, a space after each word.
 
-    def __missing__(self, word):
-        self[word] = h = xxhash.xxh64_intdigest(word, 7)
-        return h
+    ``begin``: first byte of every word (and the end), ``cuts``: first word of
+    every text (and the end)."""
 
+    def __init__(self, raw: bytes, offsets: np.ndarray):
+        b = np.frombuffer(raw, np.uint8)
+        white = (b == 0x20) | ((b >= 0x09) & (b <= 0x0D))
+        last = np.zeros(len(b), bool)  # a word ends behind this byte
+        last[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = True
+        last[:-1] |= white[1:]
+        last &= ~white
+        ends = np.flatnonzero(last)
+        kept = np.flatnonzero(~white)
+        place = np.cumsum(last)[kept] - last[kept] + np.arange(len(kept))  # spaces put in so far move a byte
+        self.bytes = np.full(len(kept) + len(ends), 0x20, np.uint8)
+        self.bytes[place] = b[kept]
+        self.raw = self.bytes.tobytes()
+        self.begin = np.append(0, place[last[kept]] + 2)
+        self.cuts = np.searchsorted(ends, offsets)
 
-def segments(texts: list[list[bytes]], window: int, gram: int):
+    @classmethod
+    def of(cls, column: pa.Array) -> "Texts":
+        return cls(*utf8(column))
+
+    def part(self, first: int, last: int) -> bytes:
+        """Words ``first`` to ``last`` (not included), joined by spaces."""
+        return self.raw[self.begin[first]:max(self.begin[first], self.begin[last] - 1)]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def segments(texts: Texts, window: int, gram: int):
     """Segments of several texts: text number, first word, last word + 1, anchor.
 
-    The anchor is the hash of its gram, made even."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    n = int(sizes.sum())
+    A gram's hash is a polynomial of its bytes, from running sums modulo 2^64;
+    the anchor is the hash of its gram, made even."""
+    n = len(texts.begin) - 1
     empty = np.zeros(0, np.int64)
     if n < window:
         return empty, empty, empty, empty
-    cuts = np.append(0, np.cumsum(sizes))
-    known = _Hashes()
-    own = np.fromiter((h for t in texts for h in map(known.__getitem__, t)), np.uint64, n)
-    grams = np.zeros(n - gram + 1, np.uint64)
-    for j in range(gram):
-        grams = grams * _MIX + own[j:n - gram + 1 + j]
-    grams = _mixed(grams)
+    size = len(texts.bytes) + 1
+    sums = np.zeros(size, np.uint64)
+    np.cumsum(texts.bytes * _powers(_BASE, size)[:-1], out=sums[1:])
+    begin = texts.begin
+    # the inverse power takes the place of a gram out of its hash
+    grams = _mixed((sums[begin[gram:]] - sums[begin[:-gram]]) * _powers(pow(_BASE, -1, 1 << 64), size)[begin[:-gram]])
     # smallest gram of every window, the leftmost of equal ones, by doubling
     span, wide = window - gram + 1, 1
     place = np.arange(len(grams), dtype=np.int64)
@@ -96,16 +128,18 @@ def segments(texts: list[list[bytes]], window: int, gram: int):
         place = np.where(right, place[step:], place[:-step])
         best = np.where(right, best[step:], best[:-step])
         wide += step
-    end = np.repeat(cuts[1:], sizes)
+    cuts = texts.cuts
+    end = np.repeat(cuts[1:], np.diff(cuts))
     at = np.arange(n - window + 1)
     at = at[at + window <= end[:len(at)]]
+    if not len(at):
+        return empty, empty, empty, empty
     place = place[at]
-    text = np.searchsorted(cuts, at, "right") - 1
-    new = np.ones(len(at), bool)
-    new[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1])
+    new = np.ones(len(at), bool)  # windows of two texts never share an anchor place
+    new[1:] = place[1:] != place[:-1]
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
-    text = text[first]
+    text = np.searchsorted(cuts, at[first], "right") - 1
     anchor = (grams[place[first]] & ~np.uint64(1)).view(np.int64)
     return text, at[first] - cuts[text], at[last] + window - cuts[text], anchor
 
@@ -116,15 +150,11 @@ def _listed(number: np.ndarray, count: int, values: np.ndarray) -> pa.Array:
                                     pa.array(values))
 
 
-def _words(column: pa.Array) -> list[list[bytes]]:
-    return [(t or "").encode().split() for t in column.to_pylist()]
-
-
 def anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
     """``key`` and ``anchor`` of every segment of every document."""
     def run(batches):
         for block in blocks(batches, "text"):
-            text, _, _, anchor = segments(_words(block.column(1)), window, gram)
+            text, _, _, anchor = segments(Texts.of(block.column(1)), window, gram)
             yield pa.RecordBatch.from_arrays([block.column(0), _listed(text, block.num_rows, anchor)],
                                              names=["key", "anchors"])
 
@@ -135,12 +165,12 @@ def anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
 def packed(rows: DataFrame, kind: str) -> DataFrame:
     """Digest and number of all words, and the words as a zstandard frame."""
     def run(batches):
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=3)
         for block in blocks(batches, "text"):
-            texts = _words(block.column(3))
-            joined = [b" ".join(t) for t in texts]
+            texts = Texts.of(block.column(3))
+            joined = [texts.part(a, z) for a, z in zip(texts.cuts[:-1], texts.cuts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [block.column(0), block.column(1), block.column(2), pa.array([len(t) for t in texts], pa.int64()),
+                [block.column(0), block.column(1), block.column(2), pa.array(np.diff(texts.cuts)),
                  pa.array([hashlib.sha256(j).digest() for j in joined], pa.binary()),
                  pa.array([packer.compress(j) for j in joined], pa.binary())],
                 names=["key", "nid", "id", "n_words", "digest", "frame"])
@@ -159,9 +189,10 @@ def bucketed(frame: DataFrame, name: str, columns: list[str]) -> DataFrame:
     return spark.table(table)
 
 
-def _unpacked(column: pa.Array) -> list[list[bytes]]:
+def _unpacked(column: pa.Array) -> Texts:
     unpack = zstandard.ZstdDecompressor()
-    return [unpack.decompress(f).split(b" ") for f in column.to_pylist()]
+    texts = [unpack.decompress(f) for f in column.to_pylist()]
+    return Texts(b"".join(texts), np.cumsum([0] + [len(t) for t in texts]))
 
 
 def occurrences(table: DataFrame, window: int, gram: int) -> DataFrame:
@@ -172,46 +203,46 @@ def occurrences(table: DataFrame, window: int, gram: int) -> DataFrame:
             text, begin, end, anchor = segments(texts, window, gram)
             asked = block.column(3)
             wanted = np.sort(asked.flatten().to_numpy())
-            hot = {int(a) & ~1 for a in wanted[(wanted & 1) == 1].tolist()}
             kept = np.isin(anchor, wanted & ~1)
-            out = []
-            for d, a, b, h in zip(text[kept].tolist(), begin[kept].tolist(), end[kept].tolist(), anchor[kept].tolist()):
-                cuts = [(i, i + window) for i in range(a, b - window + 1)] if h in hot else [(a, b)]
-                out += [(d, i, j - i, h | (h in hot), _named(texts[d][i:j])) for i, j in cuts]
-            cols = list(zip(*out)) or [()] * 5
-            source = pa.array(cols[0], pa.int64())
+            text, begin, end, anchor = text[kept], begin[kept], end[kept], anchor[kept]
+            hot = np.isin(anchor, wanted[(wanted & 1) == 1] - 1)
+            # a hot anchor's segment becomes its windows
+            times = np.where(hot, end - begin - window + 1, 1)
+            source = np.repeat(np.arange(len(text)), times)
+            step = np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times)
+            text, begin, hot = text[source], begin[source] + step, hot[source]
+            words = np.where(hot, window, (end - begin[np.cumsum(times) - times])[source])
+            at = texts.cuts[text] + begin
+            names = [xxhash.xxh3_64_intdigest(texts.raw[a:z - 1]) for a, z in zip(texts.begin[at].tolist(), texts.begin[at + words].tolist())]
+            text = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [block.column(0).take(source), block.column(1).take(source)] + [pa.array(c, pa.int64()) for c in cols[1:]],
+                [block.column(0).take(text), block.column(1).take(text), pa.array(begin), pa.array(words),
+                 pa.array(anchor[source] | hot), pa.array(np.array(names, np.uint64).view(np.int64))],
                 names=["key", "nid", "start", "words", "anchor", "content"])
 
     return table.filter("wanted IS NOT NULL").select("key", "nid", "frame", "wanted").mapInArrow(
         run, "key long, nid long, start long, words long, anchor long, content long")
 
 
-def _named(words: list[bytes]) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words))).view(np.int64))
-
-
 def with_words(table: DataFrame, earliest: DataFrame, shards: int) -> DataFrame:
     """The distinct segments with their words, and the shard each belongs to."""
     def run(batches):
         for block in blocks(batches, "frame", 1 << 20):
-            source, out = [], []
-            listed = block.column(1).to_pylist()
-            for d, words in enumerate(_unpacked(block.column(0))):
-                for s in listed[d]:
-                    dealt = s["content"] if s["anchor"] & 1 else s["anchor"]
-                    source.append(d)
-                    out.append((int(_mixed(np.array([dealt]).view(np.uint64))[0] % np.uint64(shards)), s["anchor"],
-                                s["content"], s["start"], b" ".join(words[s["start"]:s["start"] + s["words"]]).decode()))
-            cols = list(zip(*out)) or [()] * 5
+            texts = _unpacked(block.column(0))
+            lists = block.column(1)
+            source = np.repeat(np.arange(block.num_rows), np.diff(lists.offsets.to_numpy()))
+            own = lists.flatten()
+            dealt, start, words = (own.field(c).to_numpy() for c in ("dealt", "start", "words"))
+            dealt = _mixed(dealt.view(np.uint64)) % np.uint64(shards)
+            at = texts.cuts[source] + start
+            parts = [texts.raw[a:z - 1].decode() for a, z in
+                     zip(texts.begin[at].tolist(), texts.begin[at + words].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                 block.column(2).take(pa.array(source, pa.int64())), pa.array(cols[3], pa.int64()),
-                 pa.array(cols[4], pa.string())],
+                [pa.array(dealt.astype(np.int32)), own.field("anchor"), own.field("content"),
+                 block.column(2).take(pa.array(source)), own.field("start"), pa.array(parts, pa.string())],
                 names=["shard", "anchor", "content", "nid", "start", "text"])
 
-    listed = earliest.groupBy("key", "nid").agg(F.collect_list(F.struct("anchor", "content", "start", "words")).alias("own"))
+    listed = earliest.groupBy("key", "nid").agg(F.collect_list(F.struct("anchor", "content", "dealt", "start", "words")).alias("own"))
     joined = table.filter("wanted IS NOT NULL").select("key", "nid", "frame").join(listed, ["key", "nid"])
     return joined.select("frame", "own", "nid").mapInArrow(
         run, "shard int, anchor long, content long, nid long, start long, text string")
@@ -220,10 +251,10 @@ def with_words(table: DataFrame, earliest: DataFrame, shards: int) -> DataFrame:
 def covered(texts: list[str], nid: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
     """For every distinct segment, the windows (as bits) that start earlier elsewhere."""
     pieces = [t.encode().split(b" ") for t in texts]
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    cuts = np.append(0, np.cumsum(sizes))
-    number = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for p in pieces for w in p))}
-    words = np.fromiter((number[w] for p in pieces for w in p), np.int64, int(cuts[-1]))
+    cuts = np.cumsum([0] + [len(p) for p in pieces])
+    number = defaultdict()
+    number.default_factory = lambda: len(number) + 1
+    words = np.fromiter(map(number.__getitem__, chain.from_iterable(pieces)), np.int64, int(cuts[-1]))
     index = FMIndex(words, cuts, len(number) + 1, window)
     length, where = index.matching_statistics(words, cuts)
     # earliest place among the suffixes of every interval of `window` words
@@ -273,13 +304,19 @@ def find_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, id_col: st
              .select("anchor", (F.col("n") > hot).cast("long").alias("hot")))
     wanted = (pairs.join(often, "anchor").select("key", F.col("anchor").bitwiseOR(F.col("hot")).alias("anchor"))
               .groupBy("key").agg(F.collect_set("anchor").alias("wanted")))
-    table = bucketed(packed(rows, kind).join(wanted, "key", "left"), "words", ["key", "nid"])
+    # words stay only where an anchor recurs; the other documents are decided
+    texts = packed(rows, kind).join(wanted, "key", "left").withColumn("frame", F.when(F.col("wanted").isNotNull(), F.col("frame")))
+    table = bucketed(texts, "words", ["key", "nid"])
 
     found = stash(occurrences(table, window, gram), "segments")
     first = F.min(F.struct("nid", "start", "key", "words")).alias("first")
-    earliest = stash(found.groupBy("anchor", "content").agg(first).select("anchor", "content", "first.*"), "distinct")
-    total = earliest.agg(F.sum("words").alias("n")).first()["n"] or 0
-    dealt = with_words(table, earliest, max(1, math.ceil(total / shard_words)))
+    dealt = F.when(F.col("anchor") % 2 == 0, F.col("anchor")).otherwise(F.col("content")).alias("dealt")
+    distinct = found.groupBy("anchor", "content").agg(first).select("anchor", "content", dealt, "first.*")
+    # at most `hot` rows of one anchor in a group
+    earliest = stash(distinct.withColumn("rivals", F.count("*").over(Window.partitionBy("dealt")) - 1), "distinct")
+    asked = earliest.filter("rivals > 0")
+    total = asked.agg(F.sum("words").alias("n")).first()["n"] or 0
+    dealt = with_words(table, asked, max(1, math.ceil(total / shard_words)))
     bits = indexed(dealt, window)
 
     places = earliest.select("anchor", "content", F.col("nid").alias("first_nid"), F.col("start").alias("first_start")).join(
@@ -295,26 +332,29 @@ def find_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, id_col: st
 def cut(joined: DataFrame, window: int, kind: str) -> DataFrame:
     """Drop the covered words of every document."""
     def run(batches):
-        unpack = zstandard.ZstdDecompressor()
         for block in blocks(batches, "frame", 1 << 20):
-            removed, spans, digests = [], [], []
-            cols = [c.to_pylist() for c in block.columns[1:]]
-            for n, digest, frame, hits in zip(*cols):
-                own = []
-                if hits:
-                    step = np.zeros(n + 1, np.int64)
-                    for h in hits:
-                        at = h["start"] + np.flatnonzero([h["bits"] >> t & 1 for t in range(h["bits"].bit_length())])
-                        np.add.at(step, at, 1)
-                        np.add.at(step, at + window, -1)
-                    gone = np.cumsum(step[:-1]) > 0
-                    edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-                    own = [{"start": int(a), "length": int(b - a)} for a, b in zip(edge[::2], edge[1::2])]
-                    words = unpack.decompress(frame).split(b" ")
-                    digest = hashlib.sha256(b" ".join([w for w, g in zip(words, gone.tolist()) if not g])).digest()
-                spans.append(own)
-                removed.append(sum(s["length"] for s in own))
-                digests.append(digest.hex())
+            texts = _unpacked(block.column(3).fill_null(_EMPTY))
+            lists = block.column(4).fill_null([])
+            hits = lists.flatten()
+            doc = np.repeat(np.arange(block.num_rows), np.diff(lists.offsets.to_numpy()))
+            start, bits = (hits.field(c).to_numpy() for c in ("start", "bits"))
+            step = np.zeros(int(texts.cuts[-1]) + 1, np.int64)
+            for t in range(int(bits.max(initial=0)).bit_length()):
+                at = (texts.cuts[doc] + start)[bits >> t & 1 == 1] + t
+                np.add.at(step, at, 1)
+                np.add.at(step, at + window, -1)
+            gone = np.cumsum(step[:-1]) > 0
+            digests = [d.hex() for d in block.column(2).to_pylist()]
+            removed, spans = [0] * block.num_rows, [[]] * block.num_rows
+            for d in np.unique(doc).tolist():
+                a, z = int(texts.cuts[d]), int(texts.cuts[d + 1])
+                own = gone[a:z]
+                border = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
+                spans[d] = [{"start": i, "length": j - i} for i, j in zip(border[::2].tolist(), border[1::2].tolist())]
+                removed[d] = int(own.sum())
+                inner = np.append(0, border)
+                kept = [texts.part(a + i, a + j) for i, j in zip(inner[::2].tolist(), np.append(inner[1:], z - a)[::2].tolist())]
+                digests[d] = hashlib.sha256(b" ".join(k for k in kept if k)).hexdigest()
             span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [block.column(0), block.column(1), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),

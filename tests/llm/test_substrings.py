@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -73,8 +74,11 @@ def rows_of(frame):
 
 def test_segments_hold_every_window_once():
     rng = random.Random(2)
-    texts = [[str(rng.randrange(40)).encode() for _ in range(n)] for n in (0, 5, 19, 20, 21, 300, 20, 47)]
-    text, begin, end, anchor = S.segments(texts, 20, 8)
+    texts = [[rng.choice("abcdé") * rng.randrange(1, 9) for _ in range(n)] for n in (0, 5, 19, 20, 21, 300, 20, 47, 0)]
+    held = S.Texts.of(pa.array([" \t" * (i % 3) + ("\n" * (1 + i % 2)).join(t) + " " * (i % 2) for i, t in enumerate(texts)]))
+    assert [held.part(a, z).decode() for a, z in zip(held.cuts, held.cuts[1:])] == [" ".join(t) for t in texts]
+    text, begin, end, anchor = S.segments(held, 20, 8)
+    assert {(held.part(held.cuts[d] + a, held.cuts[d] + b)): h for d, a, b, h in zip(text, begin, end, anchor)}
     seen = sorted((d, s) for d, a, b in zip(text, begin, end) for s in range(a, b - 19))
     assert seen == [(d, s) for d, t in enumerate(texts) for s in range(len(t) - 19)]
     assert (end - begin).max() <= 32 and (anchor & 1 == 0).all()
