@@ -300,8 +300,9 @@ def find_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, id_col: st
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("nid"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     pairs = anchors(rows, window, gram)
-    often = (pairs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-             .select("anchor", (F.col("n") > hot).cast("long").alias("hot")))
+    # written, so that the join below has a plain shuffle on both sides, which AQE splits at a hot anchor
+    often = stash(pairs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+                  .select("anchor", (F.col("n") > hot).cast("long").alias("hot")), "recurring")
     wanted = (pairs.join(often, "anchor").select("key", F.col("anchor").bitwiseOR(F.col("hot")).alias("anchor"))
               .groupBy("key").agg(F.collect_set("anchor").alias("wanted")))
     # words stay only where an anchor recurs; the other documents are decided
