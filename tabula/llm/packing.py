@@ -40,6 +40,8 @@ from tabula.llm.common import blocks, documents, stash
 
 HASHED, DIMS, BITS, SEED = 256, 4, 10, 42
 BLOCK_BYTES = 8 << 20
+#: Pretokens that the library gets as one text.
+RUN = 16
 #: Documents per slice of the sort, a memory bound of one sort task (~40 MB).
 SLICE_ROWS = 1_000_000
 
@@ -54,23 +56,48 @@ class Library:
         self.own = Tokenizer.from_file(path)
         added = self.own.get_added_tokens_decoder().values()
         self.special = [t.content.encode() for t in added]
+        line = self.own.encode("a\nb", add_special_tokens=False).ids
+        self.line = line[1] if len(line) == 3 else None
         self.kept: dict[bytes, int] = {}
         self.store = Words(np.zeros(0, np.int32), np.zeros(1, np.int64))
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pretokens one after another, and how many each has.
+
+        Many pretokens go to the library as one text, a line feed after each:
+        it is a pretoken and an id of its own there, and no other pretoken
+        holds one. Pretokens of white space are asked one by one.
+        """
+        texts = [w.decode() for w in words]
+        alone = np.fromiter(map(str.isspace, texts), bool, len(texts))
+        if self.line is None:
+            alone[:] = True
+        joined = [t for t, a in zip(texts, alone.tolist()) if not a]
+        runs = ["\n".join(joined[i:i + RUN]) + "\n" for i in range(0, len(joined), RUN)]
+        flat = np.concatenate([np.array(x, np.int32) for x in self.ids(runs)] or [np.zeros(0, np.int32)])
+        ends = flat == self.line
+        size = np.zeros(len(texts), np.int64)
+        size[~alone] = np.diff(np.append(-1, np.flatnonzero(ends))) - 1
+        own = self.ids([texts[i] for i in np.flatnonzero(alone)])
+        size[alone] = [len(x) for x in own]
+        out = np.empty(int(size.sum()), np.int32)
+        which = np.repeat(alone, size)
+        out[~which] = flat[~ends]
+        out[which] = [i for x in own for i in x]
+        return out, size
+
     def lookup(self, words: list[bytes]) -> tuple[Words, np.ndarray]:
         if len(self.kept) > KEEP:
             self.kept, self.store = {}, Words(np.zeros(0, np.int32), np.zeros(1, np.int64))
         kept = self.kept
         new = [w for w in words if w not in kept]
         if new:
-            got = self.ids([w.decode() for w in new])
+            flat, size = self.words(new)
             n = len(kept)
             kept.update(zip(new, range(n, n + len(new))))
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.int32, int(size.sum()))
             self.store = Words(np.append(self.store.ids, flat),
                                np.append(self.store.offsets, self.store.offsets[-1] + np.cumsum(size)))
         return self.store, np.fromiter(map(kept.__getitem__, words), np.int64, len(words))
