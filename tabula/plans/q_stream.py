@@ -51,6 +51,25 @@ def q_bars_stream(spark, sf):
     return bars.select("bar_start", "volume", "high_low_range")
 
 
+@query("bars_stream_lag", """
+WITH b AS (SELECT time_bucket(INTERVAL '5 minutes', ts) AS bar_start, count(*) AS volume,
+                  arg_max(value, ts) AS close, max(value) - min(value) AS high_low_range FROM events GROUP BY 1)
+SELECT bar_start, close, high_low_range, volume,
+  lag(close, 12) OVER (ORDER BY bar_start) AS previous_hour_close,
+  lag(high_low_range, 12) OVER (ORDER BY bar_start) AS previous_hour_high_low_range,
+  lag(volume, 12) OVER (ORDER BY bar_start) AS previous_hour_volume
+FROM b WHERE bar_start + INTERVAL '5 minutes' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""")
+def q_bars_stream_lag(spark, sf):
+    """Closed bars of the stream with the bar twelve bars earlier, from keyed
+    state; the same rows as ``bars_with_lag`` for every bar that is closed."""
+    src, base = B.source_glob(table_path(sf, "events"))
+    out, ck = shared_path(spark, "lagged"), shared_path(spark, "lagged-ck")
+    B.bars_stream(spark, src, SCHEMAS["events"], out, ck, "ts", "value", "event_id",
+                  watermark="10 minutes", base_path=base, lag=12)
+    return spark.read.parquet(out).select("bar_start", "close", "high_low_range", "volume", "previous_hour_close",
+                                          "previous_hour_high_low_range", "previous_hour_volume")
+
+
 _EMB_FEATS = [f"e{i}" for i in range(64)]
 
 
