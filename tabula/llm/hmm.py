@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -55,7 +56,25 @@ def suffix_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
-def block_words(column) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+#: What one byte does to a CRC-32 register, from the library's own values.
+_CRC_STEP = np.array([zlib.crc32(bytes([i])) ^ 0xFFFFFFFF for i in range(256)], np.uint32)
+_CRC_STEP ^= np.uint32(0xFFFFFF)  # a register of ones moved by a byte
+_CRC_STEP = _CRC_STEP[np.arange(256) ^ 0xFF]
+
+
+def suffix_classes(words: pa.LargeBinaryArray) -> np.ndarray:
+    """``suffix_class`` of many words."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8) if len(words) else np.zeros(0, np.uint8)
+    register = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for back in (3, 2, 1):
+        own = np.flatnonzero(np.diff(offsets) >= back)
+        r = register[own]
+        register[own] = _CRC_STEP[(r ^ data[offsets[own + 1] - back]) & 0xFF] ^ (r >> 8)
+    return ((register ^ np.uint32(0xFFFFFFFF)) % np.uint32(CLASSES)).astype(np.int32)
+
+
+def block_words(column) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray]:
     """Distinct words of a block, the word number of every token, and how
     many tokens each text has."""
     raw, at = utf8(column)
@@ -72,7 +91,7 @@ def block_words(column) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     offsets = np.append(before[first], len(data)).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     enc = words.dictionary_encode()
-    return enc.dictionary.to_pylist(), enc.indices.to_numpy(zero_copy_only=False).astype(np.int64), count
+    return enc.dictionary, enc.indices.to_numpy(zero_copy_only=False).astype(np.int64), count
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -83,7 +102,8 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             words, index, _ = block_words(block.column(0))
             counts = np.bincount(index, minlength=len(words))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([*words, b""], pa.binary()), pa.array([*map(suffix_class, words), -1], pa.int32()),
+                [pa.concat_arrays([words, pa.array([b""], pa.large_binary())]).cast(pa.binary()),
+                 pa.array(np.append(suffix_classes(words), -1).astype(np.int32)),
                  pa.array(np.append(counts, block.num_rows))], names=["word", "cls", "c"])
 
     parts = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word binary, cls int, c long")
@@ -140,15 +160,17 @@ def encode(docs: DataFrame, held_out: Column, vocab: Vocabulary, id_col: str, te
 
     def run(batches):
         v, packer = sent.value, zstandard.ZstdCompressor(level=1)
+        known = pa.array(list(v.known), pa.large_binary())
+        # the last place stands for words that are not known
+        known_symbol = np.array([s for s, _ in v.known.values()] + [-1], np.int64)
+        known_count = np.array([c for _, c in v.known.values()] + [0], np.int64)
         row = TaskContext.get().partitionId() << 33
         for block in blocks(batches, "text", BLOCK_BYTES):
             n = block.num_rows
             words, index, count = block_words(block.column(2))
             owner = np.repeat(np.arange(n), count)
-            found = [v.known.get(w) for w in words]
-            cls = np.array([suffix_class(w) for w in words], np.int64)
-            own = np.array([f[0] if f else -1 for f in found], np.int64)
-            c = np.array([f[1] if f else 0 for f in found], np.int64)
+            found = pc.fill_null(pc.index_in(words, value_set=known), len(known)).to_numpy()
+            cls, own, c = suffix_classes(words), known_symbol[found], known_count[found]
             symbol = np.where(own >= 0, own, 1 + v.symbols + cls) if len(words) else own
             log_c = np.log10(c + 1.0)
             log_class = np.where(own >= 0, 0.0, log_c - v.class_log[cls]) if len(words) else log_c
@@ -162,7 +184,7 @@ def encode(docs: DataFrame, held_out: Column, vocab: Vocabulary, id_col: str, te
             pair, tf = np.unique(owner[rare] * max(len(words), 1) + index[rare], return_counts=True)
             who, which = np.divmod(pair, max(len(words), 1))
             lists = pa.StructArray.from_arrays(
-                [pa.array([words[i] for i in which], pa.binary()), pa.array(tf, pa.int64())], names=["word", "tf"])
+                [words.take(pa.array(which)).cast(pa.binary()), pa.array(tf, pa.int64())], names=["word", "tf"])
             at = np.append(0, np.cumsum(np.bincount(who, minlength=n)))
             ended = int(v.ends > 0)
             yield pa.RecordBatch.from_arrays(
@@ -176,7 +198,9 @@ def encode(docs: DataFrame, held_out: Column, vocab: Vocabulary, id_col: str, te
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
-    return stash(rows.mapInArrow(run, ENCODED.format(kind=kind)), "symbols")
+    # texts of like length lie together: a block of the recursions has as many
+    # steps as its longest text, and each step then runs on nearly all of them
+    return stash(rows.mapInArrow(run, ENCODED.format(kind=kind)).sortWithinPartitions("n_tokens"), "symbols")
 
 
 @dataclass
