@@ -44,6 +44,8 @@ from tabula.llm.fingerprint import _LOWER
 #: Latent states, words with a symbol of their own, suffix classes, words
 #: whose counts travel to the tasks (at most), rounds of Baum-Welch.
 STATES, SYMBOLS, CLASSES, KNOWN, ROUNDS, SEED = 8, 4096, 256, 60_000, 4, 42
+#: Parts of a count bucket that is too large to travel whole.
+SLICES = 4096
 END = 0
 BLOCK_BYTES = 8 << 20
 #: Compressed symbols run together, about 600,000 tokens.
@@ -126,18 +128,25 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, symbols: int = SYMBOLS, known: int = KNOWN) -> Vocabulary:
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ends = counts.filter("cls = -1").agg(F.sum("c").alias("n")).first()["n"] or 0
-    # Words by sixteenths of a power of two of their count: the lowest bucket
-    # from which up at most ``known`` words lie. (Sorting would send ``known``
-    # rows from every task to the driver.)
-    words = counts.filter("cls >= 0").withColumn("bucket", F.floor(F.log2("c") * 16))
-    least, held = 1 << 30, 0
+    # Words by sixteenths of a power of two of their count, from the highest
+    # bucket down; of the bucket in which ``known`` is reached, the words of as
+    # many hash slices as there is room for. (Sorting would send ``known`` rows
+    # from every task to the driver.)
+    words = (counts.filter("cls >= 0").withColumn("bucket", F.floor(F.log2("c") * 16))
+             .withColumn("slice", F.pmod(F.xxhash64("word"), F.lit(SLICES))))
+    least, slices, held = -1, SLICES, 0
     for r in sorted(words.groupBy("bucket").agg(F.count("*").alias("v")).collect(), key=lambda r: -r["bucket"]):
-        held += r["v"]
-        if held > known:
+        if held + r["v"] > known:
+            least, slices = r["bucket"], 0
+            for q in sorted(words.filter(F.col("bucket") == least).groupBy("slice").agg(F.count("*").alias("v")).collect()):
+                held += q["v"]
+                if held > known:
+                    break
+                slices = q["slice"] + 1
             break
-        least = r["bucket"]
-    top = sorted(words.filter(F.col("bucket") >= least).select("word", "cls", "c").collect(),
-                 key=lambda r: (-r["c"], bytes(r["word"])))
+        held += r["v"]
+    chosen = (F.col("bucket") > least) | ((F.col("bucket") == least) & (F.col("slice") < slices))
+    top = sorted(words.filter(chosen).select("word", "cls", "c").collect(), key=lambda r: (-r["c"], bytes(r["word"])))
     mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in words.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         mass[r["cls"]], kinds[r["cls"]] = r["n"], r["v"]

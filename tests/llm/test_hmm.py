@@ -106,3 +106,16 @@ def test_nothing_to_learn_and_empty(spark):
     assert got[1]["n_known"] == 0 and got[1]["train_tokens"] == 0 and got[1]["base_score"] == 0
     assert math.isfinite(got[1]["score"]) and got[2]["n_tokens"] == 1
     assert H.score(frame.limit(0), F.lit(False)).count() == 0
+
+
+def test_more_equal_counts_than_room(spark):
+    """Words of one count: those that find no room are scored alike by the
+    base model, and room is used as far as it goes."""
+    words = [f"w{i}" for i in range(500)]
+    frame = spark.createDataFrame([(i, " ".join(words[i::5])) for i in range(5)], "doc_id long, text string")
+    for known, least in ((400, 390), (600, 500), (0, 0)):
+        vocab = H.vocabulary(H.word_counts(frame), symbols=450, known=known)
+        assert least <= len(vocab.known) <= known and vocab.symbols == min(450, len(vocab.known))
+    few, all_ = (H.score(frame, F.lit(False), rounds=1, states=2, known=k).orderBy("doc_id").collect() for k in (400, 600))
+    for a, b in zip(few, all_):
+        assert a["base_score"] == pytest.approx(b["base_score"], rel=1e-12) and a["n_known"] == b["n_known"]
