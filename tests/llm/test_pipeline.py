@@ -37,6 +37,20 @@ def plain_near(rows):
     return [r for r in rows if (r[0], r[0]) in own]
 
 
+def squeezed(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def one_each(rows, group):
+    """One row of every group, by the smallest id (none last)."""
+    best = {}
+    for r, g in zip(rows, group):
+        order = (r[0] is None, r[0] or 0)
+        if g not in best or order < best[g][0]:
+            best[g] = (order, r)
+    return [r for _, r in best.values()]
+
+
 def plain_secrets(rows):
     out = []
     for r in rows:
@@ -89,4 +103,28 @@ def test_odd_rows_and_extra_columns(spark, name):
     if name != "packing":
         assert sorted(got.columns) == sorted(frame.columns)
     assert got.count() > 0
+    names = ", _kept string, _spans string, _hit_id string, _hit_rules string, _own_spans string, _lang string, k string, " \
+            "listed string, c0 string, keep_id string"
+    base = odd_rows()[3][1]
+    rows = odd_rows() + [(3, base, "en", "s", 1), (7, base, "en", "s", 1), (None, base, "en", "s", 1), (9, base, "en", "s", 1),
+                         (9, base, "en", "s", 1), (None, "no id at all", "en", "s", 1), (None, None, None, None, None)]
+    clash = spark.createDataFrame([(*r, *"abcdefghij") for r in rows], schema + names)
+    got = stage(spark, clash, SF_SMALL)
+    kept = [tuple(r) for r in got.collect()]
+    if name == "exact_dedup":
+        want = one_each(rows, [squeezed(r[1]) for r in rows])
+    elif name == "near_dedup":
+        # ids of their own for rows that share one, in the order of the stage
+        order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+        group = {i: c for i, _, c in plain_classes([(n, rows[i][1]) for n, i in enumerate(order)])}
+        want = one_each([rows[i] for i in order], [group[n] for n in range(len(order))])
+    elif name == "secrets":
+        want = plain_secrets(rows)
+    if name in ("exact_dedup", "near_dedup", "secrets"):
+        assert got.columns == clash.columns and all(r[5:] == tuple("abcdefghij") for r in kept)
+        assert sorted((r[0] is None, r[0], squeezed(r[1])) for r in kept) == sorted(
+            (r[0] is None, r[0], squeezed(r[1])) for r in want) if name != "secrets" else \
+            sorted(map(repr, (r[:2] for r in kept))) == sorted(map(repr, (r[:2] for r in want)))
+    elif name == "language_id":
+        assert got.columns == clash.columns and all(r[5:] == tuple("abcdefghij") for r in kept)
     assert stage(spark, frame.limit(0), SF_SMALL).count() == 0
