@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from ..functions.scalar import safe_corr
 from ..plans.scale import one_row, quantiles
 from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
+from .newton import Fit, accuracies, newton, standardised
 from .sample import split_holdout, split_kfold
 
 
@@ -381,7 +382,42 @@ def rfe_logistic(df: DataFrame, features, label: str, key: str, min_features: in
     part of a holdout split: after each fit the ``step`` features with the
     smallest standardised coefficients (|coef| x std) go. ``accuracy`` is the
     mean over ``folds`` folds of all rows; with ``folds=0`` that of the holdout.
-    The fold fits of one size run beside the eliminations that follow it."""
+
+    Two classes: Newton steps, each one scan (``newton``). An elimination starts
+    from the coefficients before it; then the folds of all sizes are fitted side
+    by side in the same scans. More classes: one Spark ML fit per size and fold.
+    """
+    classes = sorted(r[0] for r in df.select(F.col(label).cast("double")).distinct().limit(3).collect() if r[0] is not None)
+    if classes != [0.0, 1.0]:
+        return _rfe_multinomial(df, features, label, key, min_features, test_size, seed, step, folds, parallelism)
+    feats = list(features)
+    rows = split_holdout(df, key, test_size, seed)
+    rows = split_kfold(rows, key, folds, seed) if folds else rows.withColumn("fold", F.lit(0))
+    data = standardised(rows, feats, label, ["split", "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        left, coefs, chosen = list(range(len(feats))), None, []
+        while True:
+            model = newton(data, [Fit(left, "0=test", coefs)])[0]
+            chosen.append(model)
+            if len(left) <= min_features:
+                break
+            weak = np.argsort(np.abs(model.coefs[1:]), kind="stable")
+            kept = np.sort(weak[min(step, len(left) - min_features):])
+            left, coefs = [left[i] for i in kept], model.coefs[[0, *(kept + 1)]]
+        if folds:
+            fits = newton(data, [Fit(m.columns, f"1={k}", m.coefs) for m in chosen for k in range(folds)])
+            scores = np.array(accuracies(data, fits)).reshape(len(chosen), folds).mean(axis=1)
+        else:
+            scores = accuracies(data, chosen)
+    finally:
+        data.unpersist()
+    out = [(len(m.columns), ",".join(feats[i] for i in m.columns), float(a)) for m, a in zip(chosen, scores)]
+    return df.sparkSession.createDataFrame(out, "n_features INT, features STRING, accuracy DOUBLE")
+
+
+def _rfe_multinomial(df: DataFrame, features, label: str, key: str, min_features: int, test_size: float,
+                     seed: int, step: int, folds: int, parallelism: int) -> DataFrame:
+    """The fold fits of one size run beside the eliminations that follow it."""
     feats = list(features)
     stds = one_row(df, *[F.stddev_samp(f).alias(f) for f in feats])
     rows = split_holdout(df, key, test_size, seed)
