@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import is_numeric, missing, nan_to_null
-from ..plans.scale import one_row, quantiles
+from ..plans.scale import column_summaries, one_row
 
 
 def percent_missing(df: DataFrame, columns=None) -> DataFrame:
@@ -64,20 +64,23 @@ def profile_columns(df: DataFrame, columns=None, exact_distinct: bool = True) ->
     """``profile_columns``: one row per column with count, missing, distinct,
     and for numeric columns mean, sample std, min, quartiles and max.
 
-    Moments and missing counts of all columns come from one aggregate,
-    quartiles from the exact (value, count) quantiles of each numeric column,
-    distinct counts from one (column, value) aggregate over all columns; the
-    wide result row is reshaped to long form.
+    Moments and missing counts of all columns come from one aggregate;
+    quartiles and distinct counts of all columns from one range partitioning of
+    their (column, value, count) rows; the wide result row is reshaped to long
+    form. With ``exact_distinct=False`` only numeric columns are laid out.
     """
     columns = columns or df.columns
-    distinct = {} if not exact_distinct else _distinct_counts(df, columns)
+    values = {c: nan_to_null(df, c) for c in columns}
+    numeric = {c: v for c, v in values.items() if is_numeric(df, c)}
+    other = {c: v for c, v in values.items() if c not in numeric} if exact_distinct else {}
+    quartiles, distinct = column_summaries(df, numeric, other, (0.25, 0.5, 0.75))
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(columns):
         v = nan_to_null(df, c)
         aggs += [F.sum(missing(df, c).cast("long")).alias(f"m{i}"), (F.lit(distinct.get(c, 0)) if exact_distinct else F.approx_count_distinct(v)).alias(f"d{i}")]
         if is_numeric(df, c):
             vd = v.cast("double")
-            q = F.array(*[F.lit(v).cast("double") for v in quantiles(df, c, (0.25, 0.5, 0.75))])
+            q = F.array(*[F.lit(x).cast("double") for x in quartiles[c]])
             aggs += [F.avg(vd).alias(f"mean{i}"), F.stddev_samp(vd).alias(f"std{i}"),
                      F.min(vd).alias(f"min{i}"), F.max(vd).alias(f"max{i}"), q.alias(f"q{i}")]
     wide = df.agg(*aggs)

@@ -5,7 +5,8 @@
 * ``global_rank``: exact, contiguous 1-based row numbers over a total order
   without funnelling all rows through one task (range partitioning, per
   partition counts, prefix offsets).
-* ``quantiles``: exact quantiles from (value, count) aggregates.
+* ``quantiles``: exact quantiles from (value, count) aggregates;
+  ``column_summaries``: the same for many columns in one shuffle.
 
 Lookups are joined without hints: AQE broadcasts a side whose measured bytes
 lie below ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed
@@ -34,14 +35,21 @@ def one_row(df: DataFrame, *aggs: Column) -> dict:
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     """Slices of about ``SLICE_BYTES`` of the scanned tables, at least the
     session's shuffle partitions; no job is run. (The estimate of a whole plan
-    multiplies the sides of every join, so only its tables are asked.)"""
+    multiplies the sides of every join, so only its tables are asked.) A leaf
+    without files, such as a checkpointed frame, tells its partitions instead:
+    they were cut by size before."""
     if n:
         return n
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    tables = [leaf for leaf in (leaves.apply(i) for i in range(leaves.size()))
-              if leaf.getClass().getSimpleName() == "LogicalRelation"]
-    return max(least, -(-sum(int(x.stats().sizeInBytes()) for x in tables) // SLICE_BYTES))
+    bytes_, parts = 0, 0
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRDD":
+            parts += leaf.rdd().getNumPartitions()
+        elif kind in ("LogicalRelation", "DataSourceV2ScanRelation"):
+            bytes_ += int(leaf.stats().sizeInBytes())
+    return max(least, parts, -(-bytes_ // SLICE_BYTES))
 
 
 def range_slices(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:
@@ -97,6 +105,70 @@ def global_rank_total(df: DataFrame, order: list, rank_col: str = "_grn",
     return out, acc
 
 
+def _wanted(ps, n: int) -> dict:
+    """For every share: its place among n rows, and the places around it."""
+    return {float(p): ((n - 1) * float(p), int(math.floor((n - 1) * float(p))), int(math.ceil((n - 1) * float(p))))
+            for p in ps}
+
+
+def _between(place, low, high):
+    """Linear interpolation, with the arithmetic of the percentile aggregate."""
+    h, lo, hi = place
+    return low if hi == lo else (hi - h) * low + (h - lo) * high
+
+
+def column_summaries(df: DataFrame, numeric: dict, other: dict, ps) -> tuple[dict, dict]:
+    """Exact quantiles of many columns and distinct counts of all, in one pass.
+
+    ``numeric`` and ``other`` name column expressions. All columns are laid out
+    as (column, value) rows and summed to counts per task before the one
+    shuffle, which range-partitions the distinct values by column and value. One
+    number per slice and column tells which slices hold the wanted ranks;
+    running counts are formed only there. NULLs and NaN are left out. Numbers
+    are ordered as doubles; whole numbers beyond 2^53 also by their text, so
+    that they stay distinct.
+    """
+    names = [*numeric, *other]
+    cells = []
+    for i, c in enumerate(names):
+        if c in numeric:
+            v = numeric[c].cast("double") + F.lit(0.0)
+            value = F.when(~F.isnan(v), v)
+            text = F.when(F.abs(v) >= 2.0 ** 53, numeric[c].cast("string"))
+        else:
+            value, text = F.lit(None).cast("double"), other[c].cast("string")
+        cells.append(F.struct(F.lit(i).alias("c"), value.alias("v"), text.alias("t")))
+    long = df.select(F.inline(F.array(*cells))).filter("v IS NOT NULL OR t IS NOT NULL")
+    ranged = range_slices(long.groupBy("c", "v", "t").agg(F.count(F.lit(1)).alias("k")), ["c", "v", "t"])
+    parts = sorted((r["c"], r["_pid"], r["rows"], r["n"]) for r in ranged.groupBy("c", "_pid").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("k").alias("n")).collect())
+    distinct, total = dict.fromkeys(names, 0), dict.fromkeys(names, 0)
+    for c, _, rows, n in parts:
+        distinct[names[c]] += rows
+        total[names[c]] += n
+    places = {c: _wanted(ps, total[c]) for c in numeric if total[c]}
+    need = {c: sorted({i + 1 for _, lo, hi in p.values() for i in (lo, hi)}) for c, p in places.items()}
+    before, seen = {}, dict.fromkeys(names, 0)
+    for c, pid, _, n in parts:
+        c = names[c]
+        if any(seen[c] < r <= seen[c] + n for r in need.get(c, ())):
+            before[(names.index(c), pid)] = seen[c]
+        seen[c] += n
+    got = {}
+    if before:
+        # one row per slice and column that is asked for
+        asked = df.sparkSession.createDataFrame(
+            [(c, pid, n, need[names[c]]) for (c, pid), n in before.items()], "c int, _pid int, _before long, _need array<long>")
+        w = Window.partitionBy("_pid", "c").orderBy("v", "t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        hits = (ranged.join(F.broadcast(asked), ["c", "_pid"]).withColumn("_hi", F.sum("k").over(w) + F.col("_before"))
+                .select("c", "v", F.filter("_need", lambda r: (r <= F.col("_hi")) & (r > F.col("_hi") - F.col("k"))).alias("at"))
+                .filter(F.size("at") > 0).collect())
+        got = {(names[r["c"]], rank): r["v"] for r in hits for rank in r["at"]}
+    found = {c: [_between(p, got[c, p[1] + 1], got[c, p[2] + 1]) for p in places[c].values()] if c in places
+             else [None] * len(ps) for c in numeric}
+    return found, distinct
+
+
 def quantiles(df: DataFrame, column: str, ps) -> list:
     """Exact linear-interpolated quantiles (numpy's default) of ``column``.
 
@@ -114,10 +186,7 @@ def quantiles(df: DataFrame, column: str, ps) -> list:
     ps = [float(p) for p in ps]
     if n == 0:
         return [None] * len(ps)
-    pos = {}
-    for p in ps:
-        h = (n - 1) * p
-        pos[p] = (h, int(math.floor(h)), int(math.ceil(h)))
+    pos = _wanted(ps, n)
     need = sorted({i + 1 for _, lo, hi in pos.values() for i in (lo, hi)})
     before, acc = {}, 0
     for pid, c in sums:
@@ -132,10 +201,4 @@ def quantiles(df: DataFrame, column: str, ps) -> list:
                                         lambda r: (r <= F.col("_hi")) & (r > F.col("_hi") - F.col("_c"))))
             .filter(F.size("_at") > 0).select("_v", "_at").collect())
     got = {r: row["_v"] for row in hits for r in row["_at"]}
-    out = []
-    for p in ps:
-        h, lo, hi = pos[p]
-        a, b = got[lo + 1], got[hi + 1]
-        # same interpolation arithmetic as the percentile aggregate
-        out.append(a if hi == lo else (hi - h) * a + (h - lo) * b)
-    return out
+    return [_between(pos[p], got[pos[p][1] + 1], got[pos[p][2] + 1]) for p in ps]

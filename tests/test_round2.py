@@ -141,3 +141,29 @@ def test_random_search_query_is_a_forest_over_all_dimensions(spark, monkeypatch)
     q_models.q_random_search(spark, SF_SMALL)
     assert isinstance(seen.pop("estimator"), RandomForestClassifier)
     assert seen == {"iterations": 50, "folds": 5, "size": 64, "settings": 216}
+
+
+def test_profile_of_many_columns_in_one_pass(spark):
+    from tabula.operators.missing import profile_columns
+
+    rng = random.Random(6)
+    big = 2**60
+    rows = [(i, 7.0 if i % 3 else rng.random() * 10, rng.choice([None, float("nan"), -1.5, 2.0]), big + i % 5, rng.choice("abc"), None)
+            for i in range(1500)]
+    frame = spark.createDataFrame(rows, "k long, hot double, gaps double, big long, name string, none double").repartition(5)
+    got = {r["column_name"]: r for r in profile_columns(frame).collect()}
+    for c, at in (("k", 0), ("hot", 1), ("gaps", 2)):
+        own = [r[at] for r in rows if r[at] is not None and r[at] == r[at]]
+        want = np.quantile(own, [0.25, 0.5, 0.75])
+        assert [got[c]["p25"], got[c]["p50"], got[c]["p75"]] == pytest.approx(list(want)) and got[c]["n_distinct"] == len(set(own))
+    assert got["big"]["n_distinct"] == 5 and got["name"]["n_distinct"] == 3
+    assert got["none"]["n_distinct"] == 0 and got["none"]["p50"] is None and got["none"]["n_missing"] == 1500
+    assert profile_columns(frame.limit(0)).count() == 6
+
+
+def test_slices_of_a_checkpointed_frame(spark):
+    from tabula.plans.scale import _num_partitions
+
+    frame = spark.range(1000).repartition(23)
+    assert _num_partitions(frame.checkpoint(), None) >= 23
+    assert _num_partitions(frame.select("id"), None) == int(spark.conf.get("spark.sql.shuffle.partitions"))
