@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import safe_corr
 from ..plans.scale import one_row, quantiles
+from .boosting import boost_quantile
 from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
 from .newton import Fit, accuracies, newton, standardised
 from .sample import split_holdout, split_kfold
@@ -371,6 +372,23 @@ def intervals_quantile(train: DataFrame, score: DataFrame, features, label: str,
                          lin(hi_b).alias("upper_PI"))
 
 
+def intervals_quantile_boosted(train: DataFrame, score: DataFrame, features, label: str, key: str,
+                               confidence: float = 0.95, keep=(), rounds: int = 100, depth: int = 3,
+                               learning_rate: float = 0.1, validation_share: float = 0.1, patience: int = 10,
+                               seed: int = 46) -> DataFrame:
+    """``intervals_quantile``, boosted branch: lower/upper bounds by boosting on
+    the pinball loss, each stopped by a keyed validation part, and a boosted
+    least-squares prediction; returns ``lower_PI, prediction, upper_PI``."""
+    held = split_holdout(train, key, validation_share, seed)
+    tr = assemble(held.withColumn("_held", F.col("split") == "test"), features, label, ["_held"])
+    bounds = [boost_quantile(tr, q, rounds, depth, learning_rate, F.col("_held"), patience, seed=seed)
+              for q in ((1 - confidence) / 2, (1 + confidence) / 2)]
+    point = GBTRegressor(maxDepth=depth, maxIter=20, seed=seed).fit(tr)
+    scored = point.transform(assemble(score, features, None, [*keep]))
+    return (scored.withColumn("x", vector_to_array("features"))
+            .select(*keep, bounds[0].predict().alias("lower_PI"), "prediction", bounds[1].predict().alias("upper_PI")))
+
+
 # ---------------------------------------------------------- selection etc
 
 

@@ -145,6 +145,14 @@ def q_intervals_quantile(spark, sf):
     return MD.intervals_quantile(train, test, REG_F, "y", 0.95, keep=["rkey"])
 
 
+@query("intervals_quantile_boosted")
+def q_intervals_quantile_boosted(spark, sf):
+    """The boosted branch: pinball loss, at most 40 rounds a bound, stopped by a
+    tenth of the training rows."""
+    train, test = MD.holdout(_reg(spark, sf), "rkey")
+    return MD.intervals_quantile_boosted(train, test, REG_F, "y", "rkey", 0.95, keep=["rkey"], rounds=40, learning_rate=0.2)
+
+
 @query("join_inner_multi_key")
 def q_join_inner_multi_key(spark, sf):
     """Label, point prediction and lower/upper bounds side by side for the
