@@ -320,8 +320,9 @@ def find_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, id_col: st
     dealt = with_words(table, asked, max(1, math.ceil(total / shard_words)))
     bits = indexed(dealt, window)
 
-    places = earliest.select("anchor", "content", F.col("nid").alias("first_nid"), F.col("start").alias("first_start")).join(
-        bits, ["anchor", "content"], "left")
+    # written like the recurring anchors: a segment on many rows is split in the join below
+    places = stash(earliest.select("anchor", "content", F.col("nid").alias("first_nid"), F.col("start").alias("first_start"))
+                   .join(bits, ["anchor", "content"], "left"), "places")
     own = (F.col("nid") == F.col("first_nid")) & (F.col("start") == F.col("first_start"))
     every = F.expr(f"shiftleft(1L, CAST(words - {window - 1} AS INT)) - 1")
     hits = (found.join(places, ["anchor", "content"])
