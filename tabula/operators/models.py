@@ -381,8 +381,12 @@ def intervals_quantile_boosted(train: DataFrame, score: DataFrame, features, lab
     least-squares prediction; returns ``lower_PI, prediction, upper_PI``."""
     held = split_holdout(train, key, validation_share, seed)
     tr = assemble(held.withColumn("_held", F.col("split") == "test"), features, label, ["_held"])
-    bounds = [boost_quantile(tr, q, rounds, depth, learning_rate, F.col("_held"), patience, seed=seed)
-              for q in ((1 - confidence) / 2, (1 + confidence) / 2)]
+    def bound(q):
+        return boost_quantile(tr, q, rounds, depth, learning_rate, F.col("_held"), patience, seed=seed)
+
+    # both bounds beside each other: their rounds are chains of small jobs
+    with ThreadPoolExecutor(2) as pool:
+        bounds = list(pool.map(inheritable_thread_target(train.sparkSession)(bound), ((1 - confidence) / 2, (1 + confidence) / 2)))
     point = GBTRegressor(maxDepth=depth, maxIter=20, seed=seed).fit(tr)
     scored = point.transform(assemble(score, features, None, [*keep]))
     return (scored.withColumn("x", vector_to_array("features"))

@@ -147,10 +147,10 @@ def q_intervals_quantile(spark, sf):
 
 @query("intervals_quantile_boosted")
 def q_intervals_quantile_boosted(spark, sf):
-    """The boosted branch: pinball loss, at most 40 rounds a bound, stopped by a
+    """The boosted branch: pinball loss, at most 20 rounds a bound, stopped by a
     tenth of the training rows."""
     train, test = MD.holdout(_reg(spark, sf), "rkey")
-    return MD.intervals_quantile_boosted(train, test, REG_F, "y", "rkey", 0.95, keep=["rkey"], rounds=40, learning_rate=0.2)
+    return MD.intervals_quantile_boosted(train, test, REG_F, "y", "rkey", 0.95, keep=["rkey"], rounds=20, learning_rate=0.3)
 
 
 @query("join_inner_multi_key")
