@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.window import lag_variable
 
 LAGGED = ["close", "high_low_range", "volume"]
+STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def bar_aggregates(df: DataFrame, ts: str, value: str, width: str = "5 minutes",
@@ -112,16 +113,19 @@ def bars_stream(spark: SparkSession, source: str, schema: str, out_path: str, ch
         stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     bars = bar_aggregates(stream.withWatermark(ts, watermark), ts, value, width, key, entity)
     if lag:
-        # state of several columns and lists is kept by the RocksDB provider only
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         bars = lagged_bar_stream(bars, lag, entity)
     if ntz:
         bars = bars.withColumn("bar_start", F.col("bar_start").cast("timestamp_ntz")) \
                    .withColumn("bar_end", F.col("bar_end").cast("timestamp_ntz"))
-    q = (bars.writeStream.outputMode("append").format("parquet")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    writer = (bars.writeStream.outputMode("append").format("parquet")
+              .option("path", out_path).option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    before = spark.conf.get(STORE, None)
+    if lag:  # list state is kept by the RocksDB provider only
+        spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = writer.start()  # takes its own copy of the settings
+    finally:
+        spark.conf.set(STORE, before) if before else spark.conf.unset(STORE)
     q.awaitTermination()
 
 
