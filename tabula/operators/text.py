@@ -8,19 +8,15 @@ aggregates keyed by document.
 
 from __future__ import annotations
 
-from collections import Counter
-
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import DETACHMENT_RULES, ENGLISH_STOP_WORDS
 from ..functions.scalar import WORD, WORD2, lower_tokens, tokens
-from ..plans.scale import global_rank, global_rank_total
-from ..session import shared_path
+from ..plans.scale import global_rank
+from .topics import topics_lda  # noqa: F401
 
 
 def tokens_regex(df: DataFrame, text_col: str, out_col: str = "tokens",
@@ -147,52 +143,3 @@ def lemmatize(df: DataFrame, doc_col: str, tokens_col: str, lexicon: DataFrame,
     # documents whose token list is empty keep an empty list
     return df.select(doc_col).join(out, doc_col, "left").withColumn(
         out_col, F.coalesce(F.col(out_col), F.array().cast("array<string>")))
-
-
-# ------------------------------------------------------------------- topics
-
-
-def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5,
-               num_words: int = 4, max_iter: int = 15, seed: int = 46):
-    """``topics_lda``: online LDA; returns ``(topics, assignments, sizes)``:
-    top words with weights per topic, the dominant topic per document
-    (first on ties), and documents per topic.
-
-    The term list stays in Spark: a written table numbers the terms by falling
-    count. The model itself is ``num_topics`` x terms doubles, which Spark's LDA
-    holds on the driver and sends to the tasks (8 bytes a cell, some copies).
-    """
-    spark = df.sparkSession
-    # rows with repeated ids are documents of their own, so the row is the key
-    path = shared_path(spark, "lda-docs")
-    df.select(doc_col, F.col(tokens_col).alias("_tokens"),
-              F.monotonically_increasing_id().alias("_row")).write.parquet(path)
-    docs = spark.read.parquet(path)
-    words = docs.select("_row", F.explode("_tokens").alias("_t")).filter("_t IS NOT NULL")
-    counts = words.groupBy("_t").agg((-F.count(F.lit(1))).alias("_n"))
-    ranked, vocab_size = global_rank_total(counts, ["_n", "_t"], rank_col="_r")
-    path = shared_path(spark, "lda-terms")
-    ranked.select((F.col("_r") - 1).cast("int").alias("term_index"), F.col("_t").alias("word")).write.parquet(path)
-    terms, size = spark.read.parquet(path), max(vocab_size, 1)
-    cells = (words.join(terms, F.col("_t") == F.col("word")).groupBy("_row")
-             .agg(F.collect_list("term_index").alias("_c")))
-    vector = F.udf(lambda c: Vectors.sparse(size, dict(Counter(c or []))), VectorUDT())
-    # the online optimiser samples the corpus every iteration
-    bow = docs.select(doc_col, "_row").join(cells, "_row", "left").select(
-        doc_col, vector("_c").alias("_bow")).persist(StorageLevel.MEMORY_AND_DISK)
-    lda = LDA(k=num_topics, maxIter=max_iter, optimizer="online", seed=seed,
-              featuresCol="_bow")
-    model = lda.fit(bow)
-    desc = model.describeTopics(num_words).select(
-        "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-    topics = desc.select("topic", "rank", F.col("tw.termIndices").alias("term_index"),
-                         F.col("tw.termWeights").alias("weight"))
-    # num_topics x num_words rows meet the term table
-    topics = topics.join(terms, "term_index")
-    from pyspark.ml.functions import vector_to_array
-    from ..functions.scalar import argmax_array
-    assign = model.transform(bow).select(
-        doc_col, argmax_array(vector_to_array("topicDistribution")).alias("topic"))
-    sizes = assign.groupBy("topic").agg(F.count(F.lit(1)).alias("n_docs"))
-    return topics, assign, sizes
-

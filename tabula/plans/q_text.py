@@ -124,12 +124,12 @@ def q_lemmatize(spark, sf):
 
 @query("topics_lda")
 def q_topics_lda(spark, sf):
-    """Online LDA (5 topics, 15 iterations) over stop-word-filtered
-    documents: top 4 words per topic with their weights and the number of
-    documents whose dominant topic it is. Seeded; no SQL oracle."""
+    """Online LDA (5 topics, 15 steps, one pass over all documents) over
+    stop-word-filtered documents: top 4 words per topic with their weights and
+    the number of documents whose dominant topic it is. Seeded; no SQL oracle."""
     d = _filtered(spark, sf)
     topics, _, sizes = X.topics_lda(d, "doc_id", "filtered", num_topics=5, num_words=4,
-                                    max_iter=15, seed=46)
+                                  max_iter=15, seed=46)
     return topics.join(sizes, "topic", "left").select(
         "topic", "rank", "word", "weight", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
 
