@@ -77,27 +77,40 @@ def document_posteriors(starts, counts, beta, alpha: float, tol: float, rounds:
     return gamma, theta * beta * (counts / norm)[:, None]
 
 
-def block_cells(documents: pa.Table):
-    """``(rows, starts, word, counts, words)`` of a block's documents: their row
-    numbers, first cells, and each cell's place in the list of distinct words."""
+BLOCK_ROWS = "_block long, _batch int, _row long, places array<int>, counts array<int>, place int, word string"
+
+
+def block_rows(documents: pa.Table) -> pa.Table:
+    """The rows that a block is written as: its distinct words, numbered from 0, and
+    its documents as places in that list with counts."""
     tokens = documents.column("_tokens").combine_chunks()
     coded = tokens.flatten().dictionary_encode()
     lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
-    codes, size = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    cells, counts = np.unique(doc * size + codes, return_counts=True)
-    starts = np.searchsorted(cells, np.arange(len(lengths)) * size)
-    return documents.column("_row"), starts, cells % size, counts.astype(float), coded.dictionary
-
-
-def _posteriors(documents: pa.Table, weights: pa.Table, mean_log_total, alpha, tol, rounds):
-    rows, starts, word, counts, words = block_cells(documents)
-    k = len(mean_log_total)
-    table = np.column_stack([weights.column(f"w{j}").to_numpy() for j in range(k)])
-    place = pc.index_in(words, value_set=weights.column("word").combine_chunks()).to_numpy(zero_copy_only=False)
-    beta = np.exp(digamma(table[place.astype(np.int64)]) - np.asarray(mean_log_total))
-    gamma, shares = document_posteriors(starts, counts, beta[word], alpha, tol, rounds)
-    return rows, word, words, gamma, shares
+    codes, size, n = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary), len(lengths)
+    cells, counts = np.unique(np.repeat(np.arange(n), lengths) * size + codes, return_counts=True)
+    ends = pa.array(np.append(np.searchsorted(cells, np.arange(n) * size), len(cells)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (cells % size, counts)]
+    block, batch = (documents.column(c)[0].as_py() for c in ("_block", "_batch"))
+
+    def table(rows, *columns):
+        return pa.table([pa.array([block] * rows, pa.int64()), pa.array([batch] * rows, pa.int32()), *columns],
+                        names=["_block", "_batch", "_row", "places", "counts", "place", "word"])
+    of_documents = table(n, documents.column("_row"), *lists, pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()))
+    of_words = table(size, pa.nulls(size, pa.int64()), *[pa.nulls(size, pa.list_(pa.int32()))] * 2,
+                     pa.array(np.arange(size, dtype=np.int32)), coded.dictionary.cast(pa.string()))
+    return pa.concat_tables([of_documents, of_words])
+
+
+def _posteriors(documents: pa.Table, looked: pa.Table, scale, eta, mean_log_total, alpha, tol, rounds):
+    k, order = len(mean_log_total), np.argsort(looked.column("place").to_numpy())
+    weights = np.column_stack([looked.column(f"u{j}").to_numpy() for j in range(k)])[order] * scale + eta
+    beta = np.exp(digamma(weights) - np.asarray(mean_log_total))
+    places, counts = (documents.column(c).combine_chunks() for c in ("places", "counts"))
+    sizes = pc.list_value_length(places).to_numpy(zero_copy_only=False)
+    place = places.flatten().to_numpy(zero_copy_only=False)
+    gamma, shares = document_posteriors(np.append(0, np.cumsum(sizes)[:-1]), counts.flatten().to_numpy(zero_copy_only=False).astype(float),
+                                        beta[place], alpha, tol, rounds)
+    return documents.column("_row"), place, looked.column("word").take(pa.array(order)), gamma, shares
 
 
 class TopicWeights:
@@ -121,31 +134,37 @@ class TopicWeights:
         return self.read(*self.parts).groupBy("word").agg(*[F.sum(f"u{j}").alias(f"u{j}") for j in range(self.k)])
 
     def of(self, words: DataFrame) -> DataFrame:
-        """``words`` with the columns ``w0, w1, ...``. Before the first step they are
-        draws around 1 with deviation 0.1, keyed by word and topic."""
+        """``words`` with their units ``u0, u1, ...``. Before the first step the weights
+        are draws around 1 with deviation 0.1, keyed by word and topic."""
         if not self.parts:
             key = F.xxhash64("word")
 
             def start(j):
                 radius = F.sqrt(F.log(1.0 - draw_uniform(key, self.seed + 2 * j)) * -2.0)
                 return F.greatest(F.lit(0.01), radius * F.cos(draw_uniform(key, self.seed + 2 * j + 1) * (2 * math.pi)) * 0.1 + 1.0)
-            return words.select("*", *[start(j).alias(f"w{j}") for j in range(self.k)])
+            return words.select("*", *[(start(j) - self.eta).alias(f"u{j}") for j in range(self.k)])
         return words.join(self.units(), "word", "left").select(
-            *words.columns, *[(F.coalesce(f"u{j}", F.lit(0.0)) * self.scale + self.eta).alias(f"w{j}") for j in range(self.k)])
+            *words.columns, *[F.coalesce(f"u{j}", F.lit(0.0)).alias(f"u{j}") for j in range(self.k)])
+
+    def step(self, counts, rho: float, factor: float) -> None:
+        """Move to ``(1 - rho) * weights + rho * (eta + factor * counts)``. The first
+        step replaces the starting draws whole, whatever ``rho``.
 
-    def step(self, counts: DataFrame, rho: float, factor: float) -> None:
-        """Move to ``(1 - rho) * weights + rho * (eta + factor * counts)``; ``counts`` are
-        rows (word, s0, s1, ...), several for a word from different blocks. The first
-        step replaces the starting draws whole, whatever ``rho``."""
+        ``counts(times)`` gives rows (word, u0, u1, ...) with the counts times the number
+        ``times``, several for a word from different blocks. The number is applied by
+        the caller's kernel: as a literal it would make new code of every step."""
         if self.sums is None:
             rho, self.sums = 1.0, [0.0] * self.k
+            scale = 1.0
         else:
-            self.scale *= 1.0 - rho
+            scale = self.scale * (1.0 - rho)
             self.sums = [s * (1.0 - rho) for s in self.sums]
-        path, grow = shared_path(self.spark, "lda-weights"), rho * factor
-        counts.groupBy("word").agg(*[(F.sum(f"s{j}") * (grow / self.scale)).alias(f"u{j}") for j in range(self.k)]).write.parquet(path)
+        path = shared_path(self.spark, "lda-weights")
+        rows = counts(rho * factor / scale)
+        rows.groupBy("word").agg(*[F.sum(f"u{j}").alias(f"u{j}") for j in range(self.k)]).write.parquet(path)
         added = one_row(self.read(path), *[F.sum(f"u{j}").alias(f"u{j}") for j in range(self.k)])
-        self.sums = [s + (added[f"u{j}"] or 0.0) * self.scale for j, s in enumerate(self.sums)]
+        self.scale = scale
+        self.sums = [s + (added[f"u{j}"] or 0.0) * scale for j, s in enumerate(self.sums)]
         self.parts.append(path)
         if len(self.parts) >= MERGE:
             self.merge()
@@ -175,7 +194,7 @@ def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5
     """
     spark, k = df.sparkSession, num_topics
     alpha = eta = 1.0 / k
-    names = [f"w{j}" for j in range(k)]
+    names = [f"u{j}" for j in range(k)]
     # the row numbers are frozen by the write, so that later deals of the rows agree
     path = shared_path(spark, "lda-rows")
     kept = F.filter(tokens_col, lambda w: w.isNotNull())
@@ -189,36 +208,37 @@ def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5
     path = shared_path(spark, "lda-blocks")
     dealt = rows.filter(F.size("_tokens") > 0).select(
         "_row", "_tokens", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(blocks)).alias("_block"))
-    (dealt.withColumn("_batch", (F.col("_block") % batches).cast("int")).repartitionByRange("_batch", "_block")
-     .write.partitionBy("_batch").parquet(path))
+    (dealt.withColumn("_batch", (F.col("_block") % batches).cast("int")).groupBy("_block").applyInArrow(block_rows, BLOCK_ROWS)
+     .repartitionByRange("_batch", "_block").write.partitionBy("_batch").parquet(path))
     model = TopicWeights(spark, k, vocabulary, eta, seed)
     if vocabulary:
-        docs = spark.read.schema("_row long, _tokens array<string>, _block long, _batch int").parquet(path)
-        held = {r["_batch"]: r["count"] for r in docs.groupBy("_batch").count().collect()}
+        dealt_blocks = spark.read.schema(BLOCK_ROWS).parquet(path)
+        held = {r["_batch"]: r["n"] for r in dealt_blocks.groupBy("_batch").agg(F.count("_row").alias("n")).collect()}
         order = sorted(held)
 
     def cogroup(part, kernel, schema):
-        pairs = part.select(F.col("_block").alias("_of"), F.explode("_tokens").alias("word")).distinct()
-        looked = model.of(pairs).select("_of", "word", *names)
-        mean_log_total = digamma(model.totals).tolist()
+        documents = part.filter("_row IS NOT NULL").select("_block", "_row", "places", "counts")
+        looked = model.of(part.filter("word IS NOT NULL").select(F.col("_block").alias("_of"), "place", "word"))
+        scale, mean_log_total = model.scale, digamma(model.totals).tolist()
 
-        def of_block(documents: pa.Table, weights: pa.Table) -> pa.Table:
-            return kernel(*_posteriors(documents, weights, mean_log_total, alpha, tol, rounds))
-        return (part.select("_block", "_row", "_tokens").groupBy("_block")
-                .cogroup(looked.groupBy("_of")).applyInArrow(of_block, schema))
+        def of_block(left: pa.Table, right: pa.Table) -> pa.Table:
+            return kernel(*_posteriors(left, right, scale, eta, mean_log_total, alpha, tol, rounds))
+        return documents.groupBy("_block").cogroup(looked.groupBy("_of")).applyInArrow(of_block, schema)
 
-    def word_counts(_, word, found, gamma, shares):
-        sums = [np.bincount(word, weights=shares[:, j], minlength=len(found)) for j in range(k)]
-        return pa.table([found, *map(pa.array, sums)], names=["word", *[f"s{j}" for j in range(k)]])
+    def word_counts(times):
+        def kernel(_, place, found, gamma, shares):
+            sums = [np.bincount(place, weights=shares[:, j], minlength=len(found)) * times for j in range(k)]
+            return pa.table([found, *map(pa.array, sums)], names=["word", *names])
+        return kernel
 
-    def dominant(numbers, word, found, gamma, shares):
+    def dominant(numbers, place, found, gamma, shares):
         return pa.table([numbers, pa.array(gamma.argmax(1).astype(np.int32))], names=["_row", "_topic"])
 
     for i in range(max_iter if vocabulary else 0):
         batch = order[i % len(order)]
-        counts = cogroup(docs.filter(F.col("_batch") == batch), word_counts,
-                         "word string, " + ", ".join(f"s{j} double" for j in range(k)))
-        model.step(counts, (offset + i) ** -decay, sum(held.values()) / held[batch])
+        part = dealt_blocks.filter(F.col("_batch") == batch)
+        model.step(lambda times: cogroup(part, word_counts(times), "word string, " + ", ".join(f"{c} double" for c in names)),
+                   (offset + i) ** -decay, sum(held.values()) / held[batch])
 
     if not model.parts:
         topics = spark.createDataFrame([], "topic int, rank int, word string, weight double")
@@ -232,7 +252,7 @@ def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5
         topics = (cells.withColumn("rank", place).filter(F.col("rank") <= num_words)
                   .select("topic", (F.col("rank") - 1).alias("rank"), "word", "weight"))
         path = shared_path(spark, "lda-topics")
-        cogroup(docs, dominant, "_row long, _topic int").write.parquet(path)
+        cogroup(dealt_blocks, dominant, "_row long, _topic int").write.parquet(path)
         assign = (rows.select(doc_col, "_row").join(spark.read.parquet(path), "_row", "left")
                   .select(doc_col, F.coalesce("_topic", F.lit(0)).alias("topic")))
     sizes = assign.groupBy("topic").agg(F.count(F.lit(1)).alias("n_docs"))

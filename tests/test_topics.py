@@ -73,7 +73,8 @@ def test_steps_of_the_table_equal_dense_steps(spark):
     dense = {w: np.full(2, np.nan) for w in "abcdef"}
     for i in range(topics.MERGE + 3):
         rows = [(w, rng.random(), rng.random()) for w in rng.choices("abcdef", k=4)]
-        model.step(spark.createDataFrame(rows, "word string, s0 double, s1 double"), (1 + i) ** -0.5, 3.0)
+        model.step(lambda times: spark.createDataFrame([(w, a * times, b * times) for w, a, b in rows], "word string, u0 double, u1 double"),
+                   (1 + i) ** -0.5, 3.0)
         rho = (1 + i) ** -0.5
         for w in dense:
             found = sum((np.array(r[1:]) for r in rows if r[0] == w), np.zeros(2))
