@@ -30,7 +30,7 @@ from ..plans.scale import one_row
 from ..session import shared_path
 
 #: Tokens times topics of a block: what one cogroup holds, beside its longest document.
-BLOCK_CELLS = 1 << 20
+BLOCK_CELLS = 1 << 22
 #: Written parts of the weights that a step reads at most.
 MERGE = 8
 
