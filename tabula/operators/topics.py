@@ -12,7 +12,8 @@ vocabulary or the corpus passes through it.
 The weights are ``eta + scale * units``. A step multiplies ``scale`` by
 ``1 - rho`` and writes ``rho * counts / scale`` for the words of its batch only,
 so a word that is not in the batch costs nothing. Every ``MERGE`` steps the
-written parts are summed into one table, which also sets the scale back to 1.
+written parts are summed into one table, which also sets the scale back to 1;
+the summed parts, which no later plan reads, are deleted.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from ..session import shared_path
 #: Tokens times topics of a block: what one cogroup holds, beside its longest document.
 BLOCK_CELLS = 1 << 22
 #: Written parts of the weights that a step reads at most.
-MERGE = 8
+MERGE = 4
 
 
 def digamma(x):
@@ -131,6 +132,8 @@ class TopicWeights:
         return self.spark.read.schema("word string, " + ", ".join(f"u{j} double" for j in range(self.k))).parquet(*paths)
 
     def units(self) -> DataFrame:
+        if len(self.parts) == 1:
+            return self.read(*self.parts)  # holds every word once
         return self.read(*self.parts).groupBy("word").agg(*[F.sum(f"u{j}").alias(f"u{j}") for j in range(self.k)])
 
     def of(self, words: DataFrame) -> DataFrame:
@@ -173,7 +176,10 @@ class TopicWeights:
         """One table (word, u0, u1, ...) with scale 1 in place of the parts."""
         path = shared_path(self.spark, "lda-weights")
         self.units().select("word", *[(F.col(f"u{j}") * self.scale).alias(f"u{j}") for j in range(self.k)]).write.parquet(path)
-        self.parts, self.scale = [path], 1.0
+        merged, self.parts, self.scale = self.parts, [path], 1.0
+        for old in merged:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(old)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
         return self.read(path)
 
 
