@@ -166,7 +166,7 @@ def join_left_default(df: DataFrame, lookup: DataFrame, key, value: str, default
                       out_col: str | None = None) -> DataFrame:
     """``join_left_default``: left lookup; unmatched and NULL keys get ``default``.
 
-    The lookup side is broadcast only when its counted size is in bound.
+    No broadcast hint: the join strategy is left to AQE's measured sizes.
     """
     keys = [key] if isinstance(key, str) else list(key)
     out_col = out_col or value
