@@ -1,17 +1,22 @@
 """Exact k-nearest neighbours and SMOTE oversampling.
 
-``knn_join`` is a pivot-based join. Both sides are assigned to the nearest of
-a bounded number of pivots, every cell is cut along its distance from the pivot
-into blocks of at most ``block_rows`` rows, and triangle-inequality bounds
-decide which reference blocks a query block has to visit. Visited blocks meet
-their queries by equi-joins (no driver, no cross join), one bounded pair of
-blocks at a time, and the ``k`` best per query are merged by a window whose
-limit is applied before the shuffle. The result is exact; where the bounds
-cannot exclude a block (high-dimensional noise), it is visited.
+``knn_join`` is a join over a two-level metric index. There is one pivot per
+block of rows, up to a bound in bytes, and the square root of the pivots are
+super-pivots. Every row goes to the nearest pivot of its nearest super-pivot, and every cell is cut
+along its distance from the pivot into blocks of at most ``block_rows`` rows.
+Triangle-inequality bounds on the rings of super-cells, cells, bands of blocks
+and blocks decide in turn which reference blocks a query block has to visit.
+Visited blocks meet their queries by equi-joins (no driver, no cross join), one
+bounded pair of blocks at a time, and the ``k`` best per query are merged by a
+window whose limit is applied before the shuffle. The result is exact; where
+the bounds cannot exclude a block (high-dimensional noise), it is visited.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -21,8 +26,12 @@ from ..functions.random import draw_int, draw_uniform
 from ..plans.scale import global_rank, global_rank_total
 
 DEFAULT_BLOCK_ROWS = 2048
-#: Most pivots of a join: the only rows (with k + 1 distances each) that are broadcast.
-DEFAULT_PIVOTS = 256
+#: Most bytes of pivot vectors: the only rows (with k + 1 distances each) that are broadcast.
+PIVOT_BYTES = 32 << 20
+#: Consecutive blocks of a cell that are ruled out together.
+BAND_BLOCKS = 64
+#: Near reference rows that bound the k-th distance of a query (any number gives a valid bound).
+BOUND_ROWS = 256
 #: Queries scored at a time against one block.
 TILE_ROWS = 128
 
@@ -56,17 +65,50 @@ def _topk_block(q: np.ndarray, r: np.ndarray, r_ids: np.ndarray, k: int, q_ids:
     return q_ids[row[keep]], r_ids[col[keep]], d[keep]
 
 
-def _cell_blocks(rows: DataFrame, pivots, block_rows: int) -> DataFrame:
-    """``_id, _v, _cell, _dist, _blk``: nearest pivot, and the block of the row
-    among the rows of its cell ordered by (distance, id)."""
+@dataclass
+class _Index:
+    """Pivots, the super-pivots (the first of them), and the super-cell of every pivot."""
+
+    pivots: np.ndarray
+    supers: int
+    home: np.ndarray
+
+    def place(self, x: np.ndarray):
+        """Cell, distance from its pivot and distance from its super-pivot of every row."""
+        far = _distances(x, self.pivots[:self.supers])
+        top = far.argmin(1)
+        cell, dist = np.zeros(len(x), np.int32), np.zeros(len(x))
+        for s in np.unique(top):
+            rows, cells = np.nonzero(top == s)[0], np.nonzero(self.home == s)[0]
+            d = _distances(x[rows], self.pivots[cells])
+            near = d.argmin(1)
+            cell[rows], dist[rows] = cells[near], d[np.arange(len(rows)), near]
+        return cell, dist, far[np.arange(len(x)), top]
+
+
+def _index(reference: DataFrame, block_rows: int) -> _Index | None:
+    """Pivots drawn by key: one per ``block_rows`` rows, at most ``PIVOT_BYTES``
+    of vectors. (Beyond that the cells hold several blocks, cut by distance.)"""
+    size = reference.agg(F.count(F.lit(1)).alias("m"), F.max(F.size("_v")).alias("d")).first()
+    if not size["m"]:
+        return None
+    n = min(-(-size["m"] // block_rows), PIVOT_BYTES // (8 * max(1, size["d"])))
+    chosen = reference.orderBy(draw_int("_id", 46), "_id").limit(max(1, n)).collect()
+    pivots = np.array([row["_v"] for row in chosen], dtype=np.float64).reshape(len(chosen), -1)
+    supers = math.isqrt(len(pivots) - 1) + 1
+    return _Index(pivots, supers, _distances(pivots, pivots[:supers]).argmin(1))
+
+
+def _cell_blocks(rows: DataFrame, index, block_rows: int) -> DataFrame:
+    """``_id, _v, _cell, _dist, _top, _blk``: place in the index, and the block
+    of the row among the rows of its cell ordered by (distance, id)."""
     def assign(it):
         for p in it:
             if len(p):
-                d = _distances(_matrix(p["_v"]), pivots.value)
-                cell = d.argmin(1)
-                yield p.assign(_cell=cell.astype(np.int32), _dist=d[np.arange(len(p)), cell])
+                cell, dist, top = index.value.place(_matrix(p["_v"]))
+                yield p.assign(_cell=cell, _dist=dist, _top=top)
 
-    placed = rows.mapInPandas(assign, "_id long, _v array<double>, _cell int, _dist double")
+    placed = rows.mapInPandas(assign, "_id long, _v array<double>, _cell int, _dist double, _top double")
     ranked = global_rank(placed, ["_cell", "_dist", "_id"], rank_col="_r")
     first = ranked.groupBy("_cell").agg(F.min("_r").alias("_first"))  # at most one row per pivot
     return (ranked.join(F.broadcast(first), "_cell")
@@ -74,58 +116,94 @@ def _cell_blocks(rows: DataFrame, pivots, block_rows: int) -> DataFrame:
             .drop("_r", "_first"))
 
 
+def _overlap(inner: str, outer: str):
+    """Whether a ring may hold a row within ``_theta`` of a query."""
+    return (F.col("_low") - F.col(outer) <= F.col("_theta")) & (F.col(inner) - F.col("_high") <= F.col("_theta"))
+
+
+def plan_visits(qb: DataFrame, rb: DataFrame, index, need: int) -> DataFrame:
+    """``(_qcell, _qblk, _rcell, _rblk)``: the reference blocks that may hold
+    one of the ``need`` nearest rows of a query block.
+
+    The tasks rule out super-cells, then cells, by rings that are broadcast
+    (four numbers and ``need`` distances per pivot). What is left meets the
+    bands of its cell by a join, and the blocks of its bands by another.
+    """
+    sc = qb.sparkSession.sparkContext
+    closest = Window.partitionBy("_cell").orderBy("_dist", "_id")
+    near = (rb.select("_cell", "_dist", "_id").withColumn("_n", F.row_number().over(closest))
+            .filter(F.col("_n") <= need).select("_cell", "_dist").collect())
+    rings = rb.groupBy("_cell").agg(F.min("_dist"), F.max("_dist"), F.min("_top"), F.max("_top")).collect()
+    held = np.array([tuple(r) for r in rings], dtype=np.float64)
+    sent = sc.broadcast((np.array([x["_cell"] for x in near]), np.array([x["_dist"] for x in near]), held))
+
+    def reach(key, p):
+        at, (near_cell, near_dist, rings) = index.value, sent.value
+        x, cells = _matrix(p["_v"]), rings[:, 0].astype(int)
+        centre = _distances(at.pivots, at.pivots[[key[0]]])[:, 0]
+        radius = p["_dist"].max()
+        theta = np.inf
+        if len(near_cell) >= need:
+            around = centre[near_cell] + near_dist
+            best = np.argsort(around)[:max(need, BOUND_ROWS)]
+            used, place = np.unique(near_cell[best], return_inverse=True)
+            byrow = _distances(x, at.pivots[used])[:, place] + near_dist[best]
+            theta = min(around[best[need - 1]] + radius, np.partition(byrow, need - 1, axis=1)[:, need - 1].max())
+        far = _distances(x, at.pivots[:at.supers])
+        theta += 1e-9 * (theta + far.max()) if np.isfinite(theta) else 0.0  # rounding of the distances
+        inner, outer = np.full(at.supers, np.inf), np.full(at.supers, -np.inf)
+        np.minimum.at(inner, at.home[cells], rings[:, 3])
+        np.maximum.at(outer, at.home[cells], rings[:, 4])
+        open_ = (far.min(0) - outer <= theta) & (inner - far.max(0) <= theta)
+        span = radius * (1 + 1e-9)
+        left = np.nonzero(open_[at.home[cells]] & (centre[cells] - span - rings[:, 2] <= theta)
+                          & (rings[:, 1] - centre[cells] - span <= theta))[0]
+        out = []
+        for i in range(0, len(left), BOUND_ROWS):
+            part = left[i:i + BOUND_ROWS]
+            d = _distances(x, at.pivots[cells[part]])
+            low, high = d.min(0), d.max(0)
+            ok = (low - rings[part, 2] <= theta) & (rings[part, 1] - high <= theta)
+            out.append(pd.DataFrame({"_rcell": cells[part][ok].astype(np.int32), "_low": low[ok], "_high": high[ok]}))
+        found = pd.concat(out) if out else pd.DataFrame({"_rcell": np.zeros(0, np.int32), "_low": 0.0, "_high": 0.0})
+        return found.assign(_qcell=np.int32(key[0]), _qblk=key[1], _theta=theta)
+
+    reached = (qb.select("_cell", "_blk", "_v", "_dist").groupBy("_cell", "_blk")
+               .applyInPandas(reach, "_rcell int, _low double, _high double, _qcell int, _qblk long, _theta double"))
+    band = F.floor(F.col("_rblk") / BAND_BLOCKS).alias("_band")
+    blocks = (rb.groupBy(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk"))
+              .agg(F.min("_dist").alias("_in"), F.max("_dist").alias("_out"))
+              .select("*", band).checkpoint())
+    bands = blocks.groupBy("_rcell", "_band").agg(F.min("_in").alias("_bin"), F.max("_out").alias("_bout"))
+    return (reached.join(bands, "_rcell").filter(_overlap("_bin", "_bout"))
+            .join(blocks, ["_rcell", "_band"]).filter(_overlap("_in", "_out"))
+            .select("_qcell", "_qblk", "_rcell", "_rblk").checkpoint())
+
+
 def knn_join(queries: DataFrame, reference: DataFrame, q_key: str, r_key: str, vec: str,
-             k: int = 5, exclude_self: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS,
-             max_pivots: int = DEFAULT_PIVOTS) -> DataFrame:
+             k: int = 5, exclude_self: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``knn_join``: ``(q_key, neighbor_rank, neighbor_id, sq_distance)`` for
     the ``k`` nearest reference rows of every query row (Euclidean; ties by
     neighbour id). ``exclude_self`` skips the row with the same key. Keys are
-    unique integers; rows without a vector take no part.
-
-    There is one pivot per ``block_rows`` reference rows, ``max_pivots`` at most.
+    unique integers; rows without a vector take no part. Of equal reference
+    vectors only the ``k`` (with ``exclude_self`` one more) smallest ids can be
+    neighbours; the others leave before the index is built.
     """
     spark = queries.sparkSession
     v = F.transform(F.col(vec), lambda x: x.cast("double")).alias("_v")
     q = queries.filter(F.col(vec).isNotNull()).select(F.col(q_key).cast("long").alias("_id"), v)
     r = reference.filter(F.col(vec).isNotNull()).select(F.col(r_key).cast("long").alias("_id"), v)
-    m = r.count()
-    n_pivots = max(1, min(max_pivots, -(-m // block_rows)))
-    chosen = r.orderBy(draw_int("_id", 46), "_id").limit(n_pivots).collect()
-    if not chosen:
-        return spark.createDataFrame([], f"{q_key} long, neighbor_id long, sq_distance double, neighbor_rank int")
-    pivots = spark.sparkContext.broadcast(np.array([row["_v"] for row in chosen], dtype=np.float64))
-    rb = _cell_blocks(r, pivots, block_rows)
-    same = queries is reference and q_key == r_key
-    qb = rb if same else _cell_blocks(q, pivots, block_rows)
-
-    # The smallest pivot distances of every cell: upper bounds of the k-th
-    # distance of any query (one more than k where the query itself may count).
     need = k + 1 if exclude_self else k
-    closest = Window.partitionBy("_cell").orderBy("_dist", "_id")
-    near = (rb.select("_cell", "_dist", "_id").withColumn("_n", F.row_number().over(closest))
-            .filter(F.col("_n") <= need).select("_cell", "_dist").collect())
-    at = spark.sparkContext.broadcast((np.array([x["_cell"] for x in near]), np.array([x["_dist"] for x in near])))
-
-    def reach(key, p):
-        """The cells one query block may have to visit, with its distances
-        from their pivots and the largest k-th distance its queries can have."""
-        d = _distances(_matrix(p["_v"]), pivots.value)
-        cells, dist = at.value
-        theta = np.inf
-        if len(cells) >= need:
-            theta = np.partition(d[:, cells] + dist, need - 1, axis=1)[:, need - 1].max()
-            theta += 1e-9 * (theta + d.max())  # rounding of the distances
-        return pd.DataFrame({"_qcell": key[0], "_qblk": key[1], "_rcell": np.arange(d.shape[1], dtype=np.int32),
-                             "_low": d.min(0), "_high": d.max(0), "_theta": theta})
-
-    reached = (qb.select("_cell", "_blk", "_v").groupBy("_cell", "_blk")
-               .applyInPandas(reach, "_qcell int, _qblk long, _rcell int, _low double, _high double, _theta double"))
-    rings = rb.groupBy(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk")).agg(
-        F.min("_dist").alias("_in"), F.max("_dist").alias("_out"))
-    visits = (reached.join(rings, "_rcell")
-              .filter((F.col("_low") - F.col("_out") <= F.col("_theta"))
-                      & (F.col("_in") - F.col("_high") <= F.col("_theta")))
-              .select("_qcell", "_qblk", "_rcell", "_rblk").checkpoint())
+    copies = Window.partitionBy("_v").orderBy("_id")
+    r = r.withColumn("_n", F.row_number().over(copies)).filter(F.col("_n") <= need).drop("_n").checkpoint()
+    built = _index(r, block_rows)
+    if built is None:
+        return spark.createDataFrame([], f"{q_key} long, neighbor_id long, sq_distance double, neighbor_rank int")
+    index = spark.sparkContext.broadcast(built)
+    rb = _cell_blocks(r, index, block_rows)
+    alike = queries is reference and q_key == r_key and q.count() == r.count()  # no copy left
+    qb = rb if alike else _cell_blocks(q, index, block_rows)
+    visits = plan_visits(qb, rb, index, need)
     pair = ["_qcell", "_qblk", "_rcell", "_rblk"]
     left = visits.join(qb.select(F.col("_cell").alias("_qcell"), F.col("_blk").alias("_qblk"), "_id", "_v"),
                        ["_qcell", "_qblk"]).select(*pair, "_id", "_v")
