@@ -33,14 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import safe_corr
+from ..functions.scalar import missing, safe_corr
 from ..plans.scale import one_row, quantiles
 from .boosting import boost_quantile
+from .kernel import fit_svc, fit_svr, knn_predict
 from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
 from .newton import Fit, accuracies, newton, standardised
 from .sample import split_holdout, split_kfold
 
 
+#: A label with at most so many values is a class (searches, blending).
+MOST_CLASSES = 49
+#: A string column with at most so many levels can be imputed.
+MOST_LEVELS = 25
+
+
 def assemble(df: DataFrame, features, label: str | None = None, keep=()) -> DataFrame:
     va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     cols = [*keep, "features"] + ([F.col(label).cast("double").alias("label")] if label else [])
@@ -148,11 +155,36 @@ def grid_search(estimator, param_grid: dict, df: DataFrame, evaluator, key: str,
     return cross_validate(estimator, df, evaluator, key, folds, seed, b.build(), parallelism)
 
 
-def random_search(estimator, space: dict, df: DataFrame, evaluator, key: str,
+def few_levels(df: DataFrame, column: str, most: int) -> bool:
+    """Whether ``column`` has at most ``most`` values besides NULL and NaN; no
+    more than ``most + 1`` of them leave the count."""
+    present = df.select(column).filter(~missing(df, column)).distinct()
+    return present.limit(most + 1).count() <= most
+
+
+def forest_space(width: int, classification: bool) -> dict:
+    """Choices of a forest search: depth, features per split, rows per leaf,
+    bootstrap, and the impurity of a classifier."""
+    space = {"maxDepth": [3, 30], "featureSubsetStrategy": [str(i) for i in range(1, max(2, width))],
+             "minInstancesPerNode": list(range(1, 11)), "bootstrap": [True, False]}
+    return space | ({"impurity": ["gini", "entropy"]} if classification else {})
+
+
+def random_search(estimator, space: dict | None, df: DataFrame, evaluator, key: str,
                   iterations: int = 50, folds: int = 5, seed: int = 46, parallelism: int = 8):
     """``random_search``: ``iterations`` different parameter maps drawn (seeded,
     without replacement) from ``space`` (name -> list of choices), then k-fold
-    CV. Asking for more settings than the space has is an error."""
+    CV. Asking for more settings than the space has is an error.
+
+    Without ``estimator`` a random forest is searched: a classifier where
+    ``label`` has less than 50 values, else a regressor. ``space`` and
+    ``evaluator`` may then be None too (``forest_space``; accuracy or R2)."""
+    if estimator is None:
+        classes = few_levels(df, "label", MOST_CLASSES)
+        estimator = (RandomForestClassifier if classes else RandomForestRegressor)(seed=seed)
+        space = space or forest_space(len(df.select("features").first()[0]), classes)
+        evaluator = evaluator or (MulticlassClassificationEvaluator(metricName="accuracy") if classes
+                                  else RegressionEvaluator(metricName="r2"))
     total = math.prod(len(v) for v in space.values())
     if iterations > total:
         raise ValueError(f"the space has {total} settings, {iterations} were asked for")
@@ -231,11 +263,15 @@ def f1_cutoff_cv(df: DataFrame, features, label: str, key: str, folds: int = 5,
 
 
 def blend_predictions(train: DataFrame, score: DataFrame, features, label: str, n_models: int = 3,
-                      seed: int = 46, num_trees: int = 20, classification: bool = False,
+                      seed: int = 46, num_trees: int = 20, classification: bool | None = None,
                       key: str | None = None, average: bool = True) -> DataFrame:
     """``blend_predictions``: refit the same forest with ``n_models`` seeds and
     average (or return all) predictions; chained ``transform`` calls add one
-    column per model, so no join is needed."""
+    column per model, so no join is needed. A label with less than 50 values
+    (whole numbers from 0) gives class probabilities, unless ``classification``
+    says otherwise."""
+    if classification is None:
+        classification = few_levels(train, label, MOST_CLASSES)
     est_cls = RandomForestClassifier if classification else RandomForestRegressor
     tr = assemble(train, features, label)
     cur = assemble(score, features, None, [key] if key else [])
@@ -543,19 +579,24 @@ def shap_linear(model, data: DataFrame, features, keep=()) -> DataFrame:
 def leaderboard_regression(train: DataFrame, test: DataFrame, features, label: str,
                            seed: int = 46, num_trees: int = 100) -> DataFrame:
     """``leaderboard_regression``: R2 / RMSE / MAE / fit seconds for linear,
-    tree, forest and boosted-tree regressors on the same split."""
+    tree, k-NN (5 neighbours, exact), support vector (RBF kernel, approximate),
+    forest and boosted-tree regressors on the same split. The time of k-NN is
+    that of its lookups."""
     tr, te = assemble(train, features, label).cache(), assemble(test, features, label)
-    models = [("linear", LinearRegression()),
-              ("decision_tree", DecisionTreeRegressor(seed=seed)),
-              ("random_forest", RandomForestRegressor(numTrees=num_trees, seed=seed)),
-              ("gradient_boosting", GBTRegressor(maxIter=num_trees, stepSize=0.1, maxDepth=3,
-                                                 seed=seed))]
+    fit = lambda est: lambda: est.fit(tr).transform(te)
+    models = [("linear", fit(LinearRegression())),
+              ("decision_tree", fit(DecisionTreeRegressor(seed=seed))),
+              ("knn", lambda: knn_predict(tr, te)),
+              ("svr_rbf_approximate", lambda: fit_svr(tr, seed=seed).transform(te)),
+              ("random_forest", fit(RandomForestRegressor(numTrees=num_trees, seed=seed))),
+              ("gradient_boosting", fit(GBTRegressor(maxIter=num_trees, stepSize=0.1, maxDepth=3,
+                                                     seed=seed)))]
     rows = []
-    for name, est in models:
+    for name, predict in models:
         t0 = time.perf_counter()
-        m = est.fit(tr)
+        p = predict()
         secs = time.perf_counter() - t0
-        r = metrics_regression(m.transform(te), "label", "prediction").first()
+        r = metrics_regression(p, "label", "prediction").first()
         rows.append((name, float(r["r2"]), float(r["rmse"]), float(r["mae"]), float(secs)))
     tr.unpersist()
     return train.sparkSession.createDataFrame(
@@ -564,31 +605,38 @@ def leaderboard_regression(train: DataFrame, test: DataFrame, features, label: s
 
 def leaderboard_classification(train: DataFrame, test: DataFrame, features, label: str,
                                seed: int = 46, num_trees: int = 100) -> DataFrame:
-    """``leaderboard_classification``: accuracy, micro F1, log loss, AUC (binary
-    only) and fit seconds for logistic (L1), tree, forest, boosted trees,
-    linear SVM and a one-hidden-layer perceptron."""
+    """``leaderboard_classification``: accuracy, micro and macro precision,
+    recall and F1, support, log loss, AUC (binary only) and fit seconds for
+    logistic (L1), tree, k-NN (5 neighbours, exact), forest, boosted trees,
+    linear SVM, SVM with RBF kernel (approximate, calibrated) and a
+    one-hidden-layer perceptron. Labels are whole numbers from 0."""
     tr, te = assemble(train, features, label).cache(), assemble(test, features, label)
     classes = sorted(r["label"] for r in tr.select("label").distinct().collect())
     k = len(classes)
     binary = k == 2
     gbt = GBTClassifier(maxIter=num_trees, stepSize=0.1, maxDepth=3, seed=seed)
     svc = LinearSVC(maxIter=50)
-    models = [("logistic_l1", LogisticRegression(elasticNetParam=1.0, regParam=0.01)),
-              ("decision_tree", DecisionTreeClassifier(seed=seed)),
-              ("random_forest", RandomForestClassifier(numTrees=num_trees, seed=seed)),
-              ("gradient_boosting", gbt if binary else OneVsRest(classifier=gbt)),
-              ("linear_svc", svc if binary else OneVsRest(classifier=svc)),
-              ("mlp", MultilayerPerceptronClassifier(layers=[len(features), 100, int(max(classes)) + 1],
-                                                     seed=seed, maxIter=100))]
+    fit = lambda est: lambda: est.fit(tr).transform(te)
+    models = [("logistic_l1", fit(LogisticRegression(elasticNetParam=1.0, regParam=0.01))),
+              ("decision_tree", fit(DecisionTreeClassifier(seed=seed))),
+              ("knn", lambda: knn_predict(tr, te, classes=classes)),
+              ("svc_rbf_approximate", lambda: fit_svc(tr, seed=seed).transform(te)),
+              ("random_forest", fit(RandomForestClassifier(numTrees=num_trees, seed=seed))),
+              ("gradient_boosting", fit(gbt if binary else OneVsRest(classifier=gbt))),
+              ("linear_svc", fit(svc if binary else OneVsRest(classifier=svc))),
+              ("mlp", fit(MultilayerPerceptronClassifier(layers=[len(features), 100, int(max(classes)) + 1],
+                                                         seed=seed, maxIter=100)))]
     acc = MulticlassClassificationEvaluator(metricName="accuracy")
     rows = []
-    for name, est in models:
+    for name, predict in models:
         t0 = time.perf_counter()
-        m = est.fit(tr)
+        p = predict()
         secs = time.perf_counter() - t0
-        p = m.transform(te).cache()
+        p = p.cache()
         a = acc.evaluate(p)
-        macro = metrics_by_class(p, "label", "prediction").filter("class = 'macro'").first()
+        over = {r["class"]: r for r in metrics_by_class(p, "label", "prediction")
+                .filter("class IN ('micro', 'macro')").collect()}
+        micro, macro = over["micro"], over["macro"]
         ll = auc = None
         if "probability" in p.columns:
             ll = MulticlassClassificationEvaluator(metricName="logLoss").evaluate(p)
@@ -596,11 +644,11 @@ def leaderboard_classification(train: DataFrame, test: DataFrame, features, labe
                 auc = BinaryClassificationEvaluator(rawPredictionCol="probability",
                                                     metricName="areaUnderROC").evaluate(p)
         p.unpersist()
-        rows.append((name, float(a), float(a), float(macro["precision"]), float(macro["recall"]), float(macro["f1"]),
+        rows.append((name, float(a), float(micro["f1"]), float(micro["precision"]), float(micro["recall"]), float(macro["precision"]), float(macro["recall"]), float(macro["f1"]),
                      int(macro["support"]), ll, auc, float(secs)))
     tr.unpersist()
     return train.sparkSession.createDataFrame(
-        rows, "model STRING, accuracy DOUBLE, f1_micro DOUBLE, precision_macro DOUBLE, recall_macro DOUBLE, "
+        rows, "model STRING, accuracy DOUBLE, f1_micro DOUBLE, precision_micro DOUBLE, recall_micro DOUBLE, precision_macro DOUBLE, recall_macro DOUBLE, "
               "f1_macro DOUBLE, support BIGINT, log_loss DOUBLE, auc DOUBLE, "
               "fit_seconds DOUBLE")
 
@@ -713,8 +761,43 @@ def sliding_window_evaluation(df: DataFrame, features, label: str, order_by: str
         "test_rmse DOUBLE, mean_test_rmse DOUBLE")
 
 
+def _level_association(df: DataFrame, column: str, numeric: list) -> dict:
+    """Correlation ratio of every numeric column with the levels of ``column``."""
+    known = df.filter(F.col(column).isNotNull())
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in numeric}
+    total = one_row(known, *[f(value[c]).alias(f"{n}{i}") for i, c in enumerate(numeric)
+                             for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))])
+    each = known.groupBy(column).agg(*[f(value[c]).alias(f"{n}{i}") for i, c in enumerate(numeric)
+                                       for n, f in (("n", F.count), ("m", F.avg))]).collect()
+    out = {}
+    for i, c in enumerate(numeric):
+        if total[f"v{i}"]:
+            between = sum(r[f"n{i}"] * (r[f"m{i}"] - total[f"m{i}"]) ** 2 for r in each if r[f"n{i}"])
+            out[c] = math.sqrt(between / (total[f"n{i}"] * total[f"v{i}"]))
+    return out
+
+
+def _impute_levels(df: DataFrame, column: str, key: str, threshold: float, folds: int, num_trees: int, seed: int):
+    """``impute_model`` for a string or boolean column: the levels in order
+    become 0, 1, ..., a classifier fills them, and they are mapped back."""
+    if not few_levels(df, column, MOST_LEVELS):
+        raise ValueError(f"{column} has more than {MOST_LEVELS} levels")
+    levels = sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+    numeric = [c for c, kind in df.dtypes if c not in (key, column)
+               and kind in ("double", "float", "int", "bigint", "smallint", "tinyint")]
+    preds = [c for c, r in _level_association(df, column, numeric).items() if r >= threshold] if levels else []
+    code = "_code_of_levels"
+    coded = df.withColumn(code, (F.array_position(F.array(*map(F.lit, levels)), F.col(column)) - 1).cast("int")
+                          if levels else F.lit(None).cast("int"))
+    filled, report = _impute_from(coded, code, key, preds, folds, num_trees, True, seed)
+    if preds:
+        back = F.get(F.array(*map(F.lit, levels)), F.col(code))
+        filled = filled.withColumn(column, F.coalesce(F.col(column), back))
+    return filled.select(*df.columns), report.withColumn("column", F.lit(column))
+
+
 def impute_model(df: DataFrame, column: str, key: str, corr_threshold: float = 0.5,
-                 folds: int = 3, num_trees: int = 100, categorical: bool = False,
+                 folds: int = 3, num_trees: int = 100, categorical: bool | None = None,
                  seed: int = 46):
     """``impute_model``: fill missing cells of ``column`` with a random
     forest fitted on the columns correlated with it (|r| >= threshold).
@@ -722,14 +805,28 @@ def impute_model(df: DataFrame, column: str, key: str, corr_threshold: float = 0
     Returns ``(filled, report)``. Predictors missing at scoring time get the
     predictor's mean; only missing cells are replaced. With no correlated
     predictor the frame is returned unchanged and the report says so.
+
+    A string or boolean column with at most 25 levels is filled by a classifier
+    with levels of its own type, and its predictors are chosen by the
+    correlation ratio (the root of the share of variance between levels; |r|
+    for two levels). More levels are an error. A numeric column is filled by a
+    regressor unless ``categorical`` is set (whole numbers from 0).
     """
-    from ..functions.scalar import missing
+    if isinstance(df.schema[column].dataType, (T.StringType, T.BooleanType)):
+        return _impute_levels(df, column, key, corr_threshold, folds, num_trees, seed)
     num = [c for c, t_ in df.dtypes if c not in (key, column)
            and t_ in ("double", "float", "int", "bigint", "smallint", "tinyint")]
     y = F.nanvl(F.col(column).cast("double"), F.lit(None))
-    stats = one_row(df, *[safe_corr(F.col(c).cast("double"), y).alias(c) for c in num],
-                    F.avg(missing(df, column).cast("double")).alias("_pm"))
+    stats = one_row(df, *[safe_corr(F.col(c).cast("double"), y).alias(c) for c in num])
     preds = [c for c in num if stats[c] is not None and abs(stats[c]) >= corr_threshold]
+    return _impute_from(df, column, key, preds, folds, num_trees, bool(categorical), seed)
+
+
+def _impute_from(df: DataFrame, column: str, key: str, preds: list, folds: int, num_trees: int,
+                 categorical: bool, seed: int):
+    """Fill ``column`` from the predictors ``preds``; ``(filled, report)``."""
+    stats = one_row(df, F.avg(missing(df, column).cast("double")).alias("_pm"))
+    stats["_pm"] = stats["_pm"] or 0.0  # no rows
     spark = df.sparkSession
     if not preds:
         rep = spark.createDataFrame([(column, float(stats["_pm"] * 100), None, None, "")],

@@ -170,6 +170,14 @@ def q_blend_predictions(spark, sf):
     return MD.blend_predictions(train, test, REG_F, "y", n_models=3, num_trees=100, key="rkey")
 
 
+@query("blend_probabilities")
+def q_blend_probabilities(spark, sf):
+    """Class probabilities of three forests, averaged: the label has ten values."""
+    train, test = MD.holdout(_emb(spark, sf), "vec_id")
+    out = MD.blend_predictions(train, test, EMB_F, "label", key="vec_id")
+    return out.select("vec_id", F.transform("blended", lambda p: F.round(p, 9)).alias("probabilities"))
+
+
 @query("rfe_logistic")
 def q_rfe_logistic(spark, sf):
     return MD.rfe_logistic(_emb(spark, sf, binary=True), EMB_F, "label", "vec_id",
@@ -276,6 +284,18 @@ def q_impute_model(spark, sf):
     return filled.select("doc_id", "n_chars")
 
 
+@query("impute_levels")
+def q_impute_levels(spark, sf):
+    """Fill the language of every seventh document, and of those without one,
+    by a forest classifier over shares of letters in the whole texts."""
+    d = t(spark, sf, "documents", ["doc_id", "text", "lang"])
+    share = lambda c: 1 - F.try_divide(F.length(F.replace("text", F.lit(c))), F.length("text"))
+    d = d.select("doc_id", *[share(c).alias(f"share_{c}") for c in "aehinostu"],
+                 F.when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.col("lang")).alias("lang"))
+    filled, _ = MD.impute_model(d, "lang", key="doc_id", corr_threshold=0.3)
+    return filled.select("doc_id", "lang")
+
+
 @query("outlier_report", """
 WITH b AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3,
                   avg(value) AS m, stddev_pop(value) AS s FROM events)
