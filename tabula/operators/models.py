@@ -28,7 +28,7 @@ from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +55,9 @@ def assemble(df: DataFrame, features, label: str | None = None, keep=()) -> Data
 
 
 def holdout(df: DataFrame, key: str, test_size: float = 0.3, seed: int = 46):
-    s = split_holdout(df, key, test_size, seed)
+    # a filter on the split of a frame that is not stored evaluates its draw, and
+    # the key the draw is made of, many times a row and in every scan
+    s = split_holdout(df, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
     return s.filter("split = 'train'").drop("split"), s.filter("split = 'test'").drop("split")
 
 
@@ -127,9 +129,11 @@ def cross_validate(estimator, df: DataFrame, evaluator, key: str, folds: int = 3
     else:
         data = split_kfold(df, key, folds, seed).withColumnRenamed("fold", "_fold")
     maps = grid if grid is not None else ParamGridBuilder().build()
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol="_fold", numFolds=folds, parallelism=parallelism, seed=seed)
-    cvm = cv.fit(data.drop(key) if key not in ("features", "label") else data)
+    data = (data.drop(key) if key not in ("features", "label") else data).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cvm = _fit_folds(estimator, data, maps, evaluator, folds, parallelism)
+    finally:
+        data.unpersist()
     rows = []
     for pm, m, sd in zip(maps, cvm.avgMetrics, cvm.stdMetrics):
         rows.append((json.dumps({p.name: _jsonable(v) for p, v in pm.items()}, sort_keys=True),
@@ -138,6 +142,31 @@ def cross_validate(estimator, df: DataFrame, evaluator, key: str, folds: int = 3
     return cvm, res
 
 
+def _fit_folds(estimator, data: DataFrame, maps: list, evaluator, folds: int, parallelism: int) -> CrossValidatorModel:
+    """What ``CrossValidator`` does with the column ``_fold``, over persisted rows:
+    it would write every fold's rows into a cache of their own, and evaluate
+    the draws behind the fold numbers again for each."""
+    fold = F.col("_fold")
+    seen = one_row(data, F.min(fold).alias("low"), F.max(fold).alias("high"), F.count_distinct(fold).alias("n"),
+                   F.count(F.when(fold.isNull(), 1)).alias("none"))
+    if seen["none"] or (seen["n"] and (seen["low"] < 0 or seen["high"] >= folds)):
+        raise ValueError(f"fold numbers must be in the range [0, {folds})")
+    if seen["n"] < folds or folds < 2:
+        raise ValueError("a fold has no rows to train on or to validate on")
+
+    def score(job):
+        k, pm = job
+        model = estimator.fit(data.filter(fold != k), pm)
+        return float(evaluator.evaluate(model.transform(data.filter(fold == k), pm)))
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        found = list(pool.map(inheritable_thread_target(data.sparkSession)(score), [(k, pm) for k in range(folds) for pm in maps]))
+    metrics = np.array(found).reshape(folds, len(maps))
+    mean = metrics.mean(axis=0)
+    best = np.argmax(mean) if evaluator.isLargerBetter() else np.argmin(mean)
+    return CrossValidatorModel(estimator.fit(data, maps[best]), mean.tolist(), stdMetrics=metrics.std(axis=0).tolist())
+
+
 def _jsonable(v):
     if isinstance(v, (np.integer,)):
         return int(v)
@@ -170,6 +199,13 @@ def forest_space(width: int, classification: bool) -> dict:
     return space | ({"impurity": ["gini", "entropy"]} if classification else {})
 
 
+def _check_settings(space: dict, iterations: int) -> int:
+    total = math.prod(len(v) for v in space.values())
+    if iterations > total:
+        raise ValueError(f"the space has {total} settings, {iterations} were asked for")
+    return total
+
+
 def random_search(estimator, space: dict | None, df: DataFrame, evaluator, key: str,
                   iterations: int = 50, folds: int = 5, seed: int = 46, parallelism: int = 8):
     """``random_search``: ``iterations`` different parameter maps drawn (seeded,
@@ -179,15 +215,15 @@ def random_search(estimator, space: dict | None, df: DataFrame, evaluator, key:
     Without ``estimator`` a random forest is searched: a classifier where
     ``label`` has less than 50 values, else a regressor. ``space`` and
     ``evaluator`` may then be None too (``forest_space``; accuracy or R2)."""
+    if space is not None:
+        _check_settings(space, iterations)
     if estimator is None:
         classes = few_levels(df, "label", MOST_CLASSES)
         estimator = (RandomForestClassifier if classes else RandomForestRegressor)(seed=seed)
         space = space or forest_space(len(df.select("features").first()[0]), classes)
         evaluator = evaluator or (MulticlassClassificationEvaluator(metricName="accuracy") if classes
                                   else RegressionEvaluator(metricName="r2"))
-    total = math.prod(len(v) for v in space.values())
-    if iterations > total:
-        raise ValueError(f"the space has {total} settings, {iterations} were asked for")
+    total = _check_settings(space, iterations)
     maps = []
     for number in random.Random(seed).sample(range(total), iterations):
         choice = {}
@@ -331,60 +367,73 @@ def intervals_forest(model, data: DataFrame, percentile: float = 0.95, keep=())
 
 def quantile_fit(data: DataFrame, tau: float, max_iter: int = 50, tol: float = 1e-7,
                  floor: float = 1e-4):
-    """Linear quantile regression by iteratively reweighted least squares.
+    """``quantile_fits`` of one quantile: (coefficients, pinball loss)."""
+    return quantile_fits(data, [tau], max_iter, tol, floor)[0]
+
 
-    Each step is ONE aggregate over all rows that yields both the pinball
-    loss of the current coefficients and the weighted normal equations
-    (sum w x x', sum w x y) for the next ones; the (d+1) x (d+1) solve runs on
-    the driver. Starts from least squares with the intercept shifted to the
-    residual quantile; stops when the pinball loss stops improving.
+def quantile_fits(data: DataFrame, taus, max_iter: int = 50, tol: float = 1e-7,
+                  floor: float = 1e-4) -> list:
+    """Linear quantile regressions by iteratively reweighted least squares, one
+    per quantile of ``taus``, side by side.
+
+    Each step is ONE aggregate over all rows that yields, for every quantile
+    still moving, both the pinball loss of the current coefficients and the
+    weighted normal equations (sum w x x', sum w x y) for the next ones; the
+    (d+1) x (d+1) solves run on the driver. All start from least squares with
+    the intercept shifted to the residual quantile; one stops when its pinball
+    loss stops improving. Cells are persisted as plain columns.
     """
     d = len(data.first()["features"])
-    x1 = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
-    base = data.select(x1.alias("x"), F.col("label").alias("y")).cache()
+    cells = vector_to_array("features")
+    base = data.select(*[cells[i].alias(f"x{i}") for i in range(d)], F.col("label").alias("y")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    x, y = [*[F.col(f"x{i}") for i in range(d)], F.lit(1.0)], F.col("y")
 
     def pred(beta):
         e = F.lit(0.0)
         for i in range(d + 1):
-            e = e + F.col("x")[i] * F.lit(float(beta[i]))
+            e = e + x[i] * F.lit(float(beta[i]))
         return e
 
-    def step(beta):
-        """(pinball loss of beta, next beta) from one pass."""
-        if beta is None:
-            w, loss = F.lit(1.0), F.lit(None).cast("double")
-        else:
-            r = F.col("y") - pred(beta)
-            w = F.when(r >= 0, F.lit(tau)).otherwise(F.lit(1 - tau)) / F.greatest(F.abs(r), F.lit(floor))
-            loss = F.avg(F.greatest(r * tau, r * (tau - 1)))
-        aggs = [loss.alias("loss")]
-        for i in range(d + 1):
-            for j in range(i, d + 1):
-                aggs.append(F.sum(w * F.col("x")[i] * F.col("x")[j]).alias(f"a{i}_{j}"))
-            aggs.append(F.sum(w * F.col("x")[i] * F.col("y")).alias(f"b{i}"))
-        r = one_row(base, *aggs)
+    def equations(name, w):
+        return [F.sum(w * x[i] * x[j]).alias(f"a{name}_{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)] \
+            + [F.sum(w * x[i] * y).alias(f"b{name}_{i}") for i in range(d + 1)]
+
+    def solve(r, name):
         A = np.zeros((d + 1, d + 1))
-        b = np.zeros(d + 1)
         for i in range(d + 1):
             for j in range(i, d + 1):
-                A[i, j] = A[j, i] = r[f"a{i}_{j}"]
-            b[i] = r[f"b{i}"]
-        return r["loss"], np.linalg.lstsq(A, b, rcond=None)[0]
-
-    _, beta = step(None)
-    shift = quantiles(base.select((F.col("y") - pred(beta)).alias("_res")), "_res", [tau])[0]
-    beta[d] += shift
-    best, best_loss = beta, None
+                A[i, j] = A[j, i] = r[f"a{name}_{i}_{j}"]
+        return np.linalg.lstsq(A, np.array([r[f"b{name}_{i}"] for i in range(d + 1)]), rcond=None)[0]
+
+    def steps(betas):
+        """{number: (pinball loss of beta, next beta)} from one pass."""
+        rest = base.withColumns({f"r{n}": y - pred(beta) for n, beta in betas.items()})
+        weights, aggs = {}, []
+        for n in betas:
+            r, tau = F.col(f"r{n}"), taus[n]
+            weights[f"w{n}"] = F.when(r >= 0, F.lit(tau)).otherwise(F.lit(1 - tau)) / F.greatest(F.abs(r), F.lit(floor))
+            aggs += [F.avg(F.greatest(r * tau, r * (tau - 1))).alias(f"loss{n}"), *equations(n, F.col(f"w{n}"))]
+        r = one_row(rest.withColumns(weights), *aggs)
+        return {n: (r[f"loss{n}"], solve(r, n)) for n in betas}
+
+    least = solve(one_row(base, *equations(0, F.lit(1.0))), 0)
+    shifts = quantiles(base.select((y - pred(least)).alias("_res")), "_res", taus)
+    moving = {n: least + np.append(np.zeros(d), shift) for n, shift in enumerate(shifts)}
+    best = {n: (beta, None) for n, beta in moving.items()}
     for _ in range(max_iter):
-        loss, nxt = step(beta)
-        if best_loss is not None and loss > best_loss - tol * max(abs(best_loss), 1.0):
-            if loss < best_loss:
-                best, best_loss = beta, loss
+        for n, (loss, after) in steps(moving).items():
+            before = best[n][1]
+            if before is None or loss < before:
+                best[n] = (moving[n], loss)
+            if before is not None and loss > before - tol * max(abs(before), 1.0):
+                del moving[n]
+            else:
+                moving[n] = after
+        if not moving:
             break
-        best, best_loss = beta, loss
-        beta = nxt
     base.unpersist()
-    return best, best_loss
+    return [best[n] for n in range(len(taus))]
 
 
 def intervals_quantile(train: DataFrame, score: DataFrame, features, label: str,
@@ -393,8 +442,7 @@ def intervals_quantile(train: DataFrame, score: DataFrame, features, label: str,
     ``(1 -/+ c) / 2`` plus a least-squares point model; returns
     ``lower_PI, prediction, upper_PI`` per scored row."""
     tr = assemble(train, features, label)
-    lo_b, _ = quantile_fit(tr, (1 - confidence) / 2, max_iter)
-    hi_b, _ = quantile_fit(tr, (1 + confidence) / 2, max_iter)
+    (lo_b, _), (hi_b, _) = quantile_fits(tr, [(1 - confidence) / 2, (1 + confidence) / 2], max_iter)
     point = LinearRegression().fit(tr)
 
     def lin(beta):

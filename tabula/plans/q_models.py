@@ -22,7 +22,7 @@ REG_F = ["l_quantity", "l_discount", "l_tax"]
 
 def _reg(spark, sf):
     li = lineitem_label(spark, sf)
-    return li.withColumn("rkey", F.xxhash64(*li.columns))
+    return li.select(F.xxhash64(*li.columns).alias("rkey"), *REG_F, "y")
 
 
 def _emb(spark, sf, binary=False, dims=64):
