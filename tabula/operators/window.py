@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.scalar import missing
-from ..plans.scale import global_rank, global_rank_total, range_slices
+from ..plans.scale import global_rank, global_rank_total, range_slices, sized
 
 
 def _as_list(x) -> list:
@@ -258,13 +258,13 @@ def sort_order_rank(df: DataFrame, order: list, out_col: str = "order_rank") ->
 def share_of_group(df: DataFrame, value: str, group, out_col: str | None = None) -> DataFrame:
     """``share_of_group``: value / group total.
 
-    The totals are a partial (map-side combined) aggregate, joined back with
-    an unhinted join, so a hot group costs one task no more than
-    any other.
+    The totals are a partial (map-side combined) aggregate of known size when
+    the join is planned, so few groups are broadcast and the rows of a hot
+    group stay where they are read.
     """
     grp = _as_list(group)
     out_col = out_col or f"{value}_share"
-    totals = df.groupBy(*grp).agg(F.sum(value).alias("_total"))
+    totals = sized(df.groupBy(*grp).agg(F.sum(value).alias("_total")))
     return (df.join(totals, grp, "left")
             .withColumn(out_col, F.try_divide(F.col(value), F.col("_total")))
             .drop("_total"))

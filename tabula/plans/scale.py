@@ -32,6 +32,27 @@ def one_row(df: DataFrame, *aggs: Column) -> dict:
     return row.asDict() if row is not None else {}
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """Persist a lookup and fill it, so that its bytes are known before the
+    join on it is planned: a small one is broadcast and the other side is not
+    shuffled first. A large one is joined by a shuffle as before."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
+#: Rows for which one more task pays.
+SPREAD_ROWS = 50_000
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in up to two partitions per core where its scan yields fewer (a
+    file of one row group is one task, whatever its rows), but not below
+    ``SPREAD_ROWS`` rows each."""
+    wanted = min(2 * df.sparkSession.sparkContext.defaultParallelism, rows // SPREAD_ROWS)
+    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
+
+
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     """Slices of about ``SLICE_BYTES`` of the scanned tables, at least the
     session's shuffle partitions; no job is run. (The estimate of a whole plan
@@ -180,15 +201,44 @@ def quantiles(df: DataFrame, column: str, ps) -> list:
     """
     v = F.col(column).cast("double")
     vals = df.select((v + F.lit(0.0)).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    return _exact_quantiles(vals, ps)
+
+
+#: Rows from which a bracket pays, and its half width as a share of the rows
+#: (the sketch is right to a ten-thousandth).
+BRACKET_ROWS, BRACKET_SHARE = 200_000, 3e-4
+
+
+def bracketed_quantile(df: DataFrame, column: str, p: float) -> float | None:
+    """The same exact quantile for a stored frame: a sketch gives two values
+    around it, one scan counts the rows below and between, and only those
+    between are ranked. Where the wanted ranks do not lie between (checked by
+    the counts) or the frame is small, all rows are ranked."""
+    v, p = F.col(column).cast("double"), float(p)
+    vals = df.select((v + F.lit(0.0)).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    shares = F.array(F.lit(max(0.0, p - BRACKET_SHARE)), F.lit(min(1.0, p + BRACKET_SHARE)))
+    r = one_row(vals, F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", shares, F.lit(10000)).alias("q"))
+    if r["n"] >= BRACKET_ROWS:
+        low, high = r["q"]
+        inside = (F.col("_v") >= low) & (F.col("_v") <= high)
+        got = one_row(vals, F.count_if(F.col("_v") < low).alias("below"), F.count_if(inside).alias("inside"))
+        _, first, last = _wanted([p], r["n"])[p]
+        if got["below"] <= first and last < got["below"] + got["inside"]:
+            return _exact_quantiles(vals.filter(inside), [p], got["below"], r["n"])[0]
+    return _exact_quantiles(vals, [p])[0]
+
+
+def _exact_quantiles(vals: DataFrame, ps, below: int = 0, rows: int | None = None) -> list:
+    """Quantiles of ``_v`` when ``below`` of all ``rows`` values lie before ``vals``."""
     ranged = range_slices(vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c")), ["_v"])
     sums = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.sum("_c").alias("n")).collect())
     n = sum(c for _, c in sums)
     ps = [float(p) for p in ps]
     if n == 0:
         return [None] * len(ps)
-    pos = _wanted(ps, n)
+    pos = _wanted(ps, rows or n)
     need = sorted({i + 1 for _, lo, hi in pos.values() for i in (lo, hi)})
-    before, acc = {}, 0
+    before, acc = {}, below
     for pid, c in sums:
         if any(acc < r <= acc + c for r in need):
             before[pid] = acc
