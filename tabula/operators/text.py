@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import DETACHMENT_RULES, ENGLISH_STOP_WORDS
 from ..functions.scalar import WORD, WORD2, lower_tokens, tokens
-from ..plans.scale import global_rank
+from ..plans.scale import global_rank, sized
 from .topics import topics_lda  # noqa: F401
 
 
@@ -57,12 +57,15 @@ def tfidf(df: DataFrame, doc_col: str, text_col: str, pattern: str = WORD2) -> D
     from aggregates instead. Texts are tokenised once: the term counts are
     persisted (recomputable from lineage) and feed both the document
     frequencies and the weights; the per-document norm is a window over one
-    document's terms, so no second join is needed.
+    document's terms, so no second join is needed. Texts are moved once, by
+    document; counts, weights and norms follow in place, unless the vocabulary
+    is too large to broadcast.
     """
-    tc = term_counts(df, doc_col, text_col, pattern).persist(StorageLevel.MEMORY_AND_DISK)
+    whole = df.select(doc_col, text_col).repartition(doc_col)
+    tc = term_counts(whole, doc_col, text_col, pattern).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = df.select(doc_col).distinct().count()
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.select("term", (F.log(F.lit(float(n_docs)) / F.col("df")) + 1.0).alias("idf"))
+    idf = sized(dfreq.select("term", (F.log(F.lit(float(n_docs)) / F.col("df")) + 1.0).alias("idf")))
     w = tc.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_col)))
     return w.select(doc_col, "term", (F.col("w") / norm).alias("tfidf"))
@@ -91,7 +94,7 @@ def bag_of_words(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
         .persist(StorageLevel.MEMORY_AND_DISK)
     first = counts.groupBy("term").agg(F.min(doc_col).alias("_first"))
     vocab = global_rank(first, ["_first", "term"], rank_col="_rk")
-    ids = vocab.select("term", (F.col("_rk") - 1).alias("term_id"))
+    ids = sized(vocab.select("term", (F.col("_rk") - 1).alias("term_id")))
     return counts.join(ids, "term").select(doc_col, "term_id", "term", "count")
 
 
