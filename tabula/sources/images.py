@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def read_image_folders(spark: SparkSession, root: str, image_size: int = 28,
         F.regexp_extract("image.origin", r"/([^/]+)/[^/]+$", 1).alias("label"),
         F.col("image.origin").alias("path"), F.col("image.height").alias("h"),
         F.col("image.width").alias("w"), F.col("image.nChannels").alias("c"),
-        F.col("image.data").alias("data"))
+        F.col("image.data").alias("data")).persist(StorageLevel.MEMORY_AND_DISK)  # read and decoded once
     checks = img.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(((F.col("h") != image_size) | (F.col("w") != image_size)).cast("int")).alias("bad"))
