@@ -22,11 +22,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
 from ..functions.random import draw_uniform
-from ..plans.scale import one_row, quantiles
+from ..plans.scale import bracketed_quantile, one_row, quantiles, spread
 from .missing import _distinct_counts as exact_distinct_counts
 from .relational import distinct_counts
 
@@ -75,6 +76,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
 
 def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
     feat, thr, left, right, size = tree
+    rest = np.array([_c(s) for s in size])  # once a node, not once a row
     n = x.shape[0]
     cur = np.zeros(n, dtype=np.int64)
     depth = np.zeros(n)
@@ -84,7 +86,7 @@ def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
         leaf = f < 0
         done = active & leaf
         if done.any():
-            depth[done] += np.array([_c(s) for s in size[cur[done]]])
+            depth[done] += rest[cur[done]]
             active &= ~leaf
         if not active.any():
             break
@@ -106,7 +108,7 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    base = df.select(F.col(key), vec.alias("_x"))
+    base = spread(df.select(F.col(key), vec.alias("_x")), n)
     # Candidates: each row enters tree t when its keyed draw for t is below
     # a rate giving ~3 psi rows per tree; each tree keeps its psi smallest draws.
     margin = 3.0
@@ -175,6 +177,27 @@ def _vector_sum(partials: DataFrame, column: str) -> np.ndarray:
     return np.array([r["x"] for r in sorted(rows)])
 
 
+def _cells(batch: pa.RecordBatch, d: int) -> np.ndarray:
+    """The arrays ``_x`` of an Arrow batch as rows, without an object per row."""
+    return batch.column("_x").flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, d)
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({n: c if isinstance(c, pa.Array) else pa.array(c) for n, c in columns.items()})
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    """A matrix as an array column."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))
+
+
+def _stored(df: DataFrame, feats, key: str, rows: int) -> DataFrame:
+    """Key and cells, kept for the many scans of a fit."""
+    cells = F.array(*[F.col(f).cast("double") for f in feats]).alias("_x")
+    return spread(df.select(F.col(key), cells), rows).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _moments(df: DataFrame, d: int, weight=None, around=None):
     """(count, mean, covariance) of rows (optionally only those with weight
     true): one numpy partial per partition, summed by position in Spark. A
@@ -185,15 +208,14 @@ def _moments(df: DataFrame, d: int, weight=None, around=None):
     def part(it):
         n, s, ss = 0, np.zeros(d), np.zeros((d, d))
         for p in it:
-            p = p[p["_w"]]
-            if len(p):
-                x = np.stack(p["_x"].to_numpy()).astype(np.float64).reshape(-1, d) - around
+            x = _cells(p.filter(p.column("_w")), d) - around
+            if len(x):
                 n += len(x)
                 s += x.sum(0)
                 ss += x.T @ x
-        yield pd.DataFrame({"sums": [[float(n), *s.tolist(), *ss.ravel().tolist()]]})
+        yield _batch(sums=[[float(n), *s.tolist(), *ss.ravel().tolist()]])
 
-    sums = _vector_sum(cols.mapInPandas(part, "sums array<double>"), "sums")
+    sums = _vector_sum(cols.mapInArrow(part, "sums array<double>"), "sums")
     n, s, ss = int(sums[0]), sums[1:d + 1], sums[d + 1:].reshape(d, d)
     mean = s / n
     cov = ss / n - np.outer(mean, mean)
@@ -312,24 +334,24 @@ def _concentrate_all(base: DataFrame, estimates: list, h: int, n: int, d: int) -
     def far(it):
         for p in it:
             if len(p):
-                yield pd.DataFrame({"q": distances(np.stack(p["_x"].to_numpy()).astype(float)).tolist()})
+                yield _batch(q=_lists(distances(_cells(p, d))))
 
-    cuts = one_row(base.select("_x").mapInPandas(far, "q array<double>"),
+    cuts = one_row(base.select("_x").mapInArrow(far, "q array<double>"),
                    *[F.percentile_approx(F.col("q")[i], F.lit(h / n), 10000).alias(f"c{i}") for i in range(len(shapes))])
 
     def part(it):
         total = np.zeros((len(shapes), 1 + d + d * d))
         for p in it:
             if len(p):
-                x = np.stack(p["_x"].to_numpy()).astype(float)
+                x = _cells(p, d)
                 near = distances(x) <= [cuts[f"c{i}"] for i in range(len(shapes))]
                 for i in range(len(shapes)):
                     # around the estimate, so that the products do not cancel
                     own = x[near[:, i]] - shapes[i][0]
                     total[i] += np.concatenate([[len(own)], own.sum(0), (own.T @ own).ravel()])
-        yield pd.DataFrame({"sums": [total.ravel().tolist()]})
+        yield _batch(sums=[total.ravel().tolist()])
 
-    sums = _vector_sum(base.select("_x").mapInPandas(part, "sums array<double>"), "sums").reshape(len(shapes), -1)
+    sums = _vector_sum(base.select("_x").mapInArrow(part, "sums array<double>"), "sums").reshape(len(shapes), -1)
     out = []
     for (mean, _), v in zip(shapes, sums):
         shift = v[1:d + 1] / v[0]
@@ -362,13 +384,13 @@ def robust_covariance(base: DataFrame, key: str, n: int, d: int, max_steps: int
     det = np.inf
     for _ in range(max_steps):
         dist = _mahalanobis(mean, np.linalg.pinv(cov))
-        cut = quantiles(base.select(dist.alias("_d")), "_d", [(h - 1) / max(n - 1, 1)])[0]
+        cut = bracketed_quantile(base.select(dist.alias("_d")), "_d", (h - 1) / max(n - 1, 1))
         _, m2, c2 = _moments(base, d, dist <= F.lit(cut), mean)
         if not _log_det(c2) < det - 1e-10:
             break
         mean, cov, det = m2, c2, _log_det(c2)
     dist = _mahalanobis(mean, np.linalg.pinv(cov))
-    factor = quantiles(base.select(dist.alias("_d")), "_d", [0.5])[0] / chi_square_quantile(0.5, d)
+    factor = bracketed_quantile(base.select(dist.alias("_d")), "_d", 0.5) / chi_square_quantile(0.5, d)
     if factor > 0:
         _, mean, cov = _moments(base, d, dist <= F.lit(factor * chi_square_quantile(0.975, d)), mean)
     return mean, cov
@@ -385,10 +407,10 @@ def outliers_elliptic(df: DataFrame, features, key: str, contamination: float =
     d = len(feats)
     if d == 0 or n < d * d:
         raise ValueError(f"elliptic envelope needs rows >= features^2 ({n} < {d * d})")
-    base = df.select(F.col(key), F.array(*[F.col(f).cast("double") for f in feats]).alias("_x"))
+    base = _stored(df, feats, key, n)
     mean, cov = robust_covariance(base, key, n, d, max_steps)
     scored = base.select(key, _mahalanobis(mean, np.linalg.pinv(cov)).alias("robust_distance"))
-    thr = quantiles(scored, "robust_distance", [1.0 - contamination])[0]
+    thr = bracketed_quantile(scored, "robust_distance", 1.0 - contamination)
     out = scored.withColumn("is_outlier", F.col("robust_distance") > F.lit(thr))
     return out
 
@@ -417,7 +439,7 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
     d = len(feats)
     if d == 0 or n < d * d:
         raise ValueError(f"one-class detector needs rows >= features^2 ({n} < {d * d})")
-    base = df.select(F.col(key), F.array(*[F.col(f).cast("double") for f in feats]).alias("_x"))
+    base = _stored(df, feats, key, n)
     if gamma == "scale":
         _, mean, cov = _moments(base, d)
         var = float(np.trace(cov) / d + (mean ** 2).mean() - (mean.mean()) ** 2)
@@ -429,9 +451,8 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
     bc = spark.sparkContext.broadcast((W, b))
     scale = math.sqrt(2.0 / n_components)
 
-    def feats_of(p):
+    def feats_of(x):
         Wb, bb = bc.value
-        x = np.stack(p["_x"].to_numpy()).astype(np.float64).reshape(-1, d)
         return scale * np.cos(x @ Wb.T + bb)
 
     key_type = dict(df.dtypes)[key]
@@ -442,8 +463,9 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
         def part(it):
             for p in it:
                 if len(p):
-                    yield pd.DataFrame({key: p[key], "_s": feats_of(p) @ w_bc.value})
-        return base.mapInPandas(part, f"{key} {key_type}, _s double")
+                    yield _batch(**{key: p.column(key), "_s": feats_of(_cells(p, d)) @ w_bc.value})
+
+        return base.mapInArrow(part, f"{key} {key_type}, _s double")
 
     def best_rho(wv):
         return one_row(scores(wv), F.percentile_approx("_s", F.lit(nu), 10000).alias("q"))["q"]
@@ -456,10 +478,11 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
             s = np.zeros(n_components)
             for p in it:
                 if len(p):
-                    z = feats_of(p)
+                    z = feats_of(_cells(p, d))
                     s += z[z @ wv_ < rho_].sum(0)
-            yield pd.DataFrame({"s": [s.tolist()]})
-        return _vector_sum(base.select("_x").mapInPandas(part, "s array<double>"), "s")
+            yield _batch(s=[s.tolist()])
+
+        return _vector_sum(base.select("_x").mapInArrow(part, "s array<double>"), "s")
 
     # every row violates at w = 0, rho = 1: start from the mean feature direction
     w = violators_sum(np.zeros(n_components), 1.0) / n
