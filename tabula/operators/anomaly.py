@@ -384,13 +384,13 @@ def robust_covariance(base: DataFrame, key: str, n: int, d: int, max_steps: int
     det = np.inf
     for _ in range(max_steps):
         dist = _mahalanobis(mean, np.linalg.pinv(cov))
-        cut = bracketed_quantile(base.select(dist.alias("_d")), "_d", (h - 1) / max(n - 1, 1))
+        cut = bracketed_quantile(base.select(dist.alias("_d")), "_d", (h - 1) / max(n - 1, 1), n)
         _, m2, c2 = _moments(base, d, dist <= F.lit(cut), mean)
         if not _log_det(c2) < det - 1e-10:
             break
         mean, cov, det = m2, c2, _log_det(c2)
     dist = _mahalanobis(mean, np.linalg.pinv(cov))
-    factor = bracketed_quantile(base.select(dist.alias("_d")), "_d", 0.5) / chi_square_quantile(0.5, d)
+    factor = bracketed_quantile(base.select(dist.alias("_d")), "_d", 0.5, n) / chi_square_quantile(0.5, d)
     if factor > 0:
         _, mean, cov = _moments(base, d, dist <= F.lit(factor * chi_square_quantile(0.975, d)), mean)
     return mean, cov
@@ -410,7 +410,7 @@ def outliers_elliptic(df: DataFrame, features, key: str, contamination: float =
     base = _stored(df, feats, key, n)
     mean, cov = robust_covariance(base, key, n, d, max_steps)
     scored = base.select(key, _mahalanobis(mean, np.linalg.pinv(cov)).alias("robust_distance"))
-    thr = bracketed_quantile(scored, "robust_distance", 1.0 - contamination)
+    thr = bracketed_quantile(scored, "robust_distance", 1.0 - contamination, n)
     out = scored.withColumn("is_outlier", F.col("robust_distance") > F.lit(thr))
     return out
 

@@ -209,11 +209,14 @@ def quantiles(df: DataFrame, column: str, ps) -> list:
 BRACKET_ROWS, BRACKET_SHARE = 200_000, 3e-4
 
 
-def bracketed_quantile(df: DataFrame, column: str, p: float) -> float | None:
+def bracketed_quantile(df: DataFrame, column: str, p: float, rows: int | None = None) -> float | None:
     """The same exact quantile for a stored frame: a sketch gives two values
     around it, one scan counts the rows below and between, and only those
     between are ranked. Where the wanted ranks do not lie between (checked by
-    the counts) or the frame is small, all rows are ranked."""
+    the counts) or the frame is small (``rows``, if known, saves the scan that
+    tells), all rows are ranked."""
+    if rows is not None and rows < BRACKET_ROWS:
+        return quantiles(df, column, [p])[0]
     v, p = F.col(column).cast("double"), float(p)
     vals = df.select((v + F.lit(0.0)).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     shares = F.array(F.lit(max(0.0, p - BRACKET_SHARE)), F.lit(min(1.0, p + BRACKET_SHARE)))
