@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from ..functions.scalar import missing, safe_corr
 from ..plans.scale import one_row, quantiles
 from .boosting import boost_quantile
+from .cells import CellTrees, blended, fit_boosted, fit_forest, fit_forests
 from .kernel import fit_svc, fit_svr, knn_predict
 from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
 from .newton import Fit, accuracies, newton, standardised
@@ -308,19 +309,22 @@ def blend_predictions(train: DataFrame, score: DataFrame, features, label: str,
     says otherwise."""
     if classification is None:
         classification = few_levels(train, label, MOST_CLASSES)
-    est_cls = RandomForestClassifier if classification else RandomForestRegressor
     tr = assemble(train, features, label)
     cur = assemble(score, features, None, [key] if key else [])
     cols = []
-    for i in range(n_models):
-        m = est_cls(numTrees=num_trees, seed=seed + i).fit(tr)
+    seeds = [seed + i for i in range(n_models)]
+    models = ([RandomForestClassifier(numTrees=num_trees, seed=i).fit(tr) for i in seeds] if classification
+              else fit_forests(tr, num_trees, seeds))
+    keep = [key] if key else []
+    if isinstance(models[0], CellTrees):
+        return cur.select(*keep, blended(models, average).alias("blended"))
+    for i, m in enumerate(models):
         out = f"_p{i}"
         m.setPredictionCol(out)
         if classification:
             m.setProbabilityCol(f"_prob{i}").setRawPredictionCol(f"_raw{i}")
         cur = m.transform(cur)
         cols.append(vector_to_array(F.col(f"_prob{i}")) if classification else F.col(out))
-    keep = [key] if key else []
     if classification:
         arrs = F.array(*cols)
         mean = F.aggregate(arrs, F.array_repeat(F.lit(0.0), F.size(cols[0])),
@@ -349,6 +353,11 @@ def _interp_percentile(arr, q: float):
 def intervals_forest(model, data: DataFrame, percentile: float = 0.95, keep=()) -> DataFrame:
     """``intervals_forest``: per-row percentile band of the individual trees'
     predictions (each tree's ``transform`` is narrow; no join)."""
+    if isinstance(model, CellTrees):
+        places = [(1 - percentile) / 2, (1 + percentile) / 2]
+        band = model.column(lambda v: np.column_stack([*np.quantile(v, places, axis=1), v.mean(axis=1)]), "array<double>")
+        return data.select(*keep, band.alias("_b")).select(*keep, F.col("_b")[0].alias("lower_PI"), F.col("_b")[2].alias("prediction"),
+                                                          F.col("_b")[1].alias("upper_PI"))
     cur = data
     cols = []
     for i, tree in enumerate(model.trees):
@@ -636,9 +645,8 @@ def leaderboard_regression(train: DataFrame, test: DataFrame, features, label: s
               ("decision_tree", fit(DecisionTreeRegressor(seed=seed))),
               ("knn", lambda: knn_predict(tr, te)),
               ("svr_rbf_approximate", lambda: fit_svr(tr, seed=seed).transform(te)),
-              ("random_forest", fit(RandomForestRegressor(numTrees=num_trees, seed=seed))),
-              ("gradient_boosting", fit(GBTRegressor(maxIter=num_trees, stepSize=0.1, maxDepth=3,
-                                                     seed=seed)))]
+              ("random_forest", lambda: fit_forest(tr, num_trees, seed).transform(te)),
+              ("gradient_boosting", lambda: fit_boosted(tr, num_trees, 0.1, 3, seed).transform(te))]
     rows = []
     for name, predict in models:
         t0 = time.perf_counter()

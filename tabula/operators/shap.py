@@ -19,9 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .cells import CellTrees, by_cell, tree_borders
+
 
 def tree_tables(model, path: str, spark, positive_class: int = 1) -> list:
     """Per tree: arrays (left, right, feature, threshold, value, cover)."""
+    if isinstance(model, CellTrees):
+        return model.trees
     model.write().overwrite().save(path)
     data = spark.read.parquet(os.path.join(path, "data"))
     if "treeID" not in data.columns:
@@ -174,10 +178,6 @@ def tree_shap_batch(x: np.ndarray, tree, d: int) -> np.ndarray:
     return phi
 
 
-#: Explained feature rows that a task keeps between batches.
-KNOWN_ROWS = 100_000
-
-
 def shap_values_trees(model, data: DataFrame, features, key: str, path: str,
                       positive_class: int = 1) -> DataFrame:
     """``shap_values`` for a decision tree or random forest: one column per
@@ -191,20 +191,12 @@ def shap_values_trees(model, data: DataFrame, features, key: str, path: str,
 
     def run(it):
         ts, known = bc.value, {}
+        borders = tree_borders(ts, d)
+        # rows between the same thresholds have equal values: each cell is explained once
+        explain = lambda x: sum((tree_shap_batch(x, t_, d) for t_ in ts), np.zeros((len(x), d))) / max(len(ts), 1)
         for p in it:
-            x = np.ascontiguousarray(p[list(features)].to_numpy(dtype=np.float64))
-            # equal feature rows have equal values: each is explained once
-            flat = x.view(f"V{8 * d}").ravel()
-            _, at, back = np.unique(flat, return_index=True, return_inverse=True)
-            names = [flat[i].tobytes() for i in at]
-            if len(known) > KNOWN_ROWS:
-                known.clear()
-            fresh = np.array([i for i, k in enumerate(names) if k not in known], np.int64)
-            phi = np.zeros((len(fresh), d))
-            for t_ in ts:
-                phi += tree_shap_batch(x[at[fresh]], t_, d)
-            known.update(zip((names[i] for i in fresh), phi / max(len(ts), 1)))
-            out = np.array([known[k] for k in names]).reshape(-1, d)[back]
+            x = p[list(features)].to_numpy(dtype=np.float64)
+            out = by_cell(x, borders, known, explain).reshape(-1, d)
             res = pd.DataFrame(out, columns=[f"shap_{f}" for f in features])
             res.insert(0, key, p[key].to_numpy())
             res["base_value"] = base
