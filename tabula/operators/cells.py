@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -99,14 +99,15 @@ def _chunks(batches):
         yield pa.Table.from_batches(held)
 
 
-def cell_sums(data: DataFrame, rows: int, borders: list, trees: int, seed: int) -> DataFrame:
+def cell_sums(data: DataFrame, rows: int, borders: list, trees: int, seed: int, extra: list | None = None) -> DataFrame:
     """Per task and tree: cells, and count, sum and sum of squares of the labels
-    in them. ``trees=0``: one tree, every row once.
+    in them. ``trees=0``: one tree, every row once. ``extra``: columns x0, x1, ...
+    in place of the features.
 
     Independent Poisson(1) counts are drawn as their total and then that many
     rows of the chunk with replacement, which has the same distribution."""
     width, cells = len(borders), int(np.prod([len(b) + 1 for b in borders]))
-    narrow = spread(data.select(*feature_columns(width), F.col("label").cast("double").alias("y")), rows)
+    narrow = spread(data.select(*(extra or feature_columns(width)), F.col("label").cast("double").alias("y")), rows)
     # a task's sums do not grow with its rows, so few tasks keep the shuffle small
     narrow = narrow.coalesce(2 * data.sparkSession.sparkContext.defaultParallelism)
 
@@ -361,3 +362,24 @@ def boosted_of_cells(data: DataFrame, rows: int, width: int, rounds: int, step:
 
     nodes = cell_sums(data, rows, borders, 0, seed).groupBy("tree").applyInPandas(boost, NODES).toPandas()
     return CellTrees(nodes, width, [1.0] + [step] * (rounds - 1))
+
+
+def weighted_cells(data: DataFrame, rows: int, width: int, group: str, groups: int, max_bins: int, seed: int) -> DataFrame:
+    """Two points per cell of each ``group`` (0, 1, ...) with the count, sum and
+    sum of squares of its labels: their mean plus and minus their deviation, half
+    the weight each. The features are the numbers of the bins, so that a tree
+    splits between the same rows."""
+    borders = [*bin_borders(data, rows, width, max_bins, seed), np.arange(groups - 1) + 0.5]
+    cells = int(np.prod([len(b) + 1 for b in borders]))
+
+    def points(pdf: pd.DataFrame) -> pd.DataFrame:
+        used, (n, s, q) = _total(pdf, cells)
+        bins, mean = _bins(used, borders), s / n
+        off = np.sqrt(np.maximum(q / n - mean * mean, 0.0))
+        return pd.DataFrame({"x": [*bins[:, :-1].astype(float)] * 2, group: np.tile(bins[:, -1], 2), "label": np.concatenate([mean - off, mean + off]),
+                             "weight": np.tile(n / 2, 2)})
+
+    columns = [*feature_columns(width), F.col(group).cast("double").alias(f"x{width}")]
+    out = cell_sums(data, rows, borders, 0, seed, columns).groupBy("tree").applyInPandas(
+        points, f"x array<double>, {group} int, label double, weight double")
+    return out.withColumn("features", array_to_vector("x")).drop("x")

@@ -14,6 +14,7 @@ import random
 import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import partial
 
 import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
@@ -34,9 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import missing, safe_corr
-from ..plans.scale import one_row, quantiles
+from ..plans.scale import one_row, quantiles, spread
 from .boosting import boost_quantile
-from .cells import CellTrees, blended, fit_boosted, fit_forest, fit_forests
+from .cells import CellTrees, blended, few_cells, fit_boosted, fit_forest, fit_forests, weighted_cells
 from .kernel import fit_svc, fit_svr, knn_predict
 from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
 from .newton import Fit, accuracies, newton, standardised
@@ -58,7 +59,7 @@ def assemble(df: DataFrame, features, label: str | None = None, keep=()) -> Data
 def holdout(df: DataFrame, key: str, test_size: float = 0.3, seed: int = 46):
     # a filter on the split of a frame that is not stored evaluates its draw, and
     # the key the draw is made of, many times a row and in every scan
-    s = split_holdout(df, key, test_size, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    s = spread(split_holdout(df, key, test_size, seed), df.count()).persist(StorageLevel.MEMORY_AND_DISK)
     return s.filter("split = 'train'").drop("split"), s.filter("split = 'test'").drop("split")
 
 
@@ -731,17 +732,39 @@ def learning_curve(df: DataFrame, features, label: str, key: str, estimator, eva
         rows, "train_fraction DOUBLE, fold INT, train_score DOUBLE, test_score DOUBLE")
 
 
+def _weighted_score(metric: str, scored: DataFrame) -> float:
+    """rmse, mse or r2 of weighted points (Spark ML's r2 takes the weights for
+    another variance than that of as many rows)."""
+    y, w, rest = F.col("label"), F.col("weight"), F.col("label") - F.col("prediction")
+    r = one_row(scored, F.sum(w).alias("n"), F.sum(w * y).alias("s"), F.sum(w * y * y).alias("q"), F.sum(w * rest * rest).alias("e"))
+    if metric == "r2":
+        return 1 - r["e"] / (r["q"] - r["s"] * r["s"] / r["n"])
+    return r["e"] / r["n"] if metric == "mse" else math.sqrt(r["e"] / r["n"])
+
+
 def validation_curve(df: DataFrame, features, label: str, key: str, estimator, evaluator,
                      param: str, values, folds: int = 3, seed: int = 46) -> DataFrame:
-    """``validation_curve``: train/test score per parameter value and fold."""
+    """``validation_curve``: train/test score per parameter value and fold. A
+    regression tree under a squared-error metric needs only the sums of each
+    fold's cells, which weighted points carry."""
     data = assemble(split_kfold(df, key, folds, seed), features, label, ["fold"]).cache()
+    score = evaluator.evaluate
+    if (isinstance(estimator, DecisionTreeRegressor) and not estimator.isSet("weightCol") and estimator.getMinInstancesPerNode() == 1
+            and param == "maxDepth" and isinstance(evaluator, RegressionEvaluator) and evaluator.getMetricName() in ("rmse", "mse", "r2")
+            and not evaluator.isSet("weightCol")):
+        size = few_cells(data, "label", estimator.getMaxBins())
+        if size is not None:
+            rows, data = data, weighted_cells(data, *size, "fold", folds, estimator.getMaxBins(), seed).cache()
+            data.count()
+            rows.unpersist()
+            estimator, score = estimator.copy({estimator.weightCol: "weight"}), partial(_weighted_score, evaluator.getMetricName())
     rows = []
     for v in values:
         for k in range(folds):
             tr = data.filter(F.col("fold") != k)
             m = estimator.copy({estimator.getParam(param): v}).fit(tr)
-            rows.append((str(v), k, float(evaluator.evaluate(m.transform(tr))),
-                         float(evaluator.evaluate(m.transform(data.filter(F.col("fold") == k))))))
+            rows.append((str(v), k, float(score(m.transform(tr))),
+                         float(score(m.transform(data.filter(F.col("fold") == k))))))
     data.unpersist()
     return df.sparkSession.createDataFrame(
         rows, "param_value STRING, fold INT, train_score DOUBLE, test_score DOUBLE")
