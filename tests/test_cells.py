@@ -88,3 +88,22 @@ def test_rows_between_the_same_borders_are_valued_once():
         got = cells.by_cell(x, [np.array([1.0]), np.array([])], known, value)
         assert got.tolist() == [False, False, True, False]
     assert asked == [2]
+
+
+def test_the_validation_curve_of_cells_is_that_of_the_rows(spark, rows, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    frame = rows.select("id", *FEATURES, F.col("label").alias("y"))
+    curve = lambda: models.validation_curve(frame, FEATURES, "y", "id", DecisionTreeRegressor(seed=46), RegressionEvaluator(metricName="r2"),
+                                            "maxDepth", [2, 5]).toPandas()
+    want = curve()
+    monkeypatch.setattr(cells, "SMALL_ROWS", 100)
+    got = curve()
+    assert list(got["param_value"]) == list(want["param_value"]) and list(got["fold"]) == list(want["fold"])
+    np.testing.assert_allclose(got[["train_score", "test_score"]], want[["train_score", "test_score"]], rtol=1e-9)
+
+
+def test_holdout_spreads_a_frame_of_one_task(spark, monkeypatch):
+    from tabula.plans import scale
+    monkeypatch.setattr(scale, "SPREAD_ROWS", 100)
+    train, test = models.holdout(spark.range(0, 1000, 1, 1), "id")
+    assert train.rdd.getNumPartitions() > 1 and (train.count(), test.count()) == (700, 300)
