@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import missing, safe_corr
 from ..plans.scale import one_row, quantiles, spread
-from .boosting import boost_quantile
+from .boosting import boost_quantiles
 from .cells import CellTrees, blended, few_cells, fit_boosted, fit_forest, fit_forests, weighted_cells
 from .forests import fold_accuracies
 from .kernel import fit_svc, fit_svr, knn_predict
@@ -479,13 +479,9 @@ def intervals_quantile_boosted(train: DataFrame, score: DataFrame, features, lab
     least-squares prediction; returns ``lower_PI, prediction, upper_PI``."""
     held = split_holdout(train, key, validation_share, seed)
     tr = assemble(held.withColumn("_held", F.col("split") == "test"), features, label, ["_held"])
-    def bound(q):
-        return boost_quantile(tr, q, rounds, depth, learning_rate, F.col("_held"), patience, seed=seed)
-
-    # both bounds beside each other: their rounds are chains of small jobs
-    with ThreadPoolExecutor(2) as pool:
-        bounds = list(pool.map(inheritable_thread_target(train.sparkSession)(bound), ((1 - confidence) / 2, (1 + confidence) / 2)))
-    point = GBTRegressor(maxDepth=depth, maxIter=20, seed=seed).fit(tr)
+    bounds = boost_quantiles(tr, [(1 - confidence) / 2, (1 + confidence) / 2], rounds, depth, learning_rate,
+                             F.col("_held"), patience, seed=seed)
+    point = fit_boosted(tr, 20, max_depth=depth, seed=seed)
     scored = point.transform(assemble(score, features, None, [*keep]))
     return (scored.withColumn("x", vector_to_array("features"))
             .select(*keep, bounds[0].predict().alias("lower_PI"), "prediction", bounds[1].predict().alias("upper_PI")))
