@@ -6,9 +6,11 @@ super-pivots. Every row goes to the nearest pivot of its nearest super-pivot, an
 along its distance from the pivot into blocks of at most ``block_rows`` rows.
 Triangle-inequality bounds on the rings of super-cells, cells, bands of blocks
 and blocks decide in turn which reference blocks a query block has to visit.
-Visited blocks meet their queries by equi-joins (no driver, no cross join), one
-bounded pair of blocks at a time, and the ``k`` best per query are merged by a
-window whose limit is applied before the shuffle. The result is exact; where
+Blocks are packed into one row each, and neighbouring blocks form strips of about
+``STRIP_ROWS`` rows. Visited blocks meet their queries by equi-joins (no driver, no
+cross join), one bounded pair of strips at a time, so that a block moves once per
+strip that visits it; a pair of strips scores only its visits, and the ``k`` best
+per query are merged by a window whose limit is applied before the shuffle. The result is exact; where
 the bounds cannot exclude a block (high-dimensional noise), it is visited.
 """
 
@@ -34,6 +36,10 @@ BAND_BLOCKS = 64
 BOUND_ROWS = 256
 #: Queries scored at a time against one block.
 TILE_ROWS = 128
+#: Rows of the strips that meet (and at most one block more): 16 MB of 64 numbers each.
+STRIP_ROWS = 1 << 15
+#: Stand for a NULL key within packed blocks, of a query and of a neighbour (they never match).
+NULL_QUERY, NULL_NEIGHBOUR = -2 ** 63, 2 ** 63 - 1
 
 
 def _matrix(vectors) -> np.ndarray:
@@ -121,6 +127,27 @@ def _overlap(inner: str, outer: str):
     return (F.col("_low") - F.col(outer) <= F.col("_theta")) & (F.col(inner) - F.col("_high") <= F.col("_theta"))
 
 
+def _packed(blocks: DataFrame) -> DataFrame:
+    """One row per block: its strip, ids and vectors. Strips follow the order of
+    the blocks, so they hold neighbouring cells."""
+    def pack(key, p):
+        ids = p["_id"].fillna(0).to_numpy(np.int64)
+        ids = np.where(p["_id"].isna(), NULL_QUERY, ids)
+        return pd.DataFrame({"_cell": [key[0]], "_blk": [key[1]], "_rows": [len(p)], "_ids": [ids.tobytes()],
+                             "_vs": [_matrix(p["_v"]).tobytes()]})
+
+    packed = (blocks.select("_cell", "_blk", "_id", "_v").groupBy("_cell", "_blk")
+              .applyInPandas(pack, "_cell int, _blk long, _rows long, _ids binary, _vs binary").checkpoint())
+    # rows before each cell, and before the block within it (every block but a cell's last is full)
+    cells = packed.groupBy("_cell").agg(F.sum("_rows").alias("_n"), F.max("_rows").alias("_full")).toPandas().sort_values("_cell")
+    before = packed.sparkSession.createDataFrame(
+        pd.DataFrame({"_cell": cells["_cell"], "_before": cells["_n"].cumsum() - cells["_n"], "_full": cells["_full"]}),
+        "_cell int, _before long, _full long")  # at most one row per pivot
+    return (packed.join(F.broadcast(before), "_cell")
+            .withColumn("_strip", F.floor((F.col("_before") + F.col("_blk") * F.col("_full")) / STRIP_ROWS))
+            .select("_cell", "_blk", "_strip", "_ids", "_vs"))
+
+
 def plan_visits(qb: DataFrame, rb: DataFrame, index, need: int) -> DataFrame:
     """``(_qcell, _qblk, _rcell, _rblk)``: the reference blocks that may hold
     one of the ``need`` nearest rows of a query block.
@@ -204,20 +231,45 @@ def knn_join(queries: DataFrame, reference: DataFrame, q_key: str, r_key: str, v
     alike = queries is reference and q_key == r_key and q.count() == r.count()  # no copy left
     qb = rb if alike else _cell_blocks(q, index, block_rows)
     visits = plan_visits(qb, rb, index, need)
-    pair = ["_qcell", "_qblk", "_rcell", "_rblk"]
-    left = visits.join(qb.select(F.col("_cell").alias("_qcell"), F.col("_blk").alias("_qblk"), "_id", "_v"),
-                       ["_qcell", "_qblk"]).select(*pair, "_id", "_v")
-    right = visits.join(rb.select(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk"), "_id", "_v"),
-                        ["_rcell", "_rblk"]).select(*[F.col(c).alias(f"{c}2") for c in [*pair, "_id", "_v"]])
+    rp = _packed(rb)
+    qp = rp if alike else _packed(qb)
+    where = rp.select(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk"), F.col("_strip").alias("_rstrip"))
+    from_strip = qp.select(F.col("_cell").alias("_qcell"), F.col("_blk").alias("_qblk"), F.col("_strip").alias("_qstrip"))
+    met = visits.join(where, ["_rcell", "_rblk"]).join(from_strip, ["_qcell", "_qblk"])
+    block = F.struct(F.col("_rcell").alias("cell"), F.col("_rblk").alias("blk"))
+    pair = ["_qstrip", "_rstrip"]
+    left = (met.groupBy(*pair, "_qcell", "_qblk").agg(F.collect_set(block).alias("_visits"))
+            .join(qp.select(F.col("_cell").alias("_qcell"), F.col("_blk").alias("_qblk"), "_ids", "_vs"), ["_qcell", "_qblk"])
+            .select(*pair, "_ids", "_vs", F.col("_visits.cell").alias("_vcells"), F.col("_visits.blk").alias("_vblks")))
+    right = (met.select(*pair, "_rcell", "_rblk").distinct()
+             .join(rp.select(F.col("_cell").alias("_rcell"), F.col("_blk").alias("_rblk"), "_ids", "_vs"), ["_rcell", "_rblk"])
+             .select(*[F.col(c).alias(f"{c}2") for c in [*pair, "_rcell", "_rblk", "_ids", "_vs"]]))
+
+    def unpacked(ids, vectors):
+        n = len(ids) // 8
+        return np.frombuffer(ids, np.int64), np.frombuffer(vectors, np.float64).reshape(n, -1)
 
     def score(a, b):
-        x, y, x_ids, y_ids = _matrix(a["_v"]), _matrix(b["_v2"]), a["_id"].to_numpy(), b["_id2"].to_numpy()
-        parts = [_topk_block(x[i:i + TILE_ROWS], y, y_ids, k, x_ids[i:i + TILE_ROWS], exclude_self)
-                 for i in range(0, len(x), TILE_ROWS)]
-        return pd.DataFrame(dict(zip((q_key, "neighbor_id", "sq_distance"), map(np.concatenate, zip(*parts)))))
+        held = {}
+        for c, j, i, v in zip(b["_rcell2"], b["_rblk2"], b["_ids2"], b["_vs2"]):
+            ids, vectors = unpacked(i, v)
+            held[c, j] = np.where(ids == NULL_QUERY, NULL_NEIGHBOUR, ids), vectors
+        out = []
+        for ids, vectors, cells, blks in zip(a["_ids"], a["_vs"], a["_vcells"], a["_vblks"]):
+            x_ids, x = unpacked(ids, vectors)
+            for i in range(0, len(x), TILE_ROWS):
+                parts = [_topk_block(x[i:i + TILE_ROWS], held[at][1], held[at][0], k, x_ids[i:i + TILE_ROWS], exclude_self)
+                         for at in zip(cells, blks)]
+                q_ids, r_ids, d = map(np.concatenate, zip(*parts))
+                order = np.lexsort((r_ids, d, q_ids))
+                first = np.searchsorted(q_ids[order], q_ids[order])
+                best = order[np.arange(len(order)) - first < k]
+                out.append((q_ids[best], r_ids[best], d[best]))
+        return pd.DataFrame(dict(zip((q_key, "neighbor_id", "sq_distance"), map(np.concatenate, zip(*out)))))
 
     found = left.groupBy(*pair).cogroup(right.groupBy(*[f"{c}2" for c in pair])).applyInPandas(
         score, f"{q_key} long, neighbor_id long, sq_distance double")
+    found = found.select(F.nullif(q_key, F.lit(NULL_QUERY)).alias(q_key), F.nullif("neighbor_id", F.lit(NULL_NEIGHBOUR)).alias("neighbor_id"), "sq_distance")
     w = Window.partitionBy(q_key).orderBy("sq_distance", "neighbor_id")
     return (found.withColumn("neighbor_rank", F.row_number().over(w).cast("int"))
             .filter(F.col("neighbor_rank") <= k))
