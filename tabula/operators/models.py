@@ -38,7 +38,7 @@ from ..functions.scalar import missing, safe_corr
 from ..plans.scale import one_row, quantiles, spread
 from .boosting import boost_quantiles
 from .cells import CellTrees, blended, few_cells, fit_boosted, fit_forest, fit_forests, weighted_cells
-from .forests import fold_accuracies
+from .forests import fold_accuracies, refit
 from .kernel import fit_svc, fit_svr, knn_predict
 from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
 from .newton import Fit, accuracies, newton, standardised
@@ -149,7 +149,7 @@ def _fit_folds(estimator, data: DataFrame, maps: list, evaluator, folds: int, pa
     """What ``CrossValidator`` does with the column ``_fold``, over persisted rows:
     it would write every fold's rows into a cache of their own, and evaluate
     the draws behind the fold numbers again for each. Forest classifiers are fitted
-    in one job where they can be (``fold_accuracies``)."""
+    in one job where they can be (``fold_accuracies``), and so is a deep refit."""
     fold = F.col("_fold")
     seen = one_row(data, F.min(fold).alias("low"), F.max(fold).alias("high"), F.count_distinct(fold).alias("n"),
                    F.count(F.when(fold.isNull(), 1)).alias("none"))
@@ -164,13 +164,15 @@ def _fit_folds(estimator, data: DataFrame, maps: list, evaluator, folds: int, pa
         return float(evaluator.evaluate(model.transform(data.filter(fold == k), pm)))
 
     metrics = fold_accuracies(estimator, data, maps, evaluator, folds)
-    if metrics is None:
+    joint = metrics is not None
+    if not joint:
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
             found = list(pool.map(inheritable_thread_target(data.sparkSession)(score), [(k, pm) for k in range(folds) for pm in maps]))
         metrics = np.array(found).reshape(folds, len(maps))
     mean = metrics.mean(axis=0)
     best = np.argmax(mean) if evaluator.isLargerBetter() else np.argmin(mean)
-    return CrossValidatorModel(estimator.fit(data, maps[best]), mean.tolist(), stdMetrics=metrics.std(axis=0).tolist())
+    model = refit(estimator, data, maps[best], evaluator) if joint else None
+    return CrossValidatorModel(model or estimator.fit(data, maps[best]), mean.tolist(), stdMetrics=metrics.std(axis=0).tolist())
 
 
 def _jsonable(v):

@@ -60,3 +60,31 @@ def test_other_estimators_and_metrics_go_to_spark_ml():
     assert forests.settings_of(est, [{}], MulticlassClassificationEvaluator(metricName="f1")) is None
     assert forests.settings_of(RandomForestClassifier(minInfoGain=0.1), [{}], accuracy) is None
     assert [forests.features_per_node(s, 64) for s in ("auto", "log2", "onethird", "5", "99", "0.5")] == [8, 6, 22, 5, 64, None]
+
+
+def test_a_deep_refit_is_a_table_of_trees(spark, monkeypatch):
+    rows = spark.range(3000).select("id", F.rand(3).alias("a"), F.rand(4).alias("b"), F.rand(5).alias("c"))
+    data = models.assemble(rows.withColumn("y", (F.col("a") * 3 + F.col("b") * 2).cast("int")), ["a", "b", "c"], "y", ["id"]).persist()
+    est, ev = RandomForestClassifier(seed=46, bootstrap=False), MulticlassClassificationEvaluator(metricName="accuracy")
+    grid = {"numTrees": [4, 6], "maxDepth": [2, 20]}
+    fits, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda *a: fits.append(1) or fit(*a))
+    found, _ = models.grid_search(est, grid, data, ev, "id")
+    model = found.bestModel
+    assert not fits and isinstance(model, forests.ForestTable)
+    assert sorted(r["tree"] for r in model.trees.collect()) == list(range(model.getNumTrees))
+    assert model.totalNumNodes > 100 and model.trees.filter("rows[0] <> 3000").count() == 0
+    assert sum(model.featureImportances) == pytest.approx(1) and model.featureImportances[0] > model.featureImportances[2]
+    scored = found.transform(data).select("id", "features", "probability", "prediction", "label").toPandas()
+    assert len(scored) == 3000 == scored["id"].nunique() and (scored["prediction"] == scored["label"]).mean() > 0.99
+    # every row is voted on by every tree, by the rules alone
+    trees = [r.asDict() for r in model.trees.collect()]
+    for x, got, most in zip(scored["features"][:50], scored["probability"], scored["prediction"]):
+        want = np.zeros(model.numClasses)
+        for t in trees:
+            at = 0
+            while t["feature"][at] >= 0:
+                at = t["left"][at] + (x[t["feature"][at]] > t["threshold"][at])
+            want += np.array(t["shares"][at * model.numClasses:(at + 1) * model.numClasses]) / len(trees)
+        assert got.toArray() == pytest.approx(want) and most == got.toArray().argmax()
+    data.unpersist()
