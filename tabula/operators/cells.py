@@ -29,6 +29,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.scale import one_row, spread
 
@@ -48,23 +49,42 @@ KNOWN_CELLS = 100_000
 def few_cells(data: DataFrame, label: str, max_bins: int) -> tuple[int, int] | None:
     """(rows, features) of the vector column ``features``, if trees over them
     can be grown from cells and there are enough rows for it to pay."""
-    seen = one_row(data, F.count(F.lit(1)).alias("n"), F.count(F.nanvl(F.col(label).cast("double"), F.lit(None))).alias("known"))
-    if seen["n"] <= SMALL_ROWS or seen["known"] < seen["n"]:
+    rows = known_rows(data, label)
+    if rows is None:
         return None
     width = len(data.select("features").first()[0])
-    return (seen["n"], width) if max_bins ** width <= MOST_CELLS else None
+    return (rows, width) if max_bins ** width <= MOST_CELLS else None
+
+
+def known_rows(data: DataFrame, label: str) -> int | None:
+    """Number of rows, if they are enough for cells to pay and all have a label."""
+    seen = one_row(data, F.count(F.lit(1)).alias("n"), F.count(F.nanvl(F.col(label).cast("double"), F.lit(None))).alias("known"))
+    return None if seen["n"] <= SMALL_ROWS or seen["known"] < seen["n"] else seen["n"]
+
+
+def plain_columns(df: DataFrame, features, label: str, keep=()) -> DataFrame | None:
+    """The rows that ``assemble`` keeps with their features as columns x0, x1, ...;
+    None where a feature is not a number. Scans of it read only the columns they use,
+    so that no vectors are made or stored."""
+    types = {f.name: f.dataType for f in df.schema}
+    if not all(isinstance(types.get(f), (T.NumericType, T.BooleanType)) for f in features):
+        return None
+    return df.dropna(subset=list(features)).select(
+        *keep, *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)], F.col(label).cast("double").alias("label"))
 
 
-def feature_columns(width: int) -> list:
+def feature_columns(width: int, plain: bool = False) -> list:
+    if plain:
+        return [F.col(f"x{i}") for i in range(width)]
     cells = vector_to_array("features")
     return [cells[i].alias(f"x{i}") for i in range(width)]
 
 
-def bin_borders(data: DataFrame, rows: int, width: int, max_bins: int, seed: int) -> list:
+def bin_borders(data: DataFrame, rows: int, width: int, max_bins: int, seed: int, plain: bool = False) -> list:
     """Per feature the borders of its bins: between all neighbouring values, or
     where there are more values than bins between those next to the quantiles."""
     wanted = max(max_bins ** 2, 10_000)
-    narrow = data.select(*feature_columns(width))
+    narrow = data.select(*feature_columns(width, plain))
     sample = (narrow.sample(False, wanted / rows, seed) if rows > wanted else narrow).toPandas()
     return [_borders(sample[f"x{i}"].to_numpy(), max_bins) for i in range(width)]
 
@@ -364,12 +384,13 @@ def boosted_of_cells(data: DataFrame, rows: int, width: int, rounds: int, step:
     return CellTrees(nodes, width, [1.0] + [step] * (rounds - 1))
 
 
-def weighted_cells(data: DataFrame, rows: int, width: int, group: str, groups: int, max_bins: int, seed: int) -> DataFrame:
+def weighted_cells(data: DataFrame, rows: int, width: int, group: str, groups: int, max_bins: int, seed: int,
+                   plain: bool = False) -> DataFrame:
     """Two points per cell of each ``group`` (0, 1, ...) with the count, sum and
     sum of squares of its labels: their mean plus and minus their deviation, half
-    the weight each. The features are the numbers of the bins, so that a tree
+    the weight each. ``plain``: rows of ``plain_columns``. The features are the numbers of the bins, so that a tree
     splits between the same rows."""
-    borders = [*bin_borders(data, rows, width, max_bins, seed), np.arange(groups - 1) + 0.5]
+    borders = [*bin_borders(data, rows, width, max_bins, seed, plain), np.arange(groups - 1) + 0.5]
     cells = int(np.prod([len(b) + 1 for b in borders]))
 
     def points(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -379,7 +400,7 @@ def weighted_cells(data: DataFrame, rows: int, width: int, group: str, groups: i
         return pd.DataFrame({"x": [*bins[:, :-1].astype(float)] * 2, group: np.tile(bins[:, -1], 2), "label": np.concatenate([mean - off, mean + off]),
                              "weight": np.tile(n / 2, 2)})
 
-    columns = [*feature_columns(width), F.col(group).cast("double").alias(f"x{width}")]
+    columns = [*feature_columns(width, plain), F.col(group).cast("double").alias(f"x{width}")]
     out = cell_sums(data, rows, borders, 0, seed, columns).groupBy("tree").applyInPandas(
         points, f"x array<double>, {group} int, label double, weight double")
     return out.withColumn("features", array_to_vector("x")).drop("x")

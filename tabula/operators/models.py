@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 from ..functions.scalar import missing, safe_corr
 from ..plans.scale import one_row, quantiles, spread
 from .boosting import boost_quantiles
-from .cells import CellTrees, blended, few_cells, fit_boosted, fit_forest, fit_forests, weighted_cells
+from .cells import (MOST_CELLS, CellTrees, blended, fit_boosted, fit_forest, fit_forests, known_rows, plain_columns,
+                    weighted_cells)
 from .forests import fold_accuracies, refit
 from .kernel import fit_svc, fit_svr, knn_predict
 from .evaluate import f1_by_threshold, metrics_by_class, metrics_regression
@@ -749,17 +750,19 @@ def validation_curve(df: DataFrame, features, label: str, key: str, estimator, e
     """``validation_curve``: train/test score per parameter value and fold. A
     regression tree under a squared-error metric needs only the sums of each
     fold's cells, which weighted points carry."""
-    data = assemble(split_kfold(df, key, folds, seed), features, label, ["fold"]).cache()
-    score = evaluator.evaluate
-    if (isinstance(estimator, DecisionTreeRegressor) and not estimator.isSet("weightCol") and estimator.getMinInstancesPerNode() == 1
+    split, data, score = split_kfold(df, key, folds, seed), None, evaluator.evaluate
+    bins = estimator.getMaxBins() if isinstance(estimator, DecisionTreeRegressor) else 0
+    if (bins and bins ** len(features) <= MOST_CELLS and not estimator.isSet("weightCol") and estimator.getMinInstancesPerNode() == 1
             and param == "maxDepth" and isinstance(evaluator, RegressionEvaluator) and evaluator.getMetricName() in ("rmse", "mse", "r2")
             and not evaluator.isSet("weightCol")):
-        size = few_cells(data, "label", estimator.getMaxBins())
+        # one scan for the sums needs the folds, the others two or three columns: no row is stored
+        plain = plain_columns(split, features, label, ["fold"])
+        size = None if plain is None else known_rows(plain, "label")
         if size is not None:
-            rows, data = data, weighted_cells(data, *size, "fold", folds, estimator.getMaxBins(), seed).cache()
-            data.count()
-            rows.unpersist()
+            data = weighted_cells(plain, size, len(features), "fold", folds, bins, seed, plain=True).cache()
             estimator, score = estimator.copy({estimator.weightCol: "weight"}), partial(_weighted_score, evaluator.getMetricName())
+    if data is None:
+        data = assemble(split, features, label, ["fold"]).cache()
     rows = []
     for v in values:
         for k in range(folds):

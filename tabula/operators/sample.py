@@ -17,17 +17,43 @@ from ..functions.random import draw_int
 from ..plans.scale import global_rank, global_rank_total
 
 
-def _order_cuts(df: DataFrame, order: list, positions):
+#: Draws are counted by so many of their leading bits before any is ranked.
+DRAW_BITS = 16
+
+
+def _order_cuts(df: DataFrame, order: list, positions, drawn: bool = True):
     """Conditions "after the row at this position", one per position of the
     order. Only the order columns are ranked, and only the rows at the cuts
     (a fixed number) reach the driver; whole rows are neither sorted nor moved.
+    Where the order begins with a draw (``drawn``), counts by its leading bits
+    tell which few draws lie at a cut, and only these are ranked.
     ``positions`` gets the row count. Returns ``(conditions, row count)``.
     """
     names = [f"_o{i}" for i in range(len(order))]
     narrow = df.select(*[c.alias(n) for c, n in zip(order, names)])
-    ranked, n = global_rank_total(narrow, names, rank_col="_r")
-    places = positions(n)
+    if drawn:
+        lead = lambda draw: F.coalesce(F.shiftright(draw, 31 - DRAW_BITS), F.lit(-1))  # noqa: E731 (NULL comes first)
+        counts = sorted((r["lead"], r["count"]) for r in narrow.groupBy(lead("_o0").alias("lead")).count().collect())
+        n, skipped, before, at = sum(c for _, c in counts), [], 0, []
+        places = positions(n)
+        for value, count in counts:
+            if any(before < place <= before + count for place in places):
+                at.append(value)
+            else:
+                skipped.append((before, count))
+            before += count
+        # places among the draws that are ranked
+        moved = {place: place - sum(c for b, c in skipped if b < place) for place in places}
+        # a filter on the draw would evaluate it many times a row (see ``models.holdout``)
+        few = narrow.select(F.inline(F.filter(F.array(F.struct(*names)), lambda r: lead(r["_o0"]).isin(at)))).persist()
+        ranked, _ = global_rank_total(few, names, rank_col="_r")
+        places = [moved[place] if 0 < place <= n else (place if place < 1 else n + 1) for place in places]
+    else:
+        ranked, n = global_rank_total(narrow, names, rank_col="_r")
+        places = positions(n)
     hits = {r["_r"]: r for r in ranked.filter(F.col("_r").isin(sorted(set(places)))).collect()}
+    if drawn:
+        few.unpersist()
     types = {f.name: f.dataType for f in narrow.schema}
     row = F.struct(*[c.alias(x) for c, x in zip(order, names)])
     after = []
@@ -52,7 +78,7 @@ def split_kfold(df: DataFrame, key: str, k: int = 10, seed: int = 46, shuffle: b
     """``split_kfold``: contiguous folds over the (shuffled) order of a unique
     key; the first ``n % k`` folds get one extra row, as k-fold splitting does."""
     order = [draw_int(key, seed), F.col(key)] if shuffle else [F.col(key)]
-    after, _ = _order_cuts(df, order, lambda n: [(i + 1) * (n // k) + min(i + 1, n % k) for i in range(k - 1)])
+    after, _ = _order_cuts(df, order, lambda n: [(i + 1) * (n // k) + min(i + 1, n % k) for i in range(k - 1)], shuffle)
     fold = F.lit(0)
     for condition in after:
         fold = fold + condition.cast("int")

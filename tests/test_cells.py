@@ -107,3 +107,33 @@ def test_holdout_spreads_a_frame_of_one_task(spark, monkeypatch):
     monkeypatch.setattr(scale, "SPREAD_ROWS", 100)
     train, test = models.holdout(spark.range(0, 1000, 1, 1), "id")
     assert train.rdd.getNumPartitions() > 1 and (train.count(), test.count()) == (700, 300)
+
+
+def test_cuts_of_a_drawn_order_rank_only_the_draws_at_the_cuts(spark, monkeypatch):
+    from tabula.operators import sample
+    ids = [None] * 40 + [7] * 300 + list(range(1000, 1660))
+    frame = spark.createDataFrame([(i,) for i in ids], "id long")
+    order = [sample.draw_int("id", 46), F.col("id")]
+    ranked, rank = [], sample.global_rank_total
+    monkeypatch.setattr(sample, "global_rank_total", lambda df, *a, **k: ranked.append(df.count()) or rank(df, *a, **k))
+    for places in ([1, 40, 41, 500, 999, 1000], [0, 1001], [300, 300], [700]):
+        found = []
+        for drawn in (True, False):
+            after, n = sample._order_cuts(frame, order, lambda n: places, drawn)
+            assert n == 1000
+            found.append(frame.select("id", *[c.alias(f"c{i}") for i, c in enumerate(after)]).toPandas().value_counts(dropna=False).sort_index())
+        assert found[0].equals(found[1])
+    assert ranked[1::2] == [1000] * 4 and ranked[2] == 0 and ranked[6] <= 310
+    empty = sample._order_cuts(frame.limit(0), order, lambda n: [0, n])
+    assert empty[1] == 0 and frame.limit(0).select(*empty[0]).count() == 0
+
+
+def test_the_validation_curve_stores_no_rows(spark, rows, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    frame = rows.select("id", *FEATURES, F.col("label").alias("y"))
+    frame = frame.unionByName(frame.limit(3).withColumn(FEATURES[0], F.lit(None).cast("double")))
+    monkeypatch.setattr(cells, "SMALL_ROWS", 100)
+    monkeypatch.setattr(models, "assemble", None)
+    got = models.validation_curve(frame, FEATURES, "y", "id", DecisionTreeRegressor(seed=46), RegressionEvaluator(metricName="r2"),
+                                  "maxDepth", [2]).toPandas()
+    assert len(got) == 3 and got["train_score"].between(0, 1).all()
