@@ -19,6 +19,7 @@ the summed parts, which no later plan reads, are deleted.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from ..session import shared_path
 
 #: Tokens times topics of a block: what one cogroup holds, beside its longest document.
 BLOCK_CELLS = 1 << 22
+#: A batch has as many blocks as the session has cores, if they hold so many then.
+LEAST_CELLS = 1 << 19
 #: Written parts of the weights that a step reads at most.
 MERGE = 4
 
@@ -204,23 +207,26 @@ def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5
     # the row numbers are frozen by the write, so that later deals of the rows agree
     path = shared_path(spark, "lda-rows")
     kept = F.filter(tokens_col, lambda w: w.isNotNull())
-    df.select(F.col(doc_col), F.monotonically_increasing_id().alias("_row"),
-              F.coalesce(kept, F.array().cast("array<string>")).alias("_tokens")).write.parquet(path)
+    (df.select(F.col(doc_col), F.monotonically_increasing_id().alias("_row"),
+               F.coalesce(kept, F.array().cast("array<string>")).alias("_tokens"))
+     .withColumn("_size", F.size("_tokens").cast("long")).write.parquet(path))
     rows = spark.read.parquet(path)
-    words = rows.select(F.explode("_tokens").alias("word"))
-    size = rows.agg(F.coalesce(F.sum(F.size("_tokens").cast("long")), F.lit(0)).alias("n")).first()["n"]
-    vocabulary = words.distinct().count()
-    blocks = batches * max(1, -(-size * k // (BLOCK_CELLS * batches)))
+    size = one_row(rows, F.sum("_size").alias("n"))["n"] or 0
+    cores, of_batch = spark.sparkContext.defaultParallelism, -(-size * k // batches)
+    blocks = batches * max(1, -(-of_batch // BLOCK_CELLS), min(cores, of_batch // LEAST_CELLS))
     path = shared_path(spark, "lda-blocks")
-    dealt = rows.filter(F.size("_tokens") > 0).select(
+    dealt = rows.filter("_size > 0").select(
         "_row", "_tokens", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(blocks)).alias("_block"))
+    # written by the tasks that build them: a range partitioning would build them once more for its sample
     (dealt.withColumn("_batch", (F.col("_block") % batches).cast("int")).groupBy("_block").applyInArrow(block_rows, BLOCK_ROWS)
-     .repartitionByRange("_batch", "_block").write.partitionBy("_batch").parquet(path))
-    model = TopicWeights(spark, k, vocabulary, eta, seed)
-    if vocabulary:
+     .write.partitionBy("_batch").parquet(path))
+    vocabulary = 0
+    if size:
         dealt_blocks = spark.read.schema(BLOCK_ROWS).parquet(path)
+        vocabulary = dealt_blocks.filter("word IS NOT NULL").select("word").distinct().count()  # once a block, not once a token
         held = {r["_batch"]: r["n"] for r in dealt_blocks.groupBy("_batch").agg(F.count("_row").alias("n")).collect()}
         order = sorted(held)
+    model = TopicWeights(spark, k, vocabulary, eta, seed)
 
     def cogroup(part, kernel, schema):
         documents = part.filter("_row IS NOT NULL").select("_block", "_row", "places", "counts")
@@ -251,12 +257,11 @@ def topics_lda(df: DataFrame, doc_col: str, tokens_col: str, num_topics: int = 5
         assign = rows.select(doc_col, F.lit(0).alias("topic"))
     else:
         units, totals = model.merge(), model.totals
-        cells = units.select("word", F.inline(F.array(*[
-            F.struct(F.lit(j).alias("topic"), ((F.col(f"u{j}") + eta) / totals[j]).alias("weight")) for j in range(k)])))
-        # only the first num_words of every task and topic are shuffled (a limit per group)
+        # one limit per topic: a window would sort all words of all topics
+        best = [units.select(F.lit(j).alias("topic"), "word", ((F.col(f"u{j}") + eta) / totals[j]).alias("weight"))
+                .orderBy(F.desc("weight"), "word").limit(num_words) for j in range(k)]
         place = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("weight"), "word"))
-        topics = (cells.withColumn("rank", place).filter(F.col("rank") <= num_words)
-                  .select("topic", (F.col("rank") - 1).alias("rank"), "word", "weight"))
+        topics = reduce(DataFrame.union, best).select("topic", (place - 1).alias("rank"), "word", "weight")
         path = shared_path(spark, "lda-topics")
         cogroup(dealt_blocks, dominant, "_row long, _topic int").write.parquet(path)
         assign = (rows.select(doc_col, "_row").join(spark.read.parquet(path), "_row", "left")

@@ -121,3 +121,24 @@ def test_odd_documents(spark):
     assert empty.count() == 0 == none.count()
     bare = topics.topics_lda(frame.filter("doc_id in (4, 5)"), "doc_id", "tokens")
     assert bare[0].count() == 0 and [tuple(r) for r in bare[2].collect()] == [(0, 2)]
+
+
+def test_every_block_is_built_once_and_a_batch_has_work_for_the_cores(spark, monkeypatch, tmp_path):
+    build, log = topics.block_rows, str(tmp_path)
+
+    def logged(documents):
+        import uuid
+        block = documents.column("_block")[0].as_py()
+        open(f"{log}/{block}-{uuid.uuid4().hex}", "w").close()
+        return build(documents)
+    frame = spark.range(400).select(F.col("id").alias("doc_id"), F.transform(F.sequence(F.lit(1), F.lit(9)), lambda i: F.concat(
+        F.lit("w"), (F.col("id") * i % 50).cast("string"))).alias("tokens"))
+    want = topics.topics_lda(frame, "doc_id", "tokens", num_topics=2, batches=3, max_iter=3)[0].toPandas()
+    monkeypatch.setattr(topics, "block_rows", logged)
+    monkeypatch.setattr(topics, "LEAST_CELLS", 200)
+    got = topics.topics_lda(frame, "doc_id", "tokens", num_topics=2, batches=3, max_iter=3)[0].toPandas()
+    built = [int(f.name.split("-")[0]) for f in tmp_path.iterdir()]
+    assert len(built) == len(set(built)) == 3 * min(spark.sparkContext.defaultParallelism, 400 * 9 * 2 // 3 // 200)
+    order = ["topic", "rank"]
+    got, want = got.sort_values(order), want.sort_values(order)
+    assert list(got["word"]) == list(want["word"]) and np.allclose(got["weight"], want["weight"])
