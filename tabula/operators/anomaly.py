@@ -13,7 +13,9 @@ starts run in nested subsets of bounded size, the ten best are concentrated over
 all rows side by side; moments are partial sums per partition (numpy in the
 task) added by position in Spark, so d x d numbers reach the driver, and the
 last cuts are exact order statistics. The final flag is the top
-``contamination`` share of robust distances.
+``contamination`` share of robust distances. From ``PACKED_ROWS`` rows on, this
+fit and that of the one-class detector scan packed blocks (``blocks``), and a
+step is one scan that finds its cut and the sums below it.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from ..functions.random import draw_uniform
 from ..plans.scale import bracketed_quantile, one_row, quantiles, spread
+from .blocks import PACKED_ROWS, Packed
 from .missing import _distinct_counts as exact_distinct_counts
 from .relational import distinct_counts
 
@@ -74,27 +77,25 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
     return feat, thr, left, right, size
 
 
-def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
+def _steps(tree):
+    """A tree for ``_path_lengths``: feature and threshold per node, the nodes
+    after it (no, yes), path lengths at leaves, and levels. A leaf leads to itself."""
     feat, thr, left, right, size = tree
-    rest = np.array([_c(s) for s in size])  # once a node, not once a row
-    n = x.shape[0]
-    cur = np.zeros(n, dtype=np.int64)
-    depth = np.zeros(n)
-    active = np.ones(n, dtype=bool)
-    while active.any():
-        f = feat[cur]
-        leaf = f < 0
-        done = active & leaf
-        if done.any():
-            depth[done] += rest[cur[done]]
-            active &= ~leaf
-        if not active.any():
-            break
-        idx = np.flatnonzero(active)
-        go_left = x[idx, f[idx]] < thr[cur[idx]]
-        cur[idx] = np.where(go_left, left[cur[idx]], right[cur[idx]])
-        depth[idx] += 1
-    return depth
+    own, depth = np.arange(len(feat)), np.zeros(len(feat))
+    for i in own[feat >= 0]:  # a node comes before those below it
+        depth[[left[i], right[i]]] = depth[i] + 1
+    after = np.stack([np.where(feat < 0, own, right), np.where(feat < 0, own, left)], axis=1).ravel()
+    return np.maximum(feat, 0), thr, after, depth + np.array([_c(s) for s in size]), int(depth.max())
+
+
+def _path_lengths(x: np.ndarray, steps) -> np.ndarray:
+    """Path length of every row of ``x``: all rows go down a level at a time."""
+    feat, thr, after, length, levels = steps
+    cells, first = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
+    cur = np.zeros(len(x), dtype=np.int64)
+    for _ in range(levels):
+        cur = after[2 * cur + (cells[first + feat[cur]] < thr[cur])]
+    return length[cur]
 
 
 def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: int = 100,
@@ -114,14 +115,15 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
     margin = 3.0
     while True:
         rate = min(1.0, margin * psi / max(n, 1))
-        draws = F.transform(F.sequence(F.lit(0), F.lit(n_estimators - 1)),
-                            lambda t_: F.struct(t_.alias("tree"),
-                                                draw_uniform(F.xxhash64(F.col(key), t_), seed).alias("u")))
-        cand = (base.select(key, "_x", F.explode(F.filter(draws, lambda s: s["u"] < rate)).alias("_d"))
-                .select(key, "_x", F.col("_d.tree").alias("tree"), F.col("_d.u").alias("u")))
+        # one row per tree, dropped by its draw within the stage
+        trees_of = F.array(*[F.lit(i) for i in range(n_estimators)])
+        cand = (base.select(key, "_x", F.explode(trees_of).alias("tree"))
+                .withColumn("u", draw_uniform(F.xxhash64(F.col(key), F.col("tree")), seed)).filter(F.col("u") < rate)
+                .persist(StorageLevel.MEMORY_AND_DISK))
         short = cand.groupBy("tree").count().filter(F.col("count") < psi).limit(1).count()
         if short == 0 or rate >= 1.0:
             break
+        cand.unpersist()
         margin *= 2
 
     d = len(features)
@@ -139,7 +141,8 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
         build, "tree int, node long, feature long, threshold double, left long, right long, size long")
     # Bounded by n_estimators x (2 psi - 1) rows, independent of the data size.
     trees_pdf = nodes.toPandas().sort_values(["tree", "node"])
-    trees = [tuple(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size"))
+    cand.unpersist()
+    trees = [_steps(tuple(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size")))
              for _, g in trees_pdf.groupby("tree")]
     bc = spark.sparkContext.broadcast(trees)
     c_psi = _c(psi)
@@ -147,17 +150,16 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
     def score(it):
         ts = bc.value
         for p in it:
-            x = np.stack(p["_x"].to_numpy()).astype(np.float64).reshape(-1, d) if len(p) else \
-                np.zeros((0, d))
-            h = np.zeros(len(p))
+            x = _cells(p, d)
+            h = np.zeros(len(x))
             for tr in ts:
                 h += _path_lengths(x, tr)
             h /= max(len(ts), 1)
-            s = np.power(2.0, -h / c_psi) if c_psi > 0 else np.full(len(p), 0.5)
-            yield pd.DataFrame({key: p[key], score_col: s})
+            s = np.power(2.0, -h / c_psi) if c_psi > 0 else np.full(len(x), 0.5)
+            yield _batch(**{key: p.column(key), score_col: s})
 
     key_type = dict(df.dtypes)[key]
-    scored = base.mapInPandas(score, f"{key} {key_type}, {score_col} double")
+    scored = base.mapInArrow(score, f"{key} {key_type}, {score_col} double")
     if contamination == "auto":
         flag = F.col(score_col) > 0.5
     else:
@@ -362,6 +364,89 @@ def _concentrate_all(base: DataFrame, estimates: list, h: int, n: int, d: int) -
 SUBSETS, SUBSET_ROWS, STARTS, BEST = 5, 300, 100, 10
 
 
+class _Squares:
+    """The products of cells that distances and moments are made of, over packed
+    rows. Cells are taken from the median of the sample in units of its spread."""
+
+    def __init__(self, rows: Packed):
+        self.rows, self.d = rows, rows.width
+        low, self.centre, high = np.percentile(rows.sample, [25, 50, 75], axis=0) if len(rows.sample) else np.zeros((3, self.d))
+        self.unit = np.where(high > low, high - low, 1.0)
+        self.first, self.second = np.triu_indices(self.d)
+        self.columns = 1 + self.d + len(self.first)
+        self.chunk = max(1, (1 << 17) // self.columns)
+
+    def __getstate__(self):
+        """What the tasks need."""
+        return {k: v for k, v in self.__dict__.items() if k != "rows"}
+
+    def terms(self, x: np.ndarray) -> np.ndarray:
+        out = np.ones((self.columns, len(x)))
+        u = out[1:self.d + 1]
+        u[:] = ((x - self.centre) / self.unit).T
+        np.multiply(u[self.first], u[self.second], out=out[self.d + 1:])
+        return out
+
+    def distance(self, mean, cov) -> np.ndarray:
+        """Squared distance from an estimate as coefficients of the terms."""
+        m = (mean - self.centre) / self.unit
+        p = np.linalg.pinv(cov) * np.outer(self.unit, self.unit)
+        twice = np.where(self.first == self.second, 1.0, 2.0)
+        return np.concatenate([[m @ p @ m], -2.0 * (p @ m), twice * p[self.first, self.second]])
+
+    def estimate(self, sums: np.ndarray):
+        """Mean and covariance from the sums of the terms."""
+        mean, square = sums[1:self.d + 1] / sums[0], np.zeros((self.d, self.d))
+        square[self.first, self.second] = square[self.second, self.first] = sums[self.d + 1:] / sums[0]
+        return mean * self.unit + self.centre, (square - np.outer(mean, mean)) * np.outer(self.unit, self.unit)
+
+    def nearest(self, estimates: list, rank: int, n: int, exact: bool = False, bracket=None):
+        """Cuts of the distances from ``estimates`` at ``rank``, and the
+        estimates by the rows below."""
+        shapes = np.stack([self.distance(*e) for e in estimates])
+
+        def part(x):
+            terms = self.terms(x)
+            return shapes @ terms, terms
+
+        cuts, sums = self.rows.sums_to_rank(part, self.columns, self.chunk, shapes @ self.terms(self.rows.sample), rank, rank / n,
+                                            exact, bracket)
+        return cuts, [self.estimate(s) for s in sums]
+
+    def within(self, estimate, cut: float):
+        """The estimate by the rows up to a distance."""
+        shape = self.distance(*estimate)
+
+        def part(x, total):
+            terms = self.terms(x)
+            total += terms @ (shape @ terms <= cut)
+
+        return self.estimate(self.rows.add_up(part, self.columns, self.chunk))
+
+
+def _packed_covariance(rows: Packed, estimates: list, h: int, n: int, d: int, max_steps: int):
+    """``robust_covariance`` from its ``estimates`` on, over packed rows."""
+    squares = _Squares(rows)
+    for _ in range(max_steps):
+        _, new = squares.nearest(estimates, h, n)
+        falling = [_log_det(c2) < _log_det(c) - 1e-6 for (_, c), (_, c2) in zip(estimates, new)]
+        estimates = [b if f else a for a, b, f in zip(estimates, new, falling)]
+        if not any(falling):
+            break
+    mean, cov = min(estimates, key=lambda e: _log_det(e[1]))
+    det, cuts = np.inf, []
+    for _ in range(max_steps):
+        # the cut moves less from step to step
+        off = 2 * abs(cuts[-1] - cuts[-2]) if len(cuts) > 1 else 0.0
+        bracket = (np.array([cuts[-1] - off]), np.array([cuts[-1] + off])) if off > 0 else None
+        (cut,), [(m2, c2)] = squares.nearest([(mean, cov)], h, n, True, bracket)
+        cuts.append(cut)
+        if not _log_det(c2) < det - 1e-10:
+            break
+        mean, cov, det = m2, c2, _log_det(c2)
+    return mean, cov, squares
+
+
 def robust_covariance(base: DataFrame, key: str, n: int, d: int, max_steps: int = 30, seed: int = 46):
     """Minimum covariance determinant (the published fast method) of the
     arrays ``_x``: location and covariance.
@@ -374,6 +459,15 @@ def robust_covariance(base: DataFrame, key: str, n: int, d: int, max_steps: int
     """
     h = (n + d + 1) // 2
     estimates = _nested_starts(base, key, n, d, h / n, seed)
+    if n >= PACKED_ROWS:
+        rows = Packed(base, "_x", d, n, seed)
+        try:
+            mean, cov, squares = _packed_covariance(rows, estimates, h, n, d, max_steps)
+            (middle,), _ = squares.nearest([(mean, cov)], (n + 1) // 2, n, exact=True)
+            factor = middle / chi_square_quantile(0.5, d)
+            return squares.within((mean, cov), factor * chi_square_quantile(0.975, d)) if factor > 0 else (mean, cov)
+        finally:
+            rows.unpersist()
     for _ in range(max_steps):
         new = _concentrate_all(base, estimates, h, n, d)
         falling = [_log_det(c2) < _log_det(c) - 1e-6 for (_, c), (_, c2) in zip(estimates, new)]
@@ -427,10 +521,10 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
     ``z(x) = sqrt(2/D) cos(W x + b)`` approximates the RBF kernel with
     ``gamma`` ('scale' = 1 / (d * var(X)), the usual default). The linear
     one-class objective ``1/2 |w|^2 - rho + 1/(nu n) sum max(0, rho - w.z)``
-    is minimised by subgradient steps; each step is one pass whose per-
-    partition partial sums (numpy in the task) are added by position in Spark;
+    is minimised by subgradient steps; each step is one pass (two over few rows) whose per-
+    partition partial sums (numpy in the task) are added in Spark;
     the features are formed in the pass and never stored. For fixed ``w`` the best ``rho`` is the
-    ``nu``-quantile of the scores, by sketch during the steps and exact at the end. Rows with
+    ``nu``-quantile of the scores, to a ten-thousandth of the rows during the steps and exact at the end. Rows with
     ``w.z(x) < rho`` are flagged (about a ``nu`` share, as the nu-property
     says). Same column and size guards as the other multivariate detectors.
     """
@@ -486,9 +580,43 @@ def outliers_one_class(df: DataFrame, features, key: str, nu: float = 0.5, gamma
 
     # every row violates at w = 0, rho = 1: start from the mean feature direction
     w = violators_sum(np.zeros(n_components), 1.0) / n
+    # a missing cell makes all of them NaN
+    rows = Packed(base, "_x", d, n, seed) if n >= PACKED_ROWS and np.isfinite(w).all() else None
+    # in single precision, whose rounding (1e-7) is far below a ten-thousandth of
+    # the rows; the scores that are returned are in double precision
+    middle = np.median(rows.sample, axis=0) if rows and len(rows.sample) else np.zeros(d)
+    turns, begin = W.astype(np.float32), np.mod(W @ middle + b, 2 * math.pi).astype(np.float32)[:, None]
+
+    def cosines(x):
+        out = np.ones((n_components + 1, len(x)), np.float32)
+        part = out[1:]
+        np.matmul(turns, (x - middle).T.astype(np.float32), out=part)
+        part += begin
+        np.cos(part, out=part)
+        part *= np.float32(scale)
+        return out
+
+    drawn = cosines(rows.sample) if rows else None
+
+    def violators(wv):
+        if rows is None:
+            return violators_sum(wv, best_rho(wv))
+
+        weights = wv[None].astype(np.float32)
+
+        def part(x):
+            terms = cosines(x)
+            return weights @ terms[1:], terms
+
+        return rows.sums_to_rank(part, n_components + 1, 512, weights @ drawn[1:], max(1, round(nu * n)), nu)[1][0, 1:]
+
     for t_ in range(1, max_iter + 1):
-        grad = w - violators_sum(w, best_rho(w)) / (nu * n)
+        grad = w - violators(w) / (nu * n)
         w = w - (1.0 / (t_ + 1)) * grad
-    rho = quantiles(scores(w), "_s", [nu])[0]
-    return scores(w).select(key, (F.col("_s") - F.lit(rho)).alias("decision"),
-                            (F.col("_s") < F.lit(rho)).alias("is_outlier"))
+    if rows:
+        rows.unpersist()
+    # formed once, and stored for the scans that rank them
+    final = scores(w).persist(StorageLevel.MEMORY_AND_DISK)
+    rho = bracketed_quantile(final, "_s", nu, n)
+    return final.select(key, (F.col("_s") - F.lit(rho)).alias("decision"),
+                        (F.col("_s") < F.lit(rho)).alias("is_outlier"))
