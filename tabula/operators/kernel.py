@@ -6,10 +6,16 @@ approximate the RBF kernel ``exp(-gamma * |x - y|^2)`` (error about
 Huber regression for support vector regression, a linear SVM per class for
 the classifier, whose probabilities are sigmoids of held-out margins.
 Features are divided by their largest absolute value first.
+
+Spark ML's Huber regression stores the mapped vectors (``dims`` numbers a row)
+and scans them up to a hundred times. Above ``SMALL_ROWS`` rows the same
+objective is minimised by Newton steps, each one scan of packed rows that
+forms the cosines anew, once for equal vectors of a block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -26,8 +32,15 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import Packed
+from .cells import known_rows
 from .newton import Fit, newton
 
+#: Residuals over so many scales count linearly (Spark ML's default).
+HUBER = 1.35
+#: Vectors mapped at a time.
+MAPPED = 2048
+
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable,
                             DefaultParamsWritable):
@@ -43,17 +56,26 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, Def
         self._setDefault(gamma=1.0, dims=128, seed=46)
         self._set(**self._input_kwargs)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def draws(self):
+        """Function of the vectors' length: frequencies and phases."""
         dims, seed, scale = self.getOrDefault(self.dims), self.getSeed(), np.sqrt(2 * self.getOrDefault(self.gamma))
 
+        def drawn(width: int):
+            rng = np.random.default_rng(seed)
+            return rng.standard_normal((width, dims)) * scale, rng.uniform(0, 2 * np.pi, dims)
+
+        return drawn
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        dims, draws = self.getOrDefault(self.dims), self.draws()
+
         @F.pandas_udf("array<double>")
         def cosines(v: pd.Series) -> pd.Series:
             if not len(v):
                 return pd.Series([], dtype=object)
             x = np.stack(v.to_numpy())
-            rng = np.random.default_rng(seed)
-            turns = rng.standard_normal((x.shape[1], dims)) * scale
-            return pd.Series(list(np.sqrt(2 / dims) * np.cos(x @ turns + rng.uniform(0, 2 * np.pi, dims))))
+            turns, begin = draws(x.shape[1])
+            return pd.Series(list(np.sqrt(2 / dims) * np.cos(x @ turns + begin)))
 
         return dataset.withColumn(self.getOutputCol(), array_to_vector(cosines(vector_to_array(self.getInputCol()))))
 
@@ -73,13 +95,146 @@ def _mapping(train: DataFrame, dims: int, seed: int, gamma: float | None) -> Pip
     return PipelineModel([scaler, RandomFourierFeatures(inputCol="_scaled", outputCol="_cosines", gamma=gamma, dims=dims, seed=seed)])
 
 
+class RandomFourierRegression(RandomFourierFeatures):
+    """A linear model over the random cosines of a vector column, whose
+    ``prediction`` is formed without storing them."""
+
+    coefficients = Param(Params._dummy(), "coefficients", "weights of the features", typeConverter=TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "intercept", typeConverter=TypeConverters.toFloat)
+    width = Param(Params._dummy(), "width", "length of the vectors", typeConverter=TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, gamma=1.0, dims=128, seed=46, coefficients=None, intercept=0.0, width=1):
+        Transformer.__init__(self)
+        self._setDefault(gamma=1.0, dims=128, seed=46, intercept=0.0, width=1)
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        dims, width, (turns, begin) = self.getOrDefault(self.dims), self.getOrDefault(self.width), self.draws()(self.getOrDefault(self.width))
+        weights, intercept = np.sqrt(2 / dims) * np.array(self.getOrDefault(self.coefficients)), self.getOrDefault(self.intercept)
+
+        @F.pandas_udf("double")
+        def predicted(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for x in parts:
+                x = np.stack(x, axis=1)
+                yield pd.Series(np.concatenate([np.cos(x[at:at + MAPPED] @ turns + begin) @ weights + intercept
+                                                for at in range(0, len(x), MAPPED)] or [np.zeros(0)]))
+
+        cells = vector_to_array(self.getInputCol())
+        return dataset.withColumn(self.getOutputCol(), predicted(*[cells[i] for i in range(width)]))
+
+
+def _by_vector(x: np.ndarray) -> np.ndarray:
+    """Rows of vector and label as the number of distinct vectors, how often
+    each comes, the vectors, and the labels in their order."""
+    code = np.zeros(len(x), np.int64)
+    for column in x[:, :-1].T:
+        found, place = np.unique(column, return_inverse=True)
+        code = np.unique(code * len(found) + place, return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    first = np.flatnonzero(np.diff(code[order], prepend=-1))
+    return np.concatenate([[len(first)], np.diff(first, append=len(x)), x[order[first], :-1].ravel(), x[order, -1]])
+
+
+def _huber(rows: Packed, stage: RandomFourierFeatures, theta: np.ndarray, sigma: float, epsilon: float):
+    """Over all rows, with intercept and coefficients ``theta`` and scale ``sigma``:
+    loss, gradient, Hessian of ``theta``, and the sums of residual and squared
+    residual over the rows that count quadratically (by feature, and of all),
+    and the number of these."""
+    dims, width = stage.getOrDefault(stage.dims), rows.width - 1
+    turns, begin = stage.draws()(width)
+    scale, k = np.sqrt(2 / dims), dims + 1
+
+    def part(flat, total):
+        loss, slope, curve, lean, ends = total[:1], total[1:1 + k], total[1 + k:1 + k + k * k].reshape(k, k), total[-k - 2:-2], total[-2:]
+        m = int(flat[0])
+        counts, vectors, y = flat[1:1 + m].astype(np.int64), flat[1 + m:1 + m + m * width].reshape(m, width), flat[1 + m + m * width:]
+        after = np.cumsum(counts)
+        for at in range(0, m, MAPPED):
+            n = counts[at:at + MAPPED]
+            z = np.ones((len(n), k))
+            np.cos(vectors[at:at + MAPPED] @ turns + begin, out=z[:, 1:])
+            z[:, 1:] *= scale
+            off = y[after[at] - n[0]:after[at + len(n) - 1]] - np.repeat(z @ theta, n)
+            size = np.abs(off)
+            near = size <= epsilon * sigma
+            square = np.where(near, off, 0.0)
+            first = np.cumsum(n) - n
+            pull = np.where(near, off / sigma, np.copysign(min(epsilon, 1e300), off))
+            loss += 0.5 * (sigma * len(off) + square @ square / sigma + ((2 * size - sigma * epsilon)[~near] * epsilon).sum())
+            slope += np.add.reduceat(pull, first) @ z
+            weighted = z * np.sqrt(np.add.reduceat(near, first, dtype=np.float64))[:, None]
+            curve += weighted.T @ weighted
+            lean += np.add.reduceat(square, first) @ z
+            ends += square @ square, near.sum()
+
+    total = rows.add_up(part, 3 + 2 * k + k * k)
+    return total[0], total[1:1 + k], total[1 + k:1 + k + k * k].reshape(k, k), total[-k - 2:-2], total[-2], total[-1]
+
+
+def _huber_fit(rows: Packed, stage: RandomFourierFeatures, n: int, reg: float, max_steps: int = 50, gain: float = 1e-9) -> np.ndarray:
+    """Intercept and coefficients of least ``mean(sigma + H(residual / sigma) sigma) / 2
+    + reg |coefficients x deviations|^2 / 2``, with the scale ``sigma`` fitted too (the
+    objective of Spark ML). From least squares on, a Newton step each scan; a
+    step that loses is halved. The driver holds ``dims^2`` numbers."""
+    k = stage.getOrDefault(stage.dims) + 1
+    _, slope, curve, _, squares, _ = _huber(rows, stage, np.zeros(k), 1.0, np.inf)
+    mean = curve[0] / n
+    ridge = reg * np.maximum(np.diag(curve) / n - mean ** 2, 0.0) * n / max(1, n - 1)
+    ridge[0] = 0.0
+
+    def solved(a, v):
+        return np.linalg.lstsq(a + 1e-12 * np.trace(a) / len(a) * np.eye(len(a)), v, rcond=1e-13)[0]
+
+    theta = solved(curve / n + np.diag(ridge), slope / n)
+    rest = squares / n - 2 * theta @ slope / n + theta @ curve @ theta / n
+    at = np.append(theta, np.sqrt(max(rest, 1e-12 * squares / n, 1e-300)))
+    best, step, last = np.inf, None, at
+    for _ in range(max_steps):
+        theta, sigma = at[:-1], at[-1]
+        loss, slope, curve, lean, squares, near = _huber(rows, stage, theta, sigma, HUBER)
+        value = loss / n + 0.5 * ridge @ theta ** 2
+        if value > best + 1e-12 * abs(best):
+            step = step / 2
+            at = last + step
+            if np.abs(step).max() <= 1e-12 * np.abs(last).max():
+                break
+            continue
+        last, best = at, value
+        slope = np.append(ridge * theta - slope / n, 0.5 * (near - squares / sigma ** 2 + (n - near) * (1 - HUBER ** 2)) / n)
+        bend = np.zeros((k + 1, k + 1))
+        bend[:k, :k] = curve / (n * sigma) + np.diag(ridge)
+        bend[:k, k] = bend[k, :k] = lean / (n * sigma ** 2)
+        bend[k, k] = squares / (n * sigma ** 3)
+        step = -solved(bend, slope)
+        if -(slope @ step) <= gain * abs(best):
+            break
+        if sigma + step[-1] < 0.1 * sigma:  # the scale stays above zero
+            step = step * (-0.9 * sigma / step[-1])
+        at = last + step
+    return last[:-1]
+
+
 def fit_svr(train: DataFrame, c: float = 1.0, dims: int = 128, seed: int = 46,
             gamma: float | None = None) -> PipelineModel:
     """Huber regression over the mapped ``features`` of ``train`` (``label``); a
     savable pipeline."""
-    mapping = _mapping(train, dims, seed, gamma)
-    huber = LinearRegression(featuresCol="_cosines", loss="huber", regParam=1 / (c * max(1, train.count())))
-    return PipelineModel([*mapping.stages, huber.fit(mapping.transform(train))])
+    scaler, stage = _mapping(train, dims, seed, gamma).stages
+    n = known_rows(train, "label")
+    if n is None:
+        mapping = PipelineModel([scaler, stage])
+        huber = LinearRegression(featuresCol="_cosines", loss="huber", regParam=1 / (c * max(1, train.count())))
+        return PipelineModel([*mapping.stages, huber.fit(mapping.transform(train))])
+    width = len(train.select("features").first()[0])
+    cells = scaler.transform(train).select(F.concat(vector_to_array("_scaled"), F.array("label")).alias("x"))
+    rows = Packed(cells, "x", width + 1, n, seed, _by_vector)
+    try:
+        theta = _huber_fit(rows, stage, n, 1 / (c * n))
+    finally:
+        rows.unpersist()
+    return PipelineModel([scaler, RandomFourierRegression(
+        inputCol="_scaled", outputCol="prediction", gamma=float(stage.getOrDefault(stage.gamma)), dims=dims, seed=seed,
+        coefficients=[float(v) for v in theta[1:]], intercept=float(theta[0]), width=width)])
 
 
 class RbfSvc:

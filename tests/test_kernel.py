@@ -89,3 +89,36 @@ def test_classification_board_has_every_row_and_score(spark):
         assert r["precision_micro"] == pytest.approx(r["accuracy"]) and r["recall_micro"] == pytest.approx(r["accuracy"])
         assert (r["log_loss"] is None) == (name == "linear_svc")
         assert r["accuracy"] > 0.85
+
+
+def test_svr_of_many_rows_reaches_a_smaller_objective(monkeypatch, spark):
+    """Newton steps over packed rows end at or below Spark ML's value of the same
+    objective, with equal vectors and far residuals among the rows."""
+    from tabula.operators import cells
+    rng = np.random.default_rng(3)
+    x = rng.uniform(-3, 3, (1200, 2))
+    x[600:] = x[:600]
+    y = 4 * np.exp(-(x ** 2).sum(1)) + 0.2 * rng.standard_t(2, len(x))
+    train = MD.assemble(_frame(spark, x, y), FEATURES, "y")
+    plain = K.fit_svr(train, dims=16)
+    monkeypatch.setattr(cells, "SMALL_ROWS", 100)
+    model = K.fit_svr(train, dims=16)
+    scaled, label = (np.array(v) for v in zip(*((r[0], r[1]) for r in plain.stages[0].transform(train).select(
+        vector_to_array("_scaled"), "label").collect())))
+    turns, begin = plain.stages[1].draws()(2)
+    z = np.sqrt(2 / 16) * np.cos(scaled @ turns + begin)
+
+    def objective(coefs, intercept, sigma):
+        rest = np.abs(label - z @ coefs - intercept)
+        each = np.where(rest <= 1.35 * sigma, sigma + rest ** 2 / sigma, sigma + 2.7 * rest - sigma * 1.35 ** 2)
+        return each.mean() / 2 + 0.5 / len(z) * ((coefs * z.std(axis=0, ddof=1)) ** 2).sum()
+
+    last, fit = plain.stages[-1], model.stages[-1]
+    coefs = np.array(fit.getOrDefault("coefficients"))
+    found = min(objective(coefs, fit.getOrDefault("intercept"), s) for s in np.linspace(0.7, 1.3, 121) * last.scale)
+    assert found <= objective(last.coefficients.toArray(), last.intercept, last.scale) + 1e-4
+    path = shared_path(spark, "svr_model_of_many_rows")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    rows = lambda m: sorted(r[0] for r in m.transform(train).select(F.round("prediction", 9)).collect())
+    assert rows(again) == rows(model)
