@@ -78,7 +78,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
 
 
 def _steps(tree):
-    """A tree for ``_path_lengths``: feature and threshold per node, the nodes
+    """A tree for ``_descend``: feature and threshold per node, the nodes
     after it (no, yes), path lengths at leaves, and levels. A leaf leads to itself."""
     feat, thr, left, right, size = tree
     own, depth = np.arange(len(feat)), np.zeros(len(feat))
@@ -88,7 +88,11 @@ def _steps(tree):
     return np.maximum(feat, 0), thr, after, depth + np.array([_c(s) for s in size]), int(depth.max())
 
 
-def _path_lengths(x: np.ndarray, steps) -> np.ndarray:
+def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
+    return _descend(x, _steps(tree))
+
+
+def _descend(x: np.ndarray, steps) -> np.ndarray:
     """Path length of every row of ``x``: all rows go down a level at a time."""
     feat, thr, after, length, levels = steps
     cells, first = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
@@ -153,7 +157,7 @@ def outliers_isolation_forest(df: DataFrame, features, key: str, n_estimators: i
             x = _cells(p, d)
             h = np.zeros(len(x))
             for tr in ts:
-                h += _path_lengths(x, tr)
+                h += _descend(x, tr)
             h /= max(len(ts), 1)
             s = np.power(2.0, -h / c_psi) if c_psi > 0 else np.full(len(x), 0.5)
             yield _batch(**{key: p.column(key), score_col: s})

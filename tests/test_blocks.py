@@ -80,4 +80,4 @@ def test_all_rows_go_down_a_tree_together():
             return A._c(size[at])
         return 1 + walk(row, left[at] if row[feat[at]] < thr[at] else right[at])
 
-    assert A._path_lengths(x, A._steps(tree)) == pytest.approx([walk(r) for r in x])
+    assert A._path_lengths(x, tree) == pytest.approx([walk(r) for r in x])
